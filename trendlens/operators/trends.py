@@ -64,11 +64,13 @@ def dense_series(history: DataFrame, params: Params = Params()) -> DataFrame:
     series = keyed.groupBy("discipline", "word").agg(
         F.map_from_entries(F.collect_list(F.struct(
             F.col("publish_year"), F.col("count").cast("double")))).alias("_by_year"))
-    years = F.sequence(F.lit(params.min_year), last_year)
-    return series.select(
+    # the scalar subquery may not sit inside a lambda: project the spine first
+    spined = series.select("discipline", "word", "_by_year", last_year.alias("max_year"))
+    years = F.sequence(F.lit(params.min_year), F.col("max_year"))
+    return spined.select(
         "discipline", "word",
         F.transform(years, lambda y: F.coalesce(F.col("_by_year")[y], F.lit(0.0))).alias("ys"),
-        last_year.alias("max_year"),
+        "max_year",
     )
 
 

@@ -239,8 +239,8 @@ FROM documents"""
     q["normalise_works"] = works
     q["works_source_filter"] = works + " WHERE doc_id % 8 <> 0 AND 2018 + CAST(floor(doc_id / 20) AS INTEGER) % 15 > 2018 AND lang = 'en'"
     q["search_log_rollup"] = f"""WITH {SEARCH_LOG}
-SELECT strftime(date_trunc('day', create_time), '%Y-%m-%d %H:%M:%S') AS window_start,
-       strftime(date_trunc('day', create_time) + INTERVAL 1 day, '%Y-%m-%d %H:%M:%S') AS window_end,
+SELECT CAST(epoch(date_trunc('day', create_time)) AS BIGINT) AS window_start,
+       CAST(epoch(date_trunc('day', create_time) + INTERVAL 1 day) AS BIGINT) AS window_end,
        search_keyword, count(*) AS searches
 FROM search_log GROUP BY 1, 2, 3"""
     return q

@@ -35,7 +35,7 @@ class Pipeline:
     sf_dir: str
     params: Params = Params()
     _tables: dict = field(default_factory=dict)
-    _lock: threading.Lock = field(default_factory=threading.Lock)
+    _lock: threading.RLock = field(default_factory=threading.RLock)
 
     # ------------------------------------------------------------------ plumbing
     def _materialise(self, name: str, build) -> DataFrame:

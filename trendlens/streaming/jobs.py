@@ -58,13 +58,22 @@ def run_subject_counts(spark: SparkSession, landing_dir: str, out_dir: str, chec
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def utc_instant(ts: F.Column) -> F.Column:
+    """A TIMESTAMP_NTZ wall-clock read as UTC, as a TIMESTAMP instant (independent of the session
+    time zone; watermarks need TIMESTAMP)."""
+    return F.make_timestamp_ltz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts),
+                                F.date_part(F.lit("SECOND"), ts), F.lit("UTC"))
+
+
 def search_log_windows(log: DataFrame, window: str = "1 day", watermark: str = "1 day") -> DataFrame:
-    """X3 logic (stream or batch): searches per keyword per tumbling window of create_time."""
-    src = log.withWatermark("create_time", watermark) if log.isStreaming else log
+    """X3 logic (stream or batch): searches per keyword per tumbling window of create_time.
+    Window bounds are epoch seconds (UTC)."""
+    src = log.withColumn("create_time", utc_instant(F.col("create_time")))
+    src = src.withWatermark("create_time", watermark) if log.isStreaming else src
     return (src.groupBy(F.window("create_time", window).alias("w"), "search_keyword")
             .agg(F.count(F.lit(1)).alias("searches"))
-            .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+            .select(F.unix_seconds("w.start").alias("window_start"),
+                    F.unix_seconds("w.end").alias("window_end"),
                     "search_keyword", "searches"))
 
 
