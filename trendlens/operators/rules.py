@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions import text
-from trendlens.operators.trends import filtered_words
 from trendlens.params import Params
 from trendlens.plans.broadcast import broadcast_if_small, frequent_item_bound
 
@@ -34,10 +33,13 @@ def baskets_observed(cleaned: DataFrame, params: Params = Params()) -> DataFrame
     """One basket per cleaned paper: basket_id, items = {discipline} + long title words.
 
     Papers without a discipline form no basket (their items would include a NULL)."""
-    words = filtered_words(cleaned).filter(F.col("discipline").isNotNull())
-    return words.select(
+    papers = cleaned.filter(F.col("discipline").isNotNull())
+    # one pass over the tokens: a word of >= basket_min_len letters is a stop word only if it is
+    # in the (short) list of long stop words, so the full stop list need not be scanned
+    return papers.select(
         F.col("id").alias("basket_id"),
-        text.basket_items(F.col("discipline"), F.col("words"), params.basket_min_len).alias("items"))
+        text.basket_items(F.col("discipline"), text.tokens(F.col("title")), params.basket_min_len)
+        .alias("items"))
 
 
 def baskets_forecast(forecast: DataFrame) -> DataFrame:

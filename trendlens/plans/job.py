@@ -18,6 +18,7 @@ each, after all stages succeeded.
 from __future__ import annotations
 
 import threading
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ class Pipeline:
     sf_dir: str
     params: Params = Params()
     _tables: dict = field(default_factory=dict)
+    stage_seconds: dict = field(default_factory=dict)   # wall time of each stage's own write
     _lock: threading.RLock = field(default_factory=threading.RLock)
 
     # ------------------------------------------------------------------ plumbing
@@ -42,7 +44,10 @@ class Pipeline:
         with self._lock:
             if name not in self._tables:
                 path = scratch_path(self.spark, "stage", name)
-                build().write.mode("overwrite").parquet(path)
+                plan = build()                      # inputs are materialised inside build()
+                t0 = time.time()
+                plan.write.mode("overwrite").parquet(path)
+                self.stage_seconds[name] = round(time.time() - t0, 3)
                 self._tables[name] = path
             return self.spark.read.parquet(self._tables[name])
 
@@ -77,8 +82,11 @@ class Pipeline:
         return self._materialise("trend", build)
 
     def baskets(self) -> DataFrame:
-        fc = self.trend().filter("is_forecast").drop("is_forecast")
-        return rules.baskets_full(self.cleaned(), fc, self.params)
+        """Title baskets plus forecast baskets, built once (the text work is the expensive part)."""
+        def build():
+            fc = self.trend().filter("is_forecast").drop("is_forecast")
+            return rules.baskets_full(self.cleaned(), fc, self.params)
+        return self._materialise("baskets", build)
 
     def rules_all(self) -> DataFrame:
         return self._materialise("rules_all", lambda: rules.assoc_rules(self.baskets(), self.params))
