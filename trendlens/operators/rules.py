@@ -10,11 +10,13 @@ without mining larger itemsets:
   n(a, b)    = baskets containing a and b       (frequent when >= min_count)
   rule a->b  : n(a, b) >= min_count and n(a, b) / support(a) >= min_confidence
 
-Plan: items are pruned to frequent ones with a broadcast semi-join (the frequent-item table is
-broadcast only after its row count is checked, else a shuffle join is used), pairs are generated
-inside each basket row (a basket is one title: at most ~100 items), and `groupBy(a, b).count()`
-pre-aggregates on the map side before its single shuffle. A hot item (a discipline is in a fifth
-of all baskets) only adds partial-aggregate rows, never a skewed task.
+Plan: frequent items get dense int ids and are broadcast (only after their row count is checked,
+else a shuffle join is used); each basket's items are pruned to frequent ids with that broadcast
+join and regrouped per basket (a shuffle of frequent occurrences only); each unordered pair is
+emitted once (x < y) and `groupBy(x, y).count()` pre-aggregates two ints on the map side before
+its shuffle; the counts are then mirrored into both rule directions. The pair work is the sum over baskets
+of (frequent items in the basket)^2: linear in the number of baskets. A hot item (a discipline
+is in a fifth of all baskets) only adds partial-aggregate rows, never a skewed task.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import text
 from trendlens.params import Params
-from trendlens.plans.broadcast import broadcast_if_small, frequent_item_bound
+from trendlens.plans.broadcast import broadcast_if_small
 
 RULE_COLUMNS = ("source", "target", "confidence")
 
@@ -74,8 +76,37 @@ def frequent_items(baskets: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def _small_frequent(frequent: DataFrame, params: Params) -> DataFrame:
-    bound = frequent_item_bound(params.min_support, params.basket_min_len)
-    return broadcast_if_small(frequent, params.broadcast_max_rows, known_bound=bound)
+    """Broadcast the frequent items after counting them. Their number is at most
+    (total item occurrences) / min_count = (average basket size) / min_support, which does not
+    grow with the number of baskets; the count checks it on the actual data."""
+    return broadcast_if_small(frequent, params.broadcast_max_rows)
+
+
+def _with_ids(frequent: DataFrame, params: Params) -> DataFrame:
+    """Frequent items with dense int ids (item, support, iid). The table is small by the bound
+    above (checked), so numbering it in one ordered pass is cheap; ids make the pair aggregation
+    hash two ints instead of two strings."""
+    ids = frequent.withColumn("iid", F.row_number().over(Window.orderBy("item")).cast("int"))
+    return _small_frequent(ids, params)
+
+
+def _pair_counts(baskets: DataFrame, ids: DataFrame, min_count) -> DataFrame:
+    """Unordered frequent pairs (x < y) with n(x, y) >= min_count, as item ids."""
+    if "_bid" not in baskets.columns:
+        baskets = baskets.withColumn("_bid", F.monotonically_increasing_id())
+    occ = baskets.select("_bid", F.explode("items").alias("item")).join(ids.select("item", "iid"), "item")
+    # one row per basket with its frequent item ids: a shuffle of frequent occurrences only
+    per = occ.groupBy("_bid").agg(F.collect_list("iid").alias("ids"))
+    pairs = (per.select("ids", F.explode("ids").alias("x"))
+             .select("x", F.explode("ids").alias("y"))
+             .filter(F.col("x") < F.col("y")))
+    return (pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("pair_count"))
+            .filter(F.col("pair_count") >= min_count))
+
+
+def _both_ways(counts: DataFrame) -> DataFrame:
+    return counts.select(F.col("x").alias("a_id"), F.col("y").alias("b_id"), "pair_count").unionByName(
+        counts.select(F.col("y").alias("a_id"), F.col("x").alias("b_id"), "pair_count"))
 
 
 def pair_support(baskets: DataFrame, params: Params = Params(),
@@ -83,24 +114,20 @@ def pair_support(baskets: DataFrame, params: Params = Params(),
     """A14 (pairs): ordered pairs a != b of frequent items with n(a, b) >= min_count."""
     if frequent is None:
         frequent = frequent_items(baskets, params)
-    freq = _small_frequent(frequent.select("item"), params)
-    left = (baskets.select("items", F.explode("items").alias("a"))
-            .join(freq.withColumnRenamed("item", "a"), "a", "left_semi"))
-    pairs = (left.select("a", F.explode("items").alias("b"))
-             .filter(F.col("a") != F.col("b"))
-             .join(freq.withColumnRenamed("item", "b"), "b", "left_semi"))
-    return (pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("pair_count"))
-            .filter(F.col("pair_count") >= _min_count(baskets, params)))
+    ids = _with_ids(frequent, params)
+    both = _both_ways(_pair_counts(baskets, ids, _min_count(baskets, params)))
+    return (both.join(ids.select(F.col("iid").alias("a_id"), F.col("item").alias("a")), "a_id")
+            .join(ids.select(F.col("iid").alias("b_id"), F.col("item").alias("b")), "b_id")
+            .select("a", "b", "pair_count"))
 
 
 def assoc_rules(baskets: DataFrame, params: Params = Params()) -> DataFrame:
     """G1: every 1 -> 1 rule: source, target, confidence (= n(a,b) / support(a))."""
-    frequent = frequent_items(baskets, params)
-    pairs = pair_support(baskets, params, frequent)
-    sup = _small_frequent(frequent.withColumnRenamed("item", "a"), params)
-    rules = pairs.join(sup, "a").select(
-        F.col("a").alias("source"), F.col("b").alias("target"),
-        (F.col("pair_count") / F.col("support")).alias("confidence"))
+    ids = _with_ids(frequent_items(baskets, params), params)
+    both = _both_ways(_pair_counts(baskets, ids, _min_count(baskets, params)))
+    rules = (both.join(ids.select(F.col("iid").alias("a_id"), F.col("item").alias("source"), "support"), "a_id")
+             .join(ids.select(F.col("iid").alias("b_id"), F.col("item").alias("target")), "b_id")
+             .select("source", "target", (F.col("pair_count") / F.col("support")).alias("confidence")))
     return rules.filter(F.col("confidence") >= F.lit(float(params.min_confidence)))
 
 

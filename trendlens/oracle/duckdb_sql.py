@@ -34,7 +34,7 @@ SUBJECTS = [name for name, _ in vocab.SUBJECT_CONCEPTS]
 
 RAW_PAPERS = f"""raw_papers AS (
   SELECT doc_id AS id,
-         substr(text, 1, {vocab.MAX_TITLE_CHARS}) AS title,
+         text AS title,
          {_case_index("CAST(substr(source, 4) AS INTEGER) % 5", SUBJECTS)} AS discipline,
          CAST(2010 + CAST(floor(doc_id / 20) AS INTEGER) % 15 AS INTEGER) AS publish_year,
          concat('Author ', CAST(doc_id % 37 AS VARCHAR)) AS authors,

@@ -85,7 +85,9 @@ class Pipeline:
         """Title baskets plus forecast baskets, built once (the text work is the expensive part)."""
         def build():
             fc = self.trend().filter("is_forecast").drop("is_forecast")
-            return rules.baskets_full(self.cleaned(), fc, self.params)
+            # _bid: a unique id per basket, fixed once written (forecast baskets have no paper id)
+            return rules.baskets_full(self.cleaned(), fc, self.params) \
+                .withColumn("_bid", F.monotonically_increasing_id())
         return self._materialise("baskets", build)
 
     def rules_all(self) -> DataFrame:

@@ -42,12 +42,12 @@ def _source_index(source: Column) -> Column:
 
 def raw_papers(documents: DataFrame) -> DataFrame:
     """`raw_paper_data` view over `documents`:
-    id, title (first 500 chars), discipline (5 subjects by source), publish_year (2010..2024),
+    id, title (the whole text), discipline (5 subjects by source), publish_year (2010..2024),
     authors, source."""
     d = documents
     return d.select(
         d.doc_id.alias("id"),
-        F.substring(d.text, 1, vocab.MAX_TITLE_CHARS).alias("title"),
+        d.text.alias("title"),
         subject_of(_source_index(d.source) % 5).alias("discipline"),
         (F.lit(2010) + F.floor(d.doc_id / 20).cast("int") % 15).cast("int").alias("publish_year"),
         F.concat(F.lit("Author "), (d.doc_id % 37).cast("string")).alias("authors"),
@@ -101,15 +101,15 @@ WORK_SCHEMA = (
 
 def api_works(documents: DataFrame) -> DataFrame:
     """API work records (nested) derived from `documents`, serialised as one JSON string per work:
-    display_name null when doc_id % 9 = 0, publication_year null when doc_id % 8 = 0 (else the
-    paper year + 8, i.e. 2018..2032), authors = first 5 words of the text, language = lang,
-    one concept = the subject of the paper's source."""
+    display_name = the whole text (null when doc_id % 9 = 0), publication_year null when
+    doc_id % 8 = 0 (else the paper year + 8, i.e. 2018..2032), authors = first 5 words of the text,
+    language = lang, one concept = the subject of the paper's source."""
     d = documents
-    words = F.slice(F.split(F.regexp_replace(F.substring(d.text, 1, 200), r"^\s+|\s+$", ""), r"\s+"), 1, 5)
+    words = F.slice(F.split(F.regexp_replace(d.text, r"^\s+|\s+$", ""), r"\s+"), 1, 5)
     year = (F.lit(2018) + F.floor(d.doc_id / 20).cast("int") % 15).cast("int")
     work = F.struct(
         d.doc_id.alias("id"),
-        F.when(d.doc_id % 9 != 0, F.substring(d.text, 1, 600)).alias("display_name"),
+        F.when(d.doc_id % 9 != 0, d.text).alias("display_name"),
         F.when(d.doc_id % 8 != 0, year).alias("publication_year"),
         d.lang.alias("language"),
         F.array(F.struct(concept_of(subject_of(_source_index(d.source) % 5)).alias("id"))).alias("concepts"),
