@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import text
 from trendlens.params import Params
-from trendlens.plans.broadcast import broadcast_if_small
+from trendlens.plans.broadcast import broadcast_if_small, spread
+from trendlens.session import checkpoint_root
 
 RULE_COLUMNS = ("source", "target", "confidence")
 
@@ -87,7 +88,10 @@ def _with_ids(frequent: DataFrame, params: Params) -> DataFrame:
     above (checked), so numbering it in one ordered pass is cheap; ids make the pair aggregation
     hash two ints instead of two strings."""
     ids = frequent.withColumn("iid", F.row_number().over(Window.orderBy("item")).cast("int"))
-    return _small_frequent(ids, params)
+    # computed once and written to the shared checkpoint folder: the size check and the three
+    # joins below read that small table instead of re-aggregating every basket
+    checkpoint_root(frequent.sparkSession)
+    return _small_frequent(ids.checkpoint(eager=True), params)
 
 
 def _pair_counts(baskets: DataFrame, ids: DataFrame, min_count) -> DataFrame:
@@ -96,7 +100,8 @@ def _pair_counts(baskets: DataFrame, ids: DataFrame, min_count) -> DataFrame:
         baskets = baskets.withColumn("_bid", F.monotonically_increasing_id())
     occ = baskets.select("_bid", F.explode("items").alias("item")).join(ids.select("item", "iid"), "item")
     # one row per basket with its frequent item ids: a shuffle of frequent occurrences only
-    per = occ.groupBy("_bid").agg(F.collect_list("iid").alias("ids"))
+    # (explicit partition count: the pair explode below multiplies this small shuffle ~50x)
+    per = spread(occ, "_bid").groupBy("_bid").agg(F.collect_list("iid").alias("ids"))
     pairs = (per.select("ids", F.explode("ids").alias("x"))
              .select("x", F.explode("ids").alias("y"))
              .filter(F.col("x") < F.col("y")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions import text
+from trendlens.plans.broadcast import spread
 from trendlens.params import Params
 
 TREND_COLUMNS = ("discipline", "publish_year", "word", "count")
@@ -60,7 +61,8 @@ def dense_series(history: DataFrame, params: Params = Params()) -> DataFrame:
     not from a join, and the global max year from a scalar subquery.
     """
     last_year = max_year(history)
-    keyed = history.filter(F.col("discipline").isNotNull())
+    keyed = spread(history.filter(F.col("discipline").isNotNull()), "discipline", "word")
+    # the fits run per series row: keep the series spread over all partitions
     series = keyed.groupBy("discipline", "word").agg(
         F.map_from_entries(F.collect_list(F.struct(
             F.col("publish_year"), F.col("count").cast("double")))).alias("_by_year"))

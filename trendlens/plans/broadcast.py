@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendlens.functions import vocab
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int, known_bound: int | None = None) -> DataFrame:
@@ -19,16 +18,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int, known_bound: int | None = N
     return F.broadcast(df) if bound <= max_rows else df
 
 
-def max_basket_items(min_word_len: int, max_title_chars: int = vocab.MAX_TITLE_CHARS) -> int:
-    """Most items a title basket can hold: the discipline plus words of >= min_word_len letters,
-    each followed by at least one separator, in a title of at most max_title_chars."""
-    return 1 + (max_title_chars + 1) // (min_word_len + 1)
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition on `keys` into `spark.sql.shuffle.partitions` partitions, for a shuffle whose
+    output is small but feeds CPU-heavy or data-expanding work (pair generation, model fits).
 
-
-def frequent_item_bound(min_support: float, min_word_len: int) -> int:
-    """Upper bound on items with support >= ceil(min_support * N): the supports sum to at most
-    N * max_basket_items, so at most max_basket_items / min_support items reach the threshold.
-    The bound does not grow with the data."""
-    if min_support <= 0:
-        return 1 << 62
-    return int(max_basket_items(min_word_len) / min_support) + 1
+    With an explicit partition count AQE keeps the partitions instead of coalescing the small
+    shuffle into one task; a following groupBy on the same keys reuses this partitioning, so no
+    extra exchange is added."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
