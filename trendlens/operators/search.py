@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import text, vocab
 from trendlens.operators.reports import alias_map, discipline_list
-from trendlens.plans.broadcast import broadcast_if_small
+from trendlens.plans.broadcast import broadcast_if_small, spread
 
 SUGGESTIONS = 8
 SUGGEST_PER_BRANCH = 5
@@ -72,11 +72,15 @@ def paper_search(cleaned: DataFrame, requests: DataFrame) -> DataFrame:
         F.trim(F.coalesce(F.col("keyword"), F.lit(""))).alias("_kw"),
         F.coalesce(F.col("discipline"), F.lit("")).alias("_disc"),
         F.coalesce(F.col("year"), F.lit("")).alias("_year"))
+    # lower-case once per paper / request, not once per (paper, request) pair
+    papers = cleaned.withColumn("_title_l", F.lower("title")).withColumn("_disc_l", F.lower("discipline"))
+    r = r.withColumn("_kw_l", F.lower("_kw")).withColumn("_disc_q", F.lower("_disc")) \
+        .withColumn("_year_q", F.col("_year").try_cast("int"))
     r = broadcast_if_small(r, BROADCAST_MAX_ROWS)
-    kw_ok = (F.col("_kw") == "") | text.contains_ci(F.col("title"), F.col("_kw"))
-    disc_ok = F.col("_disc").isin("", "All") | (F.lower(F.col("discipline")) == F.lower(F.col("_disc")))
-    year_ok = F.col("_year").isin("", "All") | (F.col("publish_year") == F.col("_year").try_cast("int"))
-    hits = cleaned.join(r, kw_ok & disc_ok & year_ok)
+    kw_ok = (F.col("_kw") == "") | F.contains(F.col("_title_l"), F.col("_kw_l"))
+    disc_ok = F.col("_disc").isin("", "All") | (F.col("_disc_l") == F.col("_disc_q"))
+    year_ok = F.col("_year").isin("", "All") | (F.col("publish_year") == F.col("_year_q"))
+    hits = papers.join(r, kw_ok & disc_ok & year_ok)
     w = Window.partitionBy("qid").orderBy(F.desc("publish_year"), F.asc("id"))
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= SEARCH_LIMIT) \
         .select("qid", "rank", "id", "title", "discipline", "publish_year", "source")
@@ -109,16 +113,20 @@ def topic_keywords(trend: DataFrame) -> DataFrame:
     """The keyword requests for topic evidence: every word and discipline of the trend table."""
     words = trend.select(F.col("word").alias("keyword"))
     discs = discipline_list(trend).select(F.col("discipline").alias("keyword"))
-    return words.unionByName(discs).filter(F.col("keyword").isNotNull()).distinct()
+    # explicit partitioning: each keyword row drives a nested-loop probe of a broadcast table,
+    # so the rows must stay spread over all tasks (AQE would coalesce this small shuffle)
+    return spread(words.unionByName(discs).filter(F.col("keyword").isNotNull()), "keyword").distinct()
 
 
 def keyword_evidence(trend: DataFrame, keywords: DataFrame) -> DataFrame:
     """Per keyword: domain, matched volume (sum of counts of trend rows whose word
     or discipline contains it, case-insensitive) and its band."""
-    t = broadcast_if_small(trend.select("word", "discipline", "count"), BROADCAST_MAX_ROWS)
-    hit = text.contains_ci(F.col("word"), F.col("keyword")) | \
-        text.contains_ci(F.col("discipline"), F.col("keyword"))
-    vol = keywords.join(t, hit, "left").groupBy("keyword").agg(
+    # lower-case each side once per row, not once per probed pair
+    t = broadcast_if_small(trend.select(F.lower("word").alias("_w"), F.lower("discipline").alias("_d"), "count"),
+                           BROADCAST_MAX_ROWS)
+    k = keywords.withColumn("_k", F.lower("keyword"))
+    hit = F.contains(F.col("_w"), F.col("_k")) | F.contains(F.col("_d"), F.col("_k"))
+    vol = k.join(t, hit, "left").groupBy("keyword").agg(
         F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("main_count"))
     return vol.select("keyword", text.domain_of(F.col("keyword")).alias("domain"), "main_count",
                       text.volume_band(F.col("main_count")).alias("band"))
@@ -127,11 +135,13 @@ def keyword_evidence(trend: DataFrame, keywords: DataFrame) -> DataFrame:
 def related_terms(rules: DataFrame, keywords: DataFrame) -> DataFrame:
     """Per keyword, the 5 strongest rules whose source or target contains it
     (confidence desc, source, target). Output: keyword, rank, source, target, confidence."""
-    r = broadcast_if_small(rules, BROADCAST_MAX_ROWS)
-    hit = text.contains_ci(F.col("source"), F.col("keyword")) | \
-        text.contains_ci(F.col("target"), F.col("keyword"))
+    r = broadcast_if_small(rules.select("source", "target", "confidence",
+                                        F.lower("source").alias("_s"), F.lower("target").alias("_t")),
+                           BROADCAST_MAX_ROWS)
+    k = keywords.withColumn("_k", F.lower("keyword"))
+    hit = F.contains(F.col("_s"), F.col("_k")) | F.contains(F.col("_t"), F.col("_k"))
     w = Window.partitionBy("keyword").orderBy(F.desc("confidence"), F.asc("source"), F.asc("target"))
-    return keywords.join(r, hit).withColumn("rank", F.row_number().over(w)) \
+    return k.join(r, hit).withColumn("rank", F.row_number().over(w)) \
         .filter(F.col("rank") <= RELATED_RULES).select("keyword", "rank", "source", "target", "confidence")
 
 

@@ -228,7 +228,7 @@ FROM raw_papers GROUP BY floor(id / 200)
 UNION ALL {bad_rows}"""
     subject = _case_index("CAST(substr(source, 4) AS INTEGER) % 5", SUBJECTS)
     name = "text"
-    words = f"string_split_regex({TRIM_WS.format(x='text')}, '\\s+')"
+    words = f"string_split_regex(regexp_extract(text, '{tables.FIRST_WORDS}', 1), '\\s+')"
     works = f"""SELECT doc_id AS id,
        substr(CASE WHEN doc_id % 9 = 0 OR {name} = '' THEN {_q(vocab.DEFAULT_WORK_TITLE)} ELSE {name} END, 1, {vocab.MAX_TITLE_CHARS}) AS title,
        {subject} AS discipline,
