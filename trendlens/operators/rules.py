@@ -84,12 +84,11 @@ def _small_frequent(frequent: DataFrame, params: Params) -> DataFrame:
 
 
 def _with_ids(frequent: DataFrame, params: Params) -> DataFrame:
-    """Frequent items with dense int ids (item, support, iid). The table is small by the bound
-    above (checked), so numbering it in one ordered pass is cheap; ids make the pair aggregation
-    hash two ints instead of two strings."""
-    ids = frequent.withColumn("iid", F.row_number().over(Window.orderBy("item")).cast("int"))
-    # computed once and written to the shared checkpoint folder: the size check and the three
-    # joins below read that small table instead of re-aggregating every basket
+    """Frequent items with unique long ids (item, support, iid), numbered in parallel (no global
+    ordering). Ids make the pair aggregation hash two longs instead of two strings."""
+    ids = frequent.withColumn("iid", F.monotonically_increasing_id())
+    # computed once and written to the shared checkpoint folder, which also fixes the ids: the size
+    # check and the three joins below read that small table instead of re-aggregating every basket
     checkpoint_root(frequent.sparkSession)
     return _small_frequent(ids.checkpoint(eager=True), params)
 
