@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions import vocab
+from trendlens.plans.broadcast import broadcast_if_small
 
 ACTIVE_WORDS = 150
 LEADER_DISCIPLINES = 10
@@ -20,6 +21,7 @@ STARS = 5
 BRIDGES = 5
 HEAT_CAP = 50_000
 CROSS_CAP = 100
+BROADCAST_MAX_ROWS = 2_000_000
 
 
 def discipline_list(trend: DataFrame) -> DataFrame:
@@ -47,7 +49,8 @@ def _nodes(trend: DataFrame, year: int) -> DataFrame:
     words = active_words(trend, year).select(F.col("word").alias("name"), F.lit(False).alias("is_discipline"))
     both = disc.unionByName(words)
     # a name is a discipline if it is one, whatever else it is
-    return F.broadcast(both.groupBy("name").agg(F.max("is_discipline").alias("is_discipline")))
+    nodes = both.groupBy("name").agg(F.max("is_discipline").alias("is_discipline"))
+    return broadcast_if_small(nodes, BROADCAST_MAX_ROWS)
 
 
 def network_links(trend: DataFrame, rules: DataFrame, year: int) -> DataFrame:
@@ -63,8 +66,8 @@ def network_nodes(trend: DataFrame, rules: DataFrame, year: int) -> DataFrame:
     links = network_links(trend, rules, year)
     ends = links.select(F.col("source").alias("name")).unionAll(links.select(F.col("target").alias("name")))
     degree = ends.groupBy("name").agg(F.count(F.lit(1)).alias("value"))
-    disc = F.broadcast(discipline_list(trend).select(F.col("discipline").alias("name"),
-                                                     F.lit(True).alias("_d")))
+    disc = broadcast_if_small(discipline_list(trend).select(F.col("discipline").alias("name"),
+                                                            F.lit(True).alias("_d")), BROADCAST_MAX_ROWS)
     j = degree.join(disc, "name", "left")
     is_disc = F.col("_d").isNotNull()
     size = F.when(is_disc, F.least(F.col("value") * 8 + 20, F.lit(80))) \
@@ -89,7 +92,7 @@ def leaderboard(trend: DataFrame) -> DataFrame:
     words = ranked.groupBy("discipline").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_r", "word"))),
                                  lambda s: s["word"]), ", ").alias("top_words"))
-    return F.broadcast(top_d).join(words, "discipline", "left").select(
+    return F.broadcast(top_d).join(words, "discipline", "left").select(   # top_d: 10 rows
         "discipline_rank", "discipline", "total_heat", "top_words")
 
 
@@ -131,7 +134,8 @@ def bridge_words(trend: DataFrame, rules: DataFrame) -> DataFrame:
     partner: the source of another rule to the same target (highest confidence, then source),
     NULL when there is none. A discipline without rules gets its 5 largest trend rows, flagged."""
     disc = discipline_list(trend)
-    own = rules.join(F.broadcast(disc.withColumnRenamed("discipline", "source")), "source", "left_semi")
+    own = rules.join(broadcast_if_small(disc.withColumnRenamed("discipline", "source"), BROADCAST_MAX_ROWS),
+                     "source", "left_semi")
     w = Window.partitionBy("source").orderBy(F.desc("confidence"), F.asc("target"))
     top = own.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= BRIDGES)
     other = rules.select(F.col("source").alias("partner"), "target",
