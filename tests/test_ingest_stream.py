@@ -40,3 +40,21 @@ def test_stream_counts_and_search_log(spark):
     assert sum(counts.values()) == tables.load(spark, SF001, "documents").count()
     rolled = registered.q_stream_search_log(spark, SF001)
     assert rolled.groupBy().sum("searches").first()[0] == tables.load(spark, SF001, "events").count()
+
+
+def test_source_filter(spark):
+    w = spark.createDataFrame([
+        ('{"id": 1, "publication_year": 2020, "language": "en", "concepts": [{"id": "C1"}, {"id": "C2"}]}',),
+        ('{"id": 2, "publication_year": 2018, "language": "en", "concepts": [{"id": "C1"}]}',),
+        ('{"id": 3, "publication_year": 2021, "language": "fr", "concepts": [{"id": "C1"}]}',),
+        ('{"id": 4, "publication_year": 2021, "language": "en", "concepts": [{"id": "C9"}]}',)], "body string")
+    got = [r["id"] for r in ingest.source_filter(ingest.parse_works(w), "C1").collect()]
+    assert got == [1]
+
+
+def test_search_log_entries(spark):
+    from trendlens.operators import search
+    req = spark.createDataFrame([(1, "tion", "All", "All"), (2, " ", "", ""), (3, "", "", "2020")],
+                                "qid int, keyword string, discipline string, year string")
+    got = [(r["qid"], r["search_keyword"]) for r in search.search_log_entries(req).orderBy("qid").collect()]
+    assert got == [(1, "tion"), (3, "")]
