@@ -31,8 +31,10 @@ def tokens(title: Column) -> Column:
 
 
 def _not_stop(words: tuple[str, ...]):
-    stop = F.array(*[F.lit(w) for w in words])
-    return lambda w: ~F.array_contains(stop, w)
+    # `isin` over more than 10 literals is planned as a hash-set lookup (InSet), not a list scan;
+    # tokens are never NULL, so NOT IN has no three-valued surprises here
+    stop = list(words)
+    return lambda w: ~w.isin(stop)
 
 
 def drop_stop_words(words: Column) -> Column:
@@ -51,8 +53,7 @@ def long_words(words: Column, min_len: int) -> Column:
 
 def is_long_word(word: Column, min_len: int) -> Column:
     """Row-level form of `long_words` for exploded words."""
-    stop = F.array(*[F.lit(w) for w in vocab.stop_words_longer_than(min_len - 1)])
-    return (F.length(word) >= min_len) & ~F.array_contains(stop, word)
+    return (F.length(word) >= min_len) & _not_stop(vocab.stop_words_longer_than(min_len - 1))(word)
 
 
 def basket_items(discipline: Column, words: Column, min_len: int) -> Column:
