@@ -157,16 +157,18 @@ def bridge_words(trend: DataFrame, rules: DataFrame) -> DataFrame:
 
 def radar_metrics(trend: DataFrame, rules: DataFrame) -> DataFrame:
     """Heat (sum of counts), cross breadth (distinct rule targets) and the two
-    chart axes min(heat, 50000) and min(2*cross, 100); NULL axis when the metric is 0."""
+    chart axes min(heat, 50000) and min(2*cross, 100). A metric of 0 keeps its true axis value 0 and
+    sets its `*_fallback` flag (where the original showed an invented constant)."""
     heat = trend.groupBy("discipline").agg(F.sum("count").cast("long").alias("heat"))
     cross = rules.groupBy(F.col("source").alias("discipline")).agg(
         F.countDistinct("target").alias("cross_breadth"))
     j = heat.join(cross, "discipline", "left").fillna(0, ["cross_breadth"])
     return j.select(
         "discipline", "heat", F.col("cross_breadth").cast("long").alias("cross_breadth"),
-        F.when(F.col("heat") > 0, F.least(F.col("heat"), F.lit(HEAT_CAP))).cast("long").alias("heat_axis"),
-        F.when(F.col("cross_breadth") > 0, F.least(F.col("cross_breadth") * 2, F.lit(CROSS_CAP)))
-        .cast("long").alias("cross_axis"))
+        F.least(F.col("heat"), F.lit(HEAT_CAP)).cast("long").alias("heat_axis"),
+        (F.col("heat") <= 0).alias("heat_fallback"),
+        F.least(F.col("cross_breadth") * 2, F.lit(CROSS_CAP)).cast("long").alias("cross_axis"),
+        (F.col("cross_breadth") <= 0).alias("cross_fallback"))
 
 
 def alias_map(spark) -> DataFrame:

@@ -41,15 +41,19 @@ def baskets_observed(cleaned: DataFrame, params: Params = Params()) -> DataFrame
     # in the (short) list of long stop words, so the full stop list need not be scanned
     return papers.select(
         F.col("id").alias("basket_id"),
+        F.concat(F.lit("paper:"), F.col("id").cast("string")).alias("basket_key"),
         text.basket_items(F.col("discipline"), text.tokens(F.col("title")), params.basket_min_len)
         .alias("items"))
 
 
 def baskets_forecast(forecast: DataFrame) -> DataFrame:
-    """T7 + P11: one basket {discipline, word} per forecast row with count > 2 (no paper id)."""
+    """T7 + P11: one basket {discipline, word} per forecast row with count > 2 (no paper id;
+    basket_key names the forecast row)."""
     rows = forecast.filter((F.col("count") > 2) & F.col("discipline").isNotNull())
     return rows.select(
         F.lit(None).cast("long").alias("basket_id"),
+        F.concat_ws(":", F.lit("forecast"), "discipline", "word", F.col("publish_year").cast("string"))
+        .alias("basket_key"),
         F.array_distinct(F.array("discipline", "word")).alias("items"))
 
 

@@ -219,10 +219,12 @@ def basket_ctes(p: Params, include_forecast: bool = True) -> str:
              f"lambda x: {_long_word('x', p.basket_min_len)})))")
     fc = f"""
   UNION ALL
-  SELECT NULL::BIGINT AS basket_id, 'forecast' AS kind, list_distinct([discipline, word]) AS items
+  SELECT NULL::BIGINT AS basket_id, concat_ws(':', 'forecast', discipline, word, CAST(publish_year AS VARCHAR)) AS basket_key,
+         'forecast' AS kind, list_distinct([discipline, word]) AS items
   FROM forecast WHERE count > 2 AND discipline IS NOT NULL""" if include_forecast else ""
     return f"""baskets AS (
-  SELECT id AS basket_id, 'title' AS kind, {items} AS items FROM cleaned WHERE discipline IS NOT NULL{fc}),
+  SELECT id AS basket_id, 'paper:' || CAST(id AS VARCHAR) AS basket_key, 'title' AS kind, {items} AS items
+  FROM cleaned WHERE discipline IS NOT NULL{fc}),
 baskets_n AS (SELECT row_number() OVER () AS bid, items FROM baskets),
 basket_items AS (SELECT bid, unnest(items) AS item FROM baskets_n),
 min_count AS (SELECT ceil({_dbl(p.min_support)} * count(*)) AS mc FROM baskets),

@@ -41,7 +41,7 @@ SELECT count(*) AS rows_in, {n('rn <> 1')} AS dup_rows, {n(f'rn = 1 AND NOT {has
 FROM marked"""
     years = _case_index("doc_id % 6", list(tables.RAW_YEAR_CYCLE))
     q["year_normalise"] = f"""WITH raw_years AS (SELECT doc_id AS id, {years} AS raw_year FROM documents)
-SELECT id, raw_year, {YEAR_NORM.format(c='raw_year')} AS year_int FROM raw_years"""
+SELECT id, raw_year, CAST({YEAR_NORM.format(c='raw_year')} AS DOUBLE) AS year_num FROM raw_years"""
     q["quota_sample"] = chain(P, "cleaned") + f"""SELECT id, title, discipline, publish_year, authors, source FROM (
   SELECT *, row_number() OVER (PARTITION BY discipline ORDER BY id) AS rk FROM cleaned)
 WHERE rk <= {catalog.QUOTA_PER_SUBJECT}"""
@@ -68,7 +68,7 @@ FROM (SELECT id, list_filter({TOKENS}, lambda w: w <> '' AND NOT list_contains({
     q["baskets_observed"] = chain(P, "rules") + \
         "SELECT basket_id, array_to_string(list_sort(items), ' ') AS items FROM baskets WHERE kind = 'title'"
     q["baskets_full"] = chain(P, "rules") + \
-        "SELECT basket_id, kind, array_to_string(list_sort(items), ' ') AS items FROM baskets"
+        "SELECT basket_key, kind, array_to_string(list_sort(items), ' ') AS items FROM baskets"
     q["item_support"] = chain(P, "rules") + "SELECT item, support FROM support"
     q["pair_support"] = chain(P, "rules") + "SELECT a, b, pair_count FROM pairs"
     q["assoc_rules"] = chain(P, "rules") + "SELECT source, target, confidence FROM rules_all"
@@ -145,8 +145,8 @@ xb AS (SELECT source AS discipline, count(DISTINCT target) AS cross_breadth FROM
 j AS (SELECT h.discipline, h.heat, CAST(coalesce(x.cross_breadth, 0) AS BIGINT) AS cross_breadth
       FROM heat h LEFT JOIN xb x ON x.discipline = h.discipline)""") + """
 SELECT discipline, heat, cross_breadth,
-       CAST(CASE WHEN heat > 0 THEN least(heat, 50000) END AS BIGINT) AS heat_axis,
-       CAST(CASE WHEN cross_breadth > 0 THEN least(cross_breadth * 2, 100) END AS BIGINT) AS cross_axis
+       CAST(least(heat, 50000) AS BIGINT) AS heat_axis, heat <= 0 AS heat_fallback,
+       CAST(least(cross_breadth * 2, 100) AS BIGINT) AS cross_axis, cross_breadth <= 0 AS cross_fallback
 FROM j"""
     q["discipline_list"] = chain(P, "trend") + "SELECT DISTINCT discipline FROM trend"
 

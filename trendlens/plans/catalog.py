@@ -49,7 +49,10 @@ def q_clean_qc(spark, sf_dir):
 
 
 def q_year_normalise(spark, sf_dir):
-    return clean.year_normalise(tables.raw_years(tables.load(spark, sf_dir, "documents")))
+    # the normalised year is emitted as DOUBLE: NULL (not a number) then converts the same way in
+    # every client (a nullable int becomes float in some and a nullable-int type in others)
+    y = clean.year_normalise(tables.raw_years(tables.load(spark, sf_dir, "documents")))
+    return y.select("id", "raw_year", F.col("year_int").cast("double").alias("year_num"))
 
 
 def q_quota_sample(spark, sf_dir):
@@ -116,7 +119,7 @@ def q_baskets_observed(spark, sf_dir):
 def q_baskets_full(spark, sf_dir):
     b = _pl(spark, sf_dir).baskets()
     kind = F.when(F.col("basket_id").isNull(), F.lit("forecast")).otherwise(F.lit("title"))
-    return b.select("basket_id", kind.alias("kind"), _sorted_text(F.col("items")).alias("items"))
+    return b.select("basket_key", kind.alias("kind"), _sorted_text(F.col("items")).alias("items"))
 
 
 def q_item_support(spark, sf_dir):
