@@ -47,15 +47,19 @@ def main() -> None:
     job_sec = time.time() - t0
 
     timings: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in HEADLINE:
         fn = catalog.QUERIES[name]
-        _run(fn(spark, sf_dir))                       # warm-up
-        runs = []
-        for _ in range(repeats):
-            t = time.time()
-            _run(fn(spark, sf_dir))
-            runs.append(time.time() - t)
-        timings[name] = round(statistics.median(runs), 4)
+        try:
+            _run(fn(spark, sf_dir))                   # warm-up
+            runs = []
+            for _ in range(repeats):
+                t = time.time()
+                _run(fn(spark, sf_dir))
+                runs.append(time.time() - t)
+            timings[name] = round(statistics.median(runs), 4)
+        except Exception as e:  # noqa: BLE001 - one failing query must not hide the others
+            errors[name] = str(e)[:300]
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     sf = os.path.basename(sf_dir).replace("sf", "")
@@ -63,7 +67,7 @@ def main() -> None:
         "metric": "total_sec", "value": round(sum(timings.values()), 4), "unit": "sec",
         "queries": timings, "sf": sf, "job_materialise_sec": round(job_sec, 3),
         "job_stage_sec": pl.stage_seconds,
-        "documents": docs, "cpus": cpus,
+        "documents": docs, "cpus": cpus, "errors": errors,
     }))
     spark.stop()
 
