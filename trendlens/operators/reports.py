@@ -111,21 +111,31 @@ def _top_rows_fallback(trend: DataFrame, missing: DataFrame, k: int) -> DataFram
 def rising_stars(trend: DataFrame) -> DataFrame:
     """Per discipline, the 5 words with the highest growth from year Y-1 to Y,
     Y = the discipline's last year; growth = (a - b) / b * 100 with b > 0.
-    A discipline with no growth pair gets its 5 largest trend rows, growth NULL, is_fallback."""
-    last = max_year_by_discipline(trend)
-    a = trend.join(last, "discipline").filter(F.col("publish_year") == F.col("max_year")) \
-        .select("discipline", "word", F.col("count").alias("a"), "max_year")
-    b = trend.select("discipline", "word", (F.col("publish_year") + 1).alias("max_year"),
-                     F.col("count").alias("b")).filter(F.col("b") > 0)
-    grown = a.join(b, ["discipline", "word", "max_year"]).select(
-        "discipline", "word", ((F.col("a") - F.col("b")) / F.col("b") * 100).alias("growth"))
-    w = Window.partitionBy("discipline").orderBy(F.desc("growth"), F.asc("word"))
-    stars = grown.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= STARS) \
+    A discipline with no growth pair gets its 5 largest trend rows, growth NULL, is_fallback.
+
+    One shuffle: every window below is partitioned by discipline first, and a hash partitioning on
+    discipline also satisfies the (discipline, word) window. The previous row of a word in year
+    order is its Y-1 row exactly when one exists ((discipline, word, year) is unique), so `lag`
+    plus a year check is the exact self-join on year - 1."""
+    by_d = Window.partitionBy("discipline")
+    by_dw = Window.partitionBy("discipline", "word").orderBy("publish_year")
+    t = (trend.select("discipline", "publish_year", "word", "count")
+         .withColumn("_max_y", F.max("publish_year").over(by_d))
+         .withColumn("_prev_y", F.lag("publish_year").over(by_dw))
+         .withColumn("_b", F.lag("count").over(by_dw)))
+    grows = ((F.col("publish_year") == F.col("_max_y")) & (F.col("_prev_y") == F.col("_max_y") - 1)
+             & (F.col("_b") > 0))
+    growth = F.when(grows, (F.col("count") - F.col("_b")) / F.col("_b") * 100)
+    t = t.withColumn("growth", growth) \
+        .withColumn("_has", F.max(F.col("growth").isNotNull()).over(by_d))
+    star_rank = F.row_number().over(by_d.orderBy(F.desc("growth"), F.asc("word")))
+    fb_rank = F.row_number().over(by_d.orderBy(F.desc("count"), F.asc("word"), F.asc("publish_year")))
+    stars = t.filter(F.col("growth").isNotNull()).withColumn("rank", star_rank) \
+        .filter(F.col("rank") <= STARS) \
         .select("discipline", "rank", "word", "growth", F.lit(False).alias("is_fallback"))
-    missing = discipline_list(trend).join(stars.select("discipline"), "discipline", "left_anti")
-    fallback = _top_rows_fallback(trend, missing, STARS).select(
-        "discipline", "rank", "word", F.lit(None).cast("double").alias("growth"),
-        F.lit(True).alias("is_fallback"))
+    fallback = t.filter(~F.col("_has")).withColumn("rank", fb_rank).filter(F.col("rank") <= STARS) \
+        .select("discipline", "rank", "word", F.lit(None).cast("double").alias("growth"),
+                F.lit(True).alias("is_fallback"))
     return stars.unionByName(fallback)
 
 
