@@ -40,16 +40,16 @@ def search_suggest(trend: DataFrame, queries: DataFrame) -> DataFrame:
     alias_hits = q.join(aliases, F.col("q") == F.col("alias")).select(
         "qid", F.lit(0).alias("branch"), F.lit(0).alias("pos"), F.col("resolved").alias("suggestion"))
 
-    def branch(values: DataFrame, n: int) -> DataFrame:
-        vals = broadcast_if_small(values.distinct(), BROADCAST_MAX_ROWS)
-        hits = q.join(vals, text.contains_ci(F.col("value"), F.col("q")))
-        w = Window.partitionBy("qid").orderBy("value")
-        return hits.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= SUGGEST_PER_BRANCH) \
-            .select("qid", F.lit(n).alias("branch"), "pos", F.col("value").alias("suggestion"))
-
-    words = branch(trend.select(F.col("word").alias("value")), 1)
-    discs = branch(trend.select(F.col("discipline").alias("value")).filter(F.col("value").isNotNull()), 2)
-    every = alias_hits.unionByName(words).unionByName(discs)
+    # both branches (words = 1, disciplines = 2) in one value table: one probe, one window
+    values = trend.select(F.col("word").alias("value"), F.lit(1).alias("branch")).unionByName(
+        trend.select(F.col("discipline").alias("value"), F.lit(2).alias("branch"))).filter(
+        F.col("value").isNotNull()).distinct().withColumn("_v", F.lower("value"))
+    vals = broadcast_if_small(values, BROADCAST_MAX_ROWS)
+    hits = q.join(vals, F.contains(F.col("_v"), F.col("q")))
+    w = Window.partitionBy("qid", "branch").orderBy("value")
+    branches = hits.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= SUGGEST_PER_BRANCH) \
+        .select("qid", "branch", "pos", F.col("value").alias("suggestion"))
+    every = alias_hits.unionByName(branches)
     first = every.groupBy("qid", "suggestion").agg(F.min(F.struct("branch", "pos")).alias("_k"))
     w = Window.partitionBy("qid").orderBy("_k")
     return first.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= SUGGESTIONS) \
