@@ -53,23 +53,27 @@ def _nodes(trend: DataFrame, year: int) -> DataFrame:
     return broadcast_if_small(nodes, BROADCAST_MAX_ROWS)
 
 
+def _links(rules: DataFrame, nodes: DataFrame) -> DataFrame:
+    names = nodes.select("name")
+    return (rules.join(names.withColumnRenamed("name", "source"), "source", "left_semi")
+            .join(names.withColumnRenamed("name", "target"), "target", "left_semi")
+            .select("source", "target", F.col("confidence").alias("value")))
+
+
 def network_links(trend: DataFrame, rules: DataFrame, year: int) -> DataFrame:
     """Rules whose source and target are both active nodes."""
-    nodes = _nodes(trend, year).select("name")
-    return (rules.join(nodes.withColumnRenamed("name", "source"), "source", "left_semi")
-            .join(nodes.withColumnRenamed("name", "target"), "target", "left_semi")
-            .select("source", "target", F.col("confidence").alias("value")))
+    return _links(rules, _nodes(trend, year))
 
 
 def network_nodes(trend: DataFrame, rules: DataFrame, year: int) -> DataFrame:
-    """Name, symbol_size, category (0 discipline, 1 word), value (= degree)."""
-    links = network_links(trend, rules, year)
+    """Name, symbol_size, category (0 discipline, 1 word), value (= degree).
+    The (broadcast) node table built for the links also gives each node's category."""
+    nodes = _nodes(trend, year)
+    links = _links(rules, nodes)
     ends = links.select(F.col("source").alias("name")).unionAll(links.select(F.col("target").alias("name")))
     degree = ends.groupBy("name").agg(F.count(F.lit(1)).alias("value"))
-    disc = broadcast_if_small(discipline_list(trend).select(F.col("discipline").alias("name"),
-                                                            F.lit(True).alias("_d")), BROADCAST_MAX_ROWS)
-    j = degree.join(disc, "name", "left")
-    is_disc = F.col("_d").isNotNull()
+    j = degree.join(nodes, "name")
+    is_disc = F.col("is_discipline")
     size = F.when(is_disc, F.least(F.col("value") * 8 + 20, F.lit(80))) \
         .otherwise(F.least(F.col("value") * 3 + 10, F.lit(30)))
     return j.select("name", size.cast("long").alias("symbol_size"),
