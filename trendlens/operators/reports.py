@@ -70,7 +70,8 @@ def network_nodes(trend: DataFrame, rules: DataFrame, year: int) -> DataFrame:
     The (broadcast) node table built for the links also gives each node's category."""
     nodes = _nodes(trend, year)
     links = _links(rules, nodes)
-    ends = links.select(F.col("source").alias("name")).unionAll(links.select(F.col("target").alias("name")))
+    # both ends of every link in one pass (no union reading the links twice)
+    ends = links.select(F.explode(F.array("source", "target")).alias("name"))
     degree = ends.groupBy("name").agg(F.count(F.lit(1)).alias("value"))
     j = degree.join(nodes, "name")
     is_disc = F.col("is_discipline")
@@ -152,13 +153,13 @@ def bridge_words(trend: DataFrame, rules: DataFrame) -> DataFrame:
                      "source", "left_semi")
     w = Window.partitionBy("source").orderBy(F.desc("confidence"), F.asc("target"))
     top = own.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= BRIDGES)
-    other = rules.select(F.col("source").alias("partner"), "target",
+    other = rules.select(F.col("source").alias("partner"), F.col("target").alias("_pt"),
                          F.col("confidence").alias("_pc"))
-    cand = top.join(other, "target", "left").filter(
-        F.col("partner").isNull() | (F.col("partner") != F.col("source")))
-    pick = Window.partitionBy("source", "target").orderBy(F.desc("_pc"), F.asc("partner"))
-    best = cand.withColumn("_p", F.row_number().over(pick)).filter(F.col("_p") == 1)
-    with_partner = top.join(best.select("source", "target", "partner"), ["source", "target"], "left")
+    # one left join keeps rules without a partner (partner NULL); the pick window then takes the
+    # strongest other source per rule, NULL only when there is none
+    cand = top.join(other, (F.col("_pt") == F.col("target")) & (F.col("partner") != F.col("source")), "left")
+    pick = Window.partitionBy("source", "target").orderBy(F.desc_nulls_last("_pc"), F.asc("partner"))
+    with_partner = cand.withColumn("_p", F.row_number().over(pick)).filter(F.col("_p") == 1)
     bridges = with_partner.select(
         F.col("source").alias("discipline"), "rank", F.col("target").alias("keyword"),
         F.col("partner").alias("linked_discipline"), F.lit(False).alias("is_fallback"))
