@@ -159,11 +159,12 @@ def topic_candidates(rules: DataFrame, keywords: DataFrame) -> DataFrame:
     w = Window.partitionBy("keyword").orderBy("rank")
     rel = rel.withColumn("slot", F.row_number().over(w)).filter(F.col("slot") <= vocab.TOPIC_SLOTS) \
         .select("keyword", "slot", F.col("target").alias("related"))
-    n_rel = rel.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_rel"))
     slots = keywords.select("keyword", text.domain_of(F.col("keyword")).alias("domain"),
                             F.explode(F.sequence(F.lit(1), F.lit(vocab.TOPIC_SLOTS))).alias("slot"))
-    j = slots.join(rel, ["keyword", "slot"], "left").join(n_rel, "keyword", "left") \
-        .withColumn("pad_pos", F.col("slot") - F.coalesce(F.col("n_rel"), F.lit(0)))
+    # kept related terms fill slots 1..n without gaps, so n = how many slots of the keyword have one
+    n_rel = F.count("related").over(Window.partitionBy("keyword"))
+    j = slots.join(rel, ["keyword", "slot"], "left") \
+        .withColumn("pad_pos", F.col("slot") - n_rel)
     pads = F.broadcast(_fallback_table(keywords.sparkSession))
     j = j.join(pads, ["domain", "pad_pos"], "left")
     padded = F.col("related").isNull()
