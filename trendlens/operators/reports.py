@@ -133,15 +133,16 @@ def rising_stars(trend: DataFrame) -> DataFrame:
     growth = F.when(grows, (F.col("count") - F.col("_b")) / F.col("_b") * 100)
     t = t.withColumn("growth", growth) \
         .withColumn("_has", F.max(F.col("growth").isNotNull()).over(by_d))
-    star_rank = F.row_number().over(by_d.orderBy(F.desc("growth"), F.asc("word")))
-    fb_rank = F.row_number().over(by_d.orderBy(F.desc("count"), F.asc("word"), F.asc("publish_year")))
-    stars = t.filter(F.col("growth").isNotNull()).withColumn("rank", star_rank) \
-        .filter(F.col("rank") <= STARS) \
-        .select("discipline", "rank", "word", "growth", F.lit(False).alias("is_fallback"))
-    fallback = t.filter(~F.col("_has")).withColumn("rank", fb_rank).filter(F.col("rank") <= STARS) \
-        .select("discipline", "rank", "word", F.lit(None).cast("double").alias("growth"),
-                F.lit(True).alias("is_fallback"))
-    return stars.unionByName(fallback)
+    # one ranking for both cases (`_has` is constant within a discipline): with growth pairs,
+    # growth desc then word (rows without growth sort last); without, count desc, word, year
+    has = F.col("_has")
+    order = by_d.orderBy(F.desc_nulls_last(F.when(has, F.col("growth"))), F.asc(F.when(has, F.col("word"))),
+                         F.desc(F.when(~has, F.col("count"))), F.asc("word"), F.asc("publish_year"))
+    ranked = t.withColumn("rank", F.row_number().over(order))
+    keep = (F.col("rank") <= STARS) & (F.col("growth").isNotNull() | ~has)
+    return ranked.filter(keep).select(
+        "discipline", "rank", "word", F.when(has, F.col("growth")).alias("growth"),
+        (~has).alias("is_fallback"))
 
 
 def bridge_words(trend: DataFrame, rules: DataFrame) -> DataFrame:
