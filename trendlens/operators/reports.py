@@ -154,8 +154,10 @@ def bridge_words(trend: DataFrame, rules: DataFrame) -> DataFrame:
                      "source", "left_semi")
     w = Window.partitionBy("source").orderBy(F.desc("confidence"), F.asc("target"))
     top = own.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= BRIDGES)
-    other = rules.select(F.col("source").alias("partner"), F.col("target").alias("_pt"),
-                         F.col("confidence").alias("_pc"))
+    # the rule table is bounded (rules_per_source per source): broadcast it (checked) so the top
+    # rules keep their partitioning by source and the pick window below needs no new shuffle
+    other = broadcast_if_small(rules.select(F.col("source").alias("partner"), F.col("target").alias("_pt"),
+                                            F.col("confidence").alias("_pc")), BROADCAST_MAX_ROWS)
     # one left join keeps rules without a partner (partner NULL); the pick window then takes the
     # strongest other source per rule, NULL only when there is none
     cand = top.join(other, (F.col("_pt") == F.col("target")) & (F.col("partner") != F.col("source")), "left")
