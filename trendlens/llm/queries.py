@@ -1,10 +1,11 @@
 """The registered queries of this subpackage, and DuckDB SQL where SQL expresses one."""
 
-from trendlens.llm import op4_secrets, op6_sharding, op8_language, op9_simhash, op10_fingerprints
+from trendlens.llm import op4_secrets, op6_sharding, op7_bpe, op8_language, op9_simhash, op10_fingerprints
 
 QUERIES = {f.__name__: f for f in (
     op4_secrets.op4_multipart_secrets,
     op6_sharding.op6_sampled_splitters,
+    op7_bpe.op7_transducer_bpe,
     op8_language.op8_cross_parsing,
     op9_simhash.op9_simhash_bktrees,
     op10_fingerprints.op10_piecewise_hashing,
