@@ -1,13 +1,66 @@
-"""The corpus pipeline over the operators of trendlens.llm (stages are added below as they are built)."""
+"""The corpus pipeline: five stages, each calling one operator of trendlens.llm on what its predecessor kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet in the shared
+folder and read again as the next stage's documents. All but the last return the columns of documents.
+
+1. language  documents whose language cannot be told (null text, or no letter) go; the rest carry
+             the predicted language in `lang`
+2. simhash   one document of each group of near duplicates stays (the smallest doc_id; the smallest text hash
+             among rows of equal id)
+3. pii       personal data in `text` is replaced by pseudonyms; n_chars follows
+4. mixing    each document is repeated or dropped by its fitted rate; clean documents are never dropped
+5. bpe       token ids, their decoding and digests per document
+
+A table with no rows passes through every stage. Extra columns of documents are kept up to stage 4.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from trendlens.llm.common import materialise, table
+from trendlens.llm.op2_pii import pseudonymise
+from trendlens.llm.op5_mixing import mix
+from trendlens.llm.op7_bpe import encode_decode
+from trendlens.llm.op8_language import UNDETERMINED, learn, predict, samples
+from trendlens.llm.op9_simhash import near_duplicates
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects what the language operator rejects. A row's prediction depends on its text alone, so it is
+    computed beside the row and not joined back by id."""
+    keyed = docs.withColumn("__row", F.monotonically_increasing_id())
+    keyed = materialise(keyed, "language-rows")
+    found = predict(keyed.select(F.col("__row").alias("doc_id"), "text"), learn(samples(docs)))
+    kept = found.where(F.col("lang_pred") != UNDETERMINED).select(F.col("doc_id").alias("__row"), "lang_pred")
+    return keyed.join(kept, "__row").withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+
+
+def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    keyed = docs.withColumn("__text", F.xxhash64("text"))
+    groups = near_duplicates(docs.select("doc_id", "text")).select("doc_id", "component_id")
+    leaders = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    kept = keyed.join(leaders, "doc_id", "left_semi").unionByName(keyed.where("doc_id is null"))
+    one = Window.partitionBy("doc_id").orderBy("__text")
+    return kept.withColumn("__n", F.row_number().over(one)).where("__n = 1 or doc_id is null").select(*docs.columns)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pseudonymise(docs, found="__pii").withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    got = mix(docs, table(spark, sf_dir, "labels"), docs.columns)
+    return got.where("mix_copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), "mix_copies"))).select(*docs.columns)
+
+
+def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return encode_decode(docs)
+
 
-STAGES: list = []
-ORACLE_SQL = None       # language models, Feistel rounds, fitted rates and BPE are not SQL: see tests/llm
+STAGES = [("language", language), ("simhash", simhash), ("pii", pii), ("mixing", mixing), ("bpe", bpe)]
+ORACLE_SQL = None       # automata, Feistel rounds, fitted rates and BPE merges are not SQL: see tests/llm
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

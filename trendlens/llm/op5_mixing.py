@@ -4,9 +4,10 @@ A classifier learned from the labelled table gives each document a posterior ove
 `low` quality, `toxic`). Each document gets a nonnegative rate, how often it is to be read, such that
 the expected tokens of every domain, the sum of rate * tokens * posterior, match the targets:
 
-    minimise  1/2 (A r - t)' W (A r - t) + lambda/2 * sum of share_i (r_i - 1)^2,   r >= 0
+    minimise  1/2 (A r - t)' W (A r - t) + lambda/2 * sum of share_i (r_i - 1)^2,   r_i >= low_i
 
-over all documents, by projected gradient. share_i is a document's share of all tokens, A r the
+over all documents, by projected gradient; low_i is 1 for a document that is clean by KEEP_CLEAN and 0
+for others, so mixing never drops a clean document. share_i is a document's share of all tokens, A r the
 expected domain shares, and W the inverse of the posteriors' second moments, which makes one step
 length right for every domain. A document's rate after k steps depends only on its posterior and on
 the k residual vectors so far, so no state of the size of the corpus is kept: each step is one
@@ -39,15 +40,16 @@ from pyspark.sql import functions as F
 from trendlens.llm.common import materialise, table
 
 DOMAINS = ("clean", "low", "toxic")
-TARGET_WEIGHTS = {"clean": 0.97, "low": 0.025, "toxic": 0.005}
+TARGET_WEIGHTS = {"clean": 0.9, "low": 0.05, "toxic": 0.05}
+KEEP_CLEAN = 0.5            # a document at least so likely to be clean has a rate of 1 or more
 GAIN = 1.1                  # the heaviest domain is read so many times as often as it stands in the corpus
 SAMPLE_ROWS = 6000
 VOCABULARY = 4096           # words that the classifier knows, the commonest of the sample
 MIN_DOCUMENTS = 15          # of the sample, that hold a word
 SPARSITY = 4e-3             # weight of the L1 penalty
-STEPS = 40
+STEPS = 12
 RIDGE = 1e-3                # lambda
-TOLERANCE = 1e-5            # of the largest residual, as a share of all tokens
+TOLERANCE = 1e-4            # stop when the sums are so near the targets, or move less, as a share of all tokens
 
 WORDS = "__mix_words"
 
@@ -106,10 +108,10 @@ class Classifier:
 
 def rate(p: Column, pulls: list[np.ndarray], step: float) -> Column:
     """A document's rate after the gradient steps so far: `pulls` are W (A r - t) of each step."""
-    r = F.lit(1.0)
+    r, low = F.lit(1.0), F.when(p[DOMAINS.index("clean")] >= KEEP_CLEAN, 1.0).otherwise(0.0)
     for pull in pulls:
         along = sum((p[i] * F.lit(float(x)) for i, x in enumerate(pull)), F.lit(0.0))
-        r = F.greatest(F.lit(0.0), r * F.lit(1 - step * RIDGE) + F.lit(step * RIDGE) - along * F.lit(step))
+        r = F.greatest(low, r * F.lit(1 - step * RIDGE) + F.lit(step * RIDGE) - along * F.lit(step))
     return r
 
 
@@ -137,10 +139,11 @@ def fit_rates(scored: DataFrame, weights: dict[str, float], gain: float = GAIN)
     pull_by = np.linalg.pinv(sums(scored, total, F.lit(1.0), moments=True), rcond=1e-9)
     step = 1.0 / (1.0 + RIDGE)
     pulls: list[np.ndarray] = []
-    reached = natural
-    while len(pulls) < STEPS and np.abs(reached - target).max() > TOLERANCE:
+    reached, moved = natural, 1.0
+    while len(pulls) < STEPS and min(moved, np.abs(reached - target).max()) > TOLERANCE:
         pulls.append(pull_by @ (reached - target))
-        reached = sums(scored, total, rate(F.col("mix_p"), pulls, step))
+        before, reached = reached, sums(scored, total, rate(F.col("mix_p"), pulls, step))
+        moved = np.abs(reached - before).max()
     return rate(F.col("mix_p"), pulls, step), {d: (float(target[i]), float(reached[i])) for i, d in enumerate(DOMAINS) if there[i]}
 
 

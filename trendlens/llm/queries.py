@@ -1,9 +1,11 @@
 """The registered queries of this subpackage, and DuckDB SQL where SQL expresses one."""
 
-from trendlens.llm import op2_pii, op4_secrets, op5_mixing, op6_sharding, op7_bpe, op8_language, op9_simhash, op10_fingerprints
+from trendlens.llm import op1_covertree, op2_pii, op3_paragraphs, op4_secrets, op5_mixing, op6_sharding, op7_bpe, op8_language, op9_simhash, op10_fingerprints
 
 QUERIES = {f.__name__: f for f in (
+    op1_covertree.op1_cover_trees,
     op2_pii.op2_feistel_pseudonyms,
+    op3_paragraphs.op3_paragraph_minhash,
     op4_secrets.op4_multipart_secrets,
     op5_mixing.op5_soft_membership,
     op6_sharding.op6_sampled_splitters,
