@@ -70,37 +70,52 @@ def pieces(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray, np
     return h, spans, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends
 
 
-def shingles(h: np.ndarray) -> np.ndarray:
-    """Distinct 32-bit hashes of the shingles of one piece."""
+def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """32-bit shingle hashes of all pieces of a text, piece after piece, and how many each has."""
     n = len(h) - SHINGLE + 1
-    parts = h[:max(n, 1)].copy() if n > 0 else np.zeros(1, np.uint64)
+    whole = h[:max(n, 0)].copy()
     for k in range(1, SHINGLE) if n > 0 else ():
-        parts = mixed(parts * PRIME + h[k:k + n])
-    if n <= 0:
-        for x in h:
-            parts = mixed(parts * PRIME + x)
-    return np.unique((mixed(parts) >> np.uint64(32)).astype(np.uint32).view(np.int32))
+        whole = mixed(whole * PRIME + h[k:k + n])
+    counts = past - first - SHINGLE + 1
+    short = np.flatnonzero(counts < 1)                  # the first and last piece may be short: one shingle, all of it
+    counts = np.maximum(counts, 1)
+    starts = np.cumsum(counts) - counts
+    at = np.arange(counts.sum()) - np.repeat(starts - first, counts)
+    out = whole[np.minimum(at, max(n - 1, 0))] if n > 0 else np.zeros(len(at), np.uint64)
+    for i in short.tolist():
+        x = np.uint64(0)
+        for w in h[first[i]:past[i]]:
+            x = mixed(np.array([x], np.uint64) * PRIME + w)[0]
+        out[starts[i]] = x
+    return (mixed(out) >> np.uint64(32)).astype(np.uint32).view(np.int32), counts
 
 
 def units(docs: DataFrame) -> DataFrame:
     """doc_id, piece, start, end (code points), words, unit (hash of the words), sh (shingles) of all whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "piece", "start", "end", "words", "unit", "sh"]
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
+            cols: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.int32, np.int32, np.int32, np.int32, np.int64)]
+            flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
             for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = value.as_py() or ""
-                if doc_id is None or not text:
+                if doc_id is None:
                     continue
                 h, spans, first, past = pieces(text)
-                for k, (a, b) in enumerate(zip(first.tolist(), past.tolist(), strict=True)):
-                    if a < b:
-                        unit = xxhash.xxh64_intdigest(h[a:b].tobytes()) - (1 << 63)
-                        for column, value_ in zip(out, (doc_id, k, spans[a][0], spans[b - 1][1], b - a, unit, shingles(h[a:b])), strict=True):
-                            column.append(value_)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out, kinds, strict=True)],
-                                             ["doc_id", "piece", "start", "end", "words", "unit", "sh"])
+                if not len(h):
+                    continue
+                at = np.array(spans)
+                place = np.arange(len(h)) - np.repeat(first, past - first)
+                unit = mixed(np.add.reduceat(mixed(h + place.astype(np.uint64) * PRIME), first) + (past - first).astype(np.uint64))
+                sh, counts = shingles(h, first, past)
+                for column, got in zip(cols, (np.full(len(first), doc_id), np.arange(len(first)), at[first, 0], at[past - 1, 1], past - first, unit.view(np.int64)), strict=True):
+                    column.append(got.astype(column[0].dtype))
+                flat.append(sh)
+                sizes.append(counts)
+            ends = np.cumsum(np.concatenate(sizes))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(flat)))
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in cols), lists], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start int, end int, words int, unit long, sh array<int>")
 
@@ -135,10 +150,10 @@ def _verified(pdf: pd.DataFrame) -> pd.DataFrame:
     """A spanning forest of the pairs in one cell whose exact Jaccard reaches the threshold."""
     pdf = pdf.drop_duplicates("unit").sort_values("unit")
     ids, sets = pdf["unit"].to_numpy(), [np.asarray(s) for s in pdf["sh"]]
-    sizes = np.array([len(s) for s in sets])
     _, cols = np.unique(np.concatenate(sets), return_inverse=True)
     grid = np.zeros((len(ids), cols.max() + 1), np.float32)
-    grid[np.repeat(np.arange(len(ids)), sizes), cols] = 1
+    grid[np.repeat(np.arange(len(ids)), [len(s) for s in sets]), cols] = 1
+    sizes = grid.sum(axis=1)
     both = grid @ grid.T
     near = both >= SIMILARITY * (sizes[:, None] + sizes[None] - both) - 1e-6
     forest = Forest(len(ids))

@@ -37,7 +37,8 @@ FOLDS = 5
 PIECE = 256
 LANES = 1 << 14                     # pieces parsed side by side
 UNDETERMINED = "und"
-ENDS = 1 << 30                      # flag of a transition that ends a phrase
+SHIFT = 28
+ENDS = 1 << SHIFT                   # added to a transition for each phrase that ends there
 SEPARATOR, UNKNOWN, PAD = 0, 1, 2   # codes before those of letters
 
 
@@ -126,7 +127,8 @@ def parser(codes: list[int], size: int) -> np.ndarray:
     table = np.tile(start + ENDS, (len(step), 1))
     table[0] = start                                    # no phrase is open at the start state
     absent = [c for c in range(size) if c not in step[0]]
-    table[:, absent] = ENDS                             # a code the sample never has is a phrase of its own
+    table[:, absent] = 2 * ENDS                         # the open phrase, and the unknown code as one of its own
+    table[0, absent] = ENDS
     for s, edges in enumerate(step):
         for c, t in edges.items():
             table[s, c] = t
@@ -155,7 +157,7 @@ def phrases(codes: np.ndarray, owner: np.ndarray, n: int, tables: list[np.ndarra
             ended = np.zeros(block.shape[1], np.int64)
             for row in block:
                 got = step[state * size + row]
-                ended += got >> 30
+                ended += got >> SHIFT
                 state = got & (ENDS - 1)
             ended += state != 0                         # the open phrase
             np.add.at(counts[:, k], owner[at:at + LANES], ended)
