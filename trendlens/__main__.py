@@ -20,14 +20,14 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="trendlens")
     ap.add_argument("--input", required=True, help="folder holding documents.parquet")
     ap.add_argument("--output", required=True, help="folder for the three result tables")
-    ap.add_argument("--job-defaults", action="store_true",
-                    help="mining thresholds of the original job (0.0008 / 0.20) instead of the fixture's")
+    ap.add_argument("--fixture", action="store_true",
+                    help="mining thresholds for the documents fixture instead of the job's own (0.0008 / 0.20)")
     ap.add_argument("--min-support", type=float)
     ap.add_argument("--min-confidence", type=float)
     ap.add_argument("--target-year", type=int)
     args = ap.parse_args(argv)
 
-    params = Params() if args.job_defaults else FIXTURE_PARAMS
+    params = FIXTURE_PARAMS if args.fixture else Params()
     overrides = {k: v for k, v in (("min_support", args.min_support), ("min_confidence", args.min_confidence),
                                    ("target_year", args.target_year)) if v is not None}
     params = params.with_(**overrides)

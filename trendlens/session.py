@@ -28,11 +28,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
-    On a cluster this must be set (a shared file system); only when it is unset, as in local
-    tests, a folder is made and registered as the checkpoint dir.
+    On a cluster this must be set (a shared file system). Only a local master (tests, bench) may leave
+    it unset; a folder is then made and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="trendlens-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root

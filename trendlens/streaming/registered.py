@@ -47,9 +47,8 @@ def q_stream_search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search-log rollup per day and keyword, watermarked, over the events as a stream."""
     base = scratch_path(spark, "stream", "search_log")
     events = tables.load(spark, sf_dir, "events")
-    # the file source watches a folder; only the events file of the input folder is picked up
-    stream = (spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf_dir.rstrip("/")))
+    # a glob takes the table as one file or as a folder of part files (a plain path must be a folder)
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
     q = jobs.run_search_log_rollup(spark, tables.search_log(stream), f"{base}/out", f"{base}/_checkpoint")
     q.awaitTermination()
     keys = ["window_start", "window_end", "search_keyword"]
