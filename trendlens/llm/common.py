@@ -25,6 +25,20 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+BATCH_ROWS = 1000           # rows of whole texts that a Python task is handed at a time
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(docs: DataFrame) -> DataFrame:
+    """`docs`, with the session's Arrow batches cut to BATCH_ROWS rows. Whole texts are large, and Spark's
+    10,000 rows of them are held several times at once (JVM buffers, Arrow, Python). A session that has
+    a size of its own keeps it."""
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH_KEY) == "10000":
+        conf.set(BATCH_KEY, str(BATCH_ROWS))
+    return docs
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a step's rows once as Parquet in the shared folder and read them back. A lost executor
     then recomputes from this table and never from the raw input."""

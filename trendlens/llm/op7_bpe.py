@@ -39,11 +39,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import table
+from trendlens.llm.common import table, text_batches
 
 TOKENIZER = "word_bpe_49k.json"
-LEXICON = 1 << 18
-COUNTER = 200_000
+LEXICON = 1 << 16
+COUNTER = 1 << 16
 CACHE = 200_000                 # words a worker remembers
 SHORT = 48                      # symbols up to which the plain merge loop is used
 NEVER = 1 << 30
@@ -302,7 +302,7 @@ def frequent_words(docs: DataFrame, pattern: str, special: list[str], limit: int
         kept = [(w, n) for w, n in seen.items() if n > 1 and not w.startswith(SPECIAL)]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int64())], ["word", "n"])
 
-    counts = docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = text_batches(docs).select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(limit).collect()]      # `limit` rows
 
 
@@ -329,7 +329,7 @@ def encode_decode(docs: DataFrame, path: str | None = None) -> DataFrame:
                     pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded], pa.string()),
                 ], ["doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, n_tokens long, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string")
+    return text_batches(docs).select("doc_id", "text").mapInArrow(rows, "doc_id long, n_tokens long, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string")
 
 
 def op7_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import table
+from trendlens.llm.common import table, text_batches
 
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 24_000
@@ -203,7 +203,7 @@ def predict(docs: DataFrame, model: tuple[Alphabet, list[tuple[str, float, np.nd
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()),
                                               pa.array(np.where(some, score, 0.0))], ["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, lang_pred string, score double")
+    return text_batches(docs).select("doc_id", "text").mapInArrow(rows, "doc_id long, lang_pred string, score double")
 
 
 def identify(docs: DataFrame) -> DataFrame:

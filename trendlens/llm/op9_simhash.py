@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.llm.common import Forest, connected_components, materialise, table
+from trendlens.llm.common import Forest, connected_components, materialise, table, text_batches
 
 SHINGLE = 3
 RADIUS = 2
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             fps = np.array([simhash(t.as_py() or "", size) for t in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(rows, "doc_id long, fp long")
+    return text_batches(docs).select("doc_id", "text").mapInArrow(rows, "doc_id long, fp long")
 
 
 class BKTree:
