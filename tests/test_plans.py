@@ -38,6 +38,26 @@ def test_hot_title_dedups_to_lowest_id(spark):
     assert out.filter(F.col("title") == "Untitled").select("id").first()[0] == 1
 
 
+def test_qc_combines_hot_titles_map_side(spark):
+    """The summary counts per title before its shuffle: no window holds a hot title's rows."""
+    plan = _plan(catalog.QUERIES["clean_qc"](spark, SF001))
+    assert "partial_count" in plan and "Window " not in plan
+    rows = spark.range(3000).selectExpr(
+        "id", "if(id % 3 = 1, cast(null as string), concat('t', id)) as title", "'d' as discipline",
+        "2020 as publish_year", "'a' as authors", "'s' as source")
+    r = clean.clean_qc(rows).first().asDict()
+    assert r == {"rows_in": 3000, "dup_rows": 999, "empty_titles": 1, "bad_years": 0, "old_years": 0, "kept": 2000}
+
+
+def test_top_per_key_in_two_levels(spark):
+    """Same rows and ranks as one window, on a key that holds all rows but one; both levels cut early."""
+    rows = spark.range(5000).selectExpr("if(id = 7, 'b', 'a') as k", "id", "id % 10 as v")
+    top = clean.top_per_key(rows, "k", "id", 20, F.desc("v"), F.asc("id"))
+    got = [(r["k"], r["rank"], r["id"]) for r in top.orderBy("k", "rank").collect()]
+    assert got == [("a", i + 1, 9 + 10 * i) for i in range(20)] + [("b", 1, 7)]
+    assert _plan(top).count("WindowGroupLimit") >= 3
+
+
 def test_no_python_udfs_in_plans(spark):
     """Every registered batch query stays on JVM built-ins (no Python UDF / Arrow eval nodes)."""
     for name, fn in catalog.QUERIES.items():

@@ -9,6 +9,7 @@ from trendlens.functions.text import normalise_year
 from trendlens.params import Params
 
 CLEAN_COLUMNS = ("id", "title", "discipline", "publish_year", "authors", "source")
+SALTS = 64          # parts that a hot key's rows are dealt to before its top rows are chosen
 
 
 def _first_per_title(raw: DataFrame) -> DataFrame:
@@ -51,23 +52,33 @@ def clean_qc(raw: DataFrame, params: Params = Params()) -> DataFrame:
     rows_in, dup_rows (lost to dedup), empty_titles, bad_years (year not a number),
     old_years (before min_year), kept.
     """
-    marked = _first_per_title(raw.select(*CLEAN_COLUMNS))
-    first = F.col("_rn") == 1
+    # one partial aggregate per title: a title (or NULL) shared by a third of all rows leaves each map
+    # task as one row; the survivor is the lowest id, as in dedup_titles
+    titles = raw.groupBy(F.xxhash64("title").alias("_h"), "title").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "publish_year")).alias("first"))
     has_title = F.col("title").isNotNull() & (F.col("title") != "")
-    year = normalise_year(F.col("publish_year"))
-    n = lambda cond: F.sum(F.when(cond, 1).otherwise(0)).cast("long")
-    return marked.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        n(~first).alias("dup_rows"),
-        n(first & ~has_title).alias("empty_titles"),
-        n(first & has_title & year.isNull()).alias("bad_years"),
-        n(first & has_title & (year < params.min_year)).alias("old_years"),
-        n(first & has_title & (year >= params.min_year)).alias("kept"),
+    year = normalise_year(F.col("first.publish_year"))
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("long")
+    n = lambda cond: total(F.when(cond, 1).otherwise(0))
+    return titles.agg(
+        total("n").alias("rows_in"),
+        total(F.col("n") - 1).alias("dup_rows"),
+        n(~has_title).alias("empty_titles"),
+        n(has_title & year.isNull()).alias("bad_years"),
+        n(has_title & (year < params.min_year)).alias("old_years"),
+        n(has_title & (year >= params.min_year)).alias("kept"),
     )
 
 
+def top_per_key(rows: DataFrame, key: str, spread_by: str, k: int, *order) -> DataFrame:
+    """The first k rows per key with their `rank`, in two levels: k per (key, salt), then k per key.
+    One task then reads at most SALTS * k rows of a key, however many map tasks there are."""
+    salted = Window.partitionBy(key, "_salt").orderBy(*order)
+    some = (rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
+            .withColumn("rank", F.row_number().over(salted)).filter(F.col("rank") <= k).drop("_salt", "rank"))
+    return some.withColumn("rank", F.row_number().over(Window.partitionBy(key).orderBy(*order))).filter(F.col("rank") <= k)
+
+
 def quota_sample(cleaned: DataFrame, per_subject: int) -> DataFrame:
     """At most `per_subject` papers per discipline, lowest ids first (exact quota)."""
-    w = Window.partitionBy("discipline").orderBy("id")
-    return (cleaned.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") <= per_subject).drop("_rn"))
+    return top_per_key(cleaned, "discipline", "id", per_subject, "id").drop("rank")

@@ -108,17 +108,19 @@ def _pair_counts(baskets: DataFrame, ids: DataFrame, min_count) -> DataFrame:
     occ = baskets.select("_bid", F.explode("items").alias("item")).join(ids.select("item", "iid"), "item")
     # one row per basket with its frequent item ids: a shuffle of frequent occurrences only
     # (explicit partition count: the pair explode below multiplies this small shuffle ~50x)
-    per = spread(occ, "_bid").groupBy("_bid").agg(F.collect_list("iid").alias("ids"))
-    pairs = (per.select("ids", F.explode("ids").alias("x"))
-             .select("x", F.explode("ids").alias("y"))
-             .filter(F.col("x") < F.col("y")))
+    per = spread(occ, "_bid").groupBy("_bid").agg(F.sort_array(F.collect_list("iid")).alias("ids"))
+    # each id meets only the ids behind it, so every unordered pair is made once
+    rest = F.slice("ids", F.col("pos") + 2, F.size("ids"))
+    pairs = (per.select("ids", F.posexplode("ids").alias("pos", "x"))
+             .select("x", F.explode(rest).alias("y")))
     return (pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("pair_count"))
             .filter(F.col("pair_count") >= min_count))
 
 
 def _both_ways(counts: DataFrame) -> DataFrame:
-    return counts.select(F.col("x").alias("a_id"), F.col("y").alias("b_id"), "pair_count").unionByName(
-        counts.select(F.col("y").alias("a_id"), F.col("x").alias("b_id"), "pair_count"))
+    ways = F.array(F.struct(F.col("x").alias("a_id"), F.col("y").alias("b_id")),
+                   F.struct(F.col("y").alias("a_id"), F.col("x").alias("b_id")))
+    return counts.select(F.explode(ways).alias("way"), "pair_count").select("way.*", "pair_count")
 
 
 def pair_support(baskets: DataFrame, params: Params = Params(),

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions import text, vocab
+from trendlens.operators.clean import top_per_key
 from trendlens.operators.reports import alias_map, discipline_list
 from trendlens.plans.broadcast import broadcast_if_small, spread
 
@@ -64,8 +65,8 @@ def paper_search(cleaned: DataFrame, requests: DataFrame) -> DataFrame:
     Output: qid, rank, id, title, discipline, publish_year, source.
 
     The request table is broadcast (checked) and the papers stream through a nested-loop join;
-    `row_number() <= 50` per request is planned with a partial WindowGroupLimit, so even a request
-    matching every paper ships at most 50 rows per map task to its reducer.
+    the 50 newest are chosen per (request, salt) first, so a request that matches every paper is
+    spread over many tasks and its last task reads at most 50 rows per salt.
     """
     r = requests.select(
         "qid",
@@ -81,8 +82,7 @@ def paper_search(cleaned: DataFrame, requests: DataFrame) -> DataFrame:
     disc_ok = F.col("_disc").isin("", "All") | (F.col("_disc_l") == F.col("_disc_q"))
     year_ok = F.col("_year").isin("", "All") | (F.col("publish_year") == F.col("_year_q"))
     hits = papers.join(r, kw_ok & disc_ok & year_ok)
-    w = Window.partitionBy("qid").orderBy(F.desc("publish_year"), F.asc("id"))
-    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= SEARCH_LIMIT) \
+    return top_per_key(hits, "qid", "id", SEARCH_LIMIT, F.desc("publish_year"), F.asc("id")) \
         .select("qid", "rank", "id", "title", "discipline", "publish_year", "source")
 
 
