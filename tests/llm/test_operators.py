@@ -314,3 +314,14 @@ def test_pipeline_stages(spark, empty, tmp_path):
     one = corpus_pipeline.simhash(spark, copies, SMALL)
     assert one.where("doc_id >= 5000").count() == 0 and one.count() == one.select("doc_id").distinct().count()
     assert not corpus_pipeline.pii(spark, empty, SMALL).collect() and not corpus_pipeline.mixing(spark, empty, SMALL).collect()
+
+
+def test_text_batches_keeps_a_session_s_own_size(spark):
+    from trendlens.llm.common import BATCH_KEY, BATCH_ROWS, text_batches
+    before = spark.conf.get(BATCH_KEY)
+    try:
+        for own, want in (("10000", str(BATCH_ROWS)), ("77", "77")):
+            spark.conf.set(BATCH_KEY, own)
+            assert text_batches(spark.range(1)).count() == 1 and spark.conf.get(BATCH_KEY) == want
+    finally:
+        spark.conf.set(BATCH_KEY, before)
