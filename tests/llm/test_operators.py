@@ -223,6 +223,25 @@ def test_op7_automaton_is_exact_and_shared():
         assert rules._few(list(ids)) == rules._many(list(ids))
 
 
+def test_op7_words_merged_together_equal_words_merged_alone():
+    rng = random.Random(2)
+    rules = op7_bpe.Rules(op7_bpe.default_path())
+    words = list({"".join(rng.choices("aeinrstthoé'ß", k=rng.randrange(1, 70))) for _ in range(3000)})
+    got = {}
+    for group, counts, ids in op7_bpe.Merger(rules)(words):
+        ends = np.cumsum(counts)
+        got |= {w: ids[e - n:e].tolist() for w, n, e in zip(group, counts, ends, strict=True)}
+    assert got == {w: rules.merge(w) for w in words}
+    assert not list(op7_bpe.Merger(rules)([]))
+
+
+def test_op7_runs_hold_the_words():
+    rules = op7_bpe.Rules(op7_bpe.default_path())
+    split = op7_bpe.Splitter(rules.pattern, rules.special)
+    for text in ("", " \t", "A b'LL,c\x1cd\x85e\u3000F2 x", "p<|endoftext|>q r<|startoftext|>", "ΑΣ İ e\u0301\u00a0z\x1f!"):
+        assert [w for r in split.runs(text) for w in split.of_run(r)] == split(text)
+
+
 def test_op8_held_out_accuracy(spark, odd, empty):
     d = "/root/testdata/sf0.01"
     got = op8_language.op8_cross_parsing(spark, d).join(table(spark, d, "documents").select("doc_id", "lang"), "doc_id")

@@ -12,9 +12,9 @@ white space to a blank, lower case), split into words, mapped to bytes, and each
 with an end-of-word mark on its last symbol. Decoding joins the token strings with blanks, as the
 file names no decoder.
 
-Bounds (documented parameters): LEXICON words; each task's counter keeps at most 2 * COUNTER words
-(Misra-Gries: every word of more than a COUNTER-th of a task's words is in it). They decide
-speed only, never results.
+Bounds (documented parameters): LEXICON words; each task's counter is cut to COUNTER words when, after
+COUNTED texts, it holds more than 2 * COUNTER (Misra-Gries: every word of more than a COUNTER-th of
+a task's words is in it); CACHE words are remembered. They decide speed only, never results.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty text; repeated rows get a
 row each; an empty table gives an empty result; other input columns are ignored.
@@ -27,11 +27,10 @@ import heapq
 import json
 import mmap
 import os
-import struct
 import tempfile
 import unicodedata
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +43,8 @@ from trendlens.llm.common import table, text_batches
 TOKENIZER = "word_bpe_49k.json"
 LEXICON = 1 << 16
 COUNTER = 1 << 16
-CACHE = 200_000                 # words a worker remembers
+COUNTED = 200                   # texts whose runs are counted before their words are
+CACHE = 200_000                 # words that a worker remembers
 SHORT = 48                      # symbols up to which the plain merge loop is used
 NEVER = 1 << 30
 
@@ -125,31 +125,105 @@ class Rules:
         return [x for x in ids if x >= 0]
 
 
+class Merger:
+    """Many words at once, merged as `Rules.merge` does: in each step every word makes its lowest-ranked pair,
+    the leftmost among equals. Words of like length share a matrix; those over SHORT go one by one."""
+
+    WIDTHS = (8, 12, 16, 24, SHORT)
+
+    def __init__(self, rules: Rules):
+        self.rules = rules
+        self.inner, self.last, self.made = (np.array(x, np.int64) for x in (rules.inner, rules.last, rules.made))
+        keys = np.fromiter(rules.rank, np.int64, len(rules.rank))
+        order = np.argsort(keys)
+        self.keys, self.ranks = keys[order], np.fromiter(rules.rank.values(), np.int64, len(keys))[order]
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids, NEVER where there is none; -1 stands behind a word's end."""
+        want = a << 20 | b
+        at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
+        return np.where(self.keys[at] == want, self.ranks[at], NEVER)
+
+    def __call__(self, words: list[str]) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        """(words, number of ids of each, ids one word after the other), in groups."""
+        data = [w.encode() for w in words]
+        lengths = np.array([len(d) for d in data], np.int64)
+        low = 0
+        for width in self.WIDTHS:
+            rows = np.flatnonzero((lengths > low) & (lengths <= width))
+            low = width
+            if len(rows):
+                yield from self.group([words[i] for i in rows], b"".join([data[i] for i in rows]), lengths[rows], width)
+        for i in np.flatnonzero(lengths > SHORT):
+            ids = np.array(self.rules.merge(words[i]), np.int64)
+            yield [words[i]], np.array([len(ids)]), ids
+
+    def group(self, words: list[str], data: bytes, lengths: np.ndarray, width: int) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+        letters = np.frombuffer(data, np.uint8)
+        ids = np.full((len(words), width + 1), -1, np.int64)
+        ids[np.arange(width + 1) < lengths[:, None]] = self.inner[letters]
+        row = np.arange(len(words))
+        ids[row, lengths - 1] = self.last[letters[np.cumsum(lengths) - 1]]
+        ranks = self.rank(ids[:, :-1], ids[:, 1:])
+        number, column = row, np.arange(width + 1)
+        while len(number):
+            pos = ranks.argmin(1)
+            best = ranks[row, pos]
+            done = best == NEVER
+            if done.any():
+                ready = ids[done]
+                held = ready >= 0
+                yield [words[i] for i in number[done]], held.sum(1), ready[held]
+                ids, ranks, number, pos, best = ids[~done], ranks[~done], number[~done], pos[~done], best[~done]
+                row = np.arange(len(number))
+            ids = np.where(column <= pos[:, None], ids, np.roll(ids, -1, 1))
+            ids[:, -1] = -1
+            ids[row, pos] = self.made[best]
+            ranks = np.where(column[:-1] < pos[:, None], ranks, np.roll(ranks, -1, 1))
+            ranks[:, -1] = NEVER
+            ranks[row, pos] = self.rank(ids[row, pos], ids[row, pos + 1])
+            left = np.flatnonzero(pos)
+            ranks[left, pos[left] - 1] = self.rank(ids[left, pos[left] - 1], ids[left, pos[left]])
+
+
 class Splitter:
     """Text -> words and special tokens, in order."""
 
     def __init__(self, pattern: str, special: Iterable[str]):
         self.words = regex.compile(pattern).findall
+        self.between = regex.compile(r"\S+").findall
         self.special = set(special)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
-    def plain(self, text: str) -> list[str]:
+    def plain(self, text: str) -> str:
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
             text = text.replace("Σ", "σ")        # each character by itself: no final sigma
-        return self.words(text.lower())         # no word holds white space, so which kind it is doesn't matter
+        return text.lower()                     # no word holds white space, so which kind it is doesn't matter
 
-    def __call__(self, text: str) -> list[str]:
+    def parts(self, text: str, each: Callable[[str], list[str]]) -> list[str]:
         if self.cut is None or not any(s in text for s in self.special):
-            return self.plain(text)
+            return each(self.plain(text))
         out: list[str] = []
         for part in self.cut.split(text):
-            out += [SPECIAL + part] if part in self.special else self.plain(part)
+            out += [SPECIAL + part] if part in self.special else each(self.plain(part))
         return out
 
+    def __call__(self, text: str) -> list[str]:
+        return self.parts(text, self.words)
+
+    def runs(self, text: str) -> list[str]:
+        """Runs without white space, and special tokens. A text's words are those of its runs, so where
+        only their number matters, a run that stands there often is split once."""
+        return self.parts(text, lambda t: self.between(t) if any(c in t for c in SEPARATORS) else t.split())
+
+    def of_run(self, run: str) -> list[str]:
+        return [run] if run.startswith(SPECIAL) else self.words(run)
+
 
-SPECIAL = "\u0000 "             # no word holds a blank, so this marks special tokens
+SPECIAL = "\u0000 "             # no run holds a blank, so this marks special tokens
+SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to str.split, but not to the tokenizer
 
 
 class Automaton:
@@ -257,27 +331,33 @@ class Encoder:
 
     def __init__(self, rules: Rules, lexicon: Automaton):
         self.rules, self.lexicon, self.known = rules, lexicon, {}
+        self.merger = Merger(rules)
         self.split = Splitter(rules.pattern, rules.special)
 
-    def piece(self, ids: list[int]) -> tuple[bytes, str]:
-        strings = self.rules.strings
-        return struct.pack(f"<{len(ids)}I", *ids), " ".join([strings[i] for i in ids])
+    def keep(self, words: list[str], counts: np.ndarray, flat: np.ndarray) -> None:
+        """Remember the pieces of words; `flat` holds their ids one word after the other."""
+        ends = np.cumsum(counts).tolist()
+        data, strings = flat.astype("<u4").tobytes(), list(map(self.rules.strings.__getitem__, flat.tolist()))
+        at = 0
+        for w, end in zip(words, ends, strict=True):
+            self.known[w] = data[4 * at:4 * end], strings[at] if end - at == 1 else " ".join(strings[at:end])
+            at = end
 
     def learn(self, words: set[str]) -> None:
         if len(self.known) > CACHE:
             self.known = {}
         new = [w for w in words if w not in self.known]
         ranks = self.lexicon.ranks(new)
-        at = np.maximum(ranks, 0)
-        starts, ends = (self.lexicon.starts[at + k].tolist() if len(self.lexicon.ids) else [0] * len(new) for k in (0, 1))
-        for w, r, a, b in zip(new, ranks.tolist(), starts, ends, strict=True):
-            if r >= 0:
-                got = self.lexicon.ids[a:b].tolist()
-            elif w.startswith(SPECIAL):
-                got = [self.rules.special[w[len(SPECIAL):]]]
-            else:
-                got = self.rules.merge(w)
-            self.known[w] = self.piece(got)
+        found, lexicon = ranks[ranks >= 0], self.lexicon
+        starts = lexicon.starts[found]
+        counts = lexicon.starts[found + 1] - starts
+        at = np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        self.keep([new[i] for i in np.flatnonzero(ranks >= 0)], counts, lexicon.ids[at])
+        other = [new[i] for i in np.flatnonzero(ranks < 0)]
+        special = [w for w in other if w.startswith(SPECIAL)]
+        self.keep(special, np.ones(len(special), np.int64), np.array([self.rules.special[w[len(SPECIAL):]] for w in special], np.int64))
+        for group in self.merger([w for w in other if not w.startswith(SPECIAL)]):
+            self.keep(*group)
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         split = [self.split(t) for t in texts]
@@ -294,8 +374,13 @@ def frequent_words(docs: DataFrame, pattern: str, special: list[str], limit: int
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, seen = Splitter(pattern, special), Counter()
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(split(text.as_py() or ""))
+            for at in range(0, batch.num_rows, COUNTED):
+                runs: Counter = Counter()
+                for text in batch.column(0).slice(at, COUNTED):
+                    runs.update(split.runs(text.as_py() or ""))
+                for run, n in runs.items():
+                    for word in split.of_run(run):
+                        seen[word] += n
                 if len(seen) > 2 * COUNTER:
                     floor = sorted(seen.values(), reverse=True)[COUNTER]
                     seen = Counter({w: n - floor for w, n in seen.items() if n > floor})
