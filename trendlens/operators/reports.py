@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions import vocab
-from trendlens.plans.broadcast import broadcast_if_small
 
 ACTIVE_WORDS = 150
 LEADER_DISCIPLINES = 10
@@ -21,7 +20,6 @@ STARS = 5
 BRIDGES = 5
 HEAT_CAP = 50_000
 CROSS_CAP = 100
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 def discipline_list(trend: DataFrame) -> DataFrame:
@@ -49,8 +47,7 @@ def _nodes(trend: DataFrame, year: int) -> DataFrame:
     words = active_words(trend, year).select(F.col("word").alias("name"), F.lit(False).alias("is_discipline"))
     both = disc.unionByName(words)
     # a name is a discipline if it is one, whatever else it is
-    nodes = both.groupBy("name").agg(F.max("is_discipline").alias("is_discipline"))
-    return broadcast_if_small(nodes, BROADCAST_MAX_ROWS)
+    return both.groupBy("name").agg(F.max("is_discipline").alias("is_discipline"))
 
 
 def _links(rules: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -67,7 +64,7 @@ def network_links(trend: DataFrame, rules: DataFrame, year: int) -> DataFrame:
 
 def network_nodes(trend: DataFrame, rules: DataFrame, year: int) -> DataFrame:
     """Name, symbol_size, category (0 discipline, 1 word), value (= degree).
-    The (broadcast) node table built for the links also gives each node's category."""
+    The node table built for the links also gives each node's category."""
     nodes = _nodes(trend, year)
     links = _links(rules, nodes)
     # both ends of every link in one pass (no union reading the links twice)
@@ -150,14 +147,10 @@ def bridge_words(trend: DataFrame, rules: DataFrame) -> DataFrame:
     partner: the source of another rule to the same target (highest confidence, then source),
     NULL when there is none. A discipline without rules gets its 5 largest trend rows, flagged."""
     disc = discipline_list(trend)
-    own = rules.join(broadcast_if_small(disc.withColumnRenamed("discipline", "source"), BROADCAST_MAX_ROWS),
-                     "source", "left_semi")
+    own = rules.join(disc.withColumnRenamed("discipline", "source"), "source", "left_semi")
     w = Window.partitionBy("source").orderBy(F.desc("confidence"), F.asc("target"))
     top = own.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= BRIDGES)
-    # the rule table is bounded (rules_per_source per source): broadcast it (checked) so the top
-    # rules keep their partitioning by source and the pick window below needs no new shuffle
-    other = broadcast_if_small(rules.select(F.col("source").alias("partner"), F.col("target").alias("_pt"),
-                                            F.col("confidence").alias("_pc")), BROADCAST_MAX_ROWS)
+    other = rules.select(F.col("source").alias("partner"), F.col("target").alias("_pt"), F.col("confidence").alias("_pc"))
     # one left join keeps rules without a partner (partner NULL); the pick window then takes the
     # strongest other source per rule, NULL only when there is none
     cand = top.join(other, (F.col("_pt") == F.col("target")) & (F.col("partner") != F.col("source")), "left")

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import text
 from trendlens.params import Params
-from trendlens.plans.broadcast import broadcast_if_small, spread
+from trendlens.plans.broadcast import spread
 from trendlens.session import checkpoint_root
 
 RULE_COLUMNS = ("source", "target", "confidence")
@@ -84,21 +84,15 @@ def frequent_items(baskets: DataFrame, params: Params = Params()) -> DataFrame:
     return item_support(baskets).filter(F.col("support") >= _min_count(baskets, params))
 
 
-def _small_frequent(frequent: DataFrame, params: Params) -> DataFrame:
-    """Broadcast the frequent items after counting them. Their number is at most
-    (total item occurrences) / min_count = (average basket size) / min_support, which does not
-    grow with the number of baskets; the count checks it on the actual data."""
-    return broadcast_if_small(frequent, params.broadcast_max_rows)
-
-
 def _with_ids(frequent: DataFrame, params: Params) -> DataFrame:
     """Frequent items with unique long ids (item, support, iid), numbered in parallel (no global
     ordering). Ids make the pair aggregation hash two longs instead of two strings."""
     ids = frequent.withColumn("iid", F.monotonically_increasing_id())
-    # computed once and written to the shared checkpoint folder, which also fixes the ids: the size
-    # check and the three joins below read that small table instead of re-aggregating every basket
+    # computed once and written to the shared checkpoint folder, which also fixes the ids: the
+    # three joins below read that small table instead of re-aggregating every basket
     checkpoint_root(frequent.sparkSession)
-    return _small_frequent(ids.checkpoint(eager=True), params)
+    # broadcast: at most (average basket size) / min_support items, however many baskets there are
+    return F.broadcast(ids.checkpoint(eager=True))
 
 
 def _pair_counts(baskets: DataFrame, ids: DataFrame, min_count) -> DataFrame:

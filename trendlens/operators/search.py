@@ -1,25 +1,27 @@
 """Search, suggestions and topic evidence in batch form: a table of requests joined with the data.
 
-Substring matching (`LIKE %q%`) has no equi-key, so these are nested-loop joins. The side that is
-broadcast is always one whose size is bounded by construction (the trend vocabulary, the rule
-table, the alias table) or checked; the large side (papers) streams through.
+Substring matching (`LIKE %q%`) between data-derived tables (keywords, trend words, rules) goes by
+grams (`substring.meet`), an equi-join. Paper search lays its requests in blocks over the papers.
+Only the alias and fallback tables (fixed values) and one request block are broadcast.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions import text, vocab
 from trendlens.operators.clean import top_per_key
 from trendlens.operators.reports import alias_map, discipline_list
-from trendlens.plans.broadcast import broadcast_if_small, spread
+from trendlens.operators.substring import meet
 
 SUGGESTIONS = 8
 SUGGEST_PER_BRANCH = 5
 SEARCH_LIMIT = 50
 RELATED_RULES = 5
-BROADCAST_MAX_ROWS = 2_000_000
+REQUEST_BLOCK = 1_000          # requests that are laid over the papers at a time
 
 
 def alias_resolve(requests: DataFrame, column: str = "discipline") -> DataFrame:
@@ -45,8 +47,7 @@ def search_suggest(trend: DataFrame, queries: DataFrame) -> DataFrame:
     values = trend.select(F.col("word").alias("value"), F.lit(1).alias("branch")).unionByName(
         trend.select(F.col("discipline").alias("value"), F.lit(2).alias("branch"))).filter(
         F.col("value").isNotNull()).distinct().withColumn("_v", F.lower("value"))
-    vals = broadcast_if_small(values, BROADCAST_MAX_ROWS)
-    hits = q.join(vals, F.contains(F.col("_v"), F.col("q")))
+    hits = meet(q, "q", values, "_v").where(F.contains(F.col("_v"), F.col("q")))
     w = Window.partitionBy("qid", "branch").orderBy("value")
     branches = hits.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= SUGGEST_PER_BRANCH) \
         .select("qid", "branch", "pos", F.col("value").alias("suggestion"))
@@ -64,8 +65,8 @@ def paper_search(cleaned: DataFrame, requests: DataFrame) -> DataFrame:
     case-insensitive; year: equality. Empty or "All" means no filter on that field.
     Output: qid, rank, id, title, discipline, publish_year, source.
 
-    The request table is broadcast (checked) and the papers stream through a nested-loop join;
-    the 50 newest are chosen per (request, salt) first, so a request that matches every paper is
+    The requests are a query set: they are counted and dealt by hash into blocks of about
+    REQUEST_BLOCK, and the papers stream past each broadcast block; the 50 newest are chosen per (request, salt) first, so a request that matches every paper is
     spread over many tasks and its last task reads at most 50 rows per salt.
     """
     r = requests.select(
@@ -77,11 +78,13 @@ def paper_search(cleaned: DataFrame, requests: DataFrame) -> DataFrame:
     papers = cleaned.withColumn("_title_l", F.lower("title")).withColumn("_disc_l", F.lower("discipline"))
     r = r.withColumn("_kw_l", F.lower("_kw")).withColumn("_disc_q", F.lower("_disc")) \
         .withColumn("_year_q", F.col("_year").try_cast("int"))
-    r = broadcast_if_small(r, BROADCAST_MAX_ROWS)
+    blocks = max(1, -(-requests.count() // REQUEST_BLOCK))
     kw_ok = (F.col("_kw") == "") | F.contains(F.col("_title_l"), F.col("_kw_l"))
     disc_ok = F.col("_disc").isin("", "All") | (F.col("_disc_l") == F.col("_disc_q"))
     year_ok = F.col("_year").isin("", "All") | (F.col("publish_year") == F.col("_year_q"))
-    hits = papers.join(r, kw_ok & disc_ok & year_ok)
+    hits = reduce(DataFrame.unionByName, [
+        papers.join(F.broadcast(r.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)), kw_ok & disc_ok & year_ok)
+        for b in range(blocks)])
     return top_per_key(hits, "qid", "id", SEARCH_LIMIT, F.desc("publish_year"), F.asc("id")) \
         .select("qid", "rank", "id", "title", "discipline", "publish_year", "source")
 
@@ -113,21 +116,17 @@ def topic_keywords(trend: DataFrame) -> DataFrame:
     """The keyword requests for topic evidence: every word and discipline of the trend table."""
     words = trend.select(F.col("word").alias("keyword"))
     discs = discipline_list(trend).select(F.col("discipline").alias("keyword"))
-    # explicit partitioning: each keyword row drives a nested-loop probe of a broadcast table,
-    # so the rows must stay spread over all tasks (AQE would coalesce this small shuffle)
-    return spread(words.unionByName(discs).filter(F.col("keyword").isNotNull()), "keyword").distinct()
+    return words.unionByName(discs).filter(F.col("keyword").isNotNull()).distinct()
 
 
 def keyword_evidence(trend: DataFrame, keywords: DataFrame) -> DataFrame:
     """Per keyword: domain, matched volume (sum of counts of trend rows whose word
     or discipline contains it, case-insensitive) and its band."""
-    # lower-case each side once per row, not once per probed pair
-    t = broadcast_if_small(trend.select(F.lower("word").alias("_w"), F.lower("discipline").alias("_d"), "count"),
-                           BROADCAST_MAX_ROWS)
-    k = keywords.withColumn("_k", F.lower("keyword"))
+    t = trend.groupBy(F.lower("word").alias("_w"), F.lower("discipline").alias("_d")).agg(F.sum("count").alias("count"))
+    k = keywords.select("keyword").distinct().withColumn("_k", F.lower("keyword"))
     hit = F.contains(F.col("_w"), F.col("_k")) | F.contains(F.col("_d"), F.col("_k"))
-    vol = k.join(t, hit, "left").groupBy("keyword").agg(
-        F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("main_count"))
+    found = meet(k, "_k", t, "_w", "_d").where(hit).groupBy("keyword").agg(F.sum("count").alias("_sum"))
+    vol = k.join(found, "keyword", "left").select("keyword", F.coalesce("_sum", F.lit(0)).cast("long").alias("main_count"))
     return vol.select("keyword", text.domain_of(F.col("keyword")).alias("domain"), "main_count",
                       text.volume_band(F.col("main_count")).alias("band"))
 
@@ -135,13 +134,11 @@ def keyword_evidence(trend: DataFrame, keywords: DataFrame) -> DataFrame:
 def related_terms(rules: DataFrame, keywords: DataFrame) -> DataFrame:
     """Per keyword, the 5 strongest rules whose source or target contains it
     (confidence desc, source, target). Output: keyword, rank, source, target, confidence."""
-    r = broadcast_if_small(rules.select("source", "target", "confidence",
-                                        F.lower("source").alias("_s"), F.lower("target").alias("_t")),
-                           BROADCAST_MAX_ROWS)
+    r = rules.select("source", "target", "confidence", F.lower("source").alias("_s"), F.lower("target").alias("_t"))
     k = keywords.withColumn("_k", F.lower("keyword"))
     hit = F.contains(F.col("_s"), F.col("_k")) | F.contains(F.col("_t"), F.col("_k"))
     w = Window.partitionBy("keyword").orderBy(F.desc("confidence"), F.asc("source"), F.asc("target"))
-    return k.join(r, hit).withColumn("rank", F.row_number().over(w)) \
+    return meet(k, "_k", r, "_s", "_t").where(hit).withColumn("rank", F.row_number().over(w)) \
         .filter(F.col("rank") <= RELATED_RULES).select("keyword", "rank", "source", "target", "confidence")
 
 

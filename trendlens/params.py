@@ -18,8 +18,6 @@ class Params:
     min_confidence: float = 0.20    # association rules: minimum confidence
     rules_per_source: int = 8       # rules kept per antecedent
     include_forecast_baskets: bool = True
-    # A frequent-item table is broadcast for pair pruning only while it has at most this many rows.
-    broadcast_max_rows: int = 2_000_000
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -1,21 +1,8 @@
-"""Broadcast only what is known to be small.
-
-A side is broadcast when a proven upper bound on its row count is within the limit. The bound is
-either structural (passed in by the caller: e.g. top-k tables, frequent items) or measured with
-a count of the (already reduced) side. Beyond the limit the join is left to the planner, which
-then shuffles both sides; AQE may still switch to a broadcast from runtime statistics.
-"""
+"""Spread a small shuffle over all partitions."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int, known_bound: int | None = None) -> DataFrame:
-    bound = known_bound if known_bound is not None else df.count()
-    return F.broadcast(df) if bound <= max_rows else df
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
