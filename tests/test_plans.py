@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from trendlens.operators import clean
+from trendlens.operators.substring import meet
 from trendlens.plans import catalog
 
 from conftest import SF001
@@ -63,3 +64,20 @@ def test_no_python_udfs_in_plans(spark):
     for name, fn in catalog.QUERIES.items():
         plan = _plan(fn(spark, SF001))
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_substring_reports_join_by_key(spark):
+    """Keyword reports over data-derived tables: no nested loop and no cartesian product."""
+    for name in ("keyword_evidence", "related_terms", "topic_candidates", "search_suggest"):
+        plan = _plan(catalog.QUERIES[name](spark, SF001))
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+
+
+def test_gram_meeting_loses_no_match(spark):
+    words = ["", "a", "ab", "abc", "bcab", "été", "tété", "x%_y", "aaaa", None, "zz"]
+    needles = spark.createDataFrame([(w,) for w in [*words, "%_", "aaa", "q"]], "n string")
+    values = spark.createDataFrame([(i, w, words[-1 - i]) for i, w in enumerate(words)], "i int, v string, u string")
+    met = meet(needles, "n", values, "v", "u").where(F.contains("v", "n") | F.contains("u", "n"))
+    want = sorted((n, i) for n in {r.n for r in needles.collect()} if n is not None
+                  for i, w in enumerate(words) if any(x is not None and n in x for x in (w, words[-1 - i])))
+    assert sorted((r.n, r.i) for r in met.collect()) == want

@@ -19,7 +19,9 @@ def test_token_cleaning_joins_letters(spark):
 
 
 def test_empty_tokens_kept_until_length_filter(spark):
-    assert _one(spark, text.tokens(F.col("s")), " a  B\tc ")[:5] == ["", "a", "", "b", "c"]
+    assert _one(spark, text.tokens(F.col("s")), " a  B\tc \n") == ["", "a", "", "b", "c"]
+    assert _one(spark, text.tokens(F.col("s")), "") == [""]
+    assert _one(spark, text.tokens(F.col("s")), " 1 2") == []
 
 
 def test_length_thresholds(spark):

@@ -53,7 +53,10 @@ cleaned AS (
   WHERE title IS NOT NULL AND title <> '' AND {YEAR_NORM.format(c='publish_year')} >= {p.min_year})"""
 
 
-TOKENS = r"string_split_regex(lower(regexp_replace(title, '[^a-zA-Z\s]', '', 'g')), '\s')"
+_CLEAN = r"lower(regexp_replace(title, '[^a-zA-Z\s]', '', 'g'))"
+# tokens after the last non-empty one are dropped; an empty title keeps its one empty token
+TOKENS = (rf"(CASE WHEN {_CLEAN} = '' THEN [''] WHEN regexp_full_match({_CLEAN}, '\s+') THEN CAST([] AS VARCHAR[]) "
+          rf"ELSE string_split_regex(regexp_replace({_CLEAN}, '\s+$', ''), '\s') END)")
 STOP = _list(vocab.stop_words())
 
 
