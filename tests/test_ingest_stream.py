@@ -1,5 +1,5 @@
 from trendlens.sources import ingest, tables
-from trendlens.streaming import registered
+from trendlens.streaming import jobs, registered
 
 from conftest import SF001
 
@@ -19,6 +19,27 @@ def test_bad_batches_rejected(spark):
     assert status[2][0] is False and status[3][0] is False and status[4] == (True, 1, None)
 
 
+def test_one_bad_record_rejects_its_batch(spark, tmp_path):
+    bodies = ['[{"title":"a","publish_year":"abc"},{"title":"b"}]', "[null]", '[{"title":"c"}, 5]',
+              '[{"title":"d","publish_year":"2020"},{"publish_year":null}]', None]
+    p = spark.createDataFrame(list(enumerate(bodies)), "batch_id long, body string")
+    want = {0: "publish_year is not a number", 1: "record is not an object", 2: "not a JSON list", 4: "empty payload"}
+    assert {r.batch_id: r.reason for r in ingest.rejected_batches(p).collect()} == want
+    assert {r.batch_id: r.reason for r in ingest.batch_status(p).where("not accepted and inserted = 0").collect()} == want
+    assert [(r.batch_id, r.title, r.publish_year) for r in ingest.ingest_batches(p).orderBy("pos").collect()] == [(3, "d", 2020), (3, None, None)]
+    jobs.land_payloads(p, f"{tmp_path}/in")
+    jobs.run_rejects(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/check", files_per_trigger=1).awaitTermination()
+    assert {r.batch_id: r.reason for r in spark.read.parquet(f"{tmp_path}/out").collect()} == want
+
+
+def test_a_retried_epoch_replaces_itself(spark, tmp_path):
+    write = jobs._epoch_sink(f"{tmp_path}/log")
+    for epoch, n in ((0, 1), (1, 5), (1, 7)):
+        write(spark.createDataFrame([("d", n)], "discipline string, inserted long"), epoch)
+    log = spark.read.parquet(f"{tmp_path}/log")
+    assert log.count() == 2 and [tuple(r) for r in jobs.latest_per_key(log, ["discipline"]).collect()] == [("d", 7)]
+
+
 def test_normalise_defaults(spark):
     w = spark.createDataFrame([('{"id": 1, "display_name": "", "publication_year": null, '
                                 '"authorships": [{"author": {"display_name": "A"}}, {"author": {}}, '

@@ -1,6 +1,7 @@
 """Ingest: JSON paper batches (S4) and nested API work records.
 
-A batch payload must be a non-empty JSON list of objects; otherwise the whole batch is rejected.
+A batch payload must be a non-empty JSON list of objects whose publish_year, where given, is a whole
+number; otherwise the whole batch is rejected, with a reason.
 Records keep the five fields; a record without the key `source` gets the default source, while
 an explicit `"source": null` stays NULL (the payload is parsed as maps so the two differ).
 """
@@ -22,25 +23,36 @@ def _records(body: Column) -> Column:
     return F.from_json(body, RECORDS)
 
 
+def _reason(body: Column, recs: Column) -> Column:
+    """Why a batch is rejected; NULL when it is accepted."""
+    year = lambda m: m["publish_year"]      # noqa: E731
+    return (F.when(body.isNull() | (F.trim(body) == ""), F.lit("empty payload"))
+            .when(recs.isNull(), F.lit("not a JSON list"))
+            .when(F.size(recs) == 0, F.lit("empty list"))
+            .when(F.exists(recs, lambda m: m.isNull()), F.lit("record is not an object"))
+            .when(F.exists(recs, lambda m: F.coalesce(year(m).isNotNull() & year(m).try_cast("int").isNull(), F.lit(False))),
+                  F.lit("publish_year is not a number")))
+
+
 def batch_status(payloads: DataFrame) -> DataFrame:
     """Per batch: batch_id, accepted, inserted (records landed), reason (NULL when accepted)."""
     recs = _records(F.col("body"))
-    ok = recs.isNotNull() & (F.size(recs) > 0)
-    reason = (F.when(F.col("body").isNull() | (F.trim(F.col("body")) == ""), F.lit("empty payload"))
-              .when(recs.isNull(), F.lit("not a JSON list"))
-              .when(F.size(recs) == 0, F.lit("empty list")))
-    return payloads.select(
-        "batch_id", ok.alias("accepted"),
-        F.when(ok, F.size(recs)).otherwise(F.lit(0)).cast("long").alias("inserted"),
-        F.when(~ok, reason).alias("reason"))
+    told = payloads.select("batch_id", _reason(F.col("body"), recs).alias("reason"), F.size(recs).alias("_n"))
+    ok = F.col("reason").isNull()
+    return told.select("batch_id", ok.alias("accepted"), F.when(ok, F.col("_n")).otherwise(F.lit(0)).cast("long").alias("inserted"), "reason")
+
+
+def rejected_batches(payloads: DataFrame) -> DataFrame:
+    """The batches that land nowhere, whole: batch_id, body, reason."""
+    reason = _reason(F.col("body"), _records(F.col("body")))
+    return payloads.select("batch_id", "body", reason.alias("reason")).where("reason is not null")
 
 
 def ingest_batches(payloads: DataFrame) -> DataFrame:
     """Accepted batches exploded into raw paper rows:
     batch_id, pos (0-based order in the batch), title, discipline, publish_year, authors, source."""
     recs = _records(F.col("body"))
-    good = payloads.select("batch_id", recs.alias("_recs")).filter(
-        F.col("_recs").isNotNull() & (F.size("_recs") > 0))
+    good = payloads.where(_reason(F.col("body"), recs).isNull()).select("batch_id", recs.alias("_recs"))
     rows = good.select("batch_id", F.posexplode("_recs").alias("pos", "_m"))
     m = F.col("_m")
     source = F.when(F.map_contains_key(m, "source"), m["source"]).otherwise(F.lit(vocab.DEFAULT_INGEST_SOURCE))

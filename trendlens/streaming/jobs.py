@@ -1,7 +1,7 @@
 """Structured Streaming jobs: continuous batch ingest, running subject counts, search-log rollup.
 
 All three are restartable: state and progress live in a checkpoint location in the shared folder,
-sinks are idempotent per micro-batch (file sink, or foreachBatch keyed by epoch).
+sinks are idempotent per micro-batch (file sink, or one folder per epoch that a retry overwrites).
 `availableNow` processes everything that has landed and stops, which is what the tests and the
 registered queries use; a long-running deployment passes a processing-time trigger instead.
 """
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trendlens.sources.ingest import ingest_batches
+from trendlens.sources.ingest import ingest_batches, rejected_batches
 
 PAYLOAD_SCHEMA = "batch_id long, body string"
 
@@ -21,16 +21,31 @@ def land_payloads(payloads: DataFrame, landing_dir: str) -> None:
     payloads.write.mode("append").json(landing_dir)
 
 
-def ingest_stream(spark: SparkSession, landing_dir: str) -> DataFrame:
+def payload_stream(spark: SparkSession, landing_dir: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The landed payloads as a stream, at most `files_per_trigger` files in a micro-batch."""
+    reader = spark.readStream.schema(PAYLOAD_SCHEMA)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.json(landing_dir)
+
+
+def ingest_stream(spark: SparkSession, landing_dir: str, files_per_trigger: int | None = None) -> DataFrame:
     """X1 source: landed payloads -> raw paper rows (streaming DataFrame)."""
-    payloads = spark.readStream.schema(PAYLOAD_SCHEMA).json(landing_dir)
-    return ingest_batches(payloads)
+    return ingest_batches(payload_stream(spark, landing_dir, files_per_trigger))
+
+
+def run_rejects(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint: str,
+                trigger: dict | None = None, files_per_trigger: int | None = None):
+    """Append rejected payloads and their reasons to a parquet table (exactly-once file sink)."""
+    return (rejected_batches(payload_stream(spark, landing_dir, files_per_trigger)).writeStream.format("parquet")
+            .option("path", sink_dir).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(**(trigger or {"availableNow": True})).start())
 
 
 def run_ingest(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint: str,
-               trigger: dict | None = None):
+               trigger: dict | None = None, files_per_trigger: int | None = None):
     """Append landed rows to a parquet table (exactly-once file sink)."""
-    q = (ingest_stream(spark, landing_dir).writeStream.format("parquet")
+    q = (ingest_stream(spark, landing_dir, files_per_trigger).writeStream.format("parquet")
          .option("path", sink_dir).option("checkpointLocation", checkpoint)
          .outputMode("append").trigger(**(trigger or {"availableNow": True})).start())
     return q
@@ -38,7 +53,7 @@ def run_ingest(spark: SparkSession, landing_dir: str, sink_dir: str, checkpoint:
 
 def _epoch_sink(out_dir: str):
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.withColumn("_epoch", F.lit(epoch_id)).write.mode("append").parquet(out_dir)
+        batch.write.mode("overwrite").parquet(f"{out_dir}/_epoch={epoch_id}")
     return write
 
 
@@ -49,9 +64,9 @@ def latest_per_key(updates: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def run_subject_counts(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
-                       trigger: dict | None = None):
+                       trigger: dict | None = None, files_per_trigger: int | None = None):
     """Running count of landed rows per discipline (update mode, changelog of updated keys)."""
-    counts = ingest_stream(spark, landing_dir).groupBy("discipline").agg(
+    counts = ingest_stream(spark, landing_dir, files_per_trigger).groupBy("discipline").agg(
         F.count(F.lit(1)).alias("inserted"))
     return (counts.writeStream.outputMode("update").foreachBatch(_epoch_sink(out_dir))
             .option("checkpointLocation", checkpoint)

@@ -20,17 +20,21 @@ from trendlens.sources import tables
 from trendlens.streaming import jobs
 
 
+LANDED_FILES = 3        # the payloads land in about this many files, each its own micro-batch
+
+
 def _land(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
     base = scratch_path(spark, "stream", name)
     landing = f"{base}/landing"
-    jobs.land_payloads(tables.ingest_payloads(pipeline(spark, sf_dir, FIXTURE_PARAMS).raw()), landing)
+    payloads = tables.ingest_payloads(pipeline(spark, sf_dir, FIXTURE_PARAMS).raw())
+    jobs.land_payloads(payloads.repartition(LANDED_FILES, "batch_id"), landing)
     return base, landing
 
 
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed JSON batches -> raw paper rows (file sink, exactly once)."""
     base, landing = _land(spark, sf_dir, "ingest")
-    q = jobs.run_ingest(spark, landing, f"{base}/sink", f"{base}/_checkpoint")
+    q = jobs.run_ingest(spark, landing, f"{base}/sink", f"{base}/_checkpoint", files_per_trigger=1)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/sink")
 
@@ -38,7 +42,7 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_subject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count of landed rows per discipline (its final state)."""
     base, landing = _land(spark, sf_dir, "subjects")
-    q = jobs.run_subject_counts(spark, landing, f"{base}/out", f"{base}/_checkpoint")
+    q = jobs.run_subject_counts(spark, landing, f"{base}/out", f"{base}/_checkpoint", files_per_trigger=1)
     q.awaitTermination()
     return jobs.latest_per_key(spark.read.parquet(f"{base}/out"), ["discipline"])
 
