@@ -13,7 +13,7 @@ from trendlens.functions import vocab
 # Java regex classes; `\s` is ASCII whitespace [ \t\n\x0B\f\r].
 NON_LETTER = r"[^a-zA-Z\s]"
 WHITESPACE = r"\s"
-TRAILING_SPACE = r"\s+$"
+SPACES = " \t\n\x0b\f\r"
 KEYWORD_SEPARATORS = "[,，;；]+"
 EDGE_SPACE = r"^\s+|\s+$"
 
@@ -29,10 +29,12 @@ def clean_title(title: Column) -> Column:
 def tokens(title: Column) -> Column:
     """Split the cleaned title on every single whitespace character. Empty tokens in front and in between
     are kept, those at the end are not; a title of whitespace alone has no token, an empty one has one."""
-    clean = clean_title(title)
-    kept = F.regexp_replace(clean, TRAILING_SPACE, "")
-    none = (kept == "") & (clean != "")
-    return F.when(none, F.array().cast("array<string>")).otherwise(F.split(kept, WHITESPACE))
+    def split(clean: Column) -> Column:
+        kept = F.rtrim(clean, F.lit(SPACES))
+        return F.when((kept == "") & (clean != ""), F.array().cast("array<string>")).otherwise(F.split(kept, WHITESPACE))
+
+    # bound to a lambda variable, so that the cleaning regex runs once per title
+    return F.get(F.transform(F.array(clean_title(title)), split), F.lit(0))
 
 
 def _not_stop(words: tuple[str, ...]):
