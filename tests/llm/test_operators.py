@@ -107,6 +107,25 @@ def test_op2_formats_links_and_permutation(spark, odd, empty):
     assert "Python" not in kept._jdf.queryExecution().toString() and not op2_pii.pseudonymise(empty).collect()
 
 
+def test_op2_values_beside_other_groups(spark):
+    card, amex, odd_groups = "4111 1111 1111 1111", "3782 822463 10005", "41 1111 11111 11111"
+    beside = ["{} 123", "{} 12/25", "item 2 {} paid", "12 34 {}", "{} 504-555-2652", "1 2 3 {} 4 5 6", "{} 4a", "{} {} 7", "AB12 {}", "12 2024-03-01 {}"]
+    ibans = ["BE68 5390 0754 7034 BBRU", "AT61 1904 3002 3457 3201 IBAN", "BE68539007547034 BBRU"]
+    texts = [b.format(c, c) for b in beside for c in (card, amex, odd_groups)] + ["4111-1111-1111-1111-01", *ibans, "1 " * 20_000]
+    got = [r.asDict() for r in op2_pii.pseudonymise(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")).orderBy("doc_id").collect()]
+    alone = [r.text for r in op2_pii.pseudonymise(spark.createDataFrame([(c,) for c in (card, amex, odd_groups, ibans[0][:19], ibans[1][:24])], "text string")).collect()]
+    for k, b in enumerate(beside):
+        for j in (0, 1):                                    # the same pseudonym as alone: the link across documents holds
+            r = got[3 * k + j]
+            assert r["text"].count(alone[j]) == b.count("{}") and r["pii_found"].count("card") == b.count("{}")
+        assert "card" in got[3 * k + 2]["pii_found"]
+    assert [got[3 * beside.index(b)]["pii_found"] for b in ("{} 504-555-2652", "12 2024-03-01 {}")] == [["card", "phone"], ["date", "card"]]
+    assert got[len(texts) - 5]["text"] == alone[0].replace(" ", "-") + "-01"
+    assert [r["text"] for r in got[-4:-1]] == [alone[3] + " BBRU", alone[4] + " IBAN", alone[3].replace(" ", "") + " BBRU"]
+    assert all(r["pii_found"] == ["iban"] for r in got[-4:-1])
+    assert len(got[-1]["text"]) == len(texts[-1])
+
+
 def test_op3_catches_passages_inside_lines(spark, odd, empty):
     rng = random.Random(4)
     words = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(4000)]

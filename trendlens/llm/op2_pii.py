@@ -4,17 +4,21 @@ Numbers and dates are found by pattern, validated, and permuted under a key with
 so a pseudonym is again a valid value, equal values have equal pseudonyms in every document, and
 different values of one kind never meet:
 
-- `card`: 13 to 19 digits with a right Luhn digit; the other digits are permuted, Luhn's is recomputed;
+- `card`: 13 to 19 digits with a right Luhn digit; the other digits are permuted, Luhn's is recomputed; a
+  row of digit groups is searched from every group, so short numbers beside a card don't hide it. Usual
+  groupings go first, since a card with its neighbour passes Luhn by chance one time in ten;
 - `ssn`: ddd-dd-dddd with assignable area, group and serial; permuted among those;
 - `phone`: an optional country code (kept) and ten digits; the ten digits are permuted;
 - `ip`: four octets up to 255; permuted as 32 bits;
 - `date`: a day of 1901 to 2100 as y-m-d, d.m.y, m/d/y (or d/m/y where only that is a date); permuted
   among the days of its century, written the same way;
-- `iban`: right check digits; letters and digits are permuted in their class, check digits recomputed;
+- `iban`: its country's length and right check digits; letters and digits are permuted in their class, check
+  digits recomputed;
 - `email`: letters and digits of the local part are permuted in their class; the domain stays.
 
 Separators and brackets stay where they are; the same value under other separators has the same
-digits. What fails validation stays as it is. Balanced Feistel rounds take a keyed SHA-256 of one
+digits. What fails validation stays as it is; groups beside a card and failed IBANs are read again for other
+kinds. Balanced Feistel rounds take a keyed SHA-256 of one
 half and add it to the other, modulo the half's own size, so every domain is permuted exactly.
 
 Defined cases: a null text stays null, a text without such values is returned unchanged; texts of any
@@ -40,9 +44,27 @@ DATE_YMD = r"(?<![0-9])[0-9]{4}(?<y>[-/.])[0-9]{1,2}\k<y>[0-9]{1,2}(?![0-9])"
 DATE_DMY = r"(?<![0-9])[0-9]{1,2}(?<d>[-/.])[0-9]{1,2}\k<d>[0-9]{4}(?![0-9])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z])"
-ANY = "|".join((EMAIL, IP, DATE_YMD, DATE_DMY, PHONE, SSN, IBAN, CARD))
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban(countries: str, length: int) -> str:
+    fours, left = divmod(length - 4, 4)
+    rest = f" [A-Z0-9]{{{left}}}" if left else ""
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{length - 4}}}|(?: [A-Z0-9]{{4}}){{{fours}}}{rest})"
+
+
+KNOWN = "|".join(_iban(c, n) for n, c in IBAN_LENGTHS.items())
+UNKNOWN = rf"(?!{'|'.join(IBAN_LENGTHS.values()).replace(' ', '|')})[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]{{11,30}}|(?: [A-Z0-9]{{4}}){{2,7}}(?: [A-Z0-9]{{1,3}})?)"
+IBAN = rf"(?<![A-Za-z0-9])(?:{KNOWN}|{UNKNOWN})(?![A-Za-z0-9])"
+# A whole row of digit groups: possessive, so its length costs no stack. Cards are looked for inside.
+CARDS = r"(?<![0-9A-Za-z])(?=[0-9](?:[ -]?[0-9]){12})[0-9]++(?![A-Za-z])(?:[ -][0-9]++(?![A-Za-z]))*+"
+USUAL = r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4}|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5}"
+OTHERS = "|".join((EMAIL, IP, DATE_YMD, DATE_DMY, PHONE, SSN, IBAN))
+ANY = f"{OTHERS}|{CARDS}"
 
 
 def let(value: Column, use) -> Column:
@@ -185,12 +207,16 @@ def mod97(value: Column) -> Column:
     return F.aggregate(F.split(value, ""), F.lit(0), lambda s, c: F.pmod(s * F.when(c.between("0", "9"), 10).otherwise(100) + digit(c), F.lit(97)))
 
 
+def iban_right(chars: Column) -> Column:
+    return mod97(F.concat(F.substr(chars, F.lit(5)), chars.substr(1, 4))) == 1
+
+
 def iban(m: Column, key: str) -> Column:
     chars = keep(m, " ")
     country, rest = chars.substr(1, 2), F.substr(chars, F.lit(5))
     check = lambda x: F.lpad((98 - mod97(F.concat(x, country, F.lit("00")))).cast("string"), 2, "0")
     new = let(feistel_text(rest, key, "iban"), lambda x: F.concat(country, check(x), x))
-    return F.when(mod97(F.concat(rest, chars.substr(1, 4))) == 1, let(new, lambda x: laid_over(m, x, " ")))
+    return F.when(iban_right(chars), let(new, lambda x: laid_over(m, x, " ")))
 
 
 def email(m: Column, key: str) -> Column:
@@ -205,30 +231,77 @@ def kind_of(m: Column) -> Column:
             .when(whole(PHONE), "phone").when(whole(SSN), "ssn").when(whole(IBAN), "iban").otherwise("card"))
 
 
-def replacement(m: Column, key: str) -> Column:
-    """struct(kind, new): new is null where validation fails."""
-    by = {"email": email, "ip": ip, "date": date, "phone": phone, "ssn": ssn, "iban": iban, "card": card}
+def part(kind: Column, text: Column) -> Column:
+    return F.struct(kind.alias("kind"), text.alias("text"))
+
+
+def labelled(text: Column, pattern: str, use) -> Column:
+    """A text in parts, struct(kind, text): its gaps (of no kind) and use(match), an array of parts, of each match."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), 0), use)
+    gap = lambda g: F.array(part(F.lit(""), g))
+    return let(found, lambda d: F.flatten(F.transform(F.split(text, pattern, -1), lambda g, i: F.when(i < F.size(d), F.concat(gap(g), F.get(d, i))).otherwise(gap(g)))))
+
+
+def card_parts(m: Column) -> Column:
+    """A row of digit groups in parts, struct(kind, text). From each group on, a valid card in a usual grouping is
+    taken, else the longest valid one of whole groups that doesn't run into a usual one."""
 
-    def choose(kind: Column) -> Column:
-        new = F.when(kind == KINDS[0], by[KINDS[0]](m, key))
-        for name in KINDS[1:]:
-            new = new.when(kind == name, by[name](m, key))
-        return F.struct(kind.alias("kind"), new.alias("new"))
+    def parts(groups: Column, seps: Column) -> Column:
+        span = lambda i, n: F.array_join(F.transform(F.slice(groups, i + 1, n), lambda g, k: F.concat(
+            g, F.when(k < n - 1, F.get(seps, i + k)).otherwise(""))), "")
+        valid = lambda i: F.filter(F.sequence(F.lit(1), F.least(F.lit(19), F.size(groups) - i)), lambda n: let(
+            F.array_join(F.slice(groups, i + 1, n), ""), lambda d: F.when(F.length(d).between(13, 19), luhn(d) % 10 == 0).otherwise(False)))
+        usual = lambda i, found: F.coalesce(F.array_max(F.filter(found, lambda n: span(i, n).rlike(f"^(?:{USUAL})$"))), F.lit(0))
+        at = F.transform(groups, lambda g, i: let(valid(i), lambda found: F.struct(
+            usual(i, found).alias("usual"), F.coalesce(F.array_max(found), F.lit(0)).alias("any"))))
 
-    return let(kind_of(m), choose)
+        def walk(at: Column) -> Column:
+            start = F.struct(F.lit(0).alias("next"), F.lit("").alias("plain"), F.array().cast("array<struct<kind:string,text:string>>").alias("parts"))
+
+            def size(i: Column) -> Column:
+                a = F.get(at, i)
+                free = ~F.exists(F.slice(at, i + 2, F.greatest(a["any"] - 1, F.lit(0))), lambda x: x["usual"] > 0)
+                return F.when(a["usual"] > 0, a["usual"]).when((a["any"] > 0) & free, a["any"]).otherwise(0)
+
+            def step(s: Column, i: Column) -> Column:
+                take = lambda n: F.struct((i + n).alias("next"), F.coalesce(F.get(seps, i + n - 1), F.lit("")).alias("plain"),
+                                          F.concat(s["parts"], F.array(part(F.lit(""), s["plain"]), part(F.lit("card"), span(i, n)))).alias("parts"))
+                skip = F.struct((i + 1).alias("next"), F.concat(s["plain"], F.get(groups, i), F.coalesce(F.get(seps, i), F.lit(""))).alias("plain"), s["parts"].alias("parts"))
+                return F.when(i < s["next"], s).otherwise(let(size(i), lambda n: F.when(n > 0, take(n)).otherwise(skip)))
+
+            return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda s: F.concat(s["parts"], F.array(part(F.lit(""), s["plain"]))))
+
+        return let(at, walk)
+
+    return let(F.regexp_extract_all(m, F.lit("[0-9]+"), 0), lambda g: let(F.regexp_extract_all(m, F.lit("[^0-9]"), 0), lambda s: parts(g, s)))
+
+
+def parts_of(text: Column) -> Column:
+    """A text in parts, struct(kind, text); kinds are of form, validation is to come."""
+    single = lambda m: F.array(part(kind_of(m), m))
+    cards = lambda m: F.flatten(F.transform(card_parts(m), lambda p: F.when(p["kind"] == "card", F.array(p)).otherwise(labelled(p["text"], OTHERS, single))))
+    again = lambda m, kind: (kind == "card") | (kind == "iban") & ~let(keep(m, " "), iban_right)
+    return labelled(text, ANY, lambda m: let(kind_of(m), lambda kind: F.when(again(m, kind), labelled(m, CARDS, cards)).otherwise(F.array(part(kind, m)))))
+
+
+def replacement(p: Column, key: str) -> Column:
+    """struct(kind, new) of a part: new is null where there is no kind or validation fails."""
+    by = {"email": email, "ip": ip, "date": date, "phone": phone, "ssn": ssn, "iban": iban, "card": card}
+    kind, m = p["kind"], p["text"]
+    new = F.when(kind == KINDS[0], by[KINDS[0]](m, key))
+    for name in KINDS[1:]:
+        new = new.when(kind == name, by[name](m, key))
+    return F.struct(kind.alias("kind"), new.alias("new"))
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, found: str = "pii_found") -> DataFrame:
     """`docs` with personal data in `text` replaced, and a column `found`: the kinds replaced, in order."""
     text = F.col("text")
-    matches = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(ANY), 0)).otherwise(F.array().cast("array<string>"))
-    out = docs.withColumn("__pii_match", matches)
-    out = out.withColumn("__pii_done", F.transform("__pii_match", lambda m: replacement(m, key)))
-    gaps = F.split(text, ANY, -1)
-    joined = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(
-        F.get(F.col("__pii_done"), i)["new"], F.get(F.col("__pii_match"), i), F.lit("")))), "")
+    out = docs.withColumn("__pii_part", F.when(text.rlike("[0-9@]"), parts_of(text)).otherwise(F.array().cast("array<struct<kind:string,text:string>>")))
+    out = out.withColumn("__pii_done", F.transform("__pii_part", lambda p: replacement(p, key)))
+    joined = F.array_join(F.transform("__pii_part", lambda p, i: F.coalesce(F.get(F.col("__pii_done"), i)["new"], p["text"])), "")
     kinds = F.transform(F.filter("__pii_done", lambda x: x["new"].isNotNull()), lambda x: x["kind"])
-    return out.withColumns({"text": F.when(F.size("__pii_match") > 0, joined).otherwise(text), found: kinds}).drop("__pii_match", "__pii_done")
+    return out.withColumns({"text": F.when(F.size("__pii_part") > 1, joined).otherwise(text), found: kinds}).drop("__pii_part", "__pii_done")
 
 
 def op2_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
