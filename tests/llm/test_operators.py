@@ -144,6 +144,29 @@ def test_op3_catches_passages_inside_lines(spark, odd, empty):
     assert not op3_paragraphs.repeated_paragraphs(empty).collect()
 
 
+def test_op3_grows_matches_and_compares_paragraphs(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    line = lambda n: " ".join(word() for _ in range(n))
+    rows, want = [], {}
+    for k in range(0, 400, 2):                              # exact passages of 20 to 40 words inside lines; every second one with a paragraph changed in its middle
+        passage = line(rng.randrange(20, 41) if k % 4 else 60).split()
+        other = passage if k % 4 else [*passage[:30], word(), *passage[31:]]
+        sep = " " if k % 4 else "\n"
+        for d, p in ((k, passage), (k + 1, other)):
+            left, mine = line(60), " ".join(p)
+            rows.append((d, f"{left}{sep}{mine}{sep}{line(60)}"))
+            want[d] = [(len(left) + 1, len(left) + 1 + len(mine))]
+    got = {}
+    for r in op3_paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    texts = dict(rows)
+    for d, [(start, end)] in want.items():
+        mine = sorted(got[d], key=lambda r: r.start)
+        assert (mine[0].start, mine[-1].end) == (start, end) and all(a.end + 1 == b.start for a, b in zip(mine, mine[1:]))
+        assert all(r.removed == bool(d % 2) and len(texts[d][r.start:r.end].split()) == r.words for r in mine)
+
+
 def test_op3_verification_equals_exact_jaccard(spark, monkeypatch):
     rng = random.Random(6)
     sets = []

@@ -4,15 +4,23 @@ Repeated passages stand inside longer lines, so a paragraph here is a content-de
 sequence: a cut follows each word whose hash with its successor is the smallest of REACH neighbours on
 either side. The cuts inside a passage are the same wherever it stands; pieces have about 2 * REACH words.
 
-Pieces with equal words are one class. Classes are compared by shingles of five words: BANDS bands of one
-MinHash row each (tuned for recall: a pair at the threshold 0.8 is missed with 0.2 ^ 4 = 0.16 %), classes that
-share a band value are brought together, and the exact Jaccard of their shingle sets is verified at
+Paragraphs as written, the text between line breaks, are units too; one of over LONG words is split at cuts of
+a wider reach. Units with equal words are one class. Classes of paragraphs are compared by shingles of five words: BANDS
+bands of one MinHash row each (tuned for recall: a pair at the threshold 0.8 is missed with 0.2 ^ 4 = 0.16 %), classes
+that share a band value are brought together, and the exact Jaccard of their shingle sets is verified at
 0.8 or more. A bucket of over CELL classes is dealt to a grid of cells so that every pair still meets in some
-cell and no task holds more than two CELLs. Linked classes form components.
+cell and no task holds more than two CELLs. Linked classes form components. Pieces are too short for this: one changed
+word is over the threshold, and one foreign word at an edge is not. They match by equal words.
 
-A piece whose component occurs in more than one document is repeated. Neighbouring repeated pieces make a run; runs of
-at least MIN_WORDS words are reported, one row per piece. The first occurrence (smallest doc_id, then
-place) is kept, all others are marked `removed`.
+Matches grow to the full shared stretch of words, wherever its pieces are cut: of each MIN_WORDS - ANCHOR + 1
+neighbouring shingles of ANCHOR words the smallest is an anchor, so a shared stretch of MIN_WORDS words holds a
+shared anchor, and around these all windows of MIN_WORDS words are compared exactly. The component of a stretch is
+the stretch of first occurrences it leads to. A stretch that adds under SHINGLE words to a longer one is left out: it
+is the word beside a passage that some copies share by chance, and it stays in all of them.
+
+A unit or window whose component occurs in more than one document is repeated. Neighbouring repeated words make a
+run; runs of at least MIN_WORDS words are reported, one row per part of equal component and state; `piece` is the
+number of the part's first word. The first occurrence (smallest doc_id, then place) is kept, all others are `removed`.
 
 Defined cases: null, empty and short texts have no pieces to report; a piece of fewer than five words has one
 shingle, all of it; a null doc_id is left out; repeated rows count as occurrences; an empty table gives an
@@ -21,6 +29,7 @@ empty result; other input columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -39,7 +48,11 @@ SIMILARITY = 0.8
 BANDS = 4
 CELL = 400
 MIN_WORDS = 20
+ANCHOR = 8
+LONG, WIDE = 128, 48        # paragraphs of more words are split, by cuts of this reach
+GRID = 8192                 # shingles compared at a time in a cell
 WORD = re.compile(r"\S+")
+BREAK = re.compile(r"[\r\n]")
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 LAST = np.uint64((1 << 64) - 1)
@@ -50,14 +63,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def cuts(h: np.ndarray) -> np.ndarray:
+def cuts(h: np.ndarray, reach: int = REACH) -> np.ndarray:
     """Index after which a piece ends, without the last word's."""
     if len(h) < 2:
         return np.empty(0, np.int64)
     pair = mixed(h[:-1] * PRIME + h[1:])
-    wide = np.concatenate([np.full(REACH, LAST), pair, np.full(REACH, LAST)])
-    view = np.lib.stride_tricks.sliding_window_view(wide, 2 * REACH + 1)
-    before, after = view[:, :REACH].min(axis=1), view[:, REACH + 1:].min(axis=1)
+    wide = np.concatenate([np.full(reach, LAST), pair, np.full(reach, LAST)])
+    view = np.lib.stride_tricks.sliding_window_view(wide, 2 * reach + 1)
+    before, after = view[:, :reach].min(axis=1), view[:, reach + 1:].min(axis=1)
     return np.flatnonzero((pair < before) & (pair <= after))
 
 
@@ -70,6 +83,34 @@ def pieces(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray, np
     return h, spans, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends
 
 
+def paragraphs(text: str, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and past-last word of each paragraph of at least SHINGLE words."""
+    line = np.searchsorted(np.array([m.start() for m in BREAK.finditer(text)], np.int64), at)
+    borders = np.concatenate([[0], np.flatnonzero(line[1:] != line[:-1]) + 1, [len(h)]]).astype(np.int64)
+    more = [a + cuts(h[a:b], WIDE) + 1 for a, b in zip(borders[:-1], borders[1:], strict=True) if b - a > LONG]
+    borders = np.unique(np.concatenate([borders, *more]))
+    enough = borders[1:] - borders[:-1] >= SHINGLE
+    return borders[:-1][enough], borders[1:][enough]
+
+
+def grams(h: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all windows of `size` words."""
+    n = max(len(h) - size + 1, 0)
+    out = h[:n].copy()
+    for k in range(1, size) if n else ():
+        out = mixed(out * PRIME + h[k:k + n])
+    return mixed(out)
+
+
+def anchors(h: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of a text's anchors: each window of min_words words holds one, told by its words alone."""
+    g, wide = grams(h, ANCHOR), max(min_words - ANCHOR + 1, 1)
+    if len(g) < wide:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    at = np.unique(np.lib.stride_tricks.sliding_window_view(g, wide).argmin(axis=1) + np.arange(len(g) - wide + 1))
+    return at, g[at].view(np.int64)
+
+
 def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """32-bit shingle hashes of all pieces of a text, piece after piece, and how many each has."""
     n = len(h) - SHINGLE + 1
@@ -90,34 +131,125 @@ def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.nda
     return (mixed(out) >> np.uint64(32)).astype(np.uint32).view(np.int32), counts
 
 
-def units(docs: DataFrame) -> DataFrame:
-    """doc_id, piece, start, end (code points), words, unit (hash of the words), sh (shingles) of all whole texts."""
+def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, row (hash of the text), first and past (words), start, end (code points), before and after (the end of the word before, the start of the word after), unit (hash of the words), sh
+    (shingles, of paragraphs only) of all pieces and paragraphs of whole texts; a text's first row has its anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "piece", "start", "end", "words", "unit", "sh"]
+        names = ["doc_id", "row", "first", "past", "start", "end", "before", "after", "unit", "sh", "anchors"]
+        lists = lambda sizes, flat: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)), pa.array(np.concatenate(flat)))
         for batch in batches:
-            cols: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.int32, np.int32, np.int32, np.int32, np.int64)]
-            flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+            cols: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.int64, *[np.int32] * 6, np.int64)]
+            flat, sizes, marks, n_marks = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 text = value.as_py() or ""
                 if doc_id is None:
                     continue
-                h, spans, first, past = pieces(text)
+                h, spans, *cut = pieces(text)
                 if not len(h):
                     continue
                 at = np.array(spans)
-                place = np.arange(len(h)) - np.repeat(first, past - first)
-                unit = mixed(np.add.reduceat(mixed(h + place.astype(np.uint64) * PRIME), first) + (past - first).astype(np.uint64))
-                sh, counts = shingles(h, first, past)
-                for column, got in zip(cols, (np.full(len(first), doc_id), np.arange(len(first)), at[first, 0], at[past - 1, 1], past - first, unit.view(np.int64)), strict=True):
-                    column.append(got.astype(column[0].dtype))
-                flat.append(sh)
-                sizes.append(counts)
-            ends = np.cumsum(np.concatenate(sizes))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate(flat)))
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in cols), lists], names)
+                row, mark = row_key(text), np.unique(anchors(h, min_words)[1])
+                for near, (first, past) in enumerate((cut, paragraphs(text, h, at[:, 0]))):
+                    if not len(first):
+                        continue
+                    inside = np.repeat(first - (np.cumsum(past - first) - (past - first)), past - first) + np.arange((past - first).sum())
+                    place = inside - np.repeat(first, past - first)
+                    sums = np.add.reduceat(mixed(h[inside] + place.astype(np.uint64) * PRIME), np.cumsum(past - first) - (past - first))
+                    unit = mixed(sums + (past - first).astype(np.uint64))
+                    sh, counts = shingles(h, first, past) if near else (flat[0], np.zeros(len(first), np.int64))
+                    for column, got in zip(cols, (np.full(len(first), doc_id), np.full(len(first), row), first, past, *offsets(at, first, past), unit.view(np.int64)), strict=True):
+                        column.append(got.astype(column[0].dtype))
+                    flat.append(sh)
+                    sizes.append(counts)
+                    marks.append(mark)
+                    n_marks.append(np.concatenate([[len(mark)], np.zeros(len(first) - 1, np.int64)]))
+                    mark = mark[:0]
+            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in cols), lists(sizes, flat), lists(n_marks, marks)], names)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, row long, first int, past int, start int, end int, before int, after int, unit long, sh array<int>, anchors array<long>")
+
+
+def offsets(at: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Code points: start, end, end of the word before, start of the word after (own borders where there is none)."""
+    return (at[first, 0], at[past - 1, 1], np.where(first > 0, at[first - 1, 1], at[first, 0]),
+            np.where(past < len(at), at[np.minimum(past, len(at) - 1), 0], at[past - 1, 1]))
+
+
+def row_key(text: str) -> np.int64:
+    return np.uint64(xxhash.xxh64_intdigest(text)).view(np.int64)
+
+
+def windows(docs: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, row, first, past, start, end, before, after, gram (hash) of all windows of min_words words around shared anchors."""
+    size = max(min_words, ANCHOR)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "row", "first", "past", "start", "end", "before", "after", "gram"]
+        for batch in batches:
+            cols: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.int64, *[np.int32] * 6, np.int64)]
+            for doc_id, value, shared in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                text = value.as_py() or ""
+                h, spans, *_ = pieces(text)
+                places, marks = anchors(h, min_words)
+                places = places[np.isin(marks, shared.values.to_numpy())]
+                if not len(places):
+                    continue
+                first = np.unique(places[:, None] - np.arange(size - ANCHOR + 1))
+                first = first[(first >= 0) & (first + size <= len(h))]
+                at = np.array(spans)
+                got = np.full(len(first), doc_id), np.full(len(first), row_key(text)), first, first + size, *offsets(at, first, first + size), grams(h, size)[first].view(np.int64)
+                for column, x in zip(cols, got, strict=True):
+                    column.append(x.astype(column[0].dtype))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names)
+
+    marks = found.where(F.size("anchors") > 0).select("doc_id", F.explode("anchors").alias("anchor"))
+    shared = marks.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a != b").select("anchor")
+    of_doc = marks.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+    return docs.select("doc_id", "text").join(of_doc, "doc_id").select("doc_id", "text", "anchors").mapInArrow(
+        run, "doc_id long, row long, first int, past int, start int, end int, before int, after int, gram long")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, piece int, start int, end int, words int, unit long, sh array<int>")
+def stretches(found: DataFrame) -> DataFrame:
+    """The windows that stand in several documents, with component_id, copies and removed."""
+    classes = found.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("lead"), F.max("doc_id").alias("last_doc"))
+    classes = classes.where("lead.doc_id != last_doc")
+    of_lead = Window.partitionBy("lead.doc_id", "lead.row").orderBy("lead.first")
+    classes = classes.withColumn("island", F.col("lead.first") - F.row_number().over(of_lead))
+    of_island = Window.partitionBy("lead.doc_id", "lead.row", "island")
+    classes = classes.select("gram", "lead", F.xxhash64("lead.doc_id", "lead.row", "island").alias("component_id"), F.max("n").over(of_island).alias("copies"))
+    return found.join(classes, "gram").withColumn("removed", F.struct("doc_id", "row", "first") != F.col("lead"))
+
+
+def parts(spans: list[tuple], min_words: int) -> list[tuple]:
+    """(first, past, rank, component_id, copies, removed) that may overlap -> (first, past, component_id, copies, removed)
+    of runs that don't: the lowest rank names the component, and what any span removes is removed."""
+    borders = sorted({x for s in spans for x in (s[0], s[1])})
+    index = {x: i for i, x in enumerate(borders)}
+    gone = [0] * (len(borders) + 1)
+    heap: list[tuple] = []
+    for s in spans:
+        if s[5]:
+            gone[index[s[0]]] += 1
+            gone[index[s[1]]] -= 1
+    todo, k, level, runs = sorted(spans), 0, 0, []
+    for i, x in enumerate(borders[:-1]):
+        level += gone[i]
+        while k < len(todo) and todo[k][0] == x:
+            heapq.heappush(heap, (todo[k][2], todo[k][0], todo[k][1], todo[k][3], todo[k][4]))
+            k += 1
+        while heap and heap[0][2] <= x:
+            heapq.heappop(heap)
+        if not heap:
+            continue
+        got = [x, borders[i + 1], heap[0][3], heap[0][4], level > 0]
+        if not runs or runs[-1][-1][1] != x:
+            runs.append([got])
+        elif runs[-1][-1][2:] == got[2:]:
+            runs[-1][-1][1] = got[1]
+        else:
+            runs[-1].append(got)
+    return [(a, b, c, n, removed) for run in runs if run[-1][1] - run[0][0] >= min_words for a, b, c, n, removed in run]
 
 
 def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +273,8 @@ def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = [(last_value, last_unit)]
         many = bool(same[-1])
         last_value, last_unit = int(v[-1]), int(u[-1])
-        out_v, out_u = np.concatenate([[x[0] for x in held], v[keep]]).astype(np.int64), np.concatenate([[x[1] for x in held], u[keep]]).astype(np.int64)
+        first = np.array(held, np.int64).reshape(-1, 2)         # an empty list would make it all floats, and hashes lose bits
+        out_v, out_u = np.concatenate([first[:, 0], v[keep]]), np.concatenate([first[:, 1], u[keep]])
         held = []
         yield pa.RecordBatch.from_arrays([pa.array(out_v), pa.array(out_u)], ["value", "unit"])
 
@@ -151,10 +284,17 @@ def _verified(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.drop_duplicates("unit").sort_values("unit")
     ids, sets = pdf["unit"].to_numpy(), [np.asarray(s) for s in pdf["sh"]]
     _, cols = np.unique(np.concatenate(sets), return_inverse=True)
-    grid = np.zeros((len(ids), cols.max() + 1), np.float32)
-    grid[np.repeat(np.arange(len(ids)), [len(s) for s in sets]), cols] = 1
-    sizes = grid.sum(axis=1)
-    both = grid @ grid.T
+    cells = np.unique(cols.astype(np.int64) * len(ids) + np.repeat(np.arange(len(ids)), [len(s) for s in sets]))
+    cols, rows = cells // len(ids), cells % len(ids)
+    sizes = np.bincount(rows, minlength=len(ids)).astype(np.float32)
+    use = np.bincount(cols)[cols] > 1                       # a shingle of one class is in no intersection
+    _, cols = np.unique(cols[use], return_inverse=True)
+    rows, both = rows[use], np.zeros((len(ids), len(ids)), np.float32)
+    for low in range(0, int(cols.max()) + 1 if len(cols) else 0, GRID):
+        a, b = np.searchsorted(cols, [low, low + GRID])
+        grid = np.zeros((len(ids), GRID), np.float32)
+        grid[rows[a:b], cols[a:b] - low] = 1
+        both += grid @ grid.T
     near = both >= SIMILARITY * (sizes[:, None] + sizes[None] - both) - 1e-6
     forest = Forest(len(ids))
     for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
@@ -177,22 +317,60 @@ def link_units(found: DataFrame) -> DataFrame:
     return dealt.groupBy("value", "to.i", "to.j").applyInPandas(_verified, "a long, b long")
 
 
+def without_chance(spans: list[tuple]) -> list[tuple]:
+    """The spans without stretches that add under SHINGLE words to the longer ones: the word beside a passage that
+    some of its copies share by chance."""
+    covered = np.zeros(max(s[1] for s in spans), bool)
+    out = [s for s in spans if s[6] == 0]
+    for s in sorted((s for s in spans if s[6]), key=lambda s: (s[0] - s[1], s)):
+        new = s[1] - s[0] - int(covered[s[0]:s[1]].sum())
+        if new == 0 or new >= SHINGLE:
+            out.append(s)
+            covered[s[0]:s[1]] = True
+    return out
+
+
+def _reported(min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "piece", "start", "end", "words", "component_id", "copies", "removed"]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+        for batch in batches:
+            for doc_id, spans in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                spans = without_chance([tuple(x.values()) for x in spans.as_py()])
+                start = {s[1]: s[5] for s in spans} | {s[0]: s[2] for s in spans}     # a part may begin where a span ends
+                end = {s[0]: s[4] for s in spans} | {s[1]: s[3] for s in spans}
+                rows = [(doc_id, a, b, c, n, gone) for a, b, c, n, gone in parts([(s[0], s[1], *s[6:]) for s in spans], min_words)]
+                rows = [(d, a, start[a], end[b], b - a, c, n, gone) for d, a, b, c, n, gone in rows]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+    return run
+
+
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, piece, start, end, words, component_id, copies, removed of every piece in a repeated run."""
-    found = materialise(units(docs), "paragraphs")
-    groups = connected_components(materialise(link_units(found), "paragraph-links"), "a", "b")
-    counts = found.groupBy("unit").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "piece")).alias("first"), F.max("doc_id").alias("last_doc"))
+    """doc_id, piece, start, end, words, component_id, copies, removed of every part of a repeated run."""
+    found = materialise(units(docs, min_words), "paragraphs")
+    shared = materialise(windows(docs, found, min_words), "paragraph-windows")
+    groups = connected_components(materialise(link_units(found.where(F.size("sh") > 0)), "paragraph-links"), "a", "b")
+    counts = found.groupBy("unit").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("lead"), F.max("doc_id").alias("last_doc"))
     counts = counts.join(groups.withColumnRenamed("node", "unit"), "unit", "left").where("n > 1 or component is not null")
-    counts = materialise(counts.select("unit", F.coalesce("component", "unit").alias("component_id"), "n", "first", "last_doc"), "paragraph-classes")
-    whole = counts.groupBy("component_id").agg(F.sum("n").alias("copies"), F.min("first").alias("first"), F.max("last_doc").alias("last_doc"))
-    whole = whole.where("first.doc_id != last_doc").drop("last_doc")
+    counts = materialise(counts.select("unit", F.coalesce("component", "unit").alias("component_id"), "n", "lead", "last_doc"), "paragraph-classes")
+    whole = counts.groupBy("component_id").agg(F.sum("n").alias("copies"), F.min("lead").alias("lead"), F.max("last_doc").alias("last_doc"))
+    whole = whole.where("lead.doc_id != last_doc").drop("last_doc")
     of_unit = counts.select("unit", "component_id").join(whole, "component_id")
-    rows = found.drop("sh").join(of_unit, "unit")
-    of_doc = Window.partitionBy("doc_id").orderBy("piece")
-    rows = rows.withColumn("run", F.col("piece") - F.dense_rank().over(of_doc))
-    rows = rows.withColumn("run_words", F.sum("words").over(Window.partitionBy("doc_id", "run"))).where(F.col("run_words") >= min_words)
-    return rows.select("doc_id", "piece", "start", "end", "words", "component_id", "copies",
-                       (F.struct("doc_id", "piece") != F.col("first")).alias("removed"))
+    rows = found.drop("sh", "anchors").join(of_unit, "unit").withColumn("removed", F.struct("doc_id", "row", "first") != F.col("lead"))
+    span = lambda rank: F.struct("first", "past", "start", "end", "before", "after", F.lit(rank).alias("rank"), "component_id", "copies", "removed").alias("span")
+    spans = rows.select("doc_id", "row", span(0)).unionByName(_merged(stretches(shared)).select("doc_id", "row", span(1)))
+    of_text = spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")).select("doc_id", "spans")
+    return of_text.mapInArrow(_reported(min_words), "doc_id long, piece int, start int, end int, words int, component_id long, copies long, removed boolean")
+
+
+def _merged(windows: DataFrame) -> DataFrame:
+    """Windows at neighbouring places, alike in component and state, as one span."""
+    alike = ["doc_id", "row", "component_id", "copies", "removed"]
+    rows = windows.withColumn("island", F.col("first") - F.dense_rank().over(Window.partitionBy(*alike).orderBy("first")))
+    ends = [F.min("first").alias("first"), F.max("past").alias("past"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("after").alias("after")]
+    return rows.groupBy(*alike, "island").agg(*ends)
 
 
 def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
