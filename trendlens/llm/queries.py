@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and DuckDB SQL where SQL expresses one."""
 
-from trendlens.llm import op1_covertree, op2_pii, op3_paragraphs, op4_secrets, op5_mixing, op6_sharding, op7_bpe, op8_language, op9_simhash, op10_fingerprints, op13_blocks
+from trendlens.llm import op1_covertree, op2_pii, op3_paragraphs, op4_secrets, op5_mixing, op6_sharding, op7_bpe, op8_language, op9_simhash, op10_fingerprints, op11_prefix_trie, op13_blocks
 
 QUERIES = {f.__name__: f for f in (
     op1_covertree.op1_cover_trees,
@@ -13,9 +13,11 @@ QUERIES = {f.__name__: f for f in (
     op8_language.op8_cross_parsing,
     op9_simhash.op9_simhash_bktrees,
     op10_fingerprints.op10_piecewise_hashing,
+    op11_prefix_trie.op11_prefix_trie,
     op13_blocks.op13_block_naming,
 )}
 
 ORACLE: dict[str, str] = {
+    "op11_prefix_trie": op11_prefix_trie.OP11_SQL,
     "op13_block_naming": op13_blocks.OP13_SQL,
 }
