@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,18 @@ def text_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+@contextmanager
+def whole_texts(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Arrow batches of at most `rows` rows while the block runs; the session's own size is put back behind it.
+    For steps that run inside the block, such as `materialise`."""
+    before = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, before)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write a step's rows once as Parquet in the shared folder and read them back. A lost executor
     then recomputes from this table and never from the raw input."""

@@ -1,6 +1,6 @@
 """The registered queries of this subpackage, and DuckDB SQL where SQL expresses one."""
 
-from trendlens.llm import op1_covertree, op2_pii, op3_paragraphs, op4_secrets, op5_mixing, op6_sharding, op7_bpe, op8_language, op9_simhash, op10_fingerprints, op11_prefix_trie, op13_blocks
+from trendlens.llm import op1_covertree, op2_pii, op3_paragraphs, op4_secrets, op5_mixing, op6_sharding, op7_bpe, op8_language, op9_simhash, op10_fingerprints, op11_prefix_trie, op12_alignment, op13_blocks
 
 QUERIES = {f.__name__: f for f in (
     op1_covertree.op1_cover_trees,
@@ -14,6 +14,7 @@ QUERIES = {f.__name__: f for f in (
     op9_simhash.op9_simhash_bktrees,
     op10_fingerprints.op10_piecewise_hashing,
     op11_prefix_trie.op11_prefix_trie,
+    op12_alignment.op12_token_incidence,
     op13_blocks.op13_block_naming,
 )}
 
