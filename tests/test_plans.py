@@ -21,10 +21,18 @@ def test_top_k_cut_before_shuffle(spark):
 
 
 def test_counts_combine_map_side(spark):
-    for name in ("word_freq", "item_support", "assoc_rules"):
+    for name in ("word_freq", "item_support", "pair_counts"):
         assert "partial_count" in _plan(catalog.QUERIES[name](spark, SF001)), name
 
 
+def test_pair_counting_leaves_partitions_and_broadcasts_to_the_planner(spark):
+    """No fixed partition count, no forced broadcast and no checkpointed data inside the plan."""
+    counts = catalog.QUERIES["pair_counts"](spark, SF001)
+    assert "REPARTITION_BY_NUM" not in _plan(counts) and "REPARTITION_BY_COL" in _plan(counts)
+    assert "hint" not in counts._jdf.queryExecution().analyzed().toString().lower()
+    assert "ExistingRDD" not in _plan(counts)
+
+
 def test_hot_title_dedups_to_lowest_id(spark):
     """A title shared by a third of the rows: one survivor, the lowest id; the rest untouched."""
     n = 3000

@@ -33,6 +33,33 @@ def test_same_rules_as_fpgrowth(spark):
     assert max(abs(ours[k] - theirs[k]) for k in ours) < 1e-12
 
 
+def test_wide_baskets_in_work_units(spark, monkeypatch):
+    """Baskets of up to 40 blocks, one that holds a third of all occurrences: the pairs of a plain double loop."""
+    monkeypatch.setattr(rules, "BLOCK", 5)
+    sizes = [0, 1, 2, 5, 6, 11, 200, 3, 37]
+    rows = [(i, [f"w{(7 * i + k) % 211:03d}" for k in range(n)]) for i, n in enumerate(sizes)]
+    b = spark.createDataFrame(rows, "basket_id long, items array<string>")
+    got = {(r["a"], r["b"]): r["pair_count"] for r in rules.pair_support(b, Params(min_support=0.01)).collect()}
+    want = {}
+    for _, items in rows:
+        for x in items:
+            for y in items:
+                if x != y:
+                    want[x, y] = want.get((x, y), 0) + 1
+    assert got == want
+
+
+def test_written_items_give_the_same_pairs(spark, tmp_path):
+    """Numbered items read back from a table (the job's way) against items that stand for themselves."""
+    rows = [(i, [f"w{k}" for k in range(30) if (i * k) % 7 < 3]) for i in range(40)]
+    b = spark.createDataFrame(rows, "basket_id long, items array<string>")
+    p = Params(min_support=0.2, min_confidence=0.3)
+    rules.numbered(rules.frequent_items(b, p)).write.parquet(str(tmp_path / "items"))
+    items = spark.read.parquet(str(tmp_path / "items"))
+    got = sorted(map(tuple, rules.rules_of(rules.pair_counts(b, items, p), items, p).collect()))
+    assert got and got == sorted(map(tuple, rules.assoc_rules(b, p).collect()))
+
+
 def test_top_rules_cap_and_order(spark):
     p = Params(rules_per_source=2)
     r = spark.createDataFrame([("s", "t1", 0.5), ("s", "t2", 0.9), ("s", "t3", 0.9), ("u", "t", 0.3)],

@@ -10,17 +10,23 @@ without mining larger itemsets:
   n(a, b)    = baskets containing a and b       (frequent when >= min_count)
   rule a->b  : n(a, b) >= min_count and n(a, b) / support(a) >= min_confidence
 
-Plan: frequent items get unique long ids, are checkpointed and are broadcast (only after their
-row count is checked, else a shuffle join is used); each basket's items are pruned to frequent ids
-with that broadcast join and regrouped per basket (a shuffle of frequent occurrences only); each
-unordered pair is emitted once (x < y) and `groupBy(x, y).count()` pre-aggregates two longs on the
-map side before its shuffle; the counts are then mirrored into both rule directions.
-
-Cost: the pairs of one basket are the pairs of frequent items inside one document, so they are
-bounded by that document's own frequent vocabulary; the total is the sum over baskets of
-(frequent items in the basket)^2, linear in the number of baskets. This is exactly the count the
-rules are defined by (FP-Growth builds the same supports). A hot item (a discipline is in a fifth
-of all baskets) only adds partial-aggregate rows, never a skewed task.
+Plan, in three steps that the job writes as tables, so that the pair and the rule query share them:
+
+  frequent items   partial counts per item; the job numbers them, so pairs hash two longs
+  pair counts      occurrences of frequent items -> one sorted id array per basket -> work units
+                   (basket, block i, block j) -> pairs -> partial counts per (x, y)
+  rules            the counts mirrored into both directions, beside the two items' supports
+
+A work unit holds two blocks of at most BLOCK ids and makes at most BLOCK^2 pairs, each unordered pair
+(x < y) once. Units are dealt by the hash of (basket, i, j), so a document with tens of thousands of
+frequent words is many units on many tasks, and adaptive execution chooses the number of partitions.
+No step fixes a partition count, forces a broadcast or runs a job while the plan is built.
+
+Cost: the pairs of one basket are the pairs of frequent items inside one document; the total is the
+sum over baskets of (frequent items in the basket)^2, linear in the number of baskets. This is exactly
+the count the rules are defined by (FP-Growth builds the same supports). A hot item (a discipline is in
+a fifth of all baskets) only adds partial-aggregate rows, and its occurrences meet the item table in a
+join that adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -30,10 +36,9 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import text
 from trendlens.params import Params
-from trendlens.plans.broadcast import spread
-from trendlens.session import checkpoint_root
 
 RULE_COLUMNS = ("source", "target", "confidence")
+BLOCK = 128             # ids in a block; a work unit makes at most BLOCK^2 pairs
 
 
 def baskets_observed(cleaned: DataFrame, params: Params = Params()) -> DataFrame:
@@ -84,31 +89,39 @@ def frequent_items(baskets: DataFrame, params: Params = Params()) -> DataFrame:
     return item_support(baskets).filter(F.col("support") >= _min_count(baskets, params))
 
 
-def _with_ids(frequent: DataFrame, params: Params) -> DataFrame:
-    """Frequent items with unique long ids (item, support, iid), numbered in parallel (no global
-    ordering). Ids make the pair aggregation hash two longs instead of two strings."""
-    ids = frequent.withColumn("iid", F.monotonically_increasing_id())
-    # computed once and written to the shared checkpoint folder, which also fixes the ids: the
-    # three joins below read that small table instead of re-aggregating every basket
-    checkpoint_root(frequent.sparkSession)
-    # broadcast: at most (average basket size) / min_support items, however many baskets there are
-    return F.broadcast(ids.checkpoint(eager=True))
+def numbered(frequent: DataFrame) -> DataFrame:
+    """Frequent items with unique long ids (item, support, iid). The ids hold once this is written: the
+    caller writes it before use."""
+    return frequent.withColumn("iid", F.monotonically_increasing_id())
 
 
-def _pair_counts(baskets: DataFrame, ids: DataFrame, min_count) -> DataFrame:
-    """Unordered frequent pairs (x < y) with n(x, y) >= min_count, as item ids."""
+def _keyed(frequent: DataFrame) -> DataFrame:
+    """Frequent items that stand for themselves, for plans that write no table in between."""
+    return frequent if "iid" in frequent.columns else frequent.withColumn("iid", F.col("item"))
+
+
+def work_units(baskets: DataFrame, items: DataFrame) -> DataFrame:
+    """left, right, same: the blocks of frequent ids of every basket, each pair of blocks once."""
     if "_bid" not in baskets.columns:
         baskets = baskets.withColumn("_bid", F.monotonically_increasing_id())
-    occ = baskets.select("_bid", F.explode("items").alias("item")).join(ids.select("item", "iid"), "item")
-    # one row per basket with its frequent item ids: a shuffle of frequent occurrences only
-    # (explicit partition count: the pair explode below multiplies this small shuffle ~50x)
-    per = spread(occ, "_bid").groupBy("_bid").agg(F.sort_array(F.collect_list("iid")).alias("ids"))
-    # each id meets only the ids behind it, so every unordered pair is made once
-    rest = F.slice("ids", F.col("pos") + 2, F.size("ids"))
-    pairs = (per.select("ids", F.posexplode("ids").alias("pos", "x"))
+    occ = baskets.select("_bid", F.explode("items").alias("item")).join(items.select("item", "iid"), "item")
+    per = occ.groupBy("_bid").agg(F.sort_array(F.collect_list("iid")).alias("ids")).where(F.size("ids") > 1)
+    last = F.floor((F.size("ids") - 1) / BLOCK).cast("int")
+    block = lambda i: F.slice("ids", F.col(i) * BLOCK + 1, F.lit(BLOCK))
+    units = per.select("_bid", "ids", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    units = units.select("_bid", "ids", "i", F.explode(F.sequence("i", "last")).alias("j"))
+    return units.select("_bid", "i", "j", block("i").alias("left"), F.when(F.col("i") != F.col("j"), block("j")).alias("right")) \
+        .repartition("_bid", "i", "j")
+
+
+def pair_counts(baskets: DataFrame, items: DataFrame, params: Params = Params()) -> DataFrame:
+    """X, y, pair_count of the unordered frequent pairs (x < y) with n(x, y) >= min_count.
+    `items`: the frequent items of these baskets (item, iid)."""
+    rest = F.coalesce("right", F.slice("left", F.col("pos") + 2, F.size("left")))
+    pairs = (work_units(baskets, items).select("left", "right", F.posexplode("left").alias("pos", "x"))
              .select("x", F.explode(rest).alias("y")))
     return (pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("pair_count"))
-            .filter(F.col("pair_count") >= min_count))
+            .filter(F.col("pair_count") >= _min_count(baskets, params)))
 
 
 def _both_ways(counts: DataFrame) -> DataFrame:
@@ -117,28 +130,32 @@ def _both_ways(counts: DataFrame) -> DataFrame:
     return counts.select(F.explode(ways).alias("way"), "pair_count").select("way.*", "pair_count")
 
 
+def named_pairs(counts: DataFrame, items: DataFrame) -> DataFrame:
+    """a, b, pair_count, support (of a): the counted pairs in both orders, by name."""
+    of = lambda name, *more: items.select(F.col("iid").alias(f"{name}_id"), F.col("item").alias(name), *more)
+    return _both_ways(counts).join(of("a", "support"), "a_id").join(of("b"), "b_id").select("a", "b", "pair_count", "support")
+
+
 def pair_support(baskets: DataFrame, params: Params = Params(),
                  frequent: DataFrame | None = None) -> DataFrame:
     """A14 (pairs): ordered pairs a != b of frequent items with n(a, b) >= min_count."""
-    if frequent is None:
-        frequent = frequent_items(baskets, params)
-    ids = _with_ids(frequent, params)
-    both = _both_ways(_pair_counts(baskets, ids, _min_count(baskets, params)))
-    return (both.join(ids.select(F.col("iid").alias("a_id"), F.col("item").alias("a")), "a_id")
-            .join(ids.select(F.col("iid").alias("b_id"), F.col("item").alias("b")), "b_id")
-            .select("a", "b", "pair_count"))
+    items = _keyed(frequent_items(baskets, params) if frequent is None else frequent)
+    return named_pairs(pair_counts(baskets, items, params), items).drop("support")
 
 
-def assoc_rules(baskets: DataFrame, params: Params = Params()) -> DataFrame:
-    """G1: every 1 -> 1 rule: source, target, confidence (= n(a,b) / support(a))."""
-    ids = _with_ids(frequent_items(baskets, params), params)
-    both = _both_ways(_pair_counts(baskets, ids, _min_count(baskets, params)))
-    rules = (both.join(ids.select(F.col("iid").alias("a_id"), F.col("item").alias("source"), "support"), "a_id")
-             .join(ids.select(F.col("iid").alias("b_id"), F.col("item").alias("target")), "b_id")
-             .select("source", "target", (F.col("pair_count") / F.col("support")).alias("confidence")))
+def rules_of(counts: DataFrame, items: DataFrame, params: Params = Params()) -> DataFrame:
+    """G1: source, target, confidence from counted pairs and their items' supports."""
+    rules = named_pairs(counts, items).select(
+        F.col("a").alias("source"), F.col("b").alias("target"), (F.col("pair_count") / F.col("support")).alias("confidence"))
     return rules.filter(F.col("confidence") >= F.lit(float(params.min_confidence)))
 
 
+def assoc_rules(baskets: DataFrame, params: Params = Params()) -> DataFrame:
+    """G1: every 1 -> 1 rule: source, target, confidence (= n(a,b) / support(a)), in one plan."""
+    items = _keyed(frequent_items(baskets, params))
+    return rules_of(pair_counts(baskets, items, params), items, params)
+
+
 def top_rules(rules: DataFrame, params: Params = Params()) -> DataFrame:
     """At most `rules_per_source` rules per source, by confidence desc then target."""
     w = Window.partitionBy("source").orderBy(F.desc("confidence"), F.asc("target"))

@@ -71,6 +71,7 @@ FROM (SELECT id, list_filter({TOKENS}, lambda w: w <> '' AND NOT list_contains({
         "SELECT basket_key, kind, array_to_string(list_sort(items), ' ') AS items FROM baskets"
     q["item_support"] = chain(P, "rules") + "SELECT item, support FROM support"
     q["pair_support"] = chain(P, "rules") + "SELECT a, b, pair_count FROM pairs"
+    q["pair_counts"] = chain(P, "rules") + "SELECT a, b, pair_count FROM pairs WHERE a < b"
     q["assoc_rules"] = chain(P, "rules") + "SELECT source, target, confidence FROM rules_all"
     q["assoc_rules_topk"] = chain(P, "rules") + "SELECT source, target, confidence FROM rules"
 

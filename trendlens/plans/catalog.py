@@ -127,11 +127,21 @@ def q_item_support(spark, sf_dir):
 
 
 def q_pair_support(spark, sf_dir):
-    return rules.pair_support(_pl(spark, sf_dir).baskets(), P)
+    pl = _pl(spark, sf_dir)
+    return rules.named_pairs(pl.pair_counts(), pl.frequent()).drop("support")
+
+
+def q_pair_counts(spark, sf_dir):
+    """The counting stage itself, over the written baskets and frequent items (in one order, by name)."""
+    pl = _pl(spark, sf_dir)
+    name = lambda c, to: pl.frequent().select(F.col("iid").alias(c), F.col("item").alias(to))
+    counts = rules.pair_counts(pl.baskets(), pl.frequent(), P).join(name("x", "_a"), "x").join(name("y", "_b"), "y")
+    return counts.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"), "pair_count")
 
 
 def q_assoc_rules(spark, sf_dir):
-    return rules.assoc_rules(_pl(spark, sf_dir).baskets(), P)
+    pl = _pl(spark, sf_dir)
+    return rules.rules_of(pl.pair_counts(), pl.frequent(), P)
 
 
 def q_assoc_rules_topk(spark, sf_dir):

@@ -1,7 +1,7 @@
 """The batch job as a chain of materialised stages:
 
     raw papers -> cleaned -> trend history -> series fits -> trend (history + forecast)
-               -> baskets -> rules (all) -> rules (top per source)
+               -> baskets -> frequent items -> pair counts -> rules (all) -> rules (top per source)
 
 Each stage is written once as a parquet table and read back by the next ones, so:
   * every later stage and every report reads a small, already-reduced table (cheap counts,
@@ -90,8 +90,16 @@ class Pipeline:
                 .withColumn("_bid", F.monotonically_increasing_id())
         return self._materialise("baskets", build)
 
+    def frequent(self) -> DataFrame:
+        """The frequent items with their ids (item, support, iid)."""
+        return self._materialise("frequent", lambda: rules.numbered(rules.frequent_items(self.baskets(), self.params)))
+
+    def pair_counts(self) -> DataFrame:
+        """The counted pairs, shared by pair support and rules."""
+        return self._materialise("pair_counts", lambda: rules.pair_counts(self.baskets(), self.frequent(), self.params))
+
     def rules_all(self) -> DataFrame:
-        return self._materialise("rules_all", lambda: rules.assoc_rules(self.baskets(), self.params))
+        return self._materialise("rules_all", lambda: rules.rules_of(self.pair_counts(), self.frequent(), self.params))
 
     def rules(self) -> DataFrame:
         return self._materialise("rules", lambda: rules.top_rules(self.rules_all(), self.params))
