@@ -5,6 +5,8 @@ All of these are Spark SQL built-ins (codegen-able, no Python per row).
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -110,6 +112,28 @@ def volume_band(count: Column) -> Column:
             .otherwise(F.lit("sufficient")))
 
 
-def contains_ci(text: Column, query: Column) -> Column:
-    """Literal, ASCII case-insensitive substring test (user `%` and `_` are plain characters)."""
-    return F.contains(F.lower(text), F.lower(query))
+def _accents() -> tuple[str, str]:
+    """Every character whose canonical decomposition is one base character and marks, and those bases; then the
+    combining marks themselves, which have no counterpart and so are dropped by `translate`."""
+    pairs, marks = [], []
+    for c in map(chr, range(0x80, 0x2000)):
+        base = "".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x))
+        if len(base) == 1 and base != c:
+            pairs.append((c, base))
+        elif not base:
+            marks.append(c)
+    return "".join(c for c, _ in pairs) + "".join(marks), "".join(b for _, b in pairs)
+
+
+ACCENTED, BASES = _accents()
+CI_AI = "UNICODE_CI_AI"         # Spark's collation for values compared whole: neither case nor accents count
+
+
+def fold(text: Column) -> Column:
+    """Lower case without accents: what a search compares. Literal: a user's `%` and `_` are plain characters."""
+    return F.translate(F.lower(text), ACCENTED, BASES)
+
+
+def ci_ai(value: Column | str) -> Column:
+    """A value for equality and grouping that ignore case and accents."""
+    return F.collate(value, CI_AI)

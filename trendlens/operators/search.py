@@ -1,19 +1,17 @@
 """Search, suggestions and topic evidence in batch form: a table of requests joined with the data.
 
 Substring matching (`LIKE %q%`) between data-derived tables (keywords, trend words, rules) goes by
-grams (`substring.meet`), an equi-join. Paper search lays its requests in blocks over the papers.
-Only the alias and fallback tables (fixed values) and one request block are broadcast.
+grams (`substring.meet`), an equi-join. Paper search reads a written index of the titles (`paper_index`).
+Text is compared without case and accents. Only the alias and fallback tables (fixed values) are broadcast by hint.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions import text, vocab
-from trendlens.operators.clean import top_per_key
+from trendlens.operators import paper_index
 from trendlens.operators.reports import alias_map, discipline_list
 from trendlens.operators.substring import meet
 
@@ -21,7 +19,6 @@ SUGGESTIONS = 8
 SUGGEST_PER_BRANCH = 5
 SEARCH_LIMIT = 50
 RELATED_RULES = 5
-REQUEST_BLOCK = 1_000          # requests that are laid over the papers at a time
 
 
 def alias_resolve(requests: DataFrame, column: str = "discipline") -> DataFrame:
@@ -36,9 +33,9 @@ def alias_resolve(requests: DataFrame, column: str = "discipline") -> DataFrame:
 
 def search_suggest(trend: DataFrame, queries: DataFrame) -> DataFrame:
     """Per query (qid, q): the exact alias first, then up to 5 words and up to 5
-    disciplines containing q (case-insensitive, alphabetical), duplicates dropped, at most 8.
+    disciplines containing q (case- and accent-insensitive, alphabetical), duplicates dropped, at most 8.
     An empty q suggests nothing. Output: qid, rank, suggestion."""
-    q = queries.select("qid", F.lower(F.trim(F.col("q"))).alias("q")).filter(F.col("q") != "")
+    q = queries.select("qid", text.fold(text.strip(F.col("q"))).alias("q")).filter(F.col("q") != "")
     aliases = F.broadcast(alias_map(queries.sparkSession))
     alias_hits = q.join(aliases, F.col("q") == F.col("alias")).select(
         "qid", F.lit(0).alias("branch"), F.lit(0).alias("pos"), F.col("resolved").alias("suggestion"))
@@ -46,7 +43,7 @@ def search_suggest(trend: DataFrame, queries: DataFrame) -> DataFrame:
     # both branches (words = 1, disciplines = 2) in one value table: one probe, one window
     values = trend.select(F.col("word").alias("value"), F.lit(1).alias("branch")).unionByName(
         trend.select(F.col("discipline").alias("value"), F.lit(2).alias("branch"))).filter(
-        F.col("value").isNotNull()).distinct().withColumn("_v", F.lower("value"))
+        F.col("value").isNotNull()).distinct().withColumn("_v", text.fold(F.col("value")))
     hits = meet(q, "q", values, "_v").where(F.contains(F.col("_v"), F.col("q")))
     w = Window.partitionBy("qid", "branch").orderBy("value")
     branches = hits.withColumn("pos", F.row_number().over(w)).filter(F.col("pos") <= SUGGEST_PER_BRANCH) \
@@ -58,35 +55,20 @@ def search_suggest(trend: DataFrame, queries: DataFrame) -> DataFrame:
         .select("qid", "rank", "suggestion")
 
 
-def paper_search(cleaned: DataFrame, requests: DataFrame) -> DataFrame:
+def paper_search(cleaned: DataFrame, requests: DataFrame, posted: DataFrame | None = None, grams: DataFrame | None = None) -> DataFrame:
     """Per request (qid, keyword, discipline, year), the 50 newest matching papers.
 
-    keyword: substring of the title, case-insensitive, literal; discipline: equality,
-    case-insensitive; year: equality. Empty or "All" means no filter on that field.
+    keyword: substring of the title, literal, case- and accent-insensitive; discipline: equality that ignores
+    both; year: equality. Empty or "All" means no filter on that field; a year that is no number finds nothing.
     Output: qid, rank, id, title, discipline, publish_year, source.
 
-    The requests are a query set: they are counted and dealt by hash into blocks of about
-    REQUEST_BLOCK, and the papers stream past each broadcast block; the 50 newest are chosen per (request, salt) first, so a request that matches every paper is
-    spread over many tasks and its last task reads at most 50 rows per salt.
+    `posted`, `grams`: the title index (`paper_index`), as the job wrote it; made in the plan where not given.
     """
-    r = requests.select(
-        "qid",
-        F.trim(F.coalesce(F.col("keyword"), F.lit(""))).alias("_kw"),
-        F.coalesce(F.col("discipline"), F.lit("")).alias("_disc"),
-        F.coalesce(F.col("year"), F.lit("")).alias("_year"))
-    # lower-case once per paper / request, not once per (paper, request) pair
-    papers = cleaned.withColumn("_title_l", F.lower("title")).withColumn("_disc_l", F.lower("discipline"))
-    r = r.withColumn("_kw_l", F.lower("_kw")).withColumn("_disc_q", F.lower("_disc")) \
-        .withColumn("_year_q", F.col("_year").try_cast("int"))
-    blocks = max(1, -(-requests.count() // REQUEST_BLOCK))
-    kw_ok = (F.col("_kw") == "") | F.contains(F.col("_title_l"), F.col("_kw_l"))
-    disc_ok = F.col("_disc").isin("", "All") | (F.col("_disc_l") == F.col("_disc_q"))
-    year_ok = F.col("_year").isin("", "All") | (F.col("publish_year") == F.col("_year_q"))
-    hits = reduce(DataFrame.unionByName, [
-        papers.join(F.broadcast(r.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)), kw_ok & disc_ok & year_ok)
-        for b in range(blocks)])
-    return top_per_key(hits, "qid", "id", SEARCH_LIMIT, F.desc("publish_year"), F.asc("id")) \
-        .select("qid", "rank", "id", "title", "discipline", "publish_year", "source")
+    if posted is None:
+        posted = paper_index.postings(cleaned)
+    if grams is None:
+        grams = paper_index.word_grams(posted)
+    return paper_index.search(cleaned, requests, posted, grams, SEARCH_LIMIT)
 
 
 def search_log_entries(requests: DataFrame) -> DataFrame:
@@ -121,9 +103,9 @@ def topic_keywords(trend: DataFrame) -> DataFrame:
 
 def keyword_evidence(trend: DataFrame, keywords: DataFrame) -> DataFrame:
     """Per keyword: domain, matched volume (sum of counts of trend rows whose word
-    or discipline contains it, case-insensitive) and its band."""
-    t = trend.groupBy(F.lower("word").alias("_w"), F.lower("discipline").alias("_d")).agg(F.sum("count").alias("count"))
-    k = keywords.select("keyword").distinct().withColumn("_k", F.lower("keyword"))
+    or discipline contains it, without case and accents) and its band."""
+    t = trend.groupBy(text.fold(F.col("word")).alias("_w"), text.fold(F.col("discipline")).alias("_d")).agg(F.sum("count").alias("count"))
+    k = keywords.select("keyword").distinct().withColumn("_k", text.fold(F.col("keyword")))
     hit = F.contains(F.col("_w"), F.col("_k")) | F.contains(F.col("_d"), F.col("_k"))
     found = meet(k, "_k", t, "_w", "_d").where(hit).groupBy("keyword").agg(F.sum("count").alias("_sum"))
     vol = k.join(found, "keyword", "left").select("keyword", F.coalesce("_sum", F.lit(0)).cast("long").alias("main_count"))
@@ -134,8 +116,8 @@ def keyword_evidence(trend: DataFrame, keywords: DataFrame) -> DataFrame:
 def related_terms(rules: DataFrame, keywords: DataFrame) -> DataFrame:
     """Per keyword, the 5 strongest rules whose source or target contains it
     (confidence desc, source, target). Output: keyword, rank, source, target, confidence."""
-    r = rules.select("source", "target", "confidence", F.lower("source").alias("_s"), F.lower("target").alias("_t"))
-    k = keywords.withColumn("_k", F.lower("keyword"))
+    r = rules.select("source", "target", "confidence", text.fold(F.col("source")).alias("_s"), text.fold(F.col("target")).alias("_t"))
+    k = keywords.withColumn("_k", text.fold(F.col("keyword")))
     hit = F.contains(F.col("_s"), F.col("_k")) | F.contains(F.col("_t"), F.col("_k"))
     w = Window.partitionBy("keyword").orderBy(F.desc("confidence"), F.asc("source"), F.asc("target"))
     return meet(k, "_k", r, "_s", "_t").where(hit).withColumn("rank", F.row_number().over(w)) \

@@ -22,18 +22,20 @@ def _grams(s: Column, n) -> Column:
         .otherwise(F.array().cast("array<string>"))
 
 
-def _listed(s: Column) -> Column:
-    return F.concat(F.array(F.lit("")), *[_grams(s, n) for n in range(1, GRAM + 1)])
+def listed(s: Column, smallest: int = 0) -> Column:
+    """The grams of `smallest` to GRAM characters (repeats kept); the empty gram where smallest is 0."""
+    empty = [F.array(F.lit(""))] if smallest == 0 else []
+    return F.concat(*empty, *[_grams(s, n) for n in range(max(1, smallest), GRAM + 1)])
 
 
 def meet(needles: DataFrame, needle: str, values: DataFrame, *held_in: str) -> DataFrame:
     """Rows of `needles` beside the rows of `values` that may hold the needle in one of the columns
     `held_in`. The caller filters by `contains`. NULL needles meet nothing, a NULL value holds nothing."""
-    every = F.concat(*[F.coalesce(_listed(F.col(c)), F.array().cast("array<string>")) for c in held_in])
-    listed = values.withColumn("_gram", F.explode(F.array_distinct(every)))
+    every = F.concat(*[F.coalesce(listed(F.col(c)), F.array().cast("array<string>")) for c in held_in])
+    under = values.withColumn("_gram", F.explode(F.array_distinct(every)))
     keys = needles.select(F.col(needle).alias("_n")).where("_n is not null").distinct()
     own = keys.withColumn("_gram", F.explode(F.array_distinct(_grams(F.col("_n"), F.least(F.length("_n"), F.lit(GRAM))))))
-    often = listed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_often"))
+    often = under.groupBy("_gram").agg(F.count(F.lit(1)).alias("_often"))
     rarest = own.join(often, "_gram", "left").groupBy("_n").agg(
         F.min(F.struct(F.coalesce("_often", F.lit(0)), "_gram"))["_gram"].alias("_gram"))
-    return needles.join(rarest, F.col(needle) == F.col("_n")).join(listed, "_gram").drop("_n", "_gram")
+    return needles.join(rarest, F.col(needle) == F.col("_n")).join(under, "_gram").drop("_n", "_gram")

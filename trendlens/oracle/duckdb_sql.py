@@ -281,8 +281,12 @@ def band_sql(col: str) -> str:
             f"ELSE 'sufficient' END")
 
 
+def fold_sql(x: str) -> str:
+    return f"strip_accents(lower({x}))"
+
+
 def contains_ci(text_col: str, q_col: str) -> str:
-    return f"contains(lower({text_col}), lower({q_col}))"
+    return f"contains({fold_sql(text_col)}, {fold_sql(q_col)})"
 
 
 SEARCH_LOG = f"""search_log AS (

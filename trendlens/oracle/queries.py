@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from trendlens.functions import vocab
 from trendlens.oracle.duckdb_sql import (ALIASES, RAW_PAPERS, SEARCH_LOG, STOP, SUBJECTS, TOKENS, YEAR_NORM,
-                                          _case_index, _q, band_sql, chain, contains_ci, domain_sql, with_ctes)
+                                          _case_index, _q, band_sql, chain, contains_ci, domain_sql, fold_sql, with_ctes)
 from trendlens.params import FIXTURE_PARAMS
 from trendlens.plans import catalog
 from trendlens.sources import tables
@@ -156,7 +156,7 @@ FROM j"""
 SELECT l.id, l.discipline, coalesce(a.resolved, trim(l.discipline)) AS resolved
 FROM search_log l LEFT JOIN aliases a ON lower(trim(l.discipline)) = a.alias"""
     qs = "qs" + _values(catalog.SUGGEST_QUERIES, ["qid", "q"])
-    q["search_suggest"] = C("trend", ALIASES, qs, f"""q AS (SELECT qid, lower(trim(q)) AS q FROM qs WHERE lower(trim(q)) <> ''),
+    q["search_suggest"] = C("trend", ALIASES, qs, f"""q AS (SELECT qid, {fold_sql(TRIM_WS.format(x='q'))} AS q FROM qs WHERE {fold_sql(TRIM_WS.format(x='q'))} <> ''),
 alias_hits AS (SELECT q.qid, 0 AS branch, 0 AS pos, a.resolved AS suggestion FROM q JOIN aliases a ON q.q = a.alias),
 wv AS (SELECT DISTINCT word AS value FROM trend),
 dv AS (SELECT DISTINCT discipline AS value FROM trend WHERE discipline IS NOT NULL),
@@ -169,16 +169,19 @@ firsts AS (SELECT qid, suggestion, min(branch * 100 + pos) AS k FROM every GROUP
 SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY k) AS INTEGER) AS rank, suggestion
 FROM firsts QUALIFY rank <= 8"""
     reqs = "reqs" + _values(catalog.SEARCH_QUERIES, ["qid", "keyword", "discipline", "year"])
-    q["paper_search"] = C("cleaned", reqs, """r AS (SELECT qid, trim(coalesce(keyword, '')) AS kw, coalesce(discipline, '') AS disc,
+    q["paper_search"] = C("cleaned", reqs, f"""r AS (SELECT qid, {TRIM_WS.format(x="coalesce(keyword, '')")} AS kw, coalesce(discipline, '') AS disc,
              coalesce(year, '') AS yr FROM reqs),
 hits AS (
   SELECT r.qid, c.* FROM cleaned c JOIN r
-    ON (r.kw = '' OR contains(lower(c.title), lower(r.kw)))
-   AND (r.disc IN ('', 'All') OR lower(c.discipline) = lower(r.disc))
+    ON (r.kw = '' OR {contains_ci('c.title', 'r.kw')})
+   AND (r.disc IN ('', 'All') OR {fold_sql('c.discipline')} = {fold_sql('r.disc')})
    AND (r.yr IN ('', 'All') OR c.publish_year = TRY_CAST(r.yr AS INTEGER)))""") + """
 SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY publish_year DESC, id ASC) AS INTEGER) AS rank,
        id, title, discipline, publish_year, source
 FROM hits QUALIFY rank <= 50"""
+    words = f"list_distinct(string_split_regex({fold_sql('title')}, '\\s'))"
+    q["paper_postings"] = chain(P, "cleaned") + f"""SELECT word, count(*) AS papers, min(id) AS first_id, max(id) AS last_id
+FROM (SELECT id, unnest({words}) AS word FROM cleaned) WHERE word <> '' GROUP BY word"""
     parts = (f"list_filter(list_transform(regexp_split_to_array(title, '[,，;；]+'), "
              f"lambda p: {TRIM_WS.format(x='p')}), lambda p: p <> '')")
     q["keyword_split"] = chain(P, "cleaned") + f"""SELECT id, CAST(len(k) AS {INT}) AS n_keywords,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.operators import clean, forecast, reports, rules, search, trends
+from trendlens.operators import clean, forecast, paper_index, reports, rules, search, trends
 from trendlens.params import FIXTURE_PARAMS
 from trendlens.plans.job import pipeline
 from trendlens.sources import ingest, tables
@@ -22,9 +22,12 @@ NETWORK_YEAR = 2024
 QUOTA_PER_SUBJECT = 100
 
 # Request tables of the batch search reports (FIXTURES.md §3): parameters, joined with the data.
-SUGGEST_QUERIES = ((1, "ml"), (2, "nlp"), (3, "tion"), (4, "learn"), (5, ""), (6, "zzzz"))
+SUGGEST_QUERIES = ((1, "ml"), (2, "nlp"), (3, "tion"), (4, "learn"), (5, ""), (6, "zzzz"),
+                   (7, "LÉARN"), (8, "vísion"))
 SEARCH_QUERIES = ((1, "tion", "All", "All"), (2, "TION", "Machine Learning", "2020"),
-                  (3, "", "Computer Vision", ""), (4, "%", "", ""), (5, "zzzz", "All", "All"))
+                  (3, "", "Computer Vision", ""), (4, "%", "", ""), (5, "zzzz", "All", "All"),
+                  (6, "étion", "All", "All"), (7, "ETION de", "", ""), (8, "", "máchine LEARNING", "2019"), (9, "", "", ""),
+                  (10, "the a", "Computer Vision", "All"), (11, "of the in", "", "20x"), (12, "e", "All", "2021"))
 
 
 def _pl(spark: SparkSession, sf_dir: str):
@@ -213,7 +216,14 @@ def q_search_suggest(spark, sf_dir):
 
 def q_paper_search(spark, sf_dir):
     reqs = spark.createDataFrame(list(SEARCH_QUERIES), "qid int, keyword string, discipline string, year string")
-    return search.paper_search(_pl(spark, sf_dir).cleaned(), reqs)
+    pl = _pl(spark, sf_dir)
+    return search.paper_search(pl.cleaned(), reqs, pl.postings(), pl.word_grams())
+
+
+def q_paper_postings(spark, sf_dir):
+    """The title index stage itself: papers per word."""
+    posted = paper_index.postings(_pl(spark, sf_dir).cleaned())
+    return posted.groupBy("word").agg(F.count(F.lit(1)).alias("papers"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
 
 
 def q_keyword_split(spark, sf_dir):

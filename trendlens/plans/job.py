@@ -24,7 +24,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlens.operators import clean, forecast, rules, trends
+from trendlens.operators import clean, forecast, paper_index, rules, trends
 from trendlens.params import Params
 from trendlens.session import scratch_path
 from trendlens.sources import tables
@@ -40,13 +40,13 @@ class Pipeline:
     _lock: threading.RLock = field(default_factory=threading.RLock)
 
     # ------------------------------------------------------------------ plumbing
-    def _materialise(self, name: str, build) -> DataFrame:
+    def _materialise(self, name: str, build, partition_by: tuple[str, ...] = ()) -> DataFrame:
         with self._lock:
             if name not in self._tables:
                 path = scratch_path(self.spark, "stage", name)
                 plan = build()                      # inputs are materialised inside build()
                 t0 = time.time()
-                plan.write.mode("overwrite").parquet(path)
+                plan.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
                 self.stage_seconds[name] = round(time.time() - t0, 3)
                 self._tables[name] = path
             return self.spark.read.parquet(self._tables[name])
@@ -104,6 +104,14 @@ class Pipeline:
     def rules(self) -> DataFrame:
         return self._materialise("rules", lambda: rules.top_rules(self.rules_all(), self.params))
 
+    def postings(self) -> DataFrame:
+        """The title index: words of every paper (see operators.paper_index)."""
+        return self._materialise("postings", lambda: paper_index.postings(self.cleaned()), ("part",))
+
+    def word_grams(self) -> DataFrame:
+        """The title index: grams of every word."""
+        return self._materialise("word_grams", lambda: paper_index.word_grams(self.postings()))
+
     def run(self) -> "Pipeline":
         """Compute every stage (each exactly once)."""
         self.rules()
