@@ -50,7 +50,7 @@ def test_written_index_and_limit(spark, tmp_path, monkeypatch):
     """The index read back from its tables, and the newest two only."""
     monkeypatch.setattr(search, "SEARCH_LIMIT", 2)
     papers, requests = frames(spark)
-    paper_index.postings(papers).write.partitionBy("part").parquet(str(tmp_path / "postings"))
+    paper_index.postings(papers).write.parquet(str(tmp_path / "postings"))
     posted = spark.read.parquet(str(tmp_path / "postings"))
     paper_index.word_grams(posted).write.parquet(str(tmp_path / "grams"))
     got = {}
@@ -74,5 +74,6 @@ def test_fold_drops_case_and_accents(spark):
 
 def test_paper_search_reads_titles_by_key(spark):
     """No nested loop and no cartesian product over the papers, and nothing counted while the plan is built."""
-    plan = catalog.QUERIES["paper_search"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
-    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    plans = [catalog.QUERIES["paper_search"](spark, SF001), search.paper_search(*frames(spark))]
+    for plan in (p._jdf.queryExecution().executedPlan().toString() for p in plans):
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan

@@ -2,18 +2,21 @@
 
 Two written tables, both flat (a hot gram or word is many rows, never one long list):
 
-  postings  part, word, id   every distinct folded word of a title beside its paper. Written in ranges of
-                             (part, word, id), in folders by `part` (a hash of the word), so a word that
-                             a third of all papers hold is many files, and a lookup prunes folders
-  grams     gram, word, often   every distinct word of the corpus under its 1- to 3-grams, with the number
-                             of papers that hold it
+  postings  word, id            every distinct folded word of a title beside its paper. Each task writes the
+                                words of the titles it reads, sorted: no shuffle, and a word that a third of all
+                                papers hold is spread over all files
+  grams     gram, word, often   every distinct word of the corpus under the GRAM characters at each of its places
+                                (filled up behind its end), with the number of papers that hold it
 
 A keyword is cut at white space. Any title that holds it holds, for each part, a word that contains the part
-(at the keyword's inner ends: begins or ends with it). A part finds its words under its rarest gram, the
-keyword's rarest two parts are intersected in the postings, and what is left is compared with the titles
-where the keyword has several parts; one part alone is decided by the words. A request without a keyword
-needs the newest papers of a year and discipline only. All joins are by key: titles are read for the papers
-that come out, and for the candidates of keywords of several words.
+(at the keyword's inner ends: begins or ends with it). A part finds its words under its rarest gram, or, shorter
+than a gram, under the grams that begin with it. The keyword's rarest two parts are intersected in the postings,
+and what is left is compared with the titles where the keyword has several parts; one part alone is decided by
+the words. A request without a keyword needs the newest papers of a year and discipline only. All joins are by
+key: titles are read for the papers that come out, and for the candidates of keywords of several words.
+
+`search` takes a `write` (name, rows) -> rows, by which a job writes the narrow tables of candidates and of hits
+before they meet the titles, so that the planner knows their sizes: small ones are broadcast and no title moves.
 
 Matching is case- and accent-insensitive (`text.fold`); disciplines are compared under UNICODE_CI_AI.
 """
@@ -25,28 +28,27 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import text
 from trendlens.operators.clean import top_per_key
-from trendlens.operators.substring import GRAM, listed
 
-PARTS = 64              # folders of the postings
-RAREST = 2              # parts of a keyword that are intersected
+GRAM = 3
+FILL = "\x01" * (GRAM - 1)     # behind a word's end, so that every place of it begins a gram
+RAREST = 2                      # parts of a keyword that are intersected
 ANY_YEAR = -1
 
 
-def _part(word: str) -> F.Column:
-    return F.pmod(F.xxhash64(word), F.lit(PARTS)).cast("int")
-
-
 def postings(cleaned: DataFrame) -> DataFrame:
-    """part, word, id: in ranges, for a write partitioned by `part`."""
+    """word, id: sorted within each task's share of the papers."""
     words = F.array_distinct(F.split(text.fold(F.col("title")), text.WHITESPACE))
-    rows = cleaned.select(F.explode(words).alias("word"), "id").where("word <> ''")
-    return rows.select(_part("word").alias("part"), "word", "id").repartitionByRange("part", "word", "id").sortWithinPartitions("part", "word", "id")
+    return cleaned.select(F.explode(words).alias("word"), "id").where("word <> ''").sortWithinPartitions("word", "id")
 
 
 def word_grams(posted: DataFrame) -> DataFrame:
     """gram, word, often."""
     words = posted.groupBy("word").agg(F.count(F.lit(1)).alias("often"))
-    return words.select(F.explode(F.array_distinct(listed(F.col("word"), smallest=1))).alias("gram"), "word", "often")
+    return words.select(F.explode(F.array_distinct(_grams(F.concat("word", F.lit(FILL))))).alias("gram"), "word", "often")
+
+
+def _grams(s: F.Column) -> F.Column:
+    return F.transform(F.sequence(F.lit(1), F.length(s) - GRAM + 1), lambda i: F.substring(s, i, GRAM))
 
 
 def _requests(requests: DataFrame) -> DataFrame:
@@ -60,20 +62,21 @@ def _requests(requests: DataFrame) -> DataFrame:
 def _matched_words(parts: DataFrame, grams: DataFrame) -> DataFrame:
     """`parts` (part_text, ...) beside every word of the corpus that may stand where the part does."""
     keys = parts.select("part_text").distinct()
-    size = F.least(F.length("part_text"), F.lit(GRAM))
-    own = keys.withColumn("gram", F.explode(F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.length("part_text") - size + 1), lambda i: F.substring("part_text", i, size)))))
-    sizes = grams.join(own.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("_n"))
+    own = keys.where(F.length("part_text") >= GRAM).withColumn("gram", F.explode(F.array_distinct(_grams(F.col("part_text")))))
+    sizes = grams.join(own.select("gram").distinct(), "gram").groupBy("gram").agg(F.count(F.lit(1)).alias("_n"))
     # a part with a gram that no word has is in no title
     rarest = own.join(sizes, "gram", "left").groupBy("part_text").agg(
         F.min(F.struct(F.coalesce("_n", F.lit(0)), "gram"))["gram"].alias("gram"))
-    found = rarest.join(grams, "gram").where(F.contains("word", "part_text")).drop("gram")
+    found = rarest.join(grams, "gram").where(F.contains("word", "part_text")).select("part_text", "word", "often")
+    heads = F.explode(F.array(*[F.substring("gram", 1, n) for n in range(1, GRAM)])).alias("part_text")
+    short = grams.select(heads, "word", "often").join(keys, "part_text").where(F.contains("word", "part_text")).distinct()
+    found = found.unionByName(short)
     inner = F.col("first") | F.startswith("word", "part_text")
     outer = F.col("last") | F.endswith("word", "part_text")
     return parts.join(found, "part_text").where(inner & outer)
 
 
-def _by_keyword(r: DataFrame, papers: DataFrame, posted: DataFrame, grams: DataFrame) -> DataFrame:
+def _by_keyword(r: DataFrame, papers: DataFrame, posted: DataFrame, grams: DataFrame, write) -> DataFrame:
     """qid, id, publish_year of every paper that answers a request with a keyword."""
     cut = r.where("kw <> ''").select("qid", F.split("kw", text.WHITESPACE).alias("_all"))
     parts = cut.select("qid", F.size("_all").alias("_n"), F.posexplode("_all").alias("at", "part_text")).where("part_text <> ''") \
@@ -82,11 +85,12 @@ def _by_keyword(r: DataFrame, papers: DataFrame, posted: DataFrame, grams: DataF
     weight = words.groupBy("qid", "at").agg(F.sum("often").alias("_w"))
     chosen = weight.withColumn("_r", F.row_number().over(Window.partitionBy("qid").orderBy("_w", "at"))).where(F.col("_r") <= RAREST)
     wanted = parts.groupBy("qid").agg(F.least(F.count(F.lit(1)), F.lit(RAREST)).alias("need"), (F.count(F.lit(1)) > 1).alias("check"))
-    look = words.join(chosen.select("qid", "at"), ["qid", "at"]).select(_part("word").alias("part"), "word", "qid", "at")
-    met = look.join(posted, ["part", "word"]).select("qid", "at", "id").distinct().groupBy("qid", "id").agg(F.count(F.lit(1)).alias("_k"))
+    look = words.join(chosen.select("qid", "at"), ["qid", "at"]).select("word", "qid", "at")
+    met = look.join(posted, "word").select("qid", "at", "id").distinct().groupBy("qid", "id").agg(F.count(F.lit(1)).alias("_k"))
     met = met.join(wanted, "qid").where("_k = need").join(r, "qid")
     facts = papers.select("id", "publish_year", "discipline")
     met = met.join(facts, "id").where((F.col("year").isNull() | (F.col("publish_year") == F.col("year"))) & _same_discipline())
+    met = write("candidates", met.select("qid", "id", "publish_year", "check", F.when(F.col("check"), F.col("kw")).alias("kw")))
     sure = met.where(~F.col("check")).select("qid", "id", "publish_year")
     titles = papers.select("id", "title")
     told = met.where("check").select("qid", "id", "publish_year", "kw").join(titles, "id").where(F.contains(text.fold(F.col("title")), F.col("kw")))
@@ -109,9 +113,10 @@ def _newest(r: DataFrame, papers: DataFrame, limit: int) -> DataFrame:
     return asked.join(listed_, ["year_key", "disc_key"]).select("qid", "id", "publish_year").distinct()
 
 
-def search(papers: DataFrame, requests: DataFrame, posted: DataFrame, grams: DataFrame, limit: int) -> DataFrame:
+def search(papers: DataFrame, requests: DataFrame, posted: DataFrame, grams: DataFrame, limit: int,
+           write=lambda name, rows: rows) -> DataFrame:
     """qid, rank, id, title, discipline, publish_year, source of the `limit` newest papers of each request."""
     r = _requests(requests)
-    hits = _by_keyword(r, papers, posted, grams).unionByName(_newest(r, papers, limit))
+    hits = _by_keyword(r, papers, posted, grams, write).unionByName(_newest(r, papers, limit))
     top = top_per_key(hits, "qid", "id", limit, F.desc("publish_year"), F.asc("id")).select("qid", "rank", "id")
-    return top.join(papers, "id").select("qid", "rank", "id", "title", "discipline", "publish_year", "source")
+    return write("hits", top).join(papers, "id").select("qid", "rank", "id", "title", "discipline", "publish_year", "source")

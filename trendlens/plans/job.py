@@ -51,6 +51,12 @@ class Pipeline:
                 self._tables[name] = path
             return self.spark.read.parquet(self._tables[name])
 
+    def written(self, name: str, rows: DataFrame) -> DataFrame:
+        """`rows`, written to a fresh table in the shared folder and read back (not kept as a stage)."""
+        path = scratch_path(self.spark, "step", name)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def table(self, name: str) -> DataFrame:
         return tables.load(self.spark, self.sf_dir, name)
 
@@ -106,7 +112,7 @@ class Pipeline:
 
     def postings(self) -> DataFrame:
         """The title index: words of every paper (see operators.paper_index)."""
-        return self._materialise("postings", lambda: paper_index.postings(self.cleaned()), ("part",))
+        return self._materialise("postings", lambda: paper_index.postings(self.cleaned()))
 
     def word_grams(self) -> DataFrame:
         """The title index: grams of every word."""
