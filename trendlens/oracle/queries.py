@@ -222,7 +222,8 @@ LEFT JOIN pads p ON p.domain = s.domain AND p.pad_pos = s.slot - coalesce(n.n_re
        title, discipline, publish_year, authors, {src} AS source
 FROM raw_papers"""
     q["ingest_batches"] = f"WITH {RAW_PAPERS}\n{ingest_rows}"
-    bad = [("empty payload"), ("empty list"), ("not a JSON list"), ("not a JSON list")]
+    bad = ["empty payload", "empty list", "not a JSON list", "not a JSON list", "record is not an object",
+           "publish_year is not a number", "publish_year is not a whole number", "nested value in title", "nested value in authors"]
     bad_rows = "\nUNION ALL ".join(
         f"SELECT CAST({-(i + 1)} AS BIGINT), false, CAST(0 AS BIGINT), {_q(r)}" for i, r in enumerate(bad))
     q["ingest_batch_status"] = f"""WITH {RAW_PAPERS}
@@ -230,6 +231,10 @@ SELECT CAST(floor(id / 200) AS BIGINT) AS batch_id, true AS accepted, CAST(count
        CAST(NULL AS VARCHAR) AS reason
 FROM raw_papers GROUP BY floor(id / 200)
 UNION ALL {bad_rows}"""
+    bodies = ["", "[]", '{"a":1}', "bad", "[null]", '[{"title":"t","publish_year":"20x"}]',
+              '[{"title":"t"},{"title":"u","publish_year":2019.5}]', '[{"title":{"main":"t"}}]', '[{"title":"t","authors":["a"]}]']
+    q["ingest_rejects"] = "\nUNION ALL ".join(
+        f"SELECT CAST({-(i + 1)} AS BIGINT) AS batch_id, {_q(b)} AS body, {_q(r)} AS reason" for i, (b, r) in enumerate(zip(bodies, bad, strict=True)))
     subject = _case_index("CAST(substr(source, 4) AS INTEGER) % 5", SUBJECTS)
     name = "text"
     names = "[concat('Author ', CAST((doc_id + 7 * i) % 37 AS VARCHAR)) for i in range(1, 2 + doc_id % 5)]"

@@ -265,6 +265,10 @@ def q_ingest_batch_status(spark, sf_dir):
     return ingest.batch_status(_payloads(spark, sf_dir))
 
 
+def q_ingest_rejects(spark, sf_dir):
+    return ingest.rejected_batches(_payloads(spark, sf_dir))
+
+
 def _works(spark, sf_dir):
     """Parsed work records with the subject of their concept (one row per work and subject)."""
     works = ingest.parse_works(tables.api_works(tables.load(spark, sf_dir, "documents")))

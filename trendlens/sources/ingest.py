@@ -1,9 +1,9 @@
 """Ingest: JSON paper batches (S4) and nested API work records.
 
-A batch payload must be a non-empty JSON list of objects whose publish_year, where given, is a whole
-number; otherwise the whole batch is rejected, with a reason.
-Records keep the five fields; a record without the key `source` gets the default source, while
-an explicit `"source": null` stays NULL (the payload is parsed as maps so the two differ).
+A batch payload must be a non-empty JSON list of objects; a text field may not hold a list or an object, and
+publish_year, where given, is a whole number (as a number or as text). Otherwise the whole batch is rejected,
+with a reason. Payloads are parsed as arrays of VARIANT, so every value keeps its JSON type until it is checked,
+and a record without the key `source` (default source) differs from an explicit `"source": null` (stays NULL).
 """
 
 from __future__ import annotations
@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from trendlens.functions import vocab
 from trendlens.sources.tables import WORK_SCHEMA
 
-RECORDS = "array<map<string,string>>"
+RECORDS = "array<variant>"
+TEXT_FIELDS = ("title", "discipline", "authors", "source")
 RAW_COLUMNS = ("title", "discipline", "publish_year", "authors", "source")
+NUMBERS = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+NESTED = "^(OBJECT|ARRAY)"
 
 
 def _records(body: Column) -> Column:
@@ -23,15 +26,45 @@ def _records(body: Column) -> Column:
     return F.from_json(body, RECORDS)
 
 
+def _field(record: Column, name: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(record, f"$.{name}", kind)
+
+
+def _kind(value: Column) -> Column:
+    """The JSON type of a variant; NULL where the key is missing."""
+    return F.schema_of_variant(value)
+
+
+def _year(record: Column) -> Column:
+    """publish_year as an int, from a whole number or from text; NULL when it is neither."""
+    number = _field(record, "publish_year", "double")
+    whole = F.when((number == F.floor(number)) & (F.abs(number) < 2**31), number).cast("int")
+    return F.when(F.rlike(_kind(_field(record, "publish_year")), F.lit(NUMBERS)), whole) \
+        .when(_kind(_field(record, "publish_year")) == "STRING", _field(record, "publish_year", "string").try_cast("int"))
+
+
+def _fault(record: Column) -> Column:
+    """What is wrong with a record that is an object; NULL when nothing is."""
+    told = F.lit(None).cast("string")
+    year = _kind(_field(record, "publish_year"))
+    given = year.isNotNull() & (year != "VOID")
+    told = F.when(given & _year(record).isNull(),
+                  F.when(F.rlike(year, F.lit(NUMBERS)), F.lit("publish_year is not a whole number")).otherwise(F.lit("publish_year is not a number")))
+    for name in reversed(TEXT_FIELDS):
+        nested = F.coalesce(F.rlike(_kind(_field(record, name)), F.lit(NESTED)), F.lit(False))
+        told = F.when(nested, F.lit(f"nested value in {name}")).otherwise(told)
+    return told
+
+
 def _reason(body: Column, recs: Column) -> Column:
     """Why a batch is rejected; NULL when it is accepted."""
-    year = lambda m: m["publish_year"]      # noqa: E731
+    kinds = F.transform(recs, _kind)
+    faults = F.filter(F.transform(recs, _fault), lambda f: f.isNotNull())
     return (F.when(body.isNull() | (F.trim(body) == ""), F.lit("empty payload"))
-            .when(recs.isNull(), F.lit("not a JSON list"))
+            .when(recs.isNull() | F.exists(kinds, lambda k: ~k.startswith("OBJECT") & (k != "VOID")), F.lit("not a JSON list"))
             .when(F.size(recs) == 0, F.lit("empty list"))
-            .when(F.exists(recs, lambda m: m.isNull()), F.lit("record is not an object"))
-            .when(F.exists(recs, lambda m: F.coalesce(year(m).isNotNull() & year(m).try_cast("int").isNull(), F.lit(False))),
-                  F.lit("publish_year is not a number")))
+            .when(F.exists(kinds, lambda k: k == "VOID"), F.lit("record is not an object"))
+            .otherwise(F.get(faults, F.lit(0))))
 
 
 def batch_status(payloads: DataFrame) -> DataFrame:
@@ -55,12 +88,13 @@ def ingest_batches(payloads: DataFrame) -> DataFrame:
     good = payloads.where(_reason(F.col("body"), recs).isNull()).select("batch_id", recs.alias("_recs"))
     rows = good.select("batch_id", F.posexplode("_recs").alias("pos", "_m"))
     m = F.col("_m")
-    source = F.when(F.map_contains_key(m, "source"), m["source"]).otherwise(F.lit(vocab.DEFAULT_INGEST_SOURCE))
+    given = _field(m, "source").isNotNull()         # a JSON null is a variant that holds null
+    source = F.when(given, _field(m, "source", "string")).otherwise(F.lit(vocab.DEFAULT_INGEST_SOURCE))
     return rows.select(
         "batch_id", "pos",
-        m["title"].alias("title"), m["discipline"].alias("discipline"),
-        m["publish_year"].try_cast("int").alias("publish_year"),
-        m["authors"].alias("authors"), source.alias("source"))
+        _field(m, "title", "string").alias("title"), _field(m, "discipline", "string").alias("discipline"),
+        _year(m).alias("publish_year"),
+        _field(m, "authors", "string").alias("authors"), source.alias("source"))
 
 
 def parse_works(works_json: DataFrame) -> DataFrame:

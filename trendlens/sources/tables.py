@@ -120,8 +120,9 @@ def api_works(documents: DataFrame) -> DataFrame:
     return d.select(d.doc_id.alias("id"), F.to_json(work).alias("body"))
 
 
-# Batches with invalid payloads, appended after the real ones (batch ids -1..-4).
-BAD_PAYLOADS = ("", "[]", '{"a":1}', "bad")
+# Batches with invalid payloads, appended after the real ones (batch ids -1, -2, ...): one for each reason.
+BAD_PAYLOADS = ("", "[]", '{"a":1}', "bad", "[null]", '[{"title":"t","publish_year":"20x"}]',
+                '[{"title":"t"},{"title":"u","publish_year":2019.5}]', '[{"title":{"main":"t"}}]', '[{"title":"t","authors":["a"]}]')
 
 
 def ingest_payloads(raw: DataFrame, batch_size: int = 200) -> DataFrame:
