@@ -12,7 +12,7 @@ without mining larger itemsets:
 
 Plan, in three steps that the job writes as tables, so that the pair and the rule query share them:
 
-  frequent items   partial counts per item; the job numbers them, so pairs hash two longs
+  frequent items   partial counts per item; they are numbered, so that a pair is one long
   pair counts      occurrences of frequent items -> one sorted id array per basket -> work units
                    (basket, block i, block j) -> pairs -> partial counts per (x, y)
   rules            the counts mirrored into both directions, beside the two items' supports
@@ -38,7 +38,7 @@ from trendlens.functions import text
 from trendlens.params import Params
 
 RULE_COLUMNS = ("source", "target", "confidence")
-BLOCK = 128             # ids in a block; a work unit makes at most BLOCK^2 pairs
+BLOCK = 1024            # ids in a block; a work unit makes at most BLOCK^2 pairs
 
 
 def baskets_observed(cleaned: DataFrame, params: Params = Params()) -> DataFrame:
@@ -90,14 +90,9 @@ def frequent_items(baskets: DataFrame, params: Params = Params()) -> DataFrame:
 
 
 def numbered(frequent: DataFrame) -> DataFrame:
-    """Frequent items with unique long ids (item, support, iid). The ids hold once this is written: the
-    caller writes it before use."""
-    return frequent.withColumn("iid", F.monotonically_increasing_id())
-
-
-def _keyed(frequent: DataFrame) -> DataFrame:
-    """Frequent items that stand for themselves, for plans that write no table in between."""
-    return frequent if "iid" in frequent.columns else frequent.withColumn("iid", F.col("item"))
+    """Frequent items with ids 1, 2, ... in the order of their names (item, support, iid). One sort of the frequent
+    items, of which there are at most (average basket size) / min_support, however many baskets there are."""
+    return frequent.withColumn("iid", F.row_number().over(Window.orderBy("item")))
 
 
 def work_units(baskets: DataFrame, items: DataFrame) -> DataFrame:
@@ -120,8 +115,11 @@ def pair_counts(baskets: DataFrame, items: DataFrame, params: Params = Params())
     rest = F.coalesce("right", F.slice("left", F.col("pos") + 2, F.size("left")))
     pairs = (work_units(baskets, items).select("left", "right", F.posexplode("left").alias("pos", "x"))
              .select("x", F.explode(rest).alias("y")))
-    return (pairs.groupBy("x", "y").agg(F.count(F.lit(1)).alias("pair_count"))
-            .filter(F.col("pair_count") >= _min_count(baskets, params)))
+    # both ids in one long: the partial counts hash one column
+    counts = (pairs.groupBy((F.shiftleft(F.col("x").cast("long"), 32) + F.col("y")).alias("xy")).agg(F.count(F.lit(1)).alias("pair_count"))
+              .filter(F.col("pair_count") >= _min_count(baskets, params)))
+    y = F.col("xy").bitwiseAND((1 << 32) - 1).cast("int")
+    return counts.select(F.shiftright("xy", 32).cast("int").alias("x"), y.alias("y"), "pair_count")
 
 
 def _both_ways(counts: DataFrame) -> DataFrame:
@@ -139,7 +137,7 @@ def named_pairs(counts: DataFrame, items: DataFrame) -> DataFrame:
 def pair_support(baskets: DataFrame, params: Params = Params(),
                  frequent: DataFrame | None = None) -> DataFrame:
     """A14 (pairs): ordered pairs a != b of frequent items with n(a, b) >= min_count."""
-    items = _keyed(frequent_items(baskets, params) if frequent is None else frequent)
+    items = numbered(frequent_items(baskets, params) if frequent is None else frequent)
     return named_pairs(pair_counts(baskets, items, params), items).drop("support")
 
 
@@ -152,7 +150,7 @@ def rules_of(counts: DataFrame, items: DataFrame, params: Params = Params()) ->
 
 def assoc_rules(baskets: DataFrame, params: Params = Params()) -> DataFrame:
     """G1: every 1 -> 1 rule: source, target, confidence (= n(a,b) / support(a)), in one plan."""
-    items = _keyed(frequent_items(baskets, params))
+    items = numbered(frequent_items(baskets, params))
     return rules_of(pair_counts(baskets, items, params), items, params)
 
 

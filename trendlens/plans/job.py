@@ -11,14 +11,15 @@ Each stage is written once as a parquet table and read back by the next ones, so
   * the history and the forecast always come from the same cleaned snapshot.
 
 Tables go to the shared folder named by `spark.checkpoint.dir` (never a machine-local folder).
-`write_outputs` writes the public tables (cleaned, trend, rules) to a destination in one write
-each, after all stages succeeded.
+`write_outputs` has the three public tables (cleaned, trend, rules) written once, straight into a staged
+folder of the destination, and moves them into place when all three are whole.
 """
 
 from __future__ import annotations
 
 import threading
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from trendlens.operators import clean, forecast, paper_index, rules, trends
 from trendlens.params import Params
+from trendlens.plans.manifest import Manifest
 from trendlens.session import scratch_path
 from trendlens.sources import tables
 
@@ -35,15 +37,19 @@ class Pipeline:
     spark: SparkSession
     sf_dir: str
     params: Params = Params()
+    raw_frame: DataFrame | None = None                  # any table of raw papers, instead of the fixture's view
     _tables: dict = field(default_factory=dict)
     stage_seconds: dict = field(default_factory=dict)   # wall time of each stage's own write
+    _staged: str | None = None                          # folder that the public tables are written to
     _lock: threading.RLock = field(default_factory=threading.RLock)
 
     # ------------------------------------------------------------------ plumbing
-    def _materialise(self, name: str, build, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    def _materialise(self, name: str, build) -> DataFrame:
         with self._lock:
             if name not in self._tables:
-                path = scratch_path(self.spark, "stage", name)
+                staged = self._staged and name in PUBLIC
+                path = f"{self._staged}/{PUBLIC[name][0]}" if staged else scratch_path(self.spark, "stage", name)
+                partition_by = PUBLIC[name][1] if staged else ()
                 plan = build()                      # inputs are materialised inside build()
                 t0 = time.time()
                 plan.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -62,7 +68,7 @@ class Pipeline:
 
     # ------------------------------------------------------------------ stages
     def raw(self) -> DataFrame:
-        return tables.raw_papers(self.table("documents"))
+        return tables.raw_papers(self.table("documents")) if self.raw_frame is None else self.raw_frame
 
     def cleaned(self) -> DataFrame:
         return self._materialise("cleaned", lambda: clean.clean_papers(self.raw(), self.params))
@@ -84,7 +90,7 @@ class Pipeline:
         def build():
             hist = self.history().withColumn("is_forecast", F.lit(False))
             fut = self.forecast().withColumn("is_forecast", F.lit(True))
-            return hist.unionByName(fut)
+            return hist.unionByName(fut).select(*trends.TREND_COLUMNS, "is_forecast")
         return self._materialise("trend", build)
 
     def baskets(self) -> DataFrame:
@@ -123,16 +129,56 @@ class Pipeline:
         self.rules()
         return self
 
-    def write_outputs(self, dest: str, partition_trend_by_year: bool = True) -> None:
-        """Overwrite the three result tables; cleaned only when it has rows."""
-        self.run()
-        cleaned = self.cleaned()
-        if cleaned.limit(1).count() > 0:
-            cleaned.write.mode("overwrite").parquet(f"{dest}/cleaned_paper_data")
-        trend = self.trend().select(*trends.TREND_COLUMNS, "is_forecast")
-        w = trend.write.mode("overwrite")
-        (w.partitionBy("publish_year") if partition_trend_by_year else w).parquet(f"{dest}/hotspot_trend_data")
-        self.rules().write.mode("overwrite").parquet(f"{dest}/fp_growth_rules")
+    def write_outputs(self, dest: str) -> None:
+        """Replace the three result tables under `dest`; cleaned only when it has rows.
+
+        Each table is written once, as its stage, under `dest/_staged/<run>`. A failure up to there leaves the old
+        tables untouched. Then the tables change places by renames (the old ones go to `dest/_previous/<run>`, and
+        back if a rename fails), and the run is noted in the manifest."""
+        run = uuid.uuid4().hex[:12]
+        with self._lock:
+            self._tables.clear()
+            self._staged = f"{dest}/_staged/{run}"
+            try:
+                self.run()
+                names = [n for n in PUBLIC if n != "cleaned" or self.cleaned().limit(1).count()]
+                _swap(self.spark, dest, run, [PUBLIC[n][0] for n in names])
+                self._tables.update({n: f"{dest}/{PUBLIC[n][0]}" for n in names})
+            finally:
+                self._staged = None
+        Manifest(self.spark, dest).commit({"run": run, "tables": [PUBLIC[n][0] for n in names]})
+
+
+# stage -> public table, and the columns whose values name its folders
+PUBLIC = {"cleaned": ("cleaned_paper_data", ()), "trend": ("hotspot_trend_data", ("publish_year",)), "rules": ("fp_growth_rules", ())}
+
+
+def _swap(spark: SparkSession, dest: str, run: str, names: list[str]) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(dest).getFileSystem(spark._jsc.hadoopConfiguration())
+    done: list[tuple[str, str]] = []
+
+    def move(a: str, b: str) -> None:
+        fs.mkdirs(path(b).getParent())
+        if not fs.rename(path(a), path(b)):
+            raise OSError(f"cannot move {a} to {b}")
+        done.append((a, b))
+
+    try:
+        for name in names:
+            if fs.exists(path(f"{dest}/{name}")):
+                move(f"{dest}/{name}", f"{dest}/_previous/{run}/{name}")
+            move(f"{dest}/_staged/{run}/{name}", f"{dest}/{name}")
+    except Exception:
+        for a, b in reversed(done):
+            fs.rename(path(b), path(a))
+        raise
+
+
+def _changed_at(spark: SparkSession, path: str) -> int:
+    """When a file or the listing of a folder last changed."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).getModificationTime()
 
 
 _PIPELINES: dict = {}
@@ -140,9 +186,11 @@ _PIPELINES_LOCK = threading.Lock()
 
 
 def pipeline(spark: SparkSession, sf_dir: str, params: Params = Params()) -> Pipeline:
-    """One pipeline per (application, input, parameters): stages are shared by all queries."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), params)
+    """One pipeline per (application, input as it is now, parameters): stages are shared by all queries, and
+    input that has changed since gets stages of its own."""
+    sf_dir = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, sf_dir, _changed_at(spark, f"{sf_dir}/documents.parquet"), params)
     with _PIPELINES_LOCK:
         if key not in _PIPELINES:
-            _PIPELINES[key] = Pipeline(spark, sf_dir.rstrip("/"), params)
+            _PIPELINES[key] = Pipeline(spark, sf_dir, params)
         return _PIPELINES[key]

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from trendlens.operators.increments import title_key
 from trendlens.sources.ingest import ingest_batches, rejected_batches
 
 PAYLOAD_SCHEMA = "batch_id long, body string"
@@ -73,6 +74,34 @@ def run_subject_counts(spark: SparkSession, landing_dir: str, out_dir: str, chec
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def first_places(rows: DataFrame, keep: str = "1 day") -> DataFrame:
+    """P1 on a stream: title_key, batch_id, pos of the first place of every title (lowest batch, then position)
+    among the rows that arrive within `keep`. Only digests and places are held in state, and a window's state is
+    dropped once the watermark has passed it; a title that comes again later starts anew, and `landed_papers`
+    takes the first of all. The clock is the arrival, so no row is ever late."""
+    src = rows.withColumn("create_time", F.current_timestamp())
+    src = src.withWatermark("create_time", keep) if rows.isStreaming else src
+    return (src.groupBy(F.window("create_time", keep).alias("w"), title_key(F.col("title")).alias("title_key"))
+            .agg(F.min(F.struct("batch_id", "pos")).alias("first")).select("title_key", "first.batch_id", "first.pos"))
+
+
+def run_first_places(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint: str,
+                     trigger: dict | None = None, files_per_trigger: int | None = None):
+    """Keep a changelog of the titles' first places (update mode, one folder per epoch)."""
+    return (first_places(ingest_stream(spark, landing_dir, files_per_trigger)).writeStream.outputMode("update")
+            .foreachBatch(_epoch_sink(out_dir)).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def landed_papers(rows: DataFrame, places: DataFrame) -> DataFrame:
+    """`raw_paper_data` as the streams have landed it: one row per title, ids in order of arrival. Rows whose title
+    stands earlier are dropped; a row whose place the other stream has not told yet waits for the next read."""
+    first = places.groupBy("title_key").agg(F.min(F.struct("batch_id", "pos")).alias("first")).select("first.*")
+    kept = rows.join(first, ["batch_id", "pos"], "left_semi")
+    arrival = F.shiftleft(F.col("batch_id"), 31) + F.col("pos")
+    return kept.select(arrival.alias("id"), "title", "discipline", "publish_year", "authors", "source")
+
+
 def utc_instant(ts: F.Column) -> F.Column:
     """A TIMESTAMP_NTZ wall-clock read as UTC, as a TIMESTAMP instant (independent of the session
     time zone; watermarks need TIMESTAMP)."""

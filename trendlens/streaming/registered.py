@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlens.oracle import queries as oracle_queries
-from trendlens.oracle.duckdb_sql import RAW_PAPERS, _q
-from trendlens.functions import vocab
+from trendlens.oracle.duckdb_sql import RAW_PAPERS
 from trendlens.params import FIXTURE_PARAMS
-from trendlens.plans.job import pipeline
+from trendlens.operators.increments import TrendStore
+from trendlens.plans.job import Pipeline, pipeline
 from trendlens.session import scratch_path
 from trendlens.sources import tables
 from trendlens.streaming import jobs
@@ -59,7 +59,38 @@ def q_stream_search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.latest_per_key(spark.read.parquet(f"{base}/out"), keys)
 
 
+def landed(spark: SparkSession, base: str, landing: str) -> DataFrame:
+    """Both ingest streams run to the end of what has landed: the raw papers, one row per title."""
+    ran = [jobs.run_ingest(spark, landing, f"{base}/rows", f"{base}/_rows", files_per_trigger=1),
+           jobs.run_first_places(spark, landing, f"{base}/places", f"{base}/_places", files_per_trigger=1)]
+    for q in ran:
+        q.awaitTermination()
+    return jobs.landed_papers(spark.read.parquet(f"{base}/rows"), spark.read.parquet(f"{base}/places"))
+
+
+def q_stream_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 + P1 into the job: payloads -> ingest and first places, as streams -> raw papers -> clean -> trend history."""
+    base, landing = _land(spark, sf_dir, "trend")
+    return Pipeline(spark, sf_dir, FIXTURE_PARAMS, raw_frame=landed(spark, base, landing)).history()
+
+
+BATCHES = 3
+
+
+def q_trend_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 / W1 kept up to date: the papers arrive in three batches of rising ids; counts are compacted on the way."""
+    raw = pipeline(spark, sf_dir, FIXTURE_PARAMS).raw()
+    last = raw.agg(F.max("id")).first()[0] or 0
+    store = TrendStore(spark, scratch_path(spark, "trend-store"), FIXTURE_PARAMS, compact_after=2)
+    for k in range(BATCHES):
+        low, high = (k * (last + 1) // BATCHES, (k + 1) * (last + 1) // BATCHES)
+        store.add(raw.where((F.col("id") >= low) & (F.col("id") < high)))
+    return store.history()
+
+
 QUERIES = {
+    "stream_trend": q_stream_trend,
+    "trend_incremental": q_trend_incremental,
     "stream_ingest": q_stream_ingest,
     "stream_subject_counts": q_stream_subject_counts,
     "stream_search_log": q_stream_search_log,
@@ -68,8 +99,9 @@ QUERIES = {
 
 def oracle() -> dict[str, str]:
     o = oracle_queries.ORACLE
-    src = f"CASE WHEN id % 7 = 0 THEN {_q(vocab.DEFAULT_INGEST_SOURCE)} WHEN id % 11 = 0 THEN NULL ELSE source END"
     return {
+        "stream_trend": o["trend_history"],
+        "trend_incremental": o["trend_history"],
         "stream_ingest": o["ingest_batches"],
         "stream_subject_counts": f"WITH {RAW_PAPERS}\nSELECT discipline, count(*) AS inserted FROM raw_papers GROUP BY discipline",
         "stream_search_log": o["search_log_rollup"],
