@@ -14,13 +14,15 @@ Plan, in three steps that the job writes as tables, so that the pair and the rul
 
   frequent items   partial counts per item; they are numbered, so that a pair is one long
   pair counts      occurrences of frequent items -> one sorted id array per basket -> work units
-                   (basket, block i, block j) -> pairs -> partial counts per (x, y)
+                   (basket, block i, block j) in ranges -> pairs -> partial counts per (x, y)
   rules            the counts mirrored into both directions, beside the two items' supports
 
-A work unit holds two blocks of at most BLOCK ids and makes at most BLOCK^2 pairs, each unordered pair
-(x < y) once. Units are dealt by the hash of (basket, i, j), so a document with tens of thousands of
-frequent words is many units on many tasks, and adaptive execution chooses the number of partitions.
-No step fixes a partition count, forces a broadcast or runs a job while the plan is built.
+Items are cut into at most BLOCKS blocks by id. A work unit (basket, block i, block j) holds the basket's ids in
+both blocks and makes each unordered pair (x < y) of them once; units are laid out in ranges of (i, j, basket).
+So a task counts pairs of few blocks only: its partial counts are a small table that fits a processor's cache and
+collapse on the map side, and a document with tens of thousands of frequent words is many units on many tasks.
+Adaptive execution chooses the number of partitions. No step fixes a partition count, forces a broadcast or
+runs a job of its own (the range bounds come from Spark's sample of the units).
 
 Cost: the pairs of one basket are the pairs of frequent items inside one document; the total is the
 sum over baskets of (frequent items in the basket)^2, linear in the number of baskets. This is exactly
@@ -38,7 +40,8 @@ from trendlens.functions import text
 from trendlens.params import Params
 
 RULE_COLUMNS = ("source", "target", "confidence")
-BLOCK = 1024            # ids in a block; a work unit makes at most BLOCK^2 pairs
+BLOCK = 512             # ids in a block, or so many that there are at most BLOCKS blocks
+BLOCKS = 16
 
 
 def baskets_observed(cleaned: DataFrame, params: Params = Params()) -> DataFrame:
@@ -96,17 +99,21 @@ def numbered(frequent: DataFrame) -> DataFrame:
 
 
 def work_units(baskets: DataFrame, items: DataFrame) -> DataFrame:
-    """left, right, same: the blocks of frequent ids of every basket, each pair of blocks once."""
+    """left, right: for every basket and every two blocks of ids, the basket's ids in them (right: NULL for the same
+    block). In ranges of (block, block, basket)."""
     if "_bid" not in baskets.columns:
         baskets = baskets.withColumn("_bid", F.monotonically_increasing_id())
+    blocks = items.select(F.coalesce(F.least(F.ceil(F.max("iid") / BLOCK), F.lit(BLOCKS)), F.lit(1)).cast("int")).scalar()
+    width = items.select(F.coalesce(F.greatest(F.ceil(F.max("iid") / BLOCKS), F.lit(BLOCK)), F.lit(BLOCK)).cast("int")).scalar()
     occ = baskets.select("_bid", F.explode("items").alias("item")).join(items.select("item", "iid"), "item")
     per = occ.groupBy("_bid").agg(F.sort_array(F.collect_list("iid")).alias("ids")).where(F.size("ids") > 1)
-    last = F.floor((F.size("ids") - 1) / BLOCK).cast("int")
-    block = lambda i: F.slice("ids", F.col(i) * BLOCK + 1, F.lit(BLOCK))
-    units = per.select("_bid", "ids", last.alias("last"), F.explode(F.sequence(F.lit(0), last)).alias("i"))
-    units = units.select("_bid", "ids", "i", F.explode(F.sequence("i", "last")).alias("j"))
-    return units.select("_bid", "i", "j", block("i").alias("left"), F.when(F.col("i") != F.col("j"), block("j")).alias("right")) \
-        .repartition("_bid", "i", "j")
+    per = per.select("_bid", "ids", blocks.alias("blocks"), width.alias("width"))
+    of_block = lambda b: F.filter("ids", lambda x: F.floor((x - 1) / F.col("width")) == b)       # noqa: E731
+    per = per.select("_bid", F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), of_block).alias("parts"))
+    units = per.select("_bid", "parts", F.posexplode("parts").alias("i", "left")).where(F.size("left") > 0)
+    units = units.select("_bid", "i", "left", F.posexplode("parts").alias("j", "right")).where((F.col("j") >= F.col("i")) & (F.size("right") > 0))
+    return units.select("_bid", "i", "j", "left", F.when(F.col("i") != F.col("j"), F.col("right")).alias("right")) \
+        .repartitionByRange("i", "j", F.xxhash64("_bid"))
 
 
 def pair_counts(baskets: DataFrame, items: DataFrame, params: Params = Params()) -> DataFrame:
