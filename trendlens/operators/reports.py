@@ -20,6 +20,7 @@ STARS = 5
 BRIDGES = 5
 HEAT_CAP = 50_000
 CROSS_CAP = 100
+DEFAULT_MAX_YEAR = 2026      # of a discipline that the trend does not have
 
 
 def discipline_list(trend: DataFrame) -> DataFrame:
@@ -103,6 +104,27 @@ def max_year_by_discipline(trend: DataFrame) -> DataFrame:
     return trend.groupBy("discipline").agg(F.max("publish_year").alias("max_year"))
 
 
+def discipline_insights(trend: DataFrame, rules: DataFrame, requests: DataFrame) -> DataFrame:
+    """The request form of Q5 to Q7 and A8: per requested discipline (column `discipline`, abbreviations resolved) its
+    last year (2026 where the trend has none), rising words, bridge words and the two radar metrics (0 where there
+    is nothing). One row per distinct request; lists are in rank order, '' when empty.
+    Output: discipline, resolved, max_year, rising, bridges, heat, cross_breadth."""
+    asked = resolve_alias(requests.select("discipline").where("discipline is not null").distinct(), "discipline")
+    words = lambda rows, c: rows.groupBy("discipline").agg(      # noqa: E731
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", c))), lambda s: s[c]), ", ").alias("words"))
+    parts = {"max_year": max_year_by_discipline(trend).withColumnRenamed("max_year", "value"),
+             "rising": words(rising_stars(trend), "word").withColumnRenamed("words", "value"),
+             "bridges": words(bridge_words(trend, rules), "keyword").withColumnRenamed("words", "value")}
+    out = asked
+    for name, part in parts.items():
+        out = out.join(part.select(F.col("discipline").alias("resolved"), F.col("value").alias(name)), "resolved", "left")
+    radar = radar_metrics(trend, rules).select(F.col("discipline").alias("resolved"), "heat", "cross_breadth")
+    return out.join(radar, "resolved", "left").select(
+        "discipline", "resolved", F.coalesce("max_year", F.lit(DEFAULT_MAX_YEAR)).alias("max_year"),
+        F.coalesce("rising", F.lit("")).alias("rising"), F.coalesce("bridges", F.lit("")).alias("bridges"),
+        F.coalesce("heat", F.lit(0)).cast("long").alias("heat"), F.coalesce("cross_breadth", F.lit(0)).cast("long").alias("cross_breadth"))
+
+
 def _top_rows_fallback(trend: DataFrame, missing: DataFrame, k: int) -> DataFrame:
     """Top `k` trend rows by count for disciplines in `missing` (ties: word, then year)."""
     w = Window.partitionBy("discipline").orderBy(F.desc("count"), F.asc("word"), F.asc("publish_year"))
@@ -182,6 +204,16 @@ def radar_metrics(trend: DataFrame, rules: DataFrame) -> DataFrame:
         (F.col("cross_breadth") <= 0).alias("cross_fallback"))
 
 
+def resolve_alias(rows: DataFrame, column: str) -> DataFrame:
+    """Map an abbreviation (case-insensitive, trimmed) to its discipline; unknown values
+    pass through trimmed. Adds column `resolved`."""
+    aliases = F.broadcast(alias_map(rows.sparkSession))
+    key = F.lower(F.trim(F.col(column)))
+    j = rows.join(aliases, key == F.col("alias"), "left")
+    return j.select(*[rows[c] for c in rows.columns],
+                    F.coalesce(F.col("resolved"), F.trim(rows[column])).alias("resolved"))
+
+
 def alias_map(spark) -> DataFrame:
     """The 10-entry abbreviation table as a DataFrame (fixed size, safe to broadcast)."""
     return spark.createDataFrame(list(vocab.DISCIPLINE_ALIASES), "alias string, resolved string")

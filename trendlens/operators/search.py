@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from trendlens.functions import text, vocab
 from trendlens.operators import paper_index
-from trendlens.operators.reports import alias_map, discipline_list
+from trendlens.operators.reports import alias_map, discipline_list, resolve_alias
 from trendlens.operators.substring import meet
 
 SUGGESTIONS = 8
@@ -22,13 +22,8 @@ RELATED_RULES = 5
 
 
 def alias_resolve(requests: DataFrame, column: str = "discipline") -> DataFrame:
-    """Map an abbreviation (case-insensitive, trimmed) to its discipline; unknown values
-    pass through trimmed. Adds column `resolved`."""
-    aliases = F.broadcast(alias_map(requests.sparkSession))
-    key = F.lower(F.trim(F.col(column)))
-    j = requests.join(aliases, key == F.col("alias"), "left")
-    return j.select(*[requests[c] for c in requests.columns],
-                    F.coalesce(F.col("resolved"), F.trim(requests[column])).alias("resolved"))
+    """See `reports.resolve_alias`."""
+    return resolve_alias(requests, column)
 
 
 def search_suggest(trend: DataFrame, queries: DataFrame) -> DataFrame:
@@ -82,6 +77,12 @@ def search_log_entries(requests: DataFrame) -> DataFrame:
         "qid", kw.alias("search_keyword"), disc.alias("discipline"), year.alias("search_year"))
 
 
+def append_search_log(requests: DataFrame, log_dir: str, batch: str) -> None:
+    """Append a batch of requests to the log under `log_dir`, in a folder named by the batch: a batch that is
+    sent again replaces itself. A batch without any criterion leaves an empty folder with the log's columns."""
+    search_log_entries(requests).write.mode("overwrite").parquet(f"{log_dir}/batch={batch}")
+
+
 def keyword_split(rows: DataFrame, column: str) -> DataFrame:
     """Split a keyword list on , ， ; ； (runs count as one), trim, drop empties.
     Adds n_keywords and main_keyword (NULL when nothing is left)."""
@@ -152,3 +153,15 @@ def topic_candidates(rules: DataFrame, keywords: DataFrame) -> DataFrame:
     return j.select("keyword", "domain", "slot", F.col("slot").alias("template_id"),
                     F.coalesce(F.col("related"), F.col("term")).alias("related"),
                     padded.alias("is_padded"))
+
+
+def topic_requests(trend: DataFrame, rules: DataFrame, requests: DataFrame) -> DataFrame:
+    """Q9 + Q10 as requests (qid, keywords): the list is split, its first keyword is the main one; evidence for it
+    (domain, matched volume, band) beside its candidate slots. A list without a keyword has no rows.
+    Output: qid, keyword, n_keywords, domain, main_count, band, slot, template_id, related, is_padded."""
+    asked = keyword_split(requests, "keywords").where("n_keywords > 0").select("qid", "n_keywords", F.col("main_keyword").alias("keyword"))
+    keys = asked.select("keyword").distinct()
+    evidence = keyword_evidence(trend, keys)
+    slots = topic_candidates(rules, keys).drop("domain")
+    return asked.join(evidence, "keyword").join(slots, "keyword").select(
+        "qid", "keyword", "n_keywords", "domain", "main_count", "band", "slot", "template_id", "related", "is_padded")

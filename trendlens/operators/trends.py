@@ -48,6 +48,23 @@ def trend_history(cleaned: DataFrame, params: Params = Params()) -> DataFrame:
     return top_words(word_freq(cleaned, params), params)
 
 
+def keyword_weights(cleaned: DataFrame, params: Params = Params(), per_group: int = 10) -> DataFrame:
+    """TF-IDF: per (discipline, year) the `per_group` words of the highest weight, weight = occurrences in the group
+    * ln((N + 1) / (papers that hold the word + 1)), N = all papers; rounded to 6 places, ties by word.
+
+    Two partial aggregates over the same tokens (occurrences, papers), joined by word: the word of every paper is
+    one row of the smaller side, its groups are split by adaptive execution. Output: discipline, publish_year,
+    rank, word, count, papers, weight."""
+    counts = word_freq(cleaned, params)
+    words = cleaned.select(F.explode(F.array_distinct(text.tokens(F.col("title")))).alias("word"))
+    papers = words.filter(text.is_long_word(F.col("word"), params.trend_min_len)).groupBy("word").agg(F.count(F.lit(1)).alias("papers"))
+    n = cleaned.select(F.count(F.lit(1))).scalar()
+    weighed = counts.join(papers, "word").withColumn("weight", F.round(F.col("count") * F.log((n + 1) / (F.col("papers") + 1)), 6))
+    w = Window.partitionBy("discipline", "publish_year").orderBy(F.desc("weight"), F.asc("word"))
+    return weighed.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= per_group) \
+        .select("discipline", "publish_year", "rank", "word", "count", "papers", "weight")
+
+
 def max_year(trend: DataFrame):
     """A8 (global): the last historical year, as a scalar subquery column."""
     return trend.select(F.max("publish_year")).scalar()

@@ -215,6 +215,31 @@ FROM slots s LEFT JOIN rel3 r ON r.keyword = s.keyword AND r.slot = s.slot
 LEFT JOIN nrel n ON n.keyword = s.keyword
 LEFT JOIN pads p ON p.domain = s.domain AND p.pad_pos = s.slot - coalesce(n.n_rel, 0)"""
 
+    q["topic_requests"] = C("rules", """lists AS (
+  SELECT concat_ws(':', discipline, CAST(publish_year AS VARCHAR)) AS qid, min(word) AS keyword, count(*) AS n_keywords
+  FROM trend WHERE discipline IS NOT NULL GROUP BY discipline, publish_year)""") + f"""
+SELECT l.qid, l.keyword, CAST(l.n_keywords AS INTEGER) AS n_keywords, e.domain, e.main_count, e.band, t.slot, t.template_id, t.related, t.is_padded
+FROM lists l JOIN ({q['keyword_evidence']}) e ON e.keyword = l.keyword JOIN ({q['topic_candidates']}) t ON t.keyword = l.keyword"""
+    q["discipline_insights"] = C("rules", SEARCH_LOG, ALIASES, """asked AS (
+  SELECT DISTINCT l.discipline, coalesce(a.resolved, trim(l.discipline)) AS resolved
+  FROM search_log l LEFT JOIN aliases a ON lower(trim(l.discipline)) = a.alias WHERE l.discipline IS NOT NULL)""") + f"""
+SELECT k.discipline, k.resolved, coalesce(m.max_year, 2026) AS max_year, coalesce(s.words, '') AS rising, coalesce(b.words, '') AS bridges,
+       coalesce(r.heat, 0) AS heat, coalesce(r.cross_breadth, 0) AS cross_breadth
+FROM asked k LEFT JOIN ({q['max_year_by_discipline']}) m ON m.discipline = k.resolved
+LEFT JOIN (SELECT discipline, string_agg(word, ', ' ORDER BY rank) AS words FROM ({q['rising_stars']}) GROUP BY discipline) s ON s.discipline = k.resolved
+LEFT JOIN (SELECT discipline, string_agg(keyword, ', ' ORDER BY rank) AS words FROM ({q['bridge_words']}) GROUP BY discipline) b ON b.discipline = k.resolved
+LEFT JOIN ({q['radar_metrics']}) r ON r.discipline = k.resolved"""
+    q["search_log_append"] = f"""WITH {SEARCH_LOG},
+asked AS (SELECT id AS qid, CASE WHEN id % 3 <> 0 THEN trim(search_keyword) ELSE '' END AS search_keyword, discipline,
+                 CASE WHEN id % 2 <> 0 THEN search_year ELSE '' END AS search_year FROM search_log)
+SELECT * FROM asked WHERE search_keyword <> '' OR discipline <> '' OR search_year <> ''"""
+    q["keyword_weights"] = C("history", f"""held AS (
+  SELECT word, count(*) AS papers FROM (SELECT unnest(list_distinct({TOKENS})) AS word FROM cleaned) GROUP BY word),
+weighed AS (SELECT w.*, h.papers, round(w.count * ln(((SELECT count(*) FROM cleaned) + 1) / (h.papers + 1)), 6) AS weight
+            FROM word_freq w JOIN held h ON h.word = w.word)""") + f"""
+SELECT discipline, publish_year, {_rank('row_number() OVER (PARTITION BY discipline, publish_year ORDER BY weight DESC, word ASC)')} AS rank,
+       word, count, papers, weight FROM weighed QUALIFY rank <= 10"""
+
     # ------------------------------------------------------------ ingest
     src = f"CASE WHEN id % 7 = 0 THEN {_q(vocab.DEFAULT_INGEST_SOURCE)} WHEN id % 11 = 0 THEN NULL ELSE source END"
     ingest_rows = f"""SELECT CAST(floor(id / 200) AS BIGINT) AS batch_id,

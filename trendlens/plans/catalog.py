@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from trendlens.operators import clean, forecast, paper_index, reports, rules, search, trends
 from trendlens.params import FIXTURE_PARAMS
 from trendlens.plans.job import pipeline
+from trendlens.session import scratch_path
 from trendlens.sources import ingest, tables
 
 P = FIXTURE_PARAMS
@@ -209,6 +210,33 @@ def q_alias_resolve(spark, sf_dir):
     return search.alias_resolve(_search_log(spark, sf_dir).select("id", "discipline"))
 
 
+def q_discipline_insights(spark, sf_dir):
+    return reports.discipline_insights(_trend(spark, sf_dir), _rules(spark, sf_dir), _search_log(spark, sf_dir))
+
+
+def q_search_log_append(spark, sf_dir):
+    """The log after two batches of requests, one of which is sent twice."""
+    log = _search_log(spark, sf_dir).select(F.col("id").alias("qid"), F.when(F.col("id") % 3 != 0, F.col("search_keyword")).alias("keyword"),
+                                            "discipline", F.when(F.col("id") % 2 != 0, F.col("search_year")).alias("year"))
+    path = scratch_path(spark, "search-log")
+    for batch in ("even", "odd", "odd"):
+        search.append_search_log(log.where(F.abs(F.col("qid")) % 2 == (0 if batch == "even" else 1)), path, batch)
+    return spark.read.parquet(path).drop("batch")
+
+
+def q_keyword_weights(spark, sf_dir):
+    return trends.keyword_weights(_pl(spark, sf_dir).cleaned(), P)
+
+
+def q_topic_requests(spark, sf_dir):
+    """Requests: every discipline's words of each year as one keyword list, separated in four ways."""
+    trend = _trend(spark, sf_dir)
+    words = trend.where("discipline is not null").groupBy("discipline", "publish_year").agg(F.sort_array(F.collect_list("word")).alias("w"))
+    sep = F.element_at(F.array(*[F.lit(x) for x in (",", " ; ", "，", "；, ")]), (F.col("publish_year") % 4 + 1).cast("int"))
+    lists = words.select(F.concat_ws(":", "discipline", F.col("publish_year").cast("string")).alias("qid"), F.concat(F.lit(" ,"), F.array_join("w", "|"), F.lit(";")).alias("_k"), sep.alias("_s"))
+    return search.topic_requests(trend, _rules(spark, sf_dir), lists.select("qid", F.replace("_k", F.lit("|"), F.col("_s")).alias("keywords")))
+
+
 def q_search_suggest(spark, sf_dir):
     qs = spark.createDataFrame(list(SUGGEST_QUERIES), "qid int, q string")
     return search.search_suggest(_trend(spark, sf_dir), qs)
@@ -284,8 +312,7 @@ def q_normalise_works(spark, sf_dir):
 
 
 def q_works_source_filter(spark, sf_dir):
-    tagged = _works(spark, sf_dir)
-    kept = tagged.filter((F.col("publication_year") > 2018) & (F.col("language") == "en"))
+    kept = ingest.source_filter(_works(spark, sf_dir), F.col("concept_id"))
     return ingest.normalise_works(kept, F.col("subject"))
 
 
