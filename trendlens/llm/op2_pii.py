@@ -38,7 +38,11 @@ ROUNDS = 8
 KINDS = ("email", "ip", "date", "phone", "ssn", "iban", "card")
 
 # Fixed patterns, in the order in which they are tried at a position.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+# A domain has at most LABELS labels (a name of 253 characters has no more); what has more is no address and stays.
+# Both repeats are bounded: Java's matcher recurses once for each round of a group.
+LABELS = 127
+EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?!(?:[A-Za-z0-9-]++\.){" + str(LABELS)
+         + r"})[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0," + str(LABELS) + r"}\.[A-Za-z]{2,}")
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 DATE_YMD = r"(?<![0-9])[0-9]{4}(?<y>[-/.])[0-9]{1,2}\k<y>[0-9]{1,2}(?![0-9])"
 DATE_DMY = r"(?<![0-9])[0-9]{1,2}(?<d>[-/.])[0-9]{1,2}\k<d>[0-9]{4}(?![0-9])"
@@ -256,20 +260,34 @@ def card_parts(m: Column) -> Column:
             usual(i, found).alias("usual"), F.coalesce(F.array_max(found), F.lit(0)).alias("any"))))
 
         def walk(at: Column) -> Column:
-            start = F.struct(F.lit(0).alias("next"), F.lit("").alias("plain"), F.array().cast("array<struct<kind:string,text:string>>").alias("parts"))
-
-            def size(i: Column) -> Column:
-                a = F.get(at, i)
+            """The cards as (first group, groups), by one pass that carries no text; then the gaps between them."""
+            def size(a: Column, i: Column) -> Column:
                 free = ~F.exists(F.slice(at, i + 2, F.greatest(a["any"] - 1, F.lit(0))), lambda x: x["usual"] > 0)
                 return F.when(a["usual"] > 0, a["usual"]).when((a["any"] > 0) & free, a["any"]).otherwise(0)
 
-            def step(s: Column, i: Column) -> Column:
-                take = lambda n: F.struct((i + n).alias("next"), F.coalesce(F.get(seps, i + n - 1), F.lit("")).alias("plain"),
-                                          F.concat(s["parts"], F.array(part(F.lit(""), s["plain"]), part(F.lit("card"), span(i, n)))).alias("parts"))
-                skip = F.struct((i + 1).alias("next"), F.concat(s["plain"], F.get(groups, i), F.coalesce(F.get(seps, i), F.lit(""))).alias("plain"), s["parts"].alias("parts"))
-                return F.when(i < s["next"], s).otherwise(let(size(i), lambda n: F.when(n > 0, take(n)).otherwise(skip)))
+            return let(F.transform(at, size), lambda sizes: let(chosen(sizes), laid_out))
 
-            return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda s: F.concat(s["parts"], F.array(part(F.lit(""), s["plain"]))))
+        def chosen(sizes: Column) -> Column:
+            start = F.struct(F.lit(0).alias("next"), F.array().cast("array<struct<i:int,n:int>>").alias("taken"))
+
+            def step(s: Column, i: Column) -> Column:
+                # nothing here goes through `let`: a transform copies what it gives back
+                n = F.get(sizes, i)
+                take = F.struct((i + n).alias("next"), F.concat(s["taken"], F.array(F.struct(i.alias("i"), n.alias("n")))).alias("taken"))
+                return F.when((i < s["next"]) | (n == 0), s).otherwise(take)
+
+            return F.aggregate(F.sequence(F.lit(0), F.size(groups) - 1), start, step, lambda s: s["taken"])
+
+        def gap(low: Column, high: Column) -> Column:
+            """The text from behind group low - 1 up to group high, separators included."""
+            lead = F.when(low > 0, F.coalesce(F.get(seps, low - 1), F.lit(""))).otherwise("")
+            inside = F.transform(F.slice(groups, low + 1, high - low), lambda g, k: F.concat(g, F.coalesce(F.get(seps, low + k), F.lit(""))))
+            return part(F.lit(""), F.concat(lead, F.array_join(inside, "")))
+
+        def laid_out(taken: Column) -> Column:
+            end = lambda j: F.when(j > 0, let(F.get(taken, j - 1), lambda t: t["i"] + t["n"])).otherwise(0)
+            cards = F.flatten(F.transform(taken, lambda t, j: F.array(gap(end(j), t["i"]), part(F.lit("card"), span(t["i"], t["n"])))))
+            return F.concat(cards, F.array(gap(end(F.size(taken)), F.size(groups))))
 
         return let(at, walk)
 
