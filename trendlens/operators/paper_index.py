@@ -81,7 +81,7 @@ def _by_keyword(r: DataFrame, papers: DataFrame, posted: DataFrame, grams: DataF
     cut = r.where("kw <> ''").select("qid", F.split("kw", text.WHITESPACE).alias("_all"))
     parts = cut.select("qid", F.size("_all").alias("_n"), F.posexplode("_all").alias("at", "part_text")).where("part_text <> ''") \
         .select("qid", "at", "part_text", (F.col("at") == 0).alias("first"), (F.col("at") == F.col("_n") - 1).alias("last"))
-    words = _matched_words(parts, grams)
+    words = write("matched_words", _matched_words(parts, grams).select("qid", "at", "word", "often"))
     weight = words.groupBy("qid", "at").agg(F.sum("often").alias("_w"))
     chosen = weight.withColumn("_r", F.row_number().over(Window.partitionBy("qid").orderBy("_w", "at"))).where(F.col("_r") <= RAREST)
     wanted = parts.groupBy("qid").agg(F.least(F.count(F.lit(1)), F.lit(RAREST)).alias("need"), (F.count(F.lit(1)) > 1).alias("check"))

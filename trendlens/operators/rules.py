@@ -108,7 +108,7 @@ def work_units(baskets: DataFrame, items: DataFrame) -> DataFrame:
     occ = baskets.select("_bid", F.explode("items").alias("item")).join(items.select("item", "iid"), "item")
     per = occ.groupBy("_bid").agg(F.sort_array(F.collect_list("iid")).alias("ids")).where(F.size("ids") > 1)
     per = per.select("_bid", "ids", blocks.alias("blocks"), width.alias("width"))
-    of_block = lambda b: F.filter("ids", lambda x: F.floor((x - 1) / F.col("width")) == b)       # noqa: E731
+    of_block = lambda b: F.filter("ids", lambda x: (x > b * F.col("width")) & (x <= (b + 1) * F.col("width")))       # noqa: E731
     per = per.select("_bid", F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), of_block).alias("parts"))
     units = per.select("_bid", "parts", F.posexplode("parts").alias("i", "left")).where(F.size("left") > 0)
     units = units.select("_bid", "i", "left", F.posexplode("parts").alias("j", "right")).where((F.col("j") >= F.col("i")) & (F.size("right") > 0))
