@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trendlens.llm.common import table, text_batches
 
@@ -170,8 +171,8 @@ def squeeze(points: np.ndarray, table: np.ndarray) -> np.ndarray:
     return codes[(codes != SEPARATOR) | np.concatenate([[True], codes[:-1] != SEPARATOR])]
 
 
-def predict(docs: DataFrame, model: tuple[Alphabet, list[tuple[str, float, np.ndarray]]]) -> DataFrame:
-    """doc_id, lang_pred, score. score = 1 - best cost / second cost (1 with a single language)."""
+def predict(docs: DataFrame, model: tuple[Alphabet, list[tuple[str, float, np.ndarray]]], carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns `carried` along, lang_pred, score. score = 1 - best cost / second cost (1 with a single language)."""
     alphabet, langs = model
     shipped = docs.sparkSession.sparkContext.broadcast((alphabet.table(), alphabet.size, langs))     # bounded by the samples
 
@@ -200,10 +201,12 @@ def predict(docs: DataFrame, model: tuple[Alphabet, list[tuple[str, float, np.nd
                 else:
                     score = np.ones(n)
             pred = [names[b] if ok else UNDETERMINED for b, ok in zip(best.tolist(), some, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(pred, pa.string()),
-                                              pa.array(np.where(some, score, 0.0))], ["doc_id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(sent.index(c)) for c in ("doc_id", *carried)), pa.array(pred, pa.string()),
+                                              pa.array(np.where(some, score, 0.0))], [f.name for f in out])
 
-    return text_batches(docs).select("doc_id", "text").mapInArrow(rows, "doc_id long, lang_pred string, score double")
+    out = T.StructType([*docs.select("doc_id", *carried).schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    sent = ["doc_id", "text", *(c for c in carried if c != "text")]
+    return text_batches(docs).select(*sent).mapInArrow(rows, out)
 
 
 def identify(docs: DataFrame) -> DataFrame:
