@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendlens.llm import op2_pii
+from trendlens.llm import op2_pii, op3_paragraphs
 from trendlens.llm.common import table
 
 SMALL = "/root/testdata/sf0.001"
@@ -65,3 +65,12 @@ def test_long_mail_domains_and_digit_rows(spark):
     assert got[1].text.startswith(long) and got[1].pii_found == ["email"] and "b@c.org" not in got[1].text
     assert got[2].pii_found == ["email"] and got[3].pii_found == ["card"]
     assert "card" in got[4].pii_found and card not in got[4].text and len(got[4].text) == len(row) + 2
+
+
+def test_a_letter_that_grows_hides_no_passage(spark):
+    """A passage of 60 words that two documents share is reported where one of them holds an İ elsewhere."""
+    passage = words(9, 60).title()
+    rows = [(1, f"{words(1, 30)}\n{passage}\n{words(2, 30)}"), (2, f"İstanbul {words(3, 30)}\n{passage.upper()}\n{words(4, 30)}")]
+    got = op3_paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.words >= 60} == {1, 2} and len({r.component_id for r in got}) == 1
+    assert {r.doc_id for r in got if r.removed} == {2}

@@ -77,8 +77,8 @@ def cuts(h: np.ndarray, reach: int = REACH) -> np.ndarray:
 def pieces(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray, np.ndarray]:
     """Word hashes, word spans, and first and past-last word of each piece."""
     spans = [m.span() for m in WORD.finditer(text)]
-    low = text.lower() if len(text.lower()) == len(text) else text
-    h = np.array([xxhash.xxh64_intdigest(low[a:b]) for a, b in spans], dtype=np.uint64)
+    # word by word: a letter whose lower case is longer (such as İ) moves no other word's place
+    h = np.array([xxhash.xxh64_intdigest(text[a:b].lower()) for a, b in spans], dtype=np.uint64)
     ends = np.concatenate([cuts(h) + 1, [len(h)]]).astype(np.int64)
     return h, spans, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends
 
