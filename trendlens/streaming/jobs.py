@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trendlens.operators.increments import title_key
+from trendlens.plans.manifest import path_exists
 from trendlens.sources.ingest import ingest_batches, rejected_batches
 
 PAYLOAD_SCHEMA = "batch_id long, body string"
+COUNTS_SCHEMA = "discipline string, inserted long, _epoch int"
+WINDOWS_SCHEMA = "window_start long, window_end long, search_keyword string, searches long, _epoch int"
+PLACES_SCHEMA = "title_key string, batch_id long, pos int, _epoch int"
 
 
 def land_payloads(payloads: DataFrame, landing_dir: str) -> None:
@@ -121,6 +125,33 @@ def search_log_windows(log: DataFrame, window: str = "1 day", watermark: str = "
                     "search_keyword", "searches"))
 
 
+def run_late_searches(spark: SparkSession, log_stream: DataFrame, out_dir: str, checkpoint: str,
+                      window: str = "1 day", watermark: str = "1 day", trigger: dict | None = None):
+    """The log rows that the rollup drops, as a side table `out_dir/late` (one folder per epoch): rows whose window
+    had ended by the watermark, which is the latest create_time of the epochs before, less the delay. Each epoch notes
+    its own latest time under `out_dir/clock`, so an epoch that is run again finds the same watermark."""
+    clock, epochs = f"{out_dir}/clock", "_epoch int, latest timestamp"
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        timed = batch.withColumn("_at", utc_instant(F.col("create_time")))
+        before = read_epochs(session, clock, epochs).where(F.col("_epoch") < epoch_id).agg(F.max("latest").alias("latest"))
+        until = F.col("latest") - F.expr(f"INTERVAL {watermark}")
+        late = timed.crossJoin(F.broadcast(before)).where(F.window("_at", window)["end"] <= until)      # `before`: one row
+        late.select(*batch.columns).write.mode("overwrite").parquet(f"{out_dir}/late/_epoch={epoch_id}")
+        timed.agg(F.max("_at").alias("latest")).write.mode("overwrite").parquet(f"{clock}/_epoch={epoch_id}")
+
+    return (log_stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_epochs(spark: SparkSession, out_dir: str, schema: str) -> DataFrame:
+    """The table that epochs have written under `out_dir`; empty, with its schema, before the first one."""
+    if not path_exists(spark, out_dir):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out_dir)
+
+
 def run_search_log_rollup(spark: SparkSession, log_stream: DataFrame, out_dir: str, checkpoint: str,
                           trigger: dict | None = None):
     """Windowed rollup with a watermark; update mode so open windows are visible, state for

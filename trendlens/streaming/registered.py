@@ -44,7 +44,7 @@ def q_stream_subject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, landing = _land(spark, sf_dir, "subjects")
     q = jobs.run_subject_counts(spark, landing, f"{base}/out", f"{base}/_checkpoint", files_per_trigger=1)
     q.awaitTermination()
-    return jobs.latest_per_key(spark.read.parquet(f"{base}/out"), ["discipline"])
+    return jobs.latest_per_key(jobs.read_epochs(spark, f"{base}/out", jobs.COUNTS_SCHEMA), ["discipline"])
 
 
 def q_stream_search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ def q_stream_search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = jobs.run_search_log_rollup(spark, tables.search_log(stream), f"{base}/out", f"{base}/_checkpoint")
     q.awaitTermination()
     keys = ["window_start", "window_end", "search_keyword"]
-    return jobs.latest_per_key(spark.read.parquet(f"{base}/out"), keys)
+    return jobs.latest_per_key(jobs.read_epochs(spark, f"{base}/out", jobs.WINDOWS_SCHEMA), keys)
 
 
 def landed(spark: SparkSession, base: str, landing: str) -> DataFrame:
@@ -65,7 +65,7 @@ def landed(spark: SparkSession, base: str, landing: str) -> DataFrame:
            jobs.run_first_places(spark, landing, f"{base}/places", f"{base}/_places", files_per_trigger=1)]
     for q in ran:
         q.awaitTermination()
-    return jobs.landed_papers(spark.read.parquet(f"{base}/rows"), spark.read.parquet(f"{base}/places"))
+    return jobs.landed_papers(spark.read.parquet(f"{base}/rows"), jobs.read_epochs(spark, f"{base}/places", jobs.PLACES_SCHEMA))
 
 
 def q_stream_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
