@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendlens.llm import op2_pii, op3_paragraphs
+from trendlens.llm import op2_pii, op3_paragraphs, op8_language
 from trendlens.llm.common import table
 
 SMALL = "/root/testdata/sf0.001"
@@ -74,3 +74,14 @@ def test_a_letter_that_grows_hides_no_passage(spark):
     got = op3_paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id for r in got if r.words >= 60} == {1, 2} and len({r.component_id for r in got}) == 1
     assert {r.doc_id for r in got if r.removed} == {2}
+
+
+def test_language_samples_share_the_room(spark):
+    """One very long text and a hundred copies beside 70 short texts: 64 distinct texts, an equal share of each."""
+    rows = [(i, words(100 + i, 200), "xx") for i in range(1, 70)] + [(1000, "z" * 500_000, "xx")] + [(2000 + i, "qq copy " * 50, "xx") for i in range(100)]
+    rows += [(3000 + i, "few words here", "yy") for i in range(20)] + [(4000, None, "yy"), (4001, "no language", None)]
+    got = op8_language.samples(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 6400)
+    assert set(got) == {"xx", "yy"} and got["yy"].strip() == "few words here"
+    parts = got["xx"].split(" ")
+    assert 6400 <= len(got["xx"]) <= 6400 + op8_language.SAMPLE_DOCS
+    assert got["xx"].count("z") <= 100 and got["xx"].count("copy") <= 13 and len(set(parts)) > 500

@@ -11,8 +11,9 @@ language alike, so whole texts are parsed at any length.
 
 Text is folded to lower-case letters; any run of other characters is one separator.
 
-Bounds (documented parameters): at most SAMPLE_DOCS labelled documents per language, chosen by hash,
-and SAMPLE_CHARS characters of them.
+Bounds (documented parameters): SAMPLE_CHARS characters per language, in equal shares of at most SAMPLE_DOCS distinct
+labelled texts that their hashes choose; a longer text gives a stretch at a place told by its hash. So neither a long
+text nor copies fill a language's model.
 
 Defined cases: a text that is null or has no letter is `und` with score 0, and so is every text when
 nothing could be learned; ties go to the alphabetically first language; repeated rows get a row each;
@@ -52,16 +53,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def samples(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """Language -> bounded sample of labelled text outside the held-out fold."""
-    w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold() != 0))
-    chosen = (labelled.select("doc_id", "lang").withColumn("rank", F.row_number().over(w))
-              .where(F.col("rank") <= SAMPLE_DOCS).select("doc_id", "lang", "rank"))
-    rows = (docs.join(F.broadcast(chosen), ["doc_id", "lang"])      # SAMPLE_DOCS rows per language
-            .select("lang", "rank", F.substring("text", 1, chars).alias("text")).collect())
+    """Language -> bounded sample of labelled text outside the held-out fold: SAMPLE_DOCS distinct texts by the order of
+    their hashes (copies count once), an equal share of `chars` from each, at a place told by its hash."""
+    labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold() != 0)).select("lang", "text", F.xxhash64("text").alias("h"))
+    first = Window.partitionBy("lang").orderBy("h")
+    chosen = (labelled.select("lang", "h").distinct().withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= SAMPLE_DOCS)
+              .withColumn("share", F.floor(F.lit(chars) / F.count("*").over(Window.partitionBy("lang"))).cast("int")))
+    spare = F.greatest(F.length("text") - F.col("share"), F.lit(0))
+    start = (F.pmod(F.xxhash64("text", F.lit("start")), spare + 1) + 1).cast("int")
+    rows = (labelled.join(F.broadcast(chosen), ["lang", "h"])       # SAMPLE_DOCS rows per language
+            .select("lang", "rank", F.substring("text", start, F.col("share")).alias("text"))
+            .groupBy("lang", "rank").agg(F.min("text").alias("text")).collect())
     out: dict[str, str] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.rank, r.text)):
-        out[r.lang] = (out.get(r.lang, "") + " " + r.text)[:chars]
+    for r in sorted(rows, key=lambda r: (r.lang, r.rank)):
+        out[r.lang] = (out.get(r.lang, "") + " " + r.text)[:chars + SAMPLE_DOCS]
     return out
 
 
