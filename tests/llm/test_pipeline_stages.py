@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendlens.llm import op2_pii, op3_paragraphs, op8_language
+from trendlens.llm import op1_covertree, op2_pii, op3_paragraphs, op8_language
 from trendlens.llm.common import table
 
 SMALL = "/root/testdata/sf0.001"
@@ -85,3 +85,14 @@ def test_language_samples_share_the_room(spark):
     parts = got["xx"].split(" ")
     assert 6400 <= len(got["xx"]) <= 6400 + op8_language.SAMPLE_DOCS
     assert got["xx"].count("z") <= 100 and got["xx"].count("copy") <= 13 and len(set(parts)) > 500
+
+
+def test_vectors_with_repeated_and_null_ids(spark):
+    """Ids are labels only: links belong to rows. Two vectors under one id, nulls linked to others and to each other."""
+    e = [[1.0 if i == k else 0.0 for i in range(4)] for k in range(4)]
+    near = lambda v: [x + 0.01 for x in v]      # noqa: E731
+    rows = [(1, e[0]), (1, e[1]), (2, near(e[0])), (3, near(e[1])), (None, e[2]), (7, near(e[2])), (None, e[3]), (None, e[3]), (9, None), (None, [])]
+    got = op1_covertree.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    told = sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in got], key=str)
+    assert told == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (None, 1, 7, False), (7, 1, 7, True),
+                           (None, 1, None, True), (None, 1, None, True), (9, 0, 9, True), (None, 0, None, True)], key=str)

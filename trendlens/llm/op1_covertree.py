@@ -16,7 +16,9 @@ blocks. The number of block pairs that the bound leaves is quadratic where the v
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing and are their own component; vectors of different lengths never link; repeated vec_ids are
-rows of their own; an empty table gives an empty result; other input columns are ignored.
+rows of their own, each with its own vector's links; a null vec_id links like any other and is no smallest id
+(component_id is null, and the row kept, where a component has no other); an empty table gives an empty result;
+other input columns are ignored.
 """
 
 from __future__ import annotations
@@ -253,19 +255,23 @@ def link_classes(classes: DataFrame, cosine: float = COSINE, block: int = BLOCK)
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row."""
+    """vec_id, n_links, component_id, kept for every row. Classes go by numbers of their own; ids come in at the end."""
     rows = classes_of(vectors)
     classes = materialise(rows.where("key is not null").groupBy("key").agg(
-        F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("embedding").cast("array<double>").alias("embedding"))
-        .where("rep is not null"), "vector-classes")
+        F.min("vec_id").alias("low"), F.count("*").alias("n"), F.first("embedding").cast("array<double>").alias("embedding"))
+        .withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     found = materialise(link_classes(classes, cosine, block), "vector-links")
     counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
     groups = connected_components(found, "rep", "root").select(F.col("node").alias("rep"), "component")
-    of_class = (classes.select("key", "rep", "n").join(counts, "rep", "left").join(groups, "rep", "left")
-                .select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"), F.coalesce("component", "rep").alias("component")))
+    of_class = classes.select("key", "rep", "low", "n").join(counts, "rep", "left").join(groups, "rep", "left")
+    of_class = materialise(of_class.select("key", "low", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"),
+                                           F.coalesce("component", "rep").alias("component")), "vector-components")
+    lowest = materialise(of_class.groupBy("component").agg(F.min("low").alias("component_id")), "vector-lowest")
+    of_class = of_class.join(lowest, "component").select("key", "links", "component_id", F.lit(True).alias("linked"))
+    own = F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("vec_id"))
     return (rows.select("vec_id", "key").join(of_class, "key", "left")
-            .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-            .withColumn("kept", F.col("vec_id") == F.col("component_id")))
+            .select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"))
+            .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id"))))
 
 
 def op1_cover_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
