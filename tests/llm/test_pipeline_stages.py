@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from trendlens.llm import op1_covertree, op2_pii, op3_paragraphs, op8_language
+from trendlens.llm import op1_covertree, op2_pii, op3_paragraphs, op8_language, queries
 from trendlens.llm.common import table
 
 SMALL = "/root/testdata/sf0.001"
@@ -96,3 +97,15 @@ def test_vectors_with_repeated_and_null_ids(spark):
     told = sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in got], key=str)
     assert told == sorted([(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (None, 1, 7, False), (7, 1, 7, True),
                            (None, 1, None, True), (None, 1, None, True), (9, 0, 9, True), (None, 0, None, True)], key=str)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_matches_its_sql(spark, name):
+    """What the driver compares at sf0.01, here at sf0.001."""
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "conversations"):
+        con.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
+    want = con.sql(queries.ORACLE[name])
+    got = queries.QUERIES[name](spark, SMALL)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(str, map(tuple, got.select(*want.columns).collect()))) == sorted(map(str, want.fetchall()))

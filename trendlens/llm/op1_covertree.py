@@ -276,3 +276,16 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK)
 
 def op1_cover_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.r AS a, b.r AS b FROM ok a JOIN ok b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT x.a, l.b FROM reach x JOIN links l ON l.a = x.b),
+low AS (SELECT x.a, min(v.vec_id) AS component_id FROM reach x JOIN v ON v.r = x.b GROUP BY x.a)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.r) AS n_links, low.component_id, v.vec_id IS NOT DISTINCT FROM low.component_id AS kept
+FROM v JOIN low ON low.a = v.r
+"""

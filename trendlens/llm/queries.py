@@ -19,6 +19,7 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 ORACLE: dict[str, str] = {
+    "op1_cover_trees": op1_covertree.OP1_SQL,
     "op11_prefix_trie": op11_prefix_trie.OP11_SQL,
     "op13_block_naming": op13_blocks.OP13_SQL,
 }
