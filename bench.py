@@ -19,11 +19,11 @@ sys.path.insert(0, ROOT)
 
 HEADLINE = (
     # job stages (each over the previous written stage)
-    "clean_papers", "trend_history", "forecast_rows", "assoc_rules", "assoc_rules_topk",
+    "clean_papers", "trend_history", "forecast_rows", "pair_counts", "assoc_rules", "assoc_rules_topk",
     # reports over the trend / rule tables
     "leaderboard", "rising_stars", "bridge_words", "network_nodes", "radar_metrics",
     # search and topic evidence
-    "paper_search", "search_suggest", "keyword_evidence", "topic_candidates",
+    "paper_postings", "paper_search", "search_suggest", "keyword_evidence", "topic_candidates",
     # ingest
     "ingest_batches", "normalise_works", "search_log_rollup",
 )
@@ -44,6 +44,7 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16), app="trendlens-bench")
     t0 = time.time()
     pl = pipeline(spark, sf_dir, catalog.P).run()
+    pl.postings(), pl.gram_sizes()          # the title index
     job_sec = time.time() - t0
 
     timings: dict[str, float] = {}

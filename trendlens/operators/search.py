@@ -51,21 +51,23 @@ def search_suggest(trend: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def paper_search(cleaned: DataFrame, requests: DataFrame, posted: DataFrame | None = None, grams: DataFrame | None = None,
-                 write=lambda name, rows: rows) -> DataFrame:
+                 sizes: DataFrame | None = None, write=lambda name, rows: rows) -> DataFrame:
     """Per request (qid, keyword, discipline, year), the 50 newest matching papers.
 
     keyword: substring of the title, literal, case- and accent-insensitive; discipline: equality that ignores
     both; year: equality. Empty or "All" means no filter on that field; a year that is no number finds nothing.
     Output: qid, rank, id, title, discipline, publish_year, source.
 
-    `posted`, `grams`: the title index (`paper_index`), as the job wrote it; made in the plan where not given.
+    `posted`, `grams`, `sizes`: the title index (`paper_index`), as the job wrote it; made in the plan where not given.
     `write` (name, rows) -> rows: writes the narrow tables in between, where the caller has a place for them.
     """
     if posted is None:
         posted = paper_index.postings(cleaned)
     if grams is None:
         grams = paper_index.word_grams(posted)
-    return paper_index.search(cleaned, requests, posted, grams, SEARCH_LIMIT, write)
+    if sizes is None:
+        sizes = paper_index.gram_sizes(grams)
+    return paper_index.search(cleaned, requests, posted, grams, sizes, SEARCH_LIMIT, write)
 
 
 def search_log_entries(requests: DataFrame) -> DataFrame:

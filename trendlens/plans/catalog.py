@@ -245,7 +245,7 @@ def q_search_suggest(spark, sf_dir):
 def q_paper_search(spark, sf_dir):
     reqs = spark.createDataFrame(list(SEARCH_QUERIES), "qid int, keyword string, discipline string, year string")
     pl = _pl(spark, sf_dir)
-    return search.paper_search(pl.cleaned(), reqs, pl.postings(), pl.word_grams(), pl.written)
+    return search.paper_search(pl.cleaned(), reqs, pl.postings(), pl.word_grams(), pl.gram_sizes(), pl.written)
 
 
 def q_paper_postings(spark, sf_dir):

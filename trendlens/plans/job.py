@@ -124,6 +124,10 @@ class Pipeline:
         """The title index: grams of every word."""
         return self._materialise("word_grams", lambda: paper_index.word_grams(self.postings()))
 
+    def gram_sizes(self) -> DataFrame:
+        """The title index: words under each gram."""
+        return self._materialise("gram_sizes", lambda: paper_index.gram_sizes(self.word_grams()))
+
     def run(self) -> "Pipeline":
         """Compute every stage (each exactly once)."""
         self.rules()
