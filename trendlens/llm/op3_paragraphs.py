@@ -1,36 +1,34 @@
 """Operator 3: substring dedup by MinHash banding of paragraphs.
 
-Repeated passages stand inside longer lines, so a paragraph here is a content-defined piece of the word
-sequence: a cut follows each word whose hash with its successor is the smallest of REACH neighbours on
-either side. The cuts inside a passage are the same wherever it stands; pieces have about 2 * REACH words.
-
-Paragraphs as written, the text between line breaks, are units too; one of over LONG words is split at cuts of
-a wider reach. Units with equal words are one class. Classes of paragraphs are compared by shingles of five words: BANDS
-bands of one MinHash row each (tuned for recall: a pair at the threshold 0.8 is missed with 0.2 ^ 4 = 0.16 %), classes
-that share a band value are brought together, and the exact Jaccard of their shingle sets is verified at
-0.8 or more. A bucket of over CELL classes is dealt to a grid of cells so that every pair still meets in some
-cell and no task holds more than two CELLs. Linked classes form components. Pieces are too short for this: one changed
-word is over the threshold, and one foreign word at an edge is not. They match by equal words.
-
-Matches grow to the full shared stretch of words, wherever its pieces are cut: of each MIN_WORDS - ANCHOR + 1
-neighbouring shingles of ANCHOR words the smallest is an anchor, so a shared stretch of MIN_WORDS words holds a
-shared anchor, and around these all windows of MIN_WORDS words are compared exactly. The component of a stretch is
-the stretch of first occurrences it leads to. A stretch that adds under SHINGLE words to a longer one is left out: it
-is the word beside a passage that some copies share by chance, and it stays in all of them.
-
-A unit or window whose component occurs in more than one document is repeated. Neighbouring repeated words make a
-run; runs of at least MIN_WORDS words are reported, one row per part of equal component and state; `piece` is the
-number of the part's first word. The first occurrence (smallest doc_id, then place) is kept, all others are `removed`.
-
-Defined cases: null, empty and short texts have no pieces to report; a piece of fewer than five words has one
-shingle, all of it; a null doc_id is left out; repeated rows count as occurrences; an empty table gives an
-empty result; other input columns are ignored.
+Paragraphs, the text between line breaks, are the units; one of over LONG words is split at content-defined
+cuts (after each word whose hash with its successor is the smallest of WIDE neighbours on either side). Units with
+equal words are one class. Classes are compared by shingles of five words: BANDS bands of ROWS MinHash values each
+(tuned for recall: a pair at the threshold 0.8 is missed with (1 - 0.8 ^ 3) ^ 9 = 0.16 %, a pair at 0.1 meets with
+0.9 %), classes that share a band are brought together, and the exact Jaccard of their shingle sets is verified at
+0.8 or more. Shingles are read only for classes that met another. A band value of over CELL classes is dealt to a
+grid of cells so that every pair still meets in some cell and no task holds more than two CELLs; the others are
+grouped until a cell is full. Linked classes form components.
+
+Passages also stand inside longer lines. They are found exactly: of each MIN_WORDS - ANCHOR + 1 neighbouring
+shingles of ANCHOR words the smallest is an anchor, so a shared stretch of MIN_WORDS words holds a shared anchor,
+and around these all windows of MIN_WORDS words are compared. A window travels as three numbers (text, place, hash). The
+component of a stretch is the stretch of first occurrences it leads to. A stretch that adds under SHINGLE words to a
+longer one is left out: it is the word beside a passage that some copies share by chance, and it stays in all of them.
+
+A unit or window that occurs more than once, in one document or in several, is repeated. Neighbouring repeated words
+make a run; runs of at least MIN_WORDS words are reported, one row per part of equal component and state; `piece` is the
+number of the part's first word. The first occurrence (smallest doc_id, then text hash and place) is kept, all others are
+`removed`. `within_document` says that all occurrences of the part lie in one document. In a text that repeats itself
+with a short period, the windows that overlap the first occurrence belong to it.
+
+Defined cases: null, empty and short texts have nothing to report; a null doc_id comes before all others; rows alike
+in doc_id and text are occurrences of each other: the whole text is repeated, `rows` counts them, and each has the
+same rows here; an empty table gives an empty result; other input columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,17 +40,16 @@ from pyspark.sql import functions as F
 
 from trendlens.llm.common import Forest, connected_components, materialise, table
 
-REACH = 6
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 4
+BANDS, ROWS = 9, 3
 CELL = 400
 MIN_WORDS = 20
 ANCHOR = 8
 LONG, WIDE = 128, 48        # paragraphs of more words are split, by cuts of this reach
-GRID = 8192                 # shingles compared at a time in a cell
-WORD = re.compile(r"\S+")
-BREAK = re.compile(r"[\r\n]")
+VOCABULARY = 500_000        # word hashes a task remembers
+SPACES = np.array([chr(i).isspace() for i in range(0x3002)])        # the last entry stands for all code points after it
+SEEDS = np.random.default_rng(8).integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 LAST = np.uint64((1 << 64) - 1)
@@ -63,29 +60,42 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def cuts(h: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """Index after which a piece ends, without the last word's."""
+class WordHashes(dict):
+    """Hashes of lower-cased words. Word by word: a letter whose lower case is longer (such as İ) moves no other word's place."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= VOCABULARY:
+            self.clear()
+        x = self[word] = xxhash.xxh64_intdigest(word.lower())
+        return x
+
+
+def cuts(h: np.ndarray, reach: int) -> np.ndarray:
+    """Index after which a part ends, without the last word's."""
     if len(h) < 2:
         return np.empty(0, np.int64)
     pair = mixed(h[:-1] * PRIME + h[1:])
     wide = np.concatenate([np.full(reach, LAST), pair, np.full(reach, LAST)])
-    view = np.lib.stride_tricks.sliding_window_view(wide, 2 * reach + 1)
-    before, after = view[:, :reach].min(axis=1), view[:, reach + 1:].min(axis=1)
-    return np.flatnonzero((pair < before) & (pair <= after))
+    view = np.lib.stride_tricks.sliding_window_view(wide, reach)
+    low = view.min(axis=1)                      # low[i]: smallest of the `reach` hashes from wide[i] on
+    return np.flatnonzero((pair < low[:len(pair)]) & (pair <= low[reach + 1:]))
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and past-end of each word (code points), and the number of its line."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    gap = np.concatenate([[True], SPACES[np.minimum(codes, len(SPACES) - 1)], [True]])
+    start, end = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
+    return start, end, np.searchsorted(np.flatnonzero((codes == 10) | (codes == 13)), start)
 
 
-def pieces(text: str) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray, np.ndarray]:
-    """Word hashes, word spans, and first and past-last word of each piece."""
-    spans = [m.span() for m in WORD.finditer(text)]
-    # word by word: a letter whose lower case is longer (such as İ) moves no other word's place
-    h = np.array([xxhash.xxh64_intdigest(text[a:b].lower()) for a, b in spans], dtype=np.uint64)
-    ends = np.concatenate([cuts(h) + 1, [len(h)]]).astype(np.int64)
-    return h, spans, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends
+def word_hashes(text: str, known: WordHashes) -> np.ndarray:
+    words = text.split()
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def paragraphs(text: str, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def paragraphs(h: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and past-last word of each paragraph of at least SHINGLE words."""
-    line = np.searchsorted(np.array([m.start() for m in BREAK.finditer(text)], np.int64), at)
     borders = np.concatenate([[0], np.flatnonzero(line[1:] != line[:-1]) + 1, [len(h)]]).astype(np.int64)
     more = [a + cuts(h[a:b], WIDE) + 1 for a, b in zip(borders[:-1], borders[1:], strict=True) if b - a > LONG]
     borders = np.unique(np.concatenate([borders, *more]))
@@ -112,118 +122,144 @@ def anchors(h: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit shingle hashes of all pieces of a text, piece after piece, and how many each has."""
-    n = len(h) - SHINGLE + 1
-    whole = h[:max(n, 0)].copy()
-    for k in range(1, SHINGLE) if n > 0 else ():
-        whole = mixed(whole * PRIME + h[k:k + n])
+    """32-bit shingle hashes of all paragraphs of a text, one after the other, and how many each has."""
+    whole = grams(h, SHINGLE)
     counts = past - first - SHINGLE + 1
-    short = np.flatnonzero(counts < 1)                  # the first and last piece may be short: one shingle, all of it
-    counts = np.maximum(counts, 1)
-    starts = np.cumsum(counts) - counts
-    at = np.arange(counts.sum()) - np.repeat(starts - first, counts)
-    out = whole[np.minimum(at, max(n - 1, 0))] if n > 0 else np.zeros(len(at), np.uint64)
-    for i in short.tolist():
-        x = np.uint64(0)
-        for w in h[first[i]:past[i]]:
-            x = mixed(np.array([x], np.uint64) * PRIME + w)[0]
-        out[starts[i]] = x
-    return (mixed(out) >> np.uint64(32)).astype(np.uint32).view(np.int32), counts
+    at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - first, counts)
+    return (whole[at] >> np.uint64(32)).astype(np.uint32).view(np.int32), counts
 
 
-def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, row (hash of the text), first and past (words), start, end (code points), before and after (the end of the word before, the start of the word after), unit (hash of the words), sh
-    (shingles, of paragraphs only) of all pieces and paragraphs of whole texts; a text's first row has its anchors."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "row", "first", "past", "start", "end", "before", "after", "unit", "sh", "anchors"]
-        lists = lambda sizes, flat: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)), pa.array(np.concatenate(flat)))
-        for batch in batches:
-            cols: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.int64, *[np.int32] * 6, np.int64)]
-            flat, sizes, marks, n_marks = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for doc_id, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                text = value.as_py() or ""
-                if doc_id is None:
-                    continue
-                h, spans, *cut = pieces(text)
-                if not len(h):
-                    continue
-                at = np.array(spans)
-                row, mark = row_key(text), np.unique(anchors(h, min_words)[1])
-                for near, (first, past) in enumerate((cut, paragraphs(text, h, at[:, 0]))):
-                    if not len(first):
-                        continue
-                    inside = np.repeat(first - (np.cumsum(past - first) - (past - first)), past - first) + np.arange((past - first).sum())
-                    place = inside - np.repeat(first, past - first)
-                    sums = np.add.reduceat(mixed(h[inside] + place.astype(np.uint64) * PRIME), np.cumsum(past - first) - (past - first))
-                    unit = mixed(sums + (past - first).astype(np.uint64))
-                    sh, counts = shingles(h, first, past) if near else (flat[0], np.zeros(len(first), np.int64))
-                    for column, got in zip(cols, (np.full(len(first), doc_id), np.full(len(first), row), first, past, *offsets(at, first, past), unit.view(np.int64)), strict=True):
-                        column.append(got.astype(column[0].dtype))
-                    flat.append(sh)
-                    sizes.append(counts)
-                    marks.append(mark)
-                    n_marks.append(np.concatenate([[len(mark)], np.zeros(len(first) - 1, np.int64)]))
-                    mark = mark[:0]
-            yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(c)) for c in cols), lists(sizes, flat), lists(n_marks, marks)], names)
+def band_values(sh: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """One row of BANDS hashes per paragraph, each of ROWS MinHash values."""
+    starts, x, out = np.cumsum(counts) - counts, sh.view(np.uint32), []
+    for j in range(BANDS):
+        value = np.full(len(counts), j + 1, np.uint64)
+        for seed in SEEDS[j * ROWS:(j + 1) * ROWS]:
+            y = x * seed
+            y = (y ^ (y >> np.uint32(15))) * np.uint32(0x846CA68B)
+            value = mixed(value * PRIME + np.minimum.reduceat(y ^ (y >> np.uint32(16)), starts))
+        out.append(value)
+    return np.stack(out, axis=1).view(np.int64)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, row long, first int, past int, start int, end int, before int, after int, unit long, sh array<int>, anchors array<long>")
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, row (hash of the text) and text (null: empty)."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select("doc_id", F.xxhash64(text).alias("row"), text.alias("text"))
 
-def offsets(at: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Code points: start, end, end of the word before, start of the word after (own borders where there is none)."""
-    return (at[first, 0], at[past - 1, 1], np.where(first > 0, at[first - 1, 1], at[first, 0]),
-            np.where(past < len(at), at[np.minimum(past, len(at) - 1), 0], at[past - 1, 1]))
 
+def _lists(sizes: list, flat: list, kind) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate([[], *sizes]))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, kind), *flat])))
 
-def row_key(text: str) -> np.int64:
-    return np.uint64(xxhash.xxh64_intdigest(text)).view(np.int64)
 
+def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """Of every text one row with its anchors and its number of words (`past`), its unit is null; and a row for each
+    paragraph: first and past (words), unit (hash of the words) and bands."""
 
-def windows(docs: DataFrame, found: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, row, first, past, start, end, before, after, gram (hash) of all windows of min_words words around shared anchors."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for batch in batches:
+            ids, keys, first, past, unit, bands, marks, sizes, n_marks = [], [], [], [], [], [], [], [], []
+            for doc_id, row, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                text = value.as_py()
+                h = word_hashes(text, known)
+                if len(h) < SHINGLE:
+                    continue
+                mark, times = np.unique(anchors(h, min_words)[1], return_counts=True)
+                mark = np.repeat(mark, np.minimum(times, 2))            # twice is enough to be shared
+                a, b = paragraphs(h, word_places(text)[2])
+                ids += [doc_id] * (len(a) + 1)
+                keys += [row] * (len(a) + 1)
+                first += [[0], a]
+                past += [[len(h)], b]
+                unit += [None]
+                marks.append(mark)
+                n_marks.append([len(mark)] + [0] * len(a))
+                sizes.append([0] + [BANDS] * len(a))
+                if len(a):
+                    inside = np.repeat(a - (np.cumsum(b - a) - (b - a)), b - a) + np.arange((b - a).sum())
+                    place = (inside - np.repeat(a, b - a)).astype(np.uint64)
+                    sums = np.add.reduceat(mixed(h[inside] + place * PRIME), np.cumsum(b - a) - (b - a))
+                    unit += mixed(sums + (b - a).astype(np.uint64)).view(np.int64).tolist()
+                    bands.append(band_values(*shingles(h, a, b)).ravel())
+            words = lambda x: pa.array(np.concatenate([np.zeros(0, np.int32), *x]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), words(first), words(past), pa.array(unit, pa.int64()),
+                                              _lists(sizes, bands, np.int64), _lists(n_marks, marks, np.int64)],
+                                             ["doc_id", "row", "first", "past", "unit", "bands", "anchors"])
+
+    return keyed(docs).mapInArrow(run, "doc_id long, row long, first int, past int, unit long, bands array<long>, anchors array<long>")
+
+
+def requests(found: DataFrame, met: DataFrame) -> DataFrame:
+    """tid, doc_id, row, anchors (those shared) and units (first, past, unit of classes that met another, at the
+    class's first place) of each text that has any. `tid` follows doc_id and row."""
+    texts = found.where("unit is null")
+    marks = texts.select("doc_id", "row", F.explode("anchors").alias("anchor"))
+    shared = marks.groupBy("anchor").count().where("count > 1").select("anchor")
+    none = F.lit(None)
+    leads = found.where("unit is not null").join(met.select("unit").distinct(), "unit", "left_semi")
+    leads = leads.groupBy("unit").agg(F.min(F.struct("doc_id", "row", "first", "past")).alias("lead"))
+    asked = leads.select("lead.doc_id", "lead.row", none.cast("long").alias("anchor"), F.struct("lead.first", "lead.past", "unit").alias("unit"))
+    asked = marks.join(shared, "anchor", "left_semi").select("doc_id", "row", "anchor", none.cast("struct<first:int,past:int,unit:bigint>").alias("unit")).unionByName(asked)
+    asked = asked.groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("anchors"), F.collect_list("unit").alias("units"))
+    return asked.orderBy("doc_id", "row").withColumn("tid", F.monotonically_increasing_id())
+
+
+def of_texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """The texts named by `asked` (doc_id, row), a null id included."""
+    asked = asked.withColumnsRenamed({"doc_id": "its_id", "row": "its_row"})
+    return keyed(docs).join(asked, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("row") == F.col("its_row"))).drop("its_id", "its_row")
+
+
+def windows(docs: DataFrame, asked: DataFrame, min_words: int) -> DataFrame:
+    """Rows of two kinds: tid, first, gram (hash) of all windows of min_words words around shared anchors; unit and sh
+    (shingles) of the paragraphs asked for."""
     size = max(min_words, ANCHOR)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "row", "first", "past", "start", "end", "before", "after", "gram"]
+        known = WordHashes()
         for batch in batches:
-            cols: list[list[np.ndarray]] = [[np.zeros(0, t)] for t in (np.int64, np.int64, *[np.int32] * 6, np.int64)]
-            for doc_id, value, shared in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                text = value.as_py() or ""
-                h, spans, *_ = pieces(text)
+            tid, place, gram, unit, sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [], [], []
+            for number, value, shared, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
+                h = word_hashes(value.as_py(), known)
                 places, marks = anchors(h, min_words)
                 places = places[np.isin(marks, shared.values.to_numpy())]
-                if not len(places):
-                    continue
                 first = np.unique(places[:, None] - np.arange(size - ANCHOR + 1))
                 first = first[(first >= 0) & (first + size <= len(h))]
-                at = np.array(spans)
-                got = np.full(len(first), doc_id), np.full(len(first), row_key(text)), first, first + size, *offsets(at, first, first + size), grams(h, size)[first].view(np.int64)
-                for column, x in zip(cols, got, strict=True):
-                    column.append(x.astype(column[0].dtype))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in cols], names)
-
-    marks = found.where(F.size("anchors") > 0).select("doc_id", F.explode("anchors").alias("anchor"))
-    shared = marks.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a != b").select("anchor")
-    of_doc = marks.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
-    return docs.select("doc_id", "text").join(of_doc, "doc_id").select("doc_id", "text", "anchors").mapInArrow(
-        run, "doc_id long, row long, first int, past int, start int, end int, before int, after int, gram long")
-
-
-def stretches(found: DataFrame) -> DataFrame:
-    """The windows that stand in several documents, with component_id, copies and removed."""
-    classes = found.groupBy("gram").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("lead"), F.max("doc_id").alias("last_doc"))
-    classes = classes.where("lead.doc_id != last_doc")
-    of_lead = Window.partitionBy("lead.doc_id", "lead.row").orderBy("lead.first")
+                tid.append(np.full(len(first), number))
+                place.append(first.astype(np.int32))
+                gram.append(grams(h, size)[first].view(np.int64))
+                if wanted:
+                    sh, counts = shingles(h, np.array([w["first"] for w in wanted]), np.array([w["past"] for w in wanted]))
+                    unit += [w["unit"] for w in wanted]
+                    sizes.append(counts)
+                    flat.append(sh)
+            n, m = sum(map(len, tid)), len(unit)
+            pad = lambda x, kind: pa.concat_arrays([pa.array(np.concatenate(x), kind), pa.nulls(m, kind)])
+            yield pa.RecordBatch.from_arrays([pad(tid, pa.int64()), pad(place, pa.int32()), pad(gram, pa.int64()),
+                                              pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(unit, pa.int64())]), lists], ["tid", "first", "gram", "unit", "sh"])
+
+    return of_texts(docs, asked).select("tid", "text", "anchors", "units").mapInArrow(run, "tid long, first int, gram long, unit long, sh array<int>")
+
+
+def stretches(found: DataFrame, size: int) -> DataFrame:
+    """The windows that stand at two places or more which don't overlap, with component_id, copies, removed and within."""
+    place = F.struct("tid", "first")
+    classes = found.groupBy("gram").agg(F.count("*").alias("n"), F.min(place).alias("lead"), F.max(place).alias("last"))
+    classes = classes.where((F.col("lead.tid") != F.col("last.tid")) | (F.col("last.first") >= F.col("lead.first") + size))
+    of_lead = Window.partitionBy("lead.tid").orderBy("lead.first")
     classes = classes.withColumn("island", F.col("lead.first") - F.row_number().over(of_lead))
-    of_island = Window.partitionBy("lead.doc_id", "lead.row", "island")
-    classes = classes.select("gram", "lead", F.xxhash64("lead.doc_id", "lead.row", "island").alias("component_id"), F.max("n").over(of_island).alias("copies"))
-    return found.join(classes, "gram").withColumn("removed", F.struct("doc_id", "row", "first") != F.col("lead"))
+    of_island = Window.partitionBy("lead.tid", "island")
+    classes = classes.select("gram", F.col("lead.tid").alias("lead_tid"), F.col("lead.first").alias("lead_first"), F.xxhash64("lead.tid", "island").alias("component_id"),
+                             F.max("n").over(of_island).alias("copies"), (F.max("last.tid").over(of_island) == F.col("lead.tid")).alias("within"))
+    gone = (F.col("tid") != F.col("lead_tid")) | (F.col("first") >= F.col("lead_first") + size)
+    return found.join(classes, "gram").select("tid", "first", "component_id", "copies", gone.alias("removed"), "within")
 
 
 def parts(spans: list[tuple], min_words: int) -> list[tuple]:
-    """(first, past, rank, component_id, copies, removed) that may overlap -> (first, past, component_id, copies, removed)
-    of runs that don't: the lowest rank names the component, and what any span removes is removed."""
+    """(first, past, rank, component_id, copies, removed, within) that may overlap -> (first, past, component_id, copies,
+    within, removed) of runs that don't: the lowest rank names the component, and what any span removes is removed."""
     borders = sorted({x for s in spans for x in (s[0], s[1])})
     index = {x: i for i, x in enumerate(borders)}
     gone = [0] * (len(borders) + 1)
@@ -236,20 +272,20 @@ def parts(spans: list[tuple], min_words: int) -> list[tuple]:
     for i, x in enumerate(borders[:-1]):
         level += gone[i]
         while k < len(todo) and todo[k][0] == x:
-            heapq.heappush(heap, (todo[k][2], todo[k][0], todo[k][1], todo[k][3], todo[k][4]))
+            heapq.heappush(heap, (todo[k][2], todo[k][0], todo[k][1], *todo[k][3:5], todo[k][6]))
             k += 1
         while heap and heap[0][2] <= x:
             heapq.heappop(heap)
         if not heap:
             continue
-        got = [x, borders[i + 1], heap[0][3], heap[0][4], level > 0]
+        got = [x, borders[i + 1], *heap[0][3:], level > 0]
         if not runs or runs[-1][-1][1] != x:
             runs.append([got])
         elif runs[-1][-1][2:] == got[2:]:
             runs[-1][-1][1] = got[1]
         else:
             runs[-1].append(got)
-    return [(a, b, c, n, removed) for run in runs if run[-1][1] - run[0][0] >= min_words for a, b, c, n, removed in run]
+    return [tuple(part) for run in runs if run[-1][1] - run[0][0] >= min_words for part in run]
 
 
 def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,49 +316,67 @@ def _colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pdf: pd.DataFrame) -> pd.DataFrame:
-    """A spanning forest of the pairs in one cell whose exact Jaccard reaches the threshold."""
-    pdf = pdf.drop_duplicates("unit").sort_values("unit")
-    ids, sets = pdf["unit"].to_numpy(), [np.asarray(s) for s in pdf["sh"]]
-    _, cols = np.unique(np.concatenate(sets), return_inverse=True)
-    cells = np.unique(cols.astype(np.int64) * len(ids) + np.repeat(np.arange(len(ids)), [len(s) for s in sets]))
-    cols, rows = cells // len(ids), cells % len(ids)
-    sizes = np.bincount(rows, minlength=len(ids)).astype(np.float32)
-    use = np.bincount(cols)[cols] > 1                       # a shingle of one class is in no intersection
-    _, cols = np.unique(cols[use], return_inverse=True)
-    rows, both = rows[use], np.zeros((len(ids), len(ids)), np.float32)
-    for low in range(0, int(cols.max()) + 1 if len(cols) else 0, GRID):
-        a, b = np.searchsorted(cols, [low, low + GRID])
-        grid = np.zeros((len(ids), GRID), np.float32)
-        grid[rows[a:b], cols[a:b] - low] = 1
-        both += grid @ grid.T
-    near = both >= SIMILARITY * (sizes[:, None] + sizes[None] - both) - 1e-6
-    forest = Forest(len(ids))
-    for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
-        forest.union(int(i), int(j))
+    """A spanning forest of the pairs with one band value, in one cell, whose exact Jaccard reaches the threshold."""
+    ids, at = np.unique(pdf["unit"].to_numpy(), return_inverse=True)
+    sets: list = [None] * len(ids)
+    for i, sh in zip(at.tolist(), pdf["sh"], strict=True):
+        if sets[i] is None:
+            sets[i] = frozenset(sh.tolist())
+    forest, of_value = Forest(len(ids)), {}
+    for value, i in zip(pdf["value"].tolist(), at.tolist(), strict=True):
+        of_value.setdefault(value, []).append(i)
+    for members in of_value.values():
+        members = sorted(set(members), key=lambda i: (len(sets[i]), i))
+        for k, i in enumerate(members):
+            for j in reversed(members[:k]):             # the nearest in size first
+                if len(sets[j]) < SIMILARITY * len(sets[i]) - 1e-6:
+                    break
+                if forest.find(i) != forest.find(j):
+                    both = len(sets[i] & sets[j])
+                    if both >= SIMILARITY * (len(sets[i]) + len(sets[j]) - both) - 1e-6:
+                        forest.union(i, j)
     root = ids[[forest.find(i) for i in range(len(ids))]]
     return pd.DataFrame({"a": ids[root != ids], "b": root[root != ids]})
 
 
-def link_units(found: DataFrame) -> DataFrame:
-    """(a, b) links between different units of similar words."""
-    seeds = F.array(*[F.lit(i) for i in range(BANDS)])
-    value = lambda s: F.array_min(F.transform("sh", lambda x: F.xxhash64(x, s)))
-    rows = found.select("unit", F.explode(F.transform(seeds, lambda s: F.xxhash64(s, value(s)))).alias("value")).select("value", "unit")
-    met = materialise(rows.repartition("value").sortWithinPartitions("value", "unit").mapInArrow(_colliding, "value long, unit long"), "paragraph-buckets")
+def met_in_bands(bands: DataFrame) -> DataFrame:
+    """(value, unit) of all band values that several units share, from (unit, bands)."""
+    rows = bands.select("unit", F.explode("bands").alias("value")).select("value", "unit")
+    return materialise(rows.repartition("value").sortWithinPartitions("value", "unit").mapInArrow(_colliding, "value long, unit long"), "paragraph-buckets")
+
+
+def verified_links(met: DataFrame, sh: DataFrame) -> DataFrame:
+    """(a, b) links between units that met and whose shingles (unit, sh) are alike."""
     sizes = met.groupBy("value").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
-    mine = found.join(met.select("unit").distinct(), "unit", "left_semi").groupBy("unit").agg(F.first("sh").alias("sh"))
+    cells = max(1, -(-met.count() // CELL))
+    mine = sh.groupBy("unit").agg(F.first("sh").alias("sh"))
     part = F.pmod(F.xxhash64("unit"), F.col("parts")).cast("int")
     to = F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(F.least(j, part).alias("i"), F.greatest(j, part).alias("j"))))
-    dealt = met.join(sizes, "value").withColumn("to", to).join(mine, "unit")
-    return dealt.groupBy("value", "to.i", "to.j").applyInPandas(_verified, "a long, b long")
+    cell = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("value"), F.lit(cells))).otherwise(F.col("value"))
+    dealt = met.join(sizes, "value").withColumn("cell", cell).withColumn("to", to).join(mine, "unit")
+    return dealt.groupBy("parts", "cell", "to.i", "to.j").applyInPandas(_verified, "a long, b long")
+
+
+def link_units(found: DataFrame) -> DataFrame:
+    """(a, b) links between different units of similar words, from their shingles (unit, sh)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                lists = batch.column(1)
+                got = band_values(lists.flatten().to_numpy(), np.asarray(lists.value_lengths()))
+                yield pa.RecordBatch.from_arrays([batch.column(0), _lists([[BANDS] * len(got)], [got.ravel()], np.int64)], ["unit", "bands"])
+
+    found = found.where(F.size("sh") > 0).select("unit", "sh")
+    return verified_links(met_in_bands(found.mapInArrow(run, "unit long, bands array<long>")), found)
 
 
 def without_chance(spans: list[tuple]) -> list[tuple]:
     """The spans without stretches that add under SHINGLE words to the longer ones: the word beside a passage that
     some of its copies share by chance."""
     covered = np.zeros(max(s[1] for s in spans), bool)
-    out = [s for s in spans if s[6] == 0]
-    for s in sorted((s for s in spans if s[6]), key=lambda s: (s[0] - s[1], s)):
+    out = [s for s in spans if s[2] != 1]
+    for s in sorted((s for s in spans if s[2] == 1), key=lambda s: (s[0] - s[1], s)):
         new = s[1] - s[0] - int(covered[s[0]:s[1]].sum())
         if new == 0 or new >= SHINGLE:
             out.append(s)
@@ -332,45 +386,59 @@ def without_chance(spans: list[tuple]) -> list[tuple]:
 
 def _reported(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "piece", "start", "end", "words", "component_id", "copies", "removed"]
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+        names = ["doc_id", "piece", "start", "end", "words", "component_id", "copies", "within_document", "removed", "rows"]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.int64()]
         for batch in batches:
-            for doc_id, spans in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                spans = without_chance([tuple(x.values()) for x in spans.as_py()])
-                start = {s[1]: s[5] for s in spans} | {s[0]: s[2] for s in spans}     # a part may begin where a span ends
-                end = {s[0]: s[4] for s in spans} | {s[1]: s[3] for s in spans}
-                rows = [(doc_id, a, b, c, n, gone) for a, b, c, n, gone in parts([(s[0], s[1], *s[6:]) for s in spans], min_words)]
-                rows = [(d, a, start[a], end[b], b - a, c, n, gone) for d, a, b, c, n, gone in rows]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+            rows = []
+            for doc_id, value, alike, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3), strict=True):
+                got = parts(without_chance([tuple(x.values()) for x in spans.as_py()]), min_words)
+                if got:
+                    start, end, _ = word_places(value.as_py())
+                    rows += [(doc_id, a, start[a], end[b - 1], b - a, *state, alike) for a, b, *state in got]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     return run
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, piece, start, end, words, component_id, copies, removed of every part of a repeated run."""
+    """doc_id, piece, start, end, words, component_id, copies, within_document, removed, rows of every part of a repeated run."""
+    size = max(min_words, ANCHOR)
     found = materialise(units(docs, min_words), "paragraphs")
-    shared = materialise(windows(docs, found, min_words), "paragraph-windows")
-    groups = connected_components(materialise(link_units(found.where(F.size("sh") > 0)), "paragraph-links"), "a", "b")
-    counts = found.groupBy("unit").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "row", "first")).alias("lead"), F.max("doc_id").alias("last_doc"))
+    lines = found.where("unit is not null")
+    met = met_in_bands(lines)
+    asked = materialise(requests(found, met), "paragraph-requests")
+    read = materialise(windows(docs, asked, min_words), "paragraph-windows")
+    groups = connected_components(materialise(verified_links(met, read.where("unit is not null").select("unit", "sh")), "paragraph-links"), "a", "b")
+
+    place = F.struct("doc_id", "row", "first")
+    counts = lines.groupBy("unit").agg(F.count("*").alias("n"), F.min(place).alias("lead"), F.max(place).alias("last"))
     counts = counts.join(groups.withColumnRenamed("node", "unit"), "unit", "left").where("n > 1 or component is not null")
-    counts = materialise(counts.select("unit", F.coalesce("component", "unit").alias("component_id"), "n", "lead", "last_doc"), "paragraph-classes")
-    whole = counts.groupBy("component_id").agg(F.sum("n").alias("copies"), F.min("lead").alias("lead"), F.max("last_doc").alias("last_doc"))
-    whole = whole.where("lead.doc_id != last_doc").drop("last_doc")
+    counts = materialise(counts.select("unit", F.coalesce("component", "unit").alias("component_id"), "n", "lead", "last"), "paragraph-classes")
+    whole = counts.groupBy("component_id").agg(F.sum("n").alias("copies"), F.min("lead").alias("lead"), F.max("last").alias("last"))
+    one = F.col("lead.doc_id").eqNullSafe(F.col("last.doc_id")) & (F.col("lead.row") == F.col("last.row"))
+    whole = whole.where("copies > 1").withColumn("within", one).drop("last")
     of_unit = counts.select("unit", "component_id").join(whole, "component_id")
-    rows = found.drop("sh", "anchors").join(of_unit, "unit").withColumn("removed", F.struct("doc_id", "row", "first") != F.col("lead"))
-    span = lambda rank: F.struct("first", "past", "start", "end", "before", "after", F.lit(rank).alias("rank"), "component_id", "copies", "removed").alias("span")
-    spans = rows.select("doc_id", "row", span(0)).unionByName(_merged(stretches(shared)).select("doc_id", "row", span(1)))
-    of_text = spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")).select("doc_id", "spans")
-    return of_text.mapInArrow(_reported(min_words), "doc_id long, piece int, start int, end int, words int, component_id long, copies long, removed boolean")
-
-
-def _merged(windows: DataFrame) -> DataFrame:
+    rows = lines.select("doc_id", "row", "first", "past", "unit").join(of_unit, "unit").withColumn("removed", ~place.eqNullSafe(F.col("lead")))
+
+    texts = found.where("unit is null").groupBy("doc_id", "row").agg(F.count("*").alias("rows"), F.max("past").alias("past"))
+    alike = texts.where("rows > 1").select("doc_id", "row", F.lit(0).alias("first"), "past", F.xxhash64("doc_id", "row").alias("component_id"),
+                                           F.col("rows").alias("copies"), F.lit(False).alias("removed"), F.lit(True).alias("within"))
+    runs = _merged(stretches(read.where("gram is not null").select("tid", "first", "gram"), size), size).join(asked.select("tid", "doc_id", "row"), "tid")
+    span = lambda rank: F.struct("first", "past", F.lit(rank).alias("rank"), "component_id", "copies", "removed", "within").alias("span")
+    spans = rows.select("doc_id", "row", span(0)).unionByName(runs.select("doc_id", "row", span(1))).unionByName(alike.select("doc_id", "row", span(2)))
+    of_text = spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")).withColumnsRenamed({"doc_id": "its_id", "row": "its_row"})
+    of_text = texts.join(of_text, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("row") == F.col("its_row"))).select("doc_id", "row", "rows", "spans")
+    of_text = materialise(of_text, "paragraph-spans")
+    return of_texts(docs, of_text).select("doc_id", "text", "rows", "spans").mapInArrow(
+        _reported(min_words), "doc_id long, piece int, start int, end int, words int, component_id long, copies long, within_document boolean, removed boolean, rows long")
+
+
+def _merged(windows: DataFrame, size: int) -> DataFrame:
     """Windows at neighbouring places, alike in component and state, as one span."""
-    alike = ["doc_id", "row", "component_id", "copies", "removed"]
+    alike = ["tid", "component_id", "copies", "removed", "within"]
     rows = windows.withColumn("island", F.col("first") - F.dense_rank().over(Window.partitionBy(*alike).orderBy("first")))
-    ends = [F.min("first").alias("first"), F.max("past").alias("past"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("before").alias("before"), F.max("after").alias("after")]
-    return rows.groupBy(*alike, "island").agg(*ends)
+    return rows.groupBy(*alike, "island").agg(F.min("first").alias("first"), (F.max("first") + size).alias("past"))
 
 
 def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
