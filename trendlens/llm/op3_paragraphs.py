@@ -237,6 +237,7 @@ def windows(docs: DataFrame, asked: DataFrame, min_words: int) -> DataFrame:
                     flat.append(sh)
             n, m = sum(map(len, tid)), len(unit)
             pad = lambda x, kind: pa.concat_arrays([pa.array(np.concatenate(x), kind), pa.nulls(m, kind)])
+            lists = pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), _lists(sizes, flat, np.int32)])
             yield pa.RecordBatch.from_arrays([pad(tid, pa.int64()), pad(place, pa.int32()), pad(gram, pa.int64()),
                                               pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(unit, pa.int64())]), lists], ["tid", "first", "gram", "unit", "sh"])
 
