@@ -47,6 +47,8 @@ CELL = 400
 MIN_WORDS = 20
 ANCHOR = 8
 LONG, WIDE = 128, 48        # paragraphs of more words are split, by cuts of this reach
+SLICE = 1000                # paragraphs whose MinHash values are computed side by side
+TEXT_BITS = 28              # of a place: words of a text; the other 35 number the texts
 VOCABULARY = 500_000        # word hashes a task remembers
 SPACES = np.array([chr(i).isspace() for i in range(0x3002)])        # the last entry stands for all code points after it
 SEEDS = np.random.default_rng(8).integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(1)
@@ -70,14 +72,23 @@ class WordHashes(dict):
         return x
 
 
+def sliding(x: np.ndarray, width: int, best=np.minimum) -> np.ndarray:
+    """The smallest (or `best`) of each `width` neighbours, by doubling."""
+    if len(x) < width:
+        return x[:0]
+    step = 1
+    while 2 * step <= width:
+        x = best(x[:len(x) - step], x[step:])
+        step *= 2
+    return best(x[:len(x) - (width - step)], x[width - step:])
+
+
 def cuts(h: np.ndarray, reach: int) -> np.ndarray:
     """Index after which a part ends, without the last word's."""
     if len(h) < 2:
         return np.empty(0, np.int64)
     pair = mixed(h[:-1] * PRIME + h[1:])
-    wide = np.concatenate([np.full(reach, LAST), pair, np.full(reach, LAST)])
-    view = np.lib.stride_tricks.sliding_window_view(wide, reach)
-    low = view.min(axis=1)                      # low[i]: smallest of the `reach` hashes from wide[i] on
+    low = sliding(np.concatenate([np.full(reach, LAST), pair, np.full(reach, LAST)]), reach)
     return np.flatnonzero((pair < low[:len(pair)]) & (pair <= low[reach + 1:]))
 
 
@@ -117,7 +128,8 @@ def anchors(h: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     g, wide = grams(h, ANCHOR), max(min_words - ANCHOR + 1, 1)
     if len(g) < wide:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.unique(np.lib.stride_tricks.sliding_window_view(g, wide).argmin(axis=1) + np.arange(len(g) - wide + 1))
+    edge = np.zeros(wide - 1, g.dtype)
+    at = np.flatnonzero(g == sliding(np.concatenate([edge, sliding(g, wide), edge]), wide, np.maximum))      # the smallest of some window that holds it
     return at, g[at].view(np.int64)
 
 
@@ -131,15 +143,21 @@ def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.nda
 
 def band_values(sh: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """One row of BANDS hashes per paragraph, each of ROWS MinHash values."""
-    starts, x, out = np.cumsum(counts) - counts, sh.view(np.uint32), []
-    for j in range(BANDS):
-        value = np.full(len(counts), j + 1, np.uint64)
-        for seed in SEEDS[j * ROWS:(j + 1) * ROWS]:
-            y = x * seed
-            y = (y ^ (y >> np.uint32(15))) * np.uint32(0x846CA68B)
-            value = mixed(value * PRIME + np.minimum.reduceat(y ^ (y >> np.uint32(16)), starts))
-        out.append(value)
-    return np.stack(out, axis=1).view(np.int64)
+    ends, out = np.concatenate([[0], np.cumsum(counts)]), np.zeros((len(counts), BANDS), np.uint64)
+    for low in range(0, len(counts), SLICE):
+        high = min(low + SLICE, len(counts))
+        x, starts = sh[ends[low]:ends[high]].view(np.uint32), ends[low:high] - ends[low]
+        y, z = np.empty_like(x), np.empty_like(x)
+        for j in range(BANDS):
+            value = np.full(high - low, j + 1, np.uint64)
+            for seed in SEEDS[j * ROWS:(j + 1) * ROWS]:
+                np.multiply(x, seed, out=y)
+                np.right_shift(y, np.uint32(15), out=z)
+                np.bitwise_xor(y, z, out=y)
+                np.multiply(y, np.uint32(0x846CA68B), out=y)
+                value = mixed(value * PRIME + np.minimum.reduceat(y, starts))
+            out[low:high, j] = value
+    return out.view(np.int64)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -182,7 +200,8 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     place = (inside - np.repeat(a, b - a)).astype(np.uint64)
                     sums = np.add.reduceat(mixed(h[inside] + place * PRIME), np.cumsum(b - a) - (b - a))
                     unit += mixed(sums + (b - a).astype(np.uint64)).view(np.int64).tolist()
-                    bands.append(band_values(*shingles(h, a, b)).ravel())
+                    bands.append(shingles(h, a, b))
+            bands = [band_values(*(np.concatenate(x) for x in zip(*bands, strict=True))).ravel()] if bands else []
             words = lambda x: pa.array(np.concatenate([np.zeros(0, np.int32), *x]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), words(first), words(past), pa.array(unit, pa.int64()),
                                               _lists(sizes, bands, np.int64), _lists(n_marks, marks, np.int64)],
@@ -193,7 +212,7 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def requests(found: DataFrame, met: DataFrame) -> DataFrame:
     """tid, doc_id, row, anchors (those shared) and units (first, past, unit of classes that met another, at the
-    class's first place) of each text that has any. `tid` follows doc_id and row."""
+    class's first place) of each text that has any. `tid` numbers them from 0, by doc_id and row."""
     texts = found.where("unit is null")
     marks = texts.select("doc_id", "row", F.explode("anchors").alias("anchor"))
     shared = marks.groupBy("anchor").count().where("count > 1").select("anchor")
@@ -203,7 +222,11 @@ def requests(found: DataFrame, met: DataFrame) -> DataFrame:
     asked = leads.select("lead.doc_id", "lead.row", none.cast("long").alias("anchor"), F.struct("lead.first", "lead.past", "unit").alias("unit"))
     asked = marks.join(shared, "anchor", "left_semi").select("doc_id", "row", "anchor", none.cast("struct<first:int,past:int,unit:bigint>").alias("unit")).unionByName(asked)
     asked = asked.groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("anchors"), F.collect_list("unit").alias("units"))
-    return asked.orderBy("doc_id", "row").withColumn("tid", F.monotonically_increasing_id())
+    asked = materialise(asked.orderBy("doc_id", "row").withColumn("at", F.monotonically_increasing_id()), "paragraph-requests")
+    part = F.shiftright("at", 33)                   # the number of the partition, and the row in it below
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = asked.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", before.alias("before"))     # a row per partition
+    return asked.join(sizes, part == F.col("part")).select("doc_id", "row", "anchors", "units", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("tid"))
 
 
 def of_texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
@@ -213,49 +236,54 @@ def of_texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
 
 
 def windows(docs: DataFrame, asked: DataFrame, min_words: int) -> DataFrame:
-    """Rows of two kinds: tid, first, gram (hash) of all windows of min_words words around shared anchors; unit and sh
-    (shingles) of the paragraphs asked for."""
+    """Rows of two kinds: place (text and first word in one number) and gram (hash) of all windows of min_words words
+    around shared anchors; unit and sh (shingles) of the paragraphs asked for."""
     size = max(min_words, ANCHOR)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            tid, place, gram, unit, sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [], [], []
+            place, gram, unit, sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], [], []
             for number, value, shared, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 h = word_hashes(value.as_py(), known)
                 places, marks = anchors(h, min_words)
                 places = places[np.isin(marks, shared.values.to_numpy())]
-                first = np.unique(places[:, None] - np.arange(size - ANCHOR + 1))
-                first = first[(first >= 0) & (first + size <= len(h))]
-                tid.append(np.full(len(first), number))
-                place.append(first.astype(np.int32))
+                if len(h) >> TEXT_BITS or number >> 63 - TEXT_BITS:
+                    raise ValueError(f"a text of {len(h)} words, or text number {number}, has no place in 64 bits")
+                near = np.zeros(len(h) + 1, np.int64)           # +1 where the windows around an anchor begin, -1 behind the last one
+                np.add.at(near, np.maximum(places - (size - ANCHOR), 0), 1)
+                np.add.at(near, places + 1, -1)
+                first = np.flatnonzero(np.cumsum(near)[:max(len(h) - size + 1, 0)])
+                place.append((number << TEXT_BITS) + first)
                 gram.append(grams(h, size)[first].view(np.int64))
                 if wanted:
                     sh, counts = shingles(h, np.array([w["first"] for w in wanted]), np.array([w["past"] for w in wanted]))
                     unit += [w["unit"] for w in wanted]
                     sizes.append(counts)
                     flat.append(sh)
-            n, m = sum(map(len, tid)), len(unit)
-            pad = lambda x, kind: pa.concat_arrays([pa.array(np.concatenate(x), kind), pa.nulls(m, kind)])
+            n, m = sum(map(len, place)), len(unit)
+            pad = lambda x: pa.concat_arrays([pa.array(np.concatenate(x), pa.int64()), pa.nulls(m, pa.int64())])
             lists = pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), _lists(sizes, flat, np.int32)])
-            yield pa.RecordBatch.from_arrays([pad(tid, pa.int64()), pad(place, pa.int32()), pad(gram, pa.int64()),
-                                              pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(unit, pa.int64())]), lists], ["tid", "first", "gram", "unit", "sh"])
+            yield pa.RecordBatch.from_arrays([pad(place), pad(gram), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(unit, pa.int64())]), lists],
+                                             ["place", "gram", "unit", "sh"])
 
-    return of_texts(docs, asked).select("tid", "text", "anchors", "units").mapInArrow(run, "tid long, first int, gram long, unit long, sh array<int>")
+    return of_texts(docs, asked).select("tid", "text", "anchors", "units").mapInArrow(run, "place long, gram long, unit long, sh array<int>")
 
 
 def stretches(found: DataFrame, size: int) -> DataFrame:
-    """The windows that stand at two places or more which don't overlap, with component_id, copies, removed and within."""
-    place = F.struct("tid", "first")
-    classes = found.groupBy("gram").agg(F.count("*").alias("n"), F.min(place).alias("lead"), F.max(place).alias("last"))
-    classes = classes.where((F.col("lead.tid") != F.col("last.tid")) | (F.col("last.first") >= F.col("lead.first") + size))
-    of_lead = Window.partitionBy("lead.tid").orderBy("lead.first")
-    classes = classes.withColumn("island", F.col("lead.first") - F.row_number().over(of_lead))
-    of_island = Window.partitionBy("lead.tid", "island")
-    classes = classes.select("gram", F.col("lead.tid").alias("lead_tid"), F.col("lead.first").alias("lead_first"), F.xxhash64("lead.tid", "island").alias("component_id"),
-                             F.max("n").over(of_island).alias("copies"), (F.max("last.tid").over(of_island) == F.col("lead.tid")).alias("within"))
-    gone = (F.col("tid") != F.col("lead_tid")) | (F.col("first") >= F.col("lead_first") + size)
-    return found.join(classes, "gram").select("tid", "first", "component_id", "copies", gone.alias("removed"), "within")
+    """The windows (place, gram) that stand at two places or more which don't overlap, with tid, first, component_id,
+    copies, removed and within. Windows of two texts are never nearer than `size`: each window ends in its text."""
+    text = lambda x: F.shiftright(x, TEXT_BITS)
+    classes = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("place").alias("lead"), F.max("place").alias("last"))
+    classes = classes.where(F.col("last") >= F.col("lead") + size)
+    of_lead = Window.partitionBy(text("lead")).orderBy("lead")
+    classes = classes.withColumn("island", F.col("lead") - F.row_number().over(of_lead))
+    of_island = Window.partitionBy(text("lead"), "island")
+    classes = classes.select("gram", "lead", F.xxhash64("island").alias("component_id"), F.max("n").over(of_island).alias("copies"),
+                             (text(F.max("last").over(of_island)) == text("lead")).alias("within"))
+    first = F.col("place").bitwiseAND((1 << TEXT_BITS) - 1).cast("int")
+    return found.join(classes, "gram").select(text("place").alias("tid"), first.alias("first"), "component_id", "copies",
+                                              (F.col("place") >= F.col("lead") + size).alias("removed"), "within")
 
 
 def parts(spans: list[tuple], min_words: int) -> list[tuple]:
@@ -408,7 +436,7 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     found = materialise(units(docs, min_words), "paragraphs")
     lines = found.where("unit is not null")
     met = met_in_bands(lines)
-    asked = materialise(requests(found, met), "paragraph-requests")
+    asked = materialise(requests(found, met), "paragraph-texts")
     read = materialise(windows(docs, asked, min_words), "paragraph-windows")
     groups = connected_components(materialise(verified_links(met, read.where("unit is not null").select("unit", "sh")), "paragraph-links"), "a", "b")
 
@@ -425,7 +453,7 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     texts = found.where("unit is null").groupBy("doc_id", "row").agg(F.count("*").alias("rows"), F.max("past").alias("past"))
     alike = texts.where("rows > 1").select("doc_id", "row", F.lit(0).alias("first"), "past", F.xxhash64("doc_id", "row").alias("component_id"),
                                            F.col("rows").alias("copies"), F.lit(False).alias("removed"), F.lit(True).alias("within"))
-    runs = _merged(stretches(read.where("gram is not null").select("tid", "first", "gram"), size), size).join(asked.select("tid", "doc_id", "row"), "tid")
+    runs = _merged(stretches(read.where("gram is not null").select("place", "gram"), size), size).join(asked.select("tid", "doc_id", "row"), "tid")
     span = lambda rank: F.struct("first", "past", F.lit(rank).alias("rank"), "component_id", "copies", "removed", "within").alias("span")
     spans = rows.select("doc_id", "row", span(0)).unionByName(runs.select("doc_id", "row", span(1))).unionByName(alike.select("doc_id", "row", span(2)))
     of_text = spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")).withColumnsRenamed({"doc_id": "its_id", "row": "its_row"})
