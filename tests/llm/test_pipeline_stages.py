@@ -109,3 +109,39 @@ def test_query_matches_its_sql(spark, name):
     got = queries.QUERIES[name](spark, SMALL)
     assert sorted(got.columns) == sorted(want.columns)
     assert sorted(map(str, map(tuple, got.select(*want.columns).collect()))) == sorted(map(str, want.fetchall()))
+
+
+def test_op3_counts_every_occurrence(spark):
+    """Repeats inside one document, in two rows of one doc_id, under null ids and in rows alike in id and text."""
+    a, b, c, d, e = (words(50 + i, 60) for i in range(5))
+    rest = iter(words(70 + i, 40) for i in range(20))
+    rows = [(1, f"{a} {next(rest)} {a}"), (2, f"{next(rest)}\n{b}"), (2, f"{b}\n{next(rest)}"), (None, f"{c} {next(rest)}"),
+            (None, f"{next(rest)} {c}"), (5, d), (5, d), (6, "of " * 50), (7, e), (8, next(rest))]
+    got = op3_paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    text = dict(rows)
+    of = lambda i: sorted((r.start, r.end, r.removed, r.within_document) for r in got if r.doc_id == i)
+    assert of(1) == [(0, len(a), False, True), (len(text[1]) - len(a), len(text[1]), True, True)]
+    assert sorted(r.removed for r in got if r.doc_id == 2) == sorted(r.removed for r in got if r.doc_id is None) == [False, True]
+    assert {r.words for r in got if r.doc_id in (2, None)} == {60}
+    assert [(r.words, r.copies, r.rows, r.removed) for r in got if r.doc_id == 5] == [(60, 2, 2, False)] * 2
+    assert [(r.removed, r.words) for r in sorted((r for r in got if r.doc_id == 6), key=lambda r: r.start)] == [(False, 20), (True, 30)]
+    assert not {r.doc_id for r in got} & {7, 8}
+
+
+def test_op3_covers_shared_stretches_of_a_brute_force(spark):
+    """Every window of 20 words that stands at two places is in a reported part; what is removed stands elsewhere too."""
+    rng = __import__("random").Random(12)
+    pool = [words(200 + i, rng.randrange(15, 45)) for i in range(12)]
+    rows = [(i, " ".join(rng.choice(pool) if rng.random() < 0.4 else words(1000 + 50 * i + k, rng.randrange(5, 40)) for k in range(6))) for i in range(60)]
+    got = op3_paragraphs.repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    places: dict[tuple, list] = {}
+    for i, t in rows:
+        w = t.split()
+        for k in range(len(w) - 19):
+            places.setdefault(tuple(w[k:k + 20]), []).append((i, k))
+    covered = {(r.doc_id, k) for r in got for k in range(r.piece, r.piece + r.words)}
+    shared = [p for p in places.values() if len(p) > 1]
+    assert shared and all((i, k + j) in covered for p in shared for i, k in p for j in range(20))
+    repeated = {(i, k + j) for p in shared for i, k in p for j in range(20)}
+    assert len(covered - repeated) <= 0.02 * len(covered)
+    assert all((i, k + j) in {(r.doc_id, x) for r in got if r.removed for x in range(r.piece, r.piece + r.words)} for p in shared[:40] for i, k in sorted(p)[1:] for j in range(20))
