@@ -206,6 +206,14 @@ def test_op4_weak_parts_need_partners():
     assert kinds(f"{ident}\n\n{key}") == [] and kinds(ident + " x" * 200 + " " + key) == []
 
 
+def test_op4_long_keys_are_parts():
+    rng = random.Random(3)
+    long = "".join(rng.choice("abcdefghijkLMNOPQ0123456789+/") for _ in range(5000))
+    for ident, key in (("ZX81QW09PL22MN47", "aB3" + long[:169]), ("ZX81QW09PL22MN47", "aB3" + long), ("ZX81QW09PL22MN47" * 3, "aB3" + long[:40])):
+        text = f"{ident} uses {key}"
+        assert [(op4_secrets.KINDS[k], text[s:e]) for s, k, e in op4_secrets.scan(text)[1]] == [("id", ident), ("key", key)]
+
+
 def test_op5_rates_meet_targets_and_keep_clean(spark, odd, empty):
     rows = [(40 + i % 50, [0.97, 0.02, 0.01] if i % 4 else ([0.05, 0.9, 0.05] if i % 8 else [0.1, 0.1, 0.8])) for i in range(4000)]
     df = spark.createDataFrame(rows, "mix_tokens long, mix_p array<double>")

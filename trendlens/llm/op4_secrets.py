@@ -5,7 +5,8 @@ secret, token or API key with a value), `access` (AKIA identifiers), `hex` (long
 
 Weak parts are reported only when complementary parts co-occur: access identifiers (`id`), bare
 secrets (`key`) and endpoints (`url`) are joined on intervals within a scope. A scope is a
-paragraph (text between blank lines), and parts must lie within REACH code points of each other:
+paragraph (text between blank lines), and parts must lie within REACH code points of each other. Weak identifiers have
+12 characters or more, weak keys 16 or more; neither has an upper length:
 
 - a weak `id` needs a secret (base `assign`, base `hex` or weak `key`),
 - a weak `key` needs an identifier (base `access` or weak `id`),
@@ -39,8 +40,8 @@ KINDS = ("assign", "access", "hex", "id", "key", "url")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")          # [0-9a-f]+ of 24 or more: a shorter run holds no longer match
-WEAK_ID = re.compile(r"(?<![A-Za-z0-9])(?=[A-Z]*[0-9])[A-Z0-9]{12,32}(?![A-Za-z0-9])")
-WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9a-z+/_-]*[A-Z]|[0-9a-f]+(?![A-Za-z0-9]))[A-Za-z0-9+/_-]{16,128}={0,2}(?![A-Za-z0-9+/_=-])")
+WEAK_ID = re.compile(r"(?<![A-Za-z0-9])(?=[A-Z]*[0-9])[A-Z0-9]{12,}(?![A-Za-z0-9])")
+WEAK_KEY = re.compile(r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9a-z+/_-]*[A-Z]|[0-9a-f]+(?![A-Za-z0-9]))[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
 URL = re.compile(r"""\b[a-z][a-z0-9+]{1,15}://[^\s"'<>|]+""", re.A)
 DIGIT = re.compile(r"[0-9]")
 BLANK = re.compile(r"\n[^\S\n]*\n")
