@@ -14,11 +14,15 @@ from pyspark.sql import SparkSession
 
 from trendlens.params import FIXTURE_PARAMS, Params
 from trendlens.plans.job import Pipeline
+from trendlens.sources import jdbc
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="trendlens")
-    ap.add_argument("--input", required=True, help="folder holding documents.parquet")
+    source = ap.add_mutually_exclusive_group(required=True)
+    source.add_argument("--input", help="folder holding documents.parquet")
+    source.add_argument("--jdbc-input", metavar="TABLE", help="table of raw papers, read over JDBC by ranges of its id (TRENDLENS_JDBC_URL, ...)")
+    ap.add_argument("--jdbc-publish", action="store_true", help="also overwrite the three result tables over JDBC")
     ap.add_argument("--output", required=True, help="folder for the three result tables")
     ap.add_argument("--fixture", action="store_true",
                     help="mining thresholds for the documents fixture instead of the job's own (0.0008 / 0.20)")
@@ -33,9 +37,12 @@ def main(argv=None) -> None:
     params = params.with_(**overrides)
 
     spark = SparkSession.builder.appName("trendlens-job").getOrCreate()
-    pl = Pipeline(spark, args.input.rstrip("/"), params)
+    raw = jdbc.read_table(spark, args.jdbc_input) if args.jdbc_input else None
+    pl = Pipeline(spark, (args.input or "").rstrip("/"), params, raw_frame=raw)
     pl.write_outputs(args.output.rstrip("/"))
-    print(json.dumps({"stage_seconds": pl.stage_seconds, "params": params.__dict__}))
+    if args.jdbc_publish:
+        pl.publish_jdbc()
+    print(json.dumps({"stage_seconds": pl.stage_seconds, "quality": pl.quality(), "params": params.__dict__}))
 
 
 if __name__ == "__main__":

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from trendlens.functions.text import normalise_year
@@ -30,9 +32,38 @@ def dedup_titles(raw: DataFrame) -> DataFrame:
     return _first_per_title(raw).filter(F.col("_rn") == 1).drop("_rn")
 
 
-def clean_papers(raw: DataFrame, params: Params = Params()) -> DataFrame:
+class CleanMetrics:
+    """P6 / A2 without a pass of its own: the numbers of `clean_qc`, observed while `clean_papers` is written.
+
+    They count the rows that went through the write's tasks. A stage that is run again after a lost executor counts
+    its rows again, so after such a loss `clean_qc` is the exact figure."""
+
+    def __init__(self) -> None:
+        suffix = uuid.uuid4().hex[:8]
+        self._raw, self._titles = Observation(f"raw_{suffix}"), Observation(f"titles_{suffix}")
+
+    def of_raw(self, raw: DataFrame) -> DataFrame:
+        return raw.observe(self._raw, F.count(F.lit(1)).alias("rows_in"))
+
+    def of_titles(self, survivors: DataFrame, params: Params) -> DataFrame:
+        n = lambda cond: F.count(F.when(cond, 1))
+        return survivors.observe(self._titles, F.count(F.lit(1)).alias("titles"),
+                                 *(n(cond).alias(name) for name, cond in _fates(normalise_year(F.col("publish_year")), params)))
+
+    def get(self) -> dict[str, int]:
+        """The numbers, once the cleaned papers are written."""
+        fates = dict(self._titles.get)
+        titles = fates.pop("titles")
+        rows_in = self._raw.get["rows_in"] if titles else 0     # a plan known to be empty is cut before it counts rows
+        return {"rows_in": rows_in, "dup_rows": rows_in - titles, **fates}
+
+
+def clean_papers(raw: DataFrame, params: Params = Params(), metrics: CleanMetrics | None = None) -> DataFrame:
     """Dedup by title first, then drop empty titles, normalise the year, keep year >= min_year."""
-    survivors = dedup_titles(raw.select(*CLEAN_COLUMNS))
+    raw = raw.select(*CLEAN_COLUMNS)
+    survivors = dedup_titles(raw if metrics is None else metrics.of_raw(raw))
+    if metrics is not None:
+        survivors = metrics.of_titles(survivors, params)
     year = normalise_year(F.col("publish_year"))
     return (survivors
             .filter(F.col("title").isNotNull() & (F.col("title") != ""))
@@ -46,6 +77,13 @@ def year_normalise(rows: DataFrame, column: str = "raw_year") -> DataFrame:
     return rows.withColumn("year_int", normalise_year(F.col(column)))
 
 
+def _fates(year, params: Params) -> list[tuple]:
+    """What becomes of a title's first row: name and condition, of which one holds."""
+    has_title = F.col("title").isNotNull() & (F.col("title") != "")
+    return [("empty_titles", ~has_title), ("bad_years", has_title & year.isNull()),
+            ("old_years", has_title & (year < params.min_year)), ("kept", has_title & (year >= params.min_year))]
+
+
 def clean_qc(raw: DataFrame, params: Params = Params()) -> DataFrame:
     """One-row quality summary, computed in the same pass as the cleaning rules.
 
@@ -56,17 +94,13 @@ def clean_qc(raw: DataFrame, params: Params = Params()) -> DataFrame:
     # task as one row; the survivor is the lowest id, as in dedup_titles
     titles = raw.groupBy(F.xxhash64("title").alias("_h"), "title").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "publish_year")).alias("first"))
-    has_title = F.col("title").isNotNull() & (F.col("title") != "")
     year = normalise_year(F.col("first.publish_year"))
     total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("long")
     n = lambda cond: total(F.when(cond, 1).otherwise(0))
     return titles.agg(
         total("n").alias("rows_in"),
         total(F.col("n") - 1).alias("dup_rows"),
-        n(~has_title).alias("empty_titles"),
-        n(has_title & year.isNull()).alias("bad_years"),
-        n(has_title & (year < params.min_year)).alias("old_years"),
-        n(has_title & (year >= params.min_year)).alias("kept"),
+        *(n(cond).alias(name) for name, cond in _fates(year, params)),
     )
 
 

@@ -29,7 +29,7 @@ from trendlens.operators import clean, forecast, paper_index, rules, trends
 from trendlens.params import Params
 from trendlens.plans.manifest import Manifest
 from trendlens.session import scratch_path
-from trendlens.sources import tables
+from trendlens.sources import jdbc, tables
 
 
 @dataclass
@@ -41,6 +41,7 @@ class Pipeline:
     _tables: dict = field(default_factory=dict)
     stage_seconds: dict = field(default_factory=dict)   # wall time of each stage's own write
     _staged: str | None = None                          # folder that the public tables are written to
+    _metrics: clean.CleanMetrics | None = None
     _lock: threading.RLock = field(default_factory=threading.RLock)
 
     # ------------------------------------------------------------------ plumbing
@@ -71,7 +72,16 @@ class Pipeline:
         return tables.raw_papers(self.table("documents")) if self.raw_frame is None else self.raw_frame
 
     def cleaned(self) -> DataFrame:
-        return self._materialise("cleaned", lambda: clean.clean_papers(self.raw(), self.params))
+        """The cleaned papers. Their quality numbers (P6) are observed while they are written."""
+        def build():
+            self._metrics = clean.CleanMetrics()
+            return clean.clean_papers(self.raw(), self.params, self._metrics)
+        return self._materialise("cleaned", build)
+
+    def quality(self) -> dict[str, int]:
+        """The numbers of `clean.clean_qc`, from the write of the cleaned papers."""
+        self.cleaned()
+        return self._metrics.get()
 
     def history(self) -> DataFrame:
         return self._materialise("history", lambda: trends.trend_history(self.cleaned(), self.params))
@@ -153,6 +163,15 @@ class Pipeline:
         Manifest(self.spark, dest).commit({"run": run, "tables": [PUBLIC[n][0] for n in names]})
 
 
+    def publish_jdbc(self, **connection) -> None:
+        """S2/S3 for the relational deployment: the three public tables as they stand, each overwritten by one write
+        that keeps its definition. An empty cleaned table leaves the old one, as `write_outputs` does."""
+        found = {"cleaned": self.cleaned(), "trend": self.trend(), "rules": self.rules()}
+        for name, rows in found.items():
+            if name != "cleaned" or rows.limit(1).count():
+                jdbc.write_table(rows, PUBLIC[name][0], **connection)
+
+
 # stage -> public table, and the columns whose values name its folders
 PUBLIC = {"cleaned": ("cleaned_paper_data", ()), "trend": ("hotspot_trend_data", ("publish_year",)), "rules": ("fp_growth_rules", ())}
 
@@ -164,7 +183,7 @@ def _swap(spark: SparkSession, dest: str, run: str, names: list[str]) -> None:
 
     def move(a: str, b: str) -> None:
         fs.mkdirs(path(b).getParent())
-        if not fs.rename(path(a), path(b)):
+        if not fs.exists(path(a)) or not fs.rename(path(a), path(b)):
             raise OSError(f"cannot move {a} to {b}")
         done.append((a, b))
 
