@@ -56,3 +56,11 @@ def test_volume_band(spark):
     df = spark.createDataFrame([(2001,), (2000,), (100,), (99,)], "n long")
     assert [r[0] for r in df.select(text.volume_band(F.col("n"))).collect()] == \
         ["rich", "sufficient", "sufficient", "scarce"]
+
+
+def test_cleaning_of_every_character(spark):
+    """ASCII letters and whitespace stay, nothing else does; what is dropped together is one match."""
+    import re
+    every = "".join(map(chr, [*range(1, 0xD800), *range(0xE000, 0x10000, 7), *range(0x1F600, 0x1F650)]))
+    assert _one(spark, text.clean_title(F.col("s")), every) == re.sub(r"[^a-zA-Z \t\n\x0b\f\r]", "", every).lower()
+    assert _one(spark, F.regexp_count(F.col("s"), F.lit(text.NON_LETTER)), "a 2,048-bit key \u212a\u0130") == 3

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from trendlens.functions import vocab
 
 # Java regex classes; `\s` is ASCII whitespace [ \t\n\x0B\f\r].
-NON_LETTER = r"[^a-zA-Z\s]"
+# Runs, and the named class (ASCII letters too): a union of two ranges is matched about ten times slower.
+NON_LETTER = r"[^\p{Alpha}\s]+"
 WHITESPACE = r"\s"
 SPACES = " \t\n\x0b\f\r"
 KEYWORD_SEPARATORS = "[,，;；]+"
