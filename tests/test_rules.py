@@ -66,3 +66,33 @@ def test_top_rules_cap_and_order(spark):
                               "source string, target string, confidence double")
     got = sorted((x["source"], x["target"]) for x in rules.top_rules(r, p).collect())
     assert got == [("s", "t2"), ("s", "t3"), ("u", "t")]
+
+
+def test_pairs_are_counted_before_they_leave_a_task(spark):
+    """Partial counts, not a row per pair, come out of the units (60 baskets of 40 items: 46,800 pairs, 780 counts)."""
+    rows = [(i, [f"w{k:02d}" for k in range(40)]) for i in range(60)]
+    b = spark.createDataFrame(rows, "basket_id long, items array<string>")
+    items = rules.numbered(rules.frequent_items(b, Params(min_support=0.1)))
+    units = rules.work_units(b, items).select("i", "j", "width", "left", "right").coalesce(1).sortWithinPartitions("i", "j")
+    parts = units.mapInArrow(rules._count_units, "xy long, n long")
+    assert (parts.count(), parts.agg(F.sum("n")).first()[0]) == (780, 60 * 780)
+
+
+def test_pairs_in_chunks(spark, monkeypatch):
+    """A chunk ends inside a basket, and a block of ids is not wider than its limit."""
+    rows = [(i, [f"w{k:02d}" for k in range(60) if (i + k) % 3]) for i in range(30)]
+    b = spark.createDataFrame(rows, "basket_id long, items array<string>")
+    items = rules.numbered(rules.frequent_items(b, Params(min_support=0.1)))
+    for name, value in (("BLOCK", 2), ("WIDEST", 3)):
+        monkeypatch.setattr(rules, name, value)
+    assert rules.work_units(b, items).agg(F.max("width")).first()[0] == 3
+    monkeypatch.setattr(rules, "WIDEST", 25)
+    units = rules.work_units(b, items).select("i", "j", F.lit(4).alias("width"), "left", "right").sort("i", "j")
+    want = {}
+    for r in units.collect():
+        for k, x in enumerate(r.left):
+            for y in r.left[k + 1:] if r.right is None else r.right:
+                want[(x << 32) + y] = want.get((x << 32) + y, 0) + 1
+    monkeypatch.setattr(rules, "CHUNK", 7)
+    got = [pair for part in rules._count_units(units.toArrow().to_batches(max_chunksize=50)) for pair in zip(part["xy"].to_pylist(), part["n"].to_pylist())]
+    assert dict(got) == want and len(got) == len(want)

@@ -17,12 +17,14 @@ Plan, in three steps that the job writes as tables, so that the pair and the rul
                    (basket, block i, block j) in ranges -> pairs -> partial counts per (x, y)
   rules            the counts mirrored into both directions, beside the two items' supports
 
-Items are cut into at most BLOCKS blocks by id. A work unit (basket, block i, block j) holds the basket's ids in
+Items are cut into blocks of neighbouring ids. A work unit (basket, block i, block j) holds the basket's ids in
 both blocks and makes each unordered pair (x < y) of them once; units are laid out in ranges of (i, j, basket).
-So a task counts pairs of few blocks only: its partial counts are a small table that fits a processor's cache and
-collapse on the map side, and a document with tens of thousands of frequent words is many units on many tasks.
-Adaptive execution chooses the number of partitions. No step fixes a partition count, forces a broadcast or
-runs a job of its own (the range bounds come from Spark's sample of the units).
+So a task meets the pairs of few blocks only: it counts them in one array of a block's width squared (at most
+WIDEST^2 counts), and a document with tens of thousands of frequent words is many units on many tasks.
+Only these partial counts leave a task. A pair costs a few array steps there (a row per pair in a hash aggregate
+was ten times dearer), and pairs are made CHUNK at a time. Adaptive execution chooses the number of partitions.
+No step fixes a partition count, forces a broadcast or runs a job of its own (the range bounds come from Spark's
+sample of the units).
 
 Cost: the pairs of one basket are the pairs of frequent items inside one document; the total is the
 sum over baskets of (frequent items in the basket)^2, linear in the number of baskets. This is exactly
@@ -33,6 +35,10 @@ join that adaptive execution splits.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,8 +46,10 @@ from trendlens.functions import text
 from trendlens.params import Params
 
 RULE_COLUMNS = ("source", "target", "confidence")
-BLOCK = 512             # ids in a block, or so many that there are at most BLOCKS blocks
+BLOCK = 512             # ids in a block, or so many that there are at most BLOCKS blocks, but not over WIDEST
 BLOCKS = 16
+WIDEST = 2048
+CHUNK = 1 << 20         # pairs that a task makes at a time
 
 
 def baskets_observed(cleaned: DataFrame, params: Params = Params()) -> DataFrame:
@@ -99,31 +107,72 @@ def numbered(frequent: DataFrame) -> DataFrame:
 
 
 def work_units(baskets: DataFrame, items: DataFrame) -> DataFrame:
-    """left, right: for every basket and every two blocks of ids, the basket's ids in them (right: NULL for the same
-    block). In ranges of (block, block, basket)."""
+    """i, j, width, left, right: for every basket and every two blocks of `width` ids, the basket's ids in them (right:
+    NULL for the same block). In ranges of (block, block, basket)."""
     if "_bid" not in baskets.columns:
         baskets = baskets.withColumn("_bid", F.monotonically_increasing_id())
-    blocks = items.select(F.coalesce(F.least(F.ceil(F.max("iid") / BLOCK), F.lit(BLOCKS)), F.lit(1)).cast("int")).scalar()
-    width = items.select(F.coalesce(F.greatest(F.ceil(F.max("iid") / BLOCKS), F.lit(BLOCK)), F.lit(BLOCK)).cast("int")).scalar()
+    last = items.agg(F.max("iid").alias("last"))
+    span = F.coalesce(F.least(F.greatest(F.ceil(F.col("last") / BLOCKS), F.lit(BLOCK)), F.lit(max(BLOCK, WIDEST))), F.lit(BLOCK))
+    width = last.select(span.cast("int")).scalar()
+    blocks = last.select(F.coalesce(F.ceil(F.col("last") / span), F.lit(1)).cast("int")).scalar()
     occ = baskets.select("_bid", F.explode("items").alias("item")).join(items.select("item", "iid"), "item")
     per = occ.groupBy("_bid").agg(F.sort_array(F.collect_list("iid")).alias("ids")).where(F.size("ids") > 1)
     per = per.select("_bid", "ids", blocks.alias("blocks"), width.alias("width"))
     of_block = lambda b: F.filter("ids", lambda x: (x > b * F.col("width")) & (x <= (b + 1) * F.col("width")))       # noqa: E731
-    per = per.select("_bid", F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), of_block).alias("parts"))
-    units = per.select("_bid", "parts", F.posexplode("parts").alias("i", "left")).where(F.size("left") > 0)
-    units = units.select("_bid", "i", "left", F.posexplode("parts").alias("j", "right")).where((F.col("j") >= F.col("i")) & (F.size("right") > 0))
-    return units.select("_bid", "i", "j", "left", F.when(F.col("i") != F.col("j"), F.col("right")).alias("right")) \
+    per = per.select("_bid", "width", F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), of_block).alias("parts"))
+    units = per.select("_bid", "width", "parts", F.posexplode("parts").alias("i", "left")).where(F.size("left") > 0)
+    units = units.select("_bid", "width", "i", "left", F.posexplode("parts").alias("j", "right")).where((F.col("j") >= F.col("i")) & (F.size("right") > 0))
+    return units.select("_bid", "width", "i", "j", "left", F.when(F.col("i") != F.col("j"), F.col("right")).alias("right")) \
         .repartitionByRange("i", "j", F.xxhash64("_bid"))
 
 
+def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """xy, n: partial counts of the units' pairs (x in the upper half of xy). Units come sorted by (i, j), so one
+    array of counts is held at a time."""
+    place, counts = None, None
+
+    def told() -> Iterator[pa.RecordBatch]:
+        if place is None:
+            return
+        i, j, width = place
+        found = np.flatnonzero(counts)
+        for k in np.split(found, range(1 << 16, len(found), 1 << 16)):
+            xy = (i * width + 1 + k // width << 32) + j * width + 1 + k % width
+            yield pa.RecordBatch.from_arrays([pa.array(xy), pa.array(counts[k])], names=["xy", "n"])
+
+    for batch in batches:
+        at = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("i", "j", "width")])
+        left, right = batch.column("left"), batch.column("right")
+        lo, ro = left.offsets.to_numpy().astype(np.int64), right.offsets.to_numpy().astype(np.int64)
+        xs, ys = left.values.to_numpy().astype(np.int64), right.values.to_numpy().astype(np.int64)
+        cuts = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+        for rows in np.split(np.arange(batch.num_rows), cuts):
+            if not len(rows):
+                continue
+            here = tuple(map(int, at[:, rows[0]]))
+            if here != place:
+                yield from told()
+                place, counts = here, np.zeros(here[2] ** 2, np.int64)
+            i, j, width = here
+            # every left id meets the ids first..last of its row: the later ones of its own block, or the other block's
+            e = np.arange(lo[rows[0]], lo[rows[-1] + 1])
+            row = np.repeat(rows, lo[rows + 1] - lo[rows])
+            first, last, others = (e + 1, lo[row + 1], xs) if i == j else (ro[row], ro[row + 1], ys)
+            ends = np.cumsum(last - first)
+            for part in np.split(np.arange(len(e)), np.searchsorted(ends, np.arange(CHUNK, ends[-1], CHUNK))):
+                n = last[part] - first[part]
+                met = np.repeat(first[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                cell = np.repeat((xs[e[part]] - i * width - 1) * width, n) + others[met] - j * width - 1
+                counts += np.bincount(cell, minlength=width ** 2)
+    yield from told()
+
+
 def pair_counts(baskets: DataFrame, items: DataFrame, params: Params = Params()) -> DataFrame:
     """X, y, pair_count of the unordered frequent pairs (x < y) with n(x, y) >= min_count.
     `items`: the frequent items of these baskets (item, iid)."""
-    rest = F.coalesce("right", F.slice("left", F.col("pos") + 2, F.size("left")))
-    pairs = (work_units(baskets, items).select("left", "right", F.posexplode("left").alias("pos", "x"))
-             .select("x", F.explode(rest).alias("y")))
+    units = work_units(baskets, items).select("i", "j", "width", "left", "right").sortWithinPartitions("i", "j")
     # both ids in one long: the partial counts hash one column
-    counts = (pairs.groupBy((F.shiftleft(F.col("x").cast("long"), 32) + F.col("y")).alias("xy")).agg(F.count(F.lit(1)).alias("pair_count"))
+    counts = (units.mapInArrow(_count_units, "xy long, n long").groupBy("xy").agg(F.sum("n").alias("pair_count"))
               .filter(F.col("pair_count") >= _min_count(baskets, params)))
     y = F.col("xy").bitwiseAND((1 << 32) - 1).cast("int")
     return counts.select(F.shiftright("xy", 32).cast("int").alias("x"), y.alias("y"), "pair_count")
