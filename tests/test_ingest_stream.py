@@ -56,6 +56,20 @@ def test_stream_ingest_equals_batch(spark):
         sorted(map(tuple, batch.collect()), key=str)
 
 
+def test_landing_has_no_fixed_number_of_files(spark):
+    """As many files as the payloads are built in, taken in three micro-batches."""
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        _, landing, per_batch = registered._land(spark, SF001, "test")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    files = spark.read.schema(jobs.PAYLOAD_SCHEMA).json(landing).inputFiles()
+    assert len(files) > 3 and 2 * per_batch < len(files) <= 3 * per_batch
+    n = tables.load(spark, SF001, "documents").select("doc_id").distinct().count()
+    assert ingest.ingest_batches(spark.read.schema(jobs.PAYLOAD_SCHEMA).json(landing)).count() == n
+
+
 def test_stream_counts_and_search_log(spark):
     counts = {r["discipline"]: r["inserted"] for r in registered.q_stream_subject_counts(spark, SF001).collect()}
     assert sum(counts.values()) == tables.load(spark, SF001, "documents").count()

@@ -20,29 +20,30 @@ from trendlens.sources import tables
 from trendlens.streaming import jobs
 
 
-LANDED_FILES = 3        # the payloads land in about this many files, each its own micro-batch
+MICRO_BATCHES = 3       # the landed files are taken in about this many micro-batches, however many files there are
 
 
-def _land(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
+def _land(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str, int]:
+    """Base folder, landing folder and the files of one micro-batch. The payloads land in the partitions that they
+    are built in, whose number grows with the input: no task takes a fixed share of all payloads."""
     base = scratch_path(spark, "stream", name)
     landing = f"{base}/landing"
-    payloads = tables.ingest_payloads(pipeline(spark, sf_dir, FIXTURE_PARAMS).raw())
-    jobs.land_payloads(payloads.repartition(LANDED_FILES, "batch_id"), landing)
-    return base, landing
+    jobs.land_payloads(tables.ingest_payloads(pipeline(spark, sf_dir, FIXTURE_PARAMS).raw()), landing)
+    return base, landing, max(1, -(-len(spark.read.schema(jobs.PAYLOAD_SCHEMA).json(landing).inputFiles()) // MICRO_BATCHES))
 
 
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed JSON batches -> raw paper rows (file sink, exactly once)."""
-    base, landing = _land(spark, sf_dir, "ingest")
-    q = jobs.run_ingest(spark, landing, f"{base}/sink", f"{base}/_checkpoint", files_per_trigger=1)
+    base, landing, files = _land(spark, sf_dir, "ingest")
+    q = jobs.run_ingest(spark, landing, f"{base}/sink", f"{base}/_checkpoint", files_per_trigger=files)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/sink")
 
 
 def q_stream_subject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running count of landed rows per discipline (its final state)."""
-    base, landing = _land(spark, sf_dir, "subjects")
-    q = jobs.run_subject_counts(spark, landing, f"{base}/out", f"{base}/_checkpoint", files_per_trigger=1)
+    base, landing, files = _land(spark, sf_dir, "subjects")
+    q = jobs.run_subject_counts(spark, landing, f"{base}/out", f"{base}/_checkpoint", files_per_trigger=files)
     q.awaitTermination()
     return jobs.latest_per_key(jobs.read_epochs(spark, f"{base}/out", jobs.COUNTS_SCHEMA), ["discipline"])
 
@@ -59,10 +60,10 @@ def q_stream_search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.latest_per_key(jobs.read_epochs(spark, f"{base}/out", jobs.WINDOWS_SCHEMA), keys)
 
 
-def landed(spark: SparkSession, base: str, landing: str) -> DataFrame:
+def landed(spark: SparkSession, base: str, landing: str, files: int = 1) -> DataFrame:
     """Both ingest streams run to the end of what has landed: the raw papers, one row per title."""
-    ran = [jobs.run_ingest(spark, landing, f"{base}/rows", f"{base}/_rows", files_per_trigger=1),
-           jobs.run_first_places(spark, landing, f"{base}/places", f"{base}/_places", files_per_trigger=1)]
+    ran = [jobs.run_ingest(spark, landing, f"{base}/rows", f"{base}/_rows", files_per_trigger=files),
+           jobs.run_first_places(spark, landing, f"{base}/places", f"{base}/_places", files_per_trigger=files)]
     for q in ran:
         q.awaitTermination()
     return jobs.landed_papers(spark.read.parquet(f"{base}/rows"), jobs.read_epochs(spark, f"{base}/places", jobs.PLACES_SCHEMA))
@@ -70,8 +71,8 @@ def landed(spark: SparkSession, base: str, landing: str) -> DataFrame:
 
 def q_stream_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X1 + P1 into the job: payloads -> ingest and first places, as streams -> raw papers -> clean -> trend history."""
-    base, landing = _land(spark, sf_dir, "trend")
-    return Pipeline(spark, sf_dir, FIXTURE_PARAMS, raw_frame=landed(spark, base, landing)).history()
+    base, landing, files = _land(spark, sf_dir, "trend")
+    return Pipeline(spark, sf_dir, FIXTURE_PARAMS, raw_frame=landed(spark, base, landing, files)).history()
 
 
 BATCHES = 3
