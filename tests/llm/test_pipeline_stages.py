@@ -145,3 +145,28 @@ def test_op3_covers_shared_stretches_of_a_brute_force(spark):
     repeated = {(i, k + j) for p in shared for i, k in p for j in range(20)}
     assert len(covered - repeated) <= 0.02 * len(covered)
     assert all((i, k + j) in {(r.doc_id, x) for r in got if r.removed for x in range(r.piece, r.piece + r.words)} for p in shared[:40] for i, k in sorted(p)[1:] for j in range(20))
+
+
+def test_op3_sends_the_windows_of_a_passage_once(spark):
+    """A passage in many texts: a row per anchor and text, no row per window; its windows' hashes once per batch. The setting that
+    removes a step's shuffle files is put back."""
+    passage = words(300, 200)
+    docs = spark.createDataFrame([(i, f"{words(400 + i, 30)} {passage} {words(500 + i, 30)}") for i in range(50)], "doc_id long, text string").coalesce(1)
+    found = op3_paragraphs.units(docs).cache()
+    asked = op3_paragraphs.requests(found, op3_paragraphs.met_in_bands(found.where("unit is not null")))
+    rows = op3_paragraphs.windows(docs, asked, 20).where("unit is null").cache()
+    assert rows.count() < 50 * 181 / 4
+    inside = [(r.n, r.told) for r in rows.groupBy("bundle").agg(F.count("*").alias("n"), F.sum(F.size("grams")).alias("told")).collect() if r.n == 50]
+    assert len(inside) > 10 and all(told <= 13 * spark.sparkContext.defaultParallelism for _, told in inside)
+    before = spark.conf.get(op3_paragraphs.CLEANUP)
+    with op3_paragraphs.shuffles_removed(spark):
+        assert spark.conf.get(op3_paragraphs.CLEANUP) == "true"
+    assert spark.conf.get(op3_paragraphs.CLEANUP) == before
+
+
+def test_op3_word_places_survive_packing():
+    for text in ("a", "İ \t\n" + "x" * 300 + "  中文 😀", " " * 400 + "one two", words(1, 50)):
+        start, end, _ = op3_paragraphs.word_places(text)
+        got = op3_paragraphs.unpacked(op3_paragraphs.packed(start, end))
+        assert [x.tolist() for x in got] == [start.tolist(), end.tolist()]
+        assert [text[a:b] for a, b in zip(*got)] == text.split()

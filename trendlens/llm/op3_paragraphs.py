@@ -11,8 +11,11 @@ grouped until a cell is full. Linked classes form components.
 
 Passages also stand inside longer lines. They are found exactly: of each MIN_WORDS - ANCHOR + 1 neighbouring
 shingles of ANCHOR words the smallest is an anchor, so a shared stretch of MIN_WORDS words holds a shared anchor,
-and around these all windows of MIN_WORDS words are compared. A window travels as three numbers (text, place, hash). The
-component of a stretch is the stretch of first occurrences it leads to. A stretch that adds under SHINGLE words to a
+and around these all windows of MIN_WORDS words are compared. A window belongs to the first anchor in it, and its words
+tell where that stands, so equal windows belong to equal anchors. The neighbouring windows of one anchor travel as one
+row (place, hash of them all, a `bundle`). Their own hashes are sent once per bundle and task and compared among the
+bundles of one anchor: copies of a passage are one bundle. The component of a stretch is the stretch of first
+occurrences it leads to. A stretch that adds under SHINGLE words to a
 longer one is left out: it is the word beside a passage that some copies share by chance, and it stays in all of them.
 
 A unit or window that occurs more than once, in one document or in several, is repeated. Neighbouring repeated words
@@ -29,7 +32,9 @@ same rows here; an empty table gives an empty result; other input columns are ig
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -55,6 +60,18 @@ SEEDS = np.random.default_rng(8).integers(1, 1 << 32, BANDS * ROWS, dtype=np.uin
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 LAST = np.uint64((1 << 64) - 1)
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Steps written inside the block remove their shuffle files when they end: what they found is in the shared folder."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -100,6 +117,19 @@ def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return start, end, np.searchsorted(np.flatnonzero((codes == 10) | (codes == 13)), start)
 
 
+def packed(start: np.ndarray, end: np.ndarray) -> bytes:
+    """Starts and past-ends of a text's words: the gap before each word and its length, a byte each where all fit."""
+    steps = np.diff(np.stack([start, end], 1).ravel(), prepend=0)
+    small = bool(steps.max(initial=0) < 256)
+    return zlib.compress(steps.astype(np.uint8 if small else np.int32).tobytes(), 1) + bytes([small])
+
+
+def unpacked(places: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps = np.frombuffer(zlib.decompress(places[:-1]), np.uint8 if places[-1] else np.int32)
+    both = np.cumsum(steps, dtype=np.int64)
+    return both[::2], both[1::2]
+
+
 def word_hashes(text: str, known: WordHashes) -> np.ndarray:
     words = text.split()
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
@@ -133,6 +163,21 @@ def anchors(h: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     return at, g[at].view(np.int64)
 
 
+def bundles(h: np.ndarray, shared: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the windows of a text whose first anchor is one of `shared`: the hashes of the windows, and for each run of
+    windows with one anchor its first window, how many it has and the anchor's hash."""
+    g, wide = grams(h, ANCHOR), max(min_words - ANCHOR + 1, 1)
+    if len(g) < wide:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    at = sliding(np.arange(len(g)), wide, lambda i, j: np.where(g[j] < g[i], j, i))         # of each window, the first of the smallest
+    begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    mark, many = g[at[begin]].view(np.int64), np.diff(begin, append=len(at))
+    mine = np.isin(mark, shared)
+    begin, many, mark = begin[mine], many[mine], mark[mine]
+    first = np.arange(many.sum()) + np.repeat(begin - (np.cumsum(many) - many), many)
+    return grams(h, max(min_words, ANCHOR))[first].view(np.int64), begin, many, mark
+
+
 def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """32-bit shingle hashes of all paragraphs of a text, one after the other, and how many each has."""
     whole = grams(h, SHINGLE)
@@ -172,13 +217,13 @@ def _lists(sizes: list, flat: list, kind) -> pa.ListArray:
 
 
 def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Of every text one row with its anchors and its number of words (`past`), its unit is null; and a row for each
-    paragraph: first and past (words), unit (hash of the words) and bands."""
+    """Of every text one row with its anchors, its number of words (`past`) and their places, its unit is null; and a row
+    for each paragraph: first and past (words), unit (hash of the words) and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            ids, keys, first, past, unit, bands, marks, sizes, n_marks = [], [], [], [], [], [], [], [], []
+            ids, keys, first, past, unit, bands, marks, sizes, n_marks, places = [], [], [], [], [], [], [], [], [], []
             for doc_id, row, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 text = value.as_py()
                 h = word_hashes(text, known)
@@ -186,7 +231,9 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     continue
                 mark, times = np.unique(anchors(h, min_words)[1], return_counts=True)
                 mark = np.repeat(mark, np.minimum(times, 2))            # twice is enough to be shared
-                a, b = paragraphs(h, word_places(text)[2])
+                start, end, line = word_places(text)
+                a, b = paragraphs(h, line)
+                places += [packed(start, end)] + [None] * len(a)
                 ids += [doc_id] * (len(a) + 1)
                 keys += [row] * (len(a) + 1)
                 first += [[0], a]
@@ -204,10 +251,10 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             bands = [band_values(*(np.concatenate(x) for x in zip(*bands, strict=True))).ravel()] if bands else []
             words = lambda x: pa.array(np.concatenate([np.zeros(0, np.int32), *x]).astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), words(first), words(past), pa.array(unit, pa.int64()),
-                                              _lists(sizes, bands, np.int64), _lists(n_marks, marks, np.int64)],
-                                             ["doc_id", "row", "first", "past", "unit", "bands", "anchors"])
+                                              _lists(sizes, bands, np.int64), _lists(n_marks, marks, np.int64), pa.array(places, pa.binary())],
+                                             ["doc_id", "row", "first", "past", "unit", "bands", "anchors", "places"])
 
-    return keyed(docs).mapInArrow(run, "doc_id long, row long, first int, past int, unit long, bands array<long>, anchors array<long>")
+    return keyed(docs).mapInArrow(run, "doc_id long, row long, first int, past int, unit long, bands array<long>, anchors array<long>, places binary")
 
 
 def requests(found: DataFrame, met: DataFrame) -> DataFrame:
@@ -215,12 +262,12 @@ def requests(found: DataFrame, met: DataFrame) -> DataFrame:
     class's first place) of each text that has any. `tid` numbers them from 0, by doc_id and row."""
     texts = found.where("unit is null")
     marks = texts.select("doc_id", "row", F.explode("anchors").alias("anchor"))
-    shared = marks.groupBy("anchor").count().where("count > 1").select("anchor")
+    marks = marks.withColumn("n", F.count("*").over(Window.partitionBy("anchor"))).where("n > 1")
     none = F.lit(None)
     leads = found.where("unit is not null").join(met.select("unit").distinct(), "unit", "left_semi")
     leads = leads.groupBy("unit").agg(F.min(F.struct("doc_id", "row", "first", "past")).alias("lead"))
     asked = leads.select("lead.doc_id", "lead.row", none.cast("long").alias("anchor"), F.struct("lead.first", "lead.past", "unit").alias("unit"))
-    asked = marks.join(shared, "anchor", "left_semi").select("doc_id", "row", "anchor", none.cast("struct<first:int,past:int,unit:bigint>").alias("unit")).unionByName(asked)
+    asked = marks.select("doc_id", "row", "anchor", none.cast("struct<first:int,past:int,unit:bigint>").alias("unit")).unionByName(asked)
     asked = asked.groupBy("doc_id", "row").agg(F.collect_set("anchor").alias("anchors"), F.collect_list("unit").alias("units"))
     asked = materialise(asked.orderBy("doc_id", "row").withColumn("at", F.monotonically_increasing_id()), "paragraph-requests")
     part = F.shiftright("at", 33)                   # the number of the partition, and the row in it below
@@ -229,61 +276,159 @@ def requests(found: DataFrame, met: DataFrame) -> DataFrame:
     return asked.join(sizes, part == F.col("part")).select("doc_id", "row", "anchors", "units", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("tid"))
 
 
-def of_texts(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """The texts named by `asked` (doc_id, row), a null id included."""
+def of_texts(texts: DataFrame, asked: DataFrame) -> DataFrame:
+    """The `texts` named by `asked` (both have doc_id and row), a null id included."""
     asked = asked.withColumnsRenamed({"doc_id": "its_id", "row": "its_row"})
-    return keyed(docs).join(asked, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("row") == F.col("its_row"))).drop("its_id", "its_row")
+    return texts.join(asked, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("row") == F.col("its_row"))).drop("its_id", "its_row")
 
 
 def windows(docs: DataFrame, asked: DataFrame, min_words: int) -> DataFrame:
-    """Rows of two kinds: place (text and first word in one number) and gram (hash) of all windows of min_words words
-    around shared anchors; unit and sh (shingles) of the paragraphs asked for."""
-    size = max(min_words, ANCHOR)
+    """Rows of two kinds: anchor, bundle (hash of its windows of min_words words), place (text and first word in one
+    number) and grams (hashes of the windows, once per bundle and batch, else empty) of the windows around shared anchors; unit and
+    sh (shingles) of the paragraphs asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, zeros = WordHashes(), [np.zeros(0, np.int64)]
         for batch in batches:
-            place, gram, unit, sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], [], []
+            place, anchor, gram, lengths, unit, sizes, flat = zeros[:], zeros[:], zeros[:], zeros[:], [], [], []
             for number, value, shared, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
                 h = word_hashes(value.as_py(), known)
-                places, marks = anchors(h, min_words)
-                places = places[np.isin(marks, shared.values.to_numpy())]
                 if len(h) >> TEXT_BITS or number >> 63 - TEXT_BITS:
                     raise ValueError(f"a text of {len(h)} words, or text number {number}, has no place in 64 bits")
-                near = np.zeros(len(h) + 1, np.int64)           # +1 where the windows around an anchor begin, -1 behind the last one
-                np.add.at(near, np.maximum(places - (size - ANCHOR), 0), 1)
-                np.add.at(near, places + 1, -1)
-                first = np.flatnonzero(np.cumsum(near)[:max(len(h) - size + 1, 0)])
+                windows_of, first, many, marks = bundles(h, shared.values.to_numpy(), min_words)
                 place.append((number << TEXT_BITS) + first)
-                gram.append(grams(h, size)[first].view(np.int64))
+                anchor.append(marks)
+                gram.append(windows_of)
+                lengths.append(many)
                 if wanted:
                     sh, counts = shingles(h, np.array([w["first"] for w in wanted]), np.array([w["past"] for w in wanted]))
                     unit += [w["unit"] for w in wanted]
                     sizes.append(counts)
                     flat.append(sh)
-            n, m = sum(map(len, place)), len(unit)
-            pad = lambda x: pa.concat_arrays([pa.array(np.concatenate(x), pa.int64()), pa.nulls(m, pa.int64())])
-            lists = pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), _lists(sizes, flat, np.int32)])
-            yield pa.RecordBatch.from_arrays([pad(place), pad(gram), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(unit, pa.int64())]), lists],
-                                             ["place", "gram", "unit", "sh"])
+            place, anchor, gram, lengths = (np.concatenate(x) for x in (place, anchor, gram, lengths))
+            n, m, begin = len(place), len(unit), np.cumsum(lengths) - lengths
+            k = (np.arange(len(gram)) - np.repeat(begin, lengths)).astype(np.uint64)
+            each = mixed(mixed(gram.view(np.uint64)) + k * PRIME)
+            bundle = (mixed(np.add.reduceat(each, begin)) if n else each).view(np.int64)
+            new = np.zeros(n, bool)
+            new[np.unique(bundle, return_index=True)[1]] = True
+            once = _lists([np.where(new, lengths, 0)], [gram[np.repeat(new, lengths)]], np.int64)
+            pad = lambda x: pa.concat_arrays([pa.array(x, pa.int64()), pa.nulls(m, pa.int64())])
+            yield pa.RecordBatch.from_arrays([pad(place), pad(anchor), pad(bundle), pa.concat_arrays([once, pa.nulls(m, once.type)]),
+                                              pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(unit, pa.int64())]),
+                                              pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), _lists(sizes, flat, np.int32)])],
+                                             ["place", "anchor", "bundle", "grams", "unit", "sh"])
+
+    return of_texts(keyed(docs), asked).select("tid", "text", "anchors", "units").mapInArrow(
+        run, "place long, anchor long, bundle long, grams array<long>, unit long, sh array<int>")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by their first column, in tables that hold all rows of each value."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        if held and key[-1] == held[0].column(0)[0].as_py():
+            held.append(batch)
+            continue
+        cut = int(np.searchsorted(key, key[-1]))
+        yield pa.Table.from_batches([*held, batch.slice(0, cut)]).combine_chunks()
+        held = [batch.slice(cut)]
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
 
-    return of_texts(docs, asked).select("tid", "text", "anchors", "units").mapInArrow(run, "place long, gram long, unit long, sh array<int>")
+
+def _leads(size: int):
+    """Rows (anchor, bundle, n, lead, last, grams), sorted by the first two, one with n and others with grams -> for each bundle its
+    stretches of windows that stand at two places or more which don't overlap: off and len (windows of the bundle), lead (first
+    place of the first one) and start (of the row of leads that holds it). For each row of leads, the bundle is
+    null: start, len, n and last (most occurrences and last place of its windows)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches):
+            anchor, bundle = (rows.column(i).to_numpy() for i in (0, 1))
+            group = np.cumsum(np.concatenate([[False], (anchor[1:] != anchor[:-1]) | (bundle[1:] != bundle[:-1])]))
+            counted = rows.column(2).is_valid().to_numpy()
+            n, lead, last = (rows.column(i).filter(counted).to_numpy() for i in (2, 3, 4))
+            with_grams = np.flatnonzero(~counted)
+            told = rows.column(5).take(with_grams[np.unique(group[with_grams], return_index=True)[1]]).combine_chunks()
+            gram, lengths = told.flatten().to_numpy(), told.value_lengths().to_numpy()
+            of, begin = np.repeat(np.arange(len(n)), lengths), np.cumsum(lengths) - lengths
+            k = np.arange(len(gram)) - np.repeat(begin, lengths)
+            values, which = np.unique(gram, return_inverse=True)
+            times, first, final = np.zeros(len(values), np.int64), np.full(len(values), np.iinfo(np.int64).max), np.full(len(values), -1)
+            np.add.at(times, which, n[of])
+            np.minimum.at(first, which, lead[of] + k)
+            np.maximum.at(final, which, last[of] + k)
+            order = np.argsort(first)
+            order = order[final[order] >= first[order] + size]
+            if not len(order):
+                continue
+            at = first[order]
+            new = np.concatenate([[True], at[1:] != at[:-1] + 1])
+            heads, start = np.flatnonzero(new), np.full(len(values), -1)
+            start[order] = at[heads][np.cumsum(new) - 1]
+            rows_of = [np.diff(heads, append=len(at)), at[heads], at[heads], np.maximum.reduceat(times[order], heads), np.maximum.reduceat(final[order], heads)]
+            on = np.flatnonzero(start[which] >= 0)
+            its, lead_of = of[on], first[which[on]]
+            new = np.concatenate([[True], (its[1:] != its[:-1]) | (on[1:] != on[:-1] + 1) | (lead_of[1:] != lead_of[:-1] + 1)])
+            heads = np.flatnonzero(new)
+            stretch = [np.diff(heads, append=len(on)), lead_of[heads], start[which[on[heads]]]]
+            names = bundle[counted][its[heads]]
+            join = lambda a, b: pa.concat_arrays([pa.array(a, pa.int64()), pa.nulls(b, pa.int64()) if isinstance(b, int) else pa.array(b, pa.int64())])
+            none = len(rows_of[0])
+            yield pa.RecordBatch.from_arrays([join(names, none), join(k[on[heads]], none), *(join(a, b) for a, b in zip(stretch, rows_of, strict=False)),
+                                              *(pa.concat_arrays([pa.nulls(len(heads), pa.int64()), pa.array(x, pa.int64())]) for x in rows_of[3:])],
+                                             ["bundle", "off", "len", "lead", "start", "n", "last"])
+
+    return run
 
 
 def stretches(found: DataFrame, size: int) -> DataFrame:
-    """The windows (place, gram) that stand at two places or more which don't overlap, with tid, first, component_id,
-    copies, removed and within. Windows of two texts are never nearer than `size`: each window ends in its text."""
+    """The windows that stand at two places or more which don't overlap, as (tid, first, past, component_id, copies, removed, within)
+    of neighbours alike, from (place, anchor, bundle, grams). Windows of two texts are never nearer than `size`: each window ends in its text."""
     text = lambda x: F.shiftright(x, TEXT_BITS)
-    classes = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("place").alias("lead"), F.max("place").alias("last"))
-    classes = classes.where(F.col("last") >= F.col("lead") + size)
-    of_lead = Window.partitionBy(text("lead")).orderBy("lead")
-    classes = classes.withColumn("island", F.col("lead") - F.row_number().over(of_lead))
-    of_island = Window.partitionBy(text("lead"), "island")
-    classes = classes.select("gram", "lead", F.xxhash64("island").alias("component_id"), F.max("n").over(of_island).alias("copies"),
-                             (text(F.max("last").over(of_island)) == text("lead")).alias("within"))
-    first = F.col("place").bitwiseAND((1 << TEXT_BITS) - 1).cast("int")
-    return found.join(classes, "gram").select(text("place").alias("tid"), first.alias("first"), "component_id", "copies",
-                                              (F.col("place") >= F.col("lead") + size).alias("removed"), "within")
+    none = F.lit(None).cast("long")
+    counts = found.groupBy("anchor", "bundle").agg(F.count("*").alias("n"), F.min("place").alias("lead"), F.max("place").alias("last"))
+    told = found.where(F.size("grams") > 0).select("anchor", "bundle", none.alias("n"), none.alias("lead"), none.alias("last"), "grams")
+    both = counts.withColumn("grams", F.lit(None).cast("array<long>")).unionByName(told)
+    leads = both.repartition("anchor").sortWithinPartitions("anchor", "bundle").mapInArrow(_leads(size), "bundle long, off long, len long, lead long, start long, n long, last long")
+    leads = materialise(leads, "paragraph-leads")
+    before = Window.partitionBy(text("start")).orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    rows = leads.where("bundle is null").withColumn("island", F.col("start") - 1 - F.coalesce(F.sum("len").over(before), F.lit(0)))
+    of_island = Window.partitionBy(text("start"), "island")
+    rows = rows.select("start", F.xxhash64("island").alias("component_id"), F.max("n").over(of_island).alias("copies"),
+                       (text(F.max("last").over(of_island)) == text("start")).alias("within"))
+    told = leads.where("bundle is not null").select("bundle", "off", "len", "lead", "start").join(rows, "start").drop("start")
+    at = F.col("place") + F.col("off")
+    first = at.bitwiseAND((1 << TEXT_BITS) - 1).cast("int")
+    spans = found.select("bundle", "place").join(told, "bundle").select(text("place").alias("tid"), F.struct(
+        "component_id", "copies", (at >= F.col("lead") + size).alias("removed"), "within", first.alias("first"), (first + F.col("len") + (size - 1)).cast("int").alias("past")).alias("span"))
+    return spans.groupBy("tid").agg(F.collect_set("span").alias("spans")).mapInArrow(
+        _merged(size), "tid long, first int, past int, component_id long, copies long, removed boolean, within boolean")
+
+
+def _merged(size: int):
+    """Spans of windows at neighbouring places, alike in component and state, as one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            component, copies, removed, within, first, past = (x.to_numpy(zero_copy_only=False) for x in lists.flatten().flatten())
+            tid = np.repeat(batch.column(0).to_numpy(), lists.value_lengths().to_numpy())
+            order = np.lexsort((first, within, removed, copies, component, tid))
+            alike = [x[order] for x in (tid, component, copies, removed, within)]
+            first, past = first[order], past[order]
+            new = np.ones(len(first), bool)
+            new[1:] = np.any([x[1:] != x[:-1] for x in alike], axis=0) | (first[1:] != past[:-1] - (size - 1))
+            tid, component, copies, removed, within = (x[new] for x in alike)
+            past = past[np.flatnonzero(np.append(new[1:], True))] if len(new) else past
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tid, first[new], past, component, copies, removed, within)],
+                                             ["tid", "first", "past", "component_id", "copies", "removed", "within"])
+
+    return run
 
 
 def parts(spans: list[tuple], min_words: int) -> list[tuple]:
@@ -422,7 +567,7 @@ def _reported(min_words: int):
             for doc_id, value, alike, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3), strict=True):
                 got = parts(without_chance([tuple(x.values()) for x in spans.as_py()]), min_words)
                 if got:
-                    start, end, _ = word_places(value.as_py())
+                    start, end = unpacked(value.as_py())
                     rows += [(doc_id, a, start[a], end[b - 1], b - a, *state, alike) for a, b, *state in got]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
@@ -430,8 +575,8 @@ def _reported(min_words: int):
     return run
 
 
-def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, piece, start, end, words, component_id, copies, within_document, removed, rows of every part of a repeated run."""
+def repeats(docs: DataFrame, min_words: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, row and places of every text, and doc_id, row, rows (alike) and spans of those that hold something repeated."""
     size = max(min_words, ANCHOR)
     found = materialise(units(docs, min_words), "paragraphs")
     lines = found.where("unit is not null")
@@ -453,21 +598,19 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
     texts = found.where("unit is null").groupBy("doc_id", "row").agg(F.count("*").alias("rows"), F.max("past").alias("past"))
     alike = texts.where("rows > 1").select("doc_id", "row", F.lit(0).alias("first"), "past", F.xxhash64("doc_id", "row").alias("component_id"),
                                            F.col("rows").alias("copies"), F.lit(False).alias("removed"), F.lit(True).alias("within"))
-    runs = _merged(stretches(read.where("gram is not null").select("place", "gram"), size), size).join(asked.select("tid", "doc_id", "row"), "tid")
+    runs = stretches(read.where("bundle is not null").drop("unit", "sh"), size).join(asked.select("tid", "doc_id", "row"), "tid")
     span = lambda rank: F.struct("first", "past", F.lit(rank).alias("rank"), "component_id", "copies", "removed", "within").alias("span")
     spans = rows.select("doc_id", "row", span(0)).unionByName(runs.select("doc_id", "row", span(1))).unionByName(alike.select("doc_id", "row", span(2)))
-    of_text = spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans")).withColumnsRenamed({"doc_id": "its_id", "row": "its_row"})
-    of_text = texts.join(of_text, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("row") == F.col("its_row"))).select("doc_id", "row", "rows", "spans")
-    of_text = materialise(of_text, "paragraph-spans")
-    return of_texts(docs, of_text).select("doc_id", "text", "rows", "spans").mapInArrow(
-        _reported(min_words), "doc_id long, piece int, start int, end int, words int, component_id long, copies long, within_document boolean, removed boolean, rows long")
+    of_text = spans.groupBy("doc_id", "row").agg(F.collect_set("span").alias("spans"))
+    return found.where("unit is null").select("doc_id", "row", "places"), materialise(of_texts(texts, of_text).select("doc_id", "row", "rows", "spans"), "paragraph-spans")
 
 
-def _merged(windows: DataFrame, size: int) -> DataFrame:
-    """Windows at neighbouring places, alike in component and state, as one span."""
-    alike = ["tid", "component_id", "copies", "removed", "within"]
-    rows = windows.withColumn("island", F.col("first") - F.dense_rank().over(Window.partitionBy(*alike).orderBy("first")))
-    return rows.groupBy(*alike, "island").agg(F.min("first").alias("first"), (F.max("first") + size).alias("past"))
+def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, piece, start, end, words, component_id, copies, within_document, removed, rows of every part of a repeated run."""
+    with shuffles_removed(docs.sparkSession):
+        texts, of_text = repeats(docs, min_words)
+    return of_texts(texts, of_text).select("doc_id", "places", "rows", "spans").mapInArrow(
+        _reported(min_words), "doc_id long, piece int, start int, end int, words int, component_id long, copies long, within_document boolean, removed boolean, rows long")
 
 
 def op3_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
