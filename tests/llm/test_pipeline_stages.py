@@ -6,6 +6,7 @@ import random
 
 import duckdb
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -164,9 +165,21 @@ def test_op3_sends_the_windows_of_a_passage_once(spark):
     assert spark.conf.get(op3_paragraphs.CLEANUP) == before
 
 
-def test_op3_word_places_survive_packing():
-    for text in ("a", "İ \t\n" + "x" * 300 + "  中文 😀", " " * 400 + "one two", words(1, 50)):
-        start, end, _ = op3_paragraphs.word_places(text)
-        got = op3_paragraphs.unpacked(op3_paragraphs.packed(start, end))
-        assert [x.tolist() for x in got] == [start.tolist(), end.tolist()]
-        assert [text[a:b] for a, b in zip(*got)] == text.split()
+def test_op3_words_side_by_side_are_hashed_as_alone(monkeypatch):
+    """Words of 1 to 70 letters, capitals, other letters and spaces, in slices of one and of many texts; places survive packing."""
+    rng = random.Random(5)
+    texts = ["", "a", " ", "İ \t\n" + "x" * 300 + "  中文 😀", " " * 400 + "one two", "Σίσυφος ΣΑΣ\x85A\x1cB\u2003c\r\nD", words(1, 50)]
+    texts += [rng.choice(" \n\t").join("".join(rng.choice("aBcDe0:_[@`{Zz") for _ in range(rng.randrange(1, 71))) for _ in range(300)) for _ in range(6)]
+    for side in (1, 50, 1 << 16):
+        monkeypatch.setattr(op3_paragraphs, "SIDE", side)
+        told = []
+        for low, h, words_of, steps, line in op3_paragraphs.hashed(texts, op3_paragraphs.WordHashes()):
+            assert low == len(told)
+            told += [(h[a:b], *op3_paragraphs.unpacked(op3_paragraphs.packed(steps[a:b])), line[a:b]) for a, b in zip(words_of[:-1], words_of[1:])]
+        assert len(told) == len(texts)
+        for text, (h, start, end, line) in zip(texts, told, strict=True):
+            assert [text[a:b] for a, b in zip(start, end)] == text.split()
+            assert h.tolist() == [xxhash.xxh64_intdigest(w.lower()) for w in text.split()]
+            breaks = [sum(text.count(c, a, b) for c in "\n\r") > 0 for a, b in zip(end[:-1], start[1:])]
+            assert (line[1:] != line[:-1]).tolist() == breaks
+    assert not list(op3_paragraphs.hashed([], op3_paragraphs.WordHashes()))

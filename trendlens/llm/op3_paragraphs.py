@@ -32,7 +32,6 @@ same rows here; an empty table gives an empty result; other input columns are ig
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -60,6 +59,9 @@ SEEDS = np.random.default_rng(8).integers(1, 1 << 32, BANDS * ROWS, dtype=np.uin
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 LAST = np.uint64((1 << 64) - 1)
+P1, P2, P3, P4, P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))     # of XXH64
+LOWER = np.frombuffer(bytes(range(128)).lower() + b"\0", np.uint8)       # the last entry stands for all that is not ASCII
+SIDE = 1 << 16              # code points whose words are hashed side by side
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -109,34 +111,80 @@ def cuts(h: np.ndarray, reach: int) -> np.ndarray:
     return np.flatnonzero((pair < low[:len(pair)]) & (pair <= low[reach + 1:]))
 
 
-def word_places(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_places(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and past-end of each word (code points), and the number of its line."""
-    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     gap = np.concatenate([[True], SPACES[np.minimum(codes, len(SPACES) - 1)], [True]])
     start, end = np.flatnonzero(gap[:-1] & ~gap[1:]), np.flatnonzero(~gap[:-1] & gap[1:])
     return start, end, np.searchsorted(np.flatnonzero((codes == 10) | (codes == 13)), start)
 
 
-def packed(start: np.ndarray, end: np.ndarray) -> bytes:
-    """Starts and past-ends of a text's words: the gap before each word and its length, a byte each where all fit."""
-    steps = np.diff(np.stack([start, end], 1).ravel(), prepend=0)
+def rotated(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+
+def short_hashes(low: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 of all words (start, size) of under 32 bytes, side by side; 32 bytes stand behind the last one."""
+    lanes = np.ndarray(len(low) - 7, "<u8", low.data, strides=(1,))
+    halves = np.ndarray(len(low) - 3, "<u4", low.data, strides=(1,))
+    out, rest = size.astype(np.uint64) + P5, size & 7
+    for k in range(3):
+        at = np.flatnonzero(size >= 8 * k + 8)
+        if len(at):
+            out[at] = rotated(out[at] ^ (rotated(lanes[start[at] + 8 * k] * P2, 31) * P1), 27) * P1 + P4
+    done = start + (size - rest)
+    at = np.flatnonzero(rest >= 4)
+    out[at] = rotated(out[at] ^ (halves[done[at]].astype(np.uint64) * P1), 23) * P2 + P3
+    done[at] += 4
+    rest = size & 3
+    for k in range(3):
+        at = np.flatnonzero(rest > k)
+        out[at] = rotated(out[at] ^ (low[done[at] + k].astype(np.uint64) * P5), 11) * P1
+    out = (out ^ (out >> np.uint64(33))) * P2
+    out = (out ^ (out >> np.uint64(29))) * P3
+    return out ^ (out >> np.uint64(32))
+
+
+def hashed(texts: list[str], known: WordHashes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Texts of SIDE code points or more are taken side by side: the number of the first one, hashes of their words, the first word of
+    each text (and the past-last one), the gap before and the length of each word, and the number of its line, which
+    changes with the text. A word of other than ASCII letters, or of 32 or more, is hashed by itself."""
+    k = 0
+    while k < len(texts):
+        first, borders = k, [0]
+        while k < len(texts) and borders[-1] < SIDE:
+            borders.append(borders[-1] + len(texts[k]) + 1)             # a line break stands between two texts
+            k += 1
+        joined = "\n".join(texts[first:k])
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        start, end, line = word_places(codes)
+        low = np.concatenate([LOWER[np.minimum(codes, 128)], np.zeros(32, np.uint8)])
+        size, foreign = end - start, np.concatenate([[0], np.cumsum(codes >= 128)])
+        alone = np.flatnonzero((size >= 32) | (foreign[end] != foreign[start]))
+        h = short_hashes(low, start, np.minimum(size, 31))
+        h[alone] = np.fromiter((known[joined[a:b]] for a, b in zip(start[alone].tolist(), end[alone].tolist(), strict=True)), np.uint64, len(alone))
+        words = np.searchsorted(start, borders)
+        before = np.concatenate([[0], end[:-1]])[:len(start)]
+        some = np.flatnonzero(words[1:] > words[:-1])
+        before[words[some]] = np.array(borders)[some]
+        yield first, h, words, np.stack([start - before, size], 1), line
+
+
+def packed(steps: np.ndarray) -> bytes:
+    """The gap before each word of a text and its length, a byte each where all fit."""
     small = bool(steps.max(initial=0) < 256)
-    return zlib.compress(steps.astype(np.uint8 if small else np.int32).tobytes(), 1) + bytes([small])
+    raw = steps.astype(np.uint8 if small else np.int32).tobytes()
+    return pa.compress(raw, "zstd", asbytes=True) + len(raw).to_bytes(8, "little") + bytes([small])
 
 
 def unpacked(places: bytes) -> tuple[np.ndarray, np.ndarray]:
-    steps = np.frombuffer(zlib.decompress(places[:-1]), np.uint8 if places[-1] else np.int32)
-    both = np.cumsum(steps, dtype=np.int64)
+    """Starts and past-ends of the words (code points)."""
+    raw = pa.decompress(places[:-9], int.from_bytes(places[-9:-1], "little"), "zstd", asbytes=True)
+    both = np.cumsum(np.frombuffer(raw, np.uint8 if places[-1] else np.int32), dtype=np.int64)
     return both[::2], both[1::2]
 
 
-def word_hashes(text: str, known: WordHashes) -> np.ndarray:
-    words = text.split()
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 def paragraphs(h: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and past-last word of each paragraph of at least SHINGLE words."""
+    """First and past-last word of each paragraph of at least SHINGLE words, of texts side by side."""
     borders = np.concatenate([[0], np.flatnonzero(line[1:] != line[:-1]) + 1, [len(h)]]).astype(np.int64)
     more = [a + cuts(h[a:b], WIDE) + 1 for a, b in zip(borders[:-1], borders[1:], strict=True) if b - a > LONG]
     borders = np.unique(np.concatenate([borders, *more]))
@@ -153,33 +201,41 @@ def grams(h: np.ndarray, size: int) -> np.ndarray:
     return mixed(out)
 
 
-def anchors(h: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of a text's anchors: each window of min_words words holds one, told by its words alone."""
-    g, wide = grams(h, ANCHOR), max(min_words - ANCHOR + 1, 1)
-    if len(g) < wide:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    edge = np.zeros(wide - 1, g.dtype)
-    at = np.flatnonzero(g == sliding(np.concatenate([edge, sliding(g, wide), edge]), wide, np.maximum))      # the smallest of some window that holds it
-    return at, g[at].view(np.int64)
-
-
-def bundles(h: np.ndarray, shared: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the windows of a text whose first anchor is one of `shared`: the hashes of the windows, and for each run of
-    windows with one anchor its first window, how many it has and the anchor's hash."""
+def minima(h: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts side by side (the first word of each, and the past-last one): hashes of grams of ANCHOR words, the smallest in each window of
+    min_words words, which windows end in their text, and which grams are anchors: the smallest of such a window, told by its words alone."""
     g, wide = grams(h, ANCHOR), max(min_words - ANCHOR + 1, 1)
-    if len(g) < wide:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    at = sliding(np.arange(len(g)), wide, lambda i, j: np.where(g[j] < g[i], j, i))         # of each window, the first of the smallest
-    begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    least, edge = sliding(g, wide), np.zeros(wide - 1, g.dtype)
+    whole = np.arange(len(least)) + max(min_words, ANCHOR) <= np.repeat(words[1:], np.diff(words))[:len(least)]
+    least = np.where(whole, least, np.uint64(0))
+    return g, least, whole, g == sliding(np.concatenate([edge, least, edge]), wide, np.maximum) if len(least) else np.zeros(len(g), bool)
+
+
+def bundles(h: np.ndarray, words: np.ndarray, shared: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the windows of texts side by side whose first anchor is one of `shared`: the hashes of the windows, and for each
+    run of windows with one anchor its first window, how many it has and the anchor's hash."""
+    g, least, whole, low = minima(h, words, min_words)
+    windows_of = np.flatnonzero(whole)
+    places, nth, least = np.flatnonzero(low), (np.cumsum(low) - low)[windows_of], least[windows_of]
+    at = places[nth]                    # of each window, the first anchor from its start on
+    late = np.flatnonzero(g[at] != least)
+    while len(late):                    # that holds the smallest: a step or two
+        nth[late] += 1
+        at[late] = places[nth[late]]
+        late = late[g[at[late]] != least[late]]
+    begin = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])[:len(at)])
     mark, many = g[at[begin]].view(np.int64), np.diff(begin, append=len(at))
     mine = np.isin(mark, shared)
-    begin, many, mark = begin[mine], many[mine], mark[mine]
+    begin, many, mark = windows_of[begin[mine]], many[mine], mark[mine]
     first = np.arange(many.sum()) + np.repeat(begin - (np.cumsum(many) - many), many)
-    return grams(h, max(min_words, ANCHOR))[first].view(np.int64), begin, many, mark
+    size, out = max(min_words, ANCHOR), g[first]
+    for k in range(ANCHOR, size, ANCHOR):           # a window is told by the grams that cover it
+        out = mixed(out * PRIME + g[first + min(k, size - ANCHOR)])
+    return out.view(np.int64), begin, many, mark
 
 
 def shingles(h: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit shingle hashes of all paragraphs of a text, one after the other, and how many each has."""
+    """32-bit shingle hashes of paragraphs of texts side by side, one after the other, and how many each has."""
     whole = grams(h, SHINGLE)
     counts = past - first - SHINGLE + 1
     at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - first, counts)
@@ -221,37 +277,41 @@ def units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     for each paragraph: first and past (words), unit (hash of the words) and bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known, none = WordHashes(), np.zeros(0, np.int64)
         for batch in batches:
-            ids, keys, first, past, unit, bands, marks, sizes, n_marks, places = [], [], [], [], [], [], [], [], [], []
-            for doc_id, row, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                text = value.as_py()
-                h = word_hashes(text, known)
-                if len(h) < SHINGLE:
-                    continue
-                mark, times = np.unique(anchors(h, min_words)[1], return_counts=True)
-                mark = np.repeat(mark, np.minimum(times, 2))            # twice is enough to be shared
-                start, end, line = word_places(text)
+            texts, past, places, marks, owners, a_of, b_of, unit, flat = [none], [none], [], [], [none], [none], [none], [none], []
+            for low, h, words, steps, line in hashed(batch.column(2).to_pylist(), known):
+                n = np.diff(words)
+                kept = np.flatnonzero(n >= SHINGLE)
+                texts.append(low + kept)
+                past.append(n[kept])
+                g, _, _, lowest = minima(h, words, min_words)
+                at = np.flatnonzero(lowest)
+                anchors, of = g[at].view(np.int64), np.searchsorted(at, words).tolist()
+                for i, a, b in zip(kept.tolist(), words[kept].tolist(), words[kept + 1].tolist(), strict=True):
+                    mark, times = np.unique(anchors[of[i]:of[i + 1]], return_counts=True)
+                    marks.append(np.repeat(mark, np.minimum(times, 2)))         # twice is enough to be shared
+                    places.append(packed(steps[a:b]))
                 a, b = paragraphs(h, line)
-                places += [packed(start, end)] + [None] * len(a)
-                ids += [doc_id] * (len(a) + 1)
-                keys += [row] * (len(a) + 1)
-                first += [[0], a]
-                past += [[len(h)], b]
-                unit += [None]
-                marks.append(mark)
-                n_marks.append([len(mark)] + [0] * len(a))
-                sizes.append([0] + [BANDS] * len(a))
-                if len(a):
-                    inside = np.repeat(a - (np.cumsum(b - a) - (b - a)), b - a) + np.arange((b - a).sum())
-                    place = (inside - np.repeat(a, b - a)).astype(np.uint64)
-                    sums = np.add.reduceat(mixed(h[inside] + place * PRIME), np.cumsum(b - a) - (b - a))
-                    unit += mixed(sums + (b - a).astype(np.uint64)).view(np.int64).tolist()
-                    bands.append(shingles(h, a, b))
-            bands = [band_values(*(np.concatenate(x) for x in zip(*bands, strict=True))).ravel()] if bands else []
-            words = lambda x: pa.array(np.concatenate([np.zeros(0, np.int32), *x]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), words(first), words(past), pa.array(unit, pa.int64()),
-                                              _lists(sizes, bands, np.int64), _lists(n_marks, marks, np.int64), pa.array(places, pa.binary())],
+                if not len(a):
+                    continue
+                owner = np.searchsorted(words, a, "right") - 1
+                owners.append(low + owner)
+                a_of.append(a - words[owner])
+                b_of.append(b - words[owner])
+                inside = np.repeat(a - (np.cumsum(b - a) - (b - a)), b - a) + np.arange((b - a).sum())
+                place = (inside - np.repeat(a, b - a)).astype(np.uint64)
+                sums = np.add.reduceat(mixed(h[inside] + place * PRIME), np.cumsum(b - a) - (b - a))
+                unit.append(mixed(sums + (b - a).astype(np.uint64)).view(np.int64))
+                flat.append(shingles(h, a, b))
+            texts, past, owners, a_of, b_of, unit = (np.concatenate(x) for x in (texts, past, owners, a_of, b_of, unit))
+            bands = [band_values(*(np.concatenate(x) for x in zip(*flat, strict=True))).ravel()] if flat else []
+            rows, none_of = pa.array(np.concatenate([texts, owners])), np.zeros(len(texts), np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.concatenate([none_of, a_of]).astype(np.int32)),
+                                              pa.array(np.concatenate([past, b_of]).astype(np.int32)), pa.concat_arrays([pa.nulls(len(texts), pa.int64()), pa.array(unit)]),
+                                              _lists([none_of, np.full(len(unit), BANDS)], bands, np.int64),
+                                              _lists([[len(x) for x in marks], np.zeros(len(unit), np.int64)], marks, np.int64),
+                                              pa.concat_arrays([pa.array(places, pa.binary()), pa.nulls(len(unit), pa.binary())])],
                                              ["doc_id", "row", "first", "past", "unit", "bands", "anchors", "places"])
 
     return keyed(docs).mapInArrow(run, "doc_id long, row long, first int, past int, unit long, bands array<long>, anchors array<long>, places binary")
@@ -291,18 +351,22 @@ def windows(docs: DataFrame, asked: DataFrame, min_words: int) -> DataFrame:
         known, zeros = WordHashes(), [np.zeros(0, np.int64)]
         for batch in batches:
             place, anchor, gram, lengths, unit, sizes, flat = zeros[:], zeros[:], zeros[:], zeros[:], [], [], []
-            for number, value, shared, wanted in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist(), strict=True):
-                h = word_hashes(value.as_py(), known)
-                if len(h) >> TEXT_BITS or number >> 63 - TEXT_BITS:
-                    raise ValueError(f"a text of {len(h)} words, or text number {number}, has no place in 64 bits")
-                windows_of, first, many, marks = bundles(h, shared.values.to_numpy(), min_words)
-                place.append((number << TEXT_BITS) + first)
+            numbers, wanted = batch.column(0).to_numpy(), batch.column(3).to_pylist()
+            for low, h, words, _, _ in hashed(batch.column(1).to_pylist(), known):
+                n = np.diff(words)
+                if (n >> TEXT_BITS).any() or (numbers >> 63 - TEXT_BITS).any():
+                    raise ValueError(f"a text of {n.max()} words, or text number {numbers.max()}, has no place in 64 bits")
+                windows_of, first, many, marks = bundles(h, words, batch.column(2).slice(low, len(n)).flatten().to_numpy(), min_words)
+                owner = np.searchsorted(words, first, "right") - 1
+                place.append((numbers[low + owner] << TEXT_BITS) + first - words[owner])
                 anchor.append(marks)
                 gram.append(windows_of)
                 lengths.append(many)
-                if wanted:
-                    sh, counts = shingles(h, np.array([w["first"] for w in wanted]), np.array([w["past"] for w in wanted]))
-                    unit += [w["unit"] for w in wanted]
+                of_slice = [(w["first"] + a, w["past"] + a, w["unit"]) for a, its in zip(words.tolist(), wanted[low:low + len(n)]) for w in its or ()]
+                if of_slice:
+                    a, b, names = zip(*of_slice, strict=True)
+                    sh, counts = shingles(h, np.array(a), np.array(b))
+                    unit += names
                     sizes.append(counts)
                     flat.append(sh)
             place, anchor, gram, lengths = (np.concatenate(x) for x in (place, anchor, gram, lengths))
